@@ -6,7 +6,7 @@ looks back), so the library sees pieces of bounded length and the ids are those
 bytes: a token may end inside a character, so tokens' bytes are joined before anything is read as UTF-8.
 
 Defined results: null text counts as empty; empty text has no ids; repeated rows and null ids of rows are encoded like any
-other; an empty table gives an empty result; further columns of the input are carried only where a function says so.
+other; an empty table gives an empty result; input columns with the names of new ones are replaced, others are carried.
 """
 
 from __future__ import annotations
@@ -68,9 +68,7 @@ class Codec:
 
 def _mapped(df: DataFrame, fields: list[T.StructField], make) -> DataFrame:
     """df's columns and the new ones that ``make`` gives for each Arrow batch, which stay in the input's partitions."""
-    clash = {f.name for f in fields} & set(df.columns)
-    if clash:
-        raise ValueError(f"the input already has columns {sorted(clash)}")
+    df = df.drop(*(f.name for f in fields))
     names = df.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,18 +100,23 @@ def bpe_decode(df: DataFrame, ranks_path: str, pattern: str, ids: str = "token_i
     return _mapped(df, [T.StructField(out, T.BinaryType())], make)
 
 
-def bpe_digests(df: DataFrame, ranks_path: str, pattern: str, text: str = "text") -> DataFrame:
-    """(all columns but the text, n_tokens, ids_sha256, decoded_sha256): encoded and decoded in one pass, ids not kept."""
-    keep = [c for c in df.columns if c != text]
+def bpe_digests(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", keep_ids: bool = False) -> DataFrame:
+    """(all columns but the text, n_tokens, ids_sha256, decoded_sha256): encoded and decoded in one pass; with keep_ids also
+    token_ids array<int>."""
     fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
+    if keep_ids:
+        fields.append(T.StructField("token_ids", T.ArrayType(T.IntegerType())))
 
     def make(batch):
-        c, out = codec(ranks_path, pattern), ([], [], [])
+        c, out = codec(ranks_path, pattern), ([], [], [], [])
         for t in batch.column(text).to_pylist():
             ids = c.encode(t)
             out[0].append(len(ids))
             out[1].append(hashlib.sha256(c.joined(ids).encode()).hexdigest())
             out[2].append(hashlib.sha256(c.decode(ids)).hexdigest())
-        return [pa.array(out[0], pa.int64()), pa.array(out[1], pa.string()), pa.array(out[2], pa.string())]
+            if keep_ids:
+                out[3].append(ids)
+        kinds = (pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32()))
+        return [pa.array(v, t) for v, t in list(zip(out, kinds, strict=True))[: len(fields)]]
 
-    return _mapped(df, fields, make).select(*keep, *(f.name for f in fields))
+    return _mapped(df, fields, make).drop(text)

@@ -13,7 +13,7 @@ large source nor a large group of equal documents meets in one task.
 
 All of it is DataFrame operations. Defined results: null text has size 0; a null source is a source of its own, last in
 order; null doc_ids count as one empty id in seeded order; repeated rows are documents of their own; sources of size 0 take
-nothing; an empty table gives an empty result; further columns are carried (clashing names raise).
+nothing; an empty table gives an empty result; input columns with the names of new ones are replaced, others are carried.
 """
 
 from __future__ import annotations
@@ -62,33 +62,31 @@ def _repetitions(rate: Column, k: Column) -> Column:
 
 def mix_sources(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), budget: float = 1.5, max_epochs: float = 2.0, seed: str = "mix") -> DataFrame:
     """docs without its text, with size, source_size, target, copies (repetitions) and taken (words of all repetitions)."""
-    clash = set(NEW) & set(docs.columns)
-    if clash:
-        raise ValueError(f"the input already has columns {sorted(clash)}")
+    docs = docs.drop(*NEW)
     rest = [c for c in docs.columns if c != "text"]
-    sizes = stored(docs.select(*rest, word_count(F.col("text")).alias("size")), "sizes")
-    targets = stored(source_targets(sizes, weights, budget, max_epochs), "targets")
-    small_side = maybe_broadcast(targets.withColumnRenamed("source", "source_"), targets.count(), 256)
-    rows = sizes.join(small_side, F.col("source").eqNullSafe(F.col("source_"))).drop("source_")
     digest = F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    rows = rows.withColumn("digest_", digest).withColumn("salt_", F.substring("digest_", 1, 2))
+    rows = docs.select(F.struct(*rest).alias("row"), "source", word_count(F.col("text")).alias("size"), digest.alias("digest"), F.substring(digest, 1, 2).alias("salt"))
+    rows = stored(rows, "sizes")
+    targets = stored(source_targets(rows, weights, budget, max_epochs), "targets")
+    held = maybe_broadcast(targets.withColumnRenamed("source", "s"), targets.count(), 256)
+    rows = rows.join(held, F.col("source").eqNullSafe(F.col("s"))).drop("s")
     large = rows.where(F.col("size") * 100 > F.col("source_size"))
     rate = F.col("target") / F.col("source_size")
-    order = W.partitionBy("source").orderBy(F.desc("size"), "digest_")
+    order = W.partitionBy("source").orderBy(F.desc("size"), "digest")
     large = large.withColumn("copies", _repetitions(rate, F.row_number().over(order)))
     small = rows.where(F.col("size") * 100 <= F.col("source_size"))
-    counts = small.groupBy("source", "size", "salt_").agg(F.count(F.lit(1)).alias("rows_"))
-    before = F.sum("rows_").over(W.partitionBy("source").orderBy(F.desc("size"), "salt_").rowsBetween(W.unboundedPreceding, -1))
-    words = F.sum(F.col("rows_") * F.col("size")).over(W.partitionBy("source"))
-    counts = counts.withColumn("before_", F.coalesce(before, F.lit(0))).withColumn("words_", words)
-    done = large.groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("done_"))
-    counts = counts.join(done.withColumnRenamed("source", "s_"), F.col("source").eqNullSafe(F.col("s_")), "left").drop("s_", "rows_")
-    keys = [F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")).alias("source_key_"), "size", "salt_"]
-    counts = counts.select(*keys, "before_", "words_", "done_")
-    inner = W.partitionBy("source", "size", "salt_").orderBy("digest_")
-    small = small.withColumn("k_", F.row_number().over(inner)).withColumn("source_key_", keys[0])
-    small = small.join(counts, ["source_key_", "size", "salt_"])
-    rate = F.greatest(F.lit(0.0), F.least(F.lit(float(max_epochs)), (F.col("target") - F.coalesce("done_", F.lit(0))) / F.col("words_")))
-    small = small.withColumn("copies", F.coalesce(_repetitions(rate, F.col("before_") + F.col("k_")), F.lit(0)))
-    out = [*rest, "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")]
-    return large.select(*out).unionByName(small.select(*out))
+    counts = small.groupBy("source", "size", "salt").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(W.partitionBy("source").orderBy(F.desc("size"), "salt").rowsBetween(W.unboundedPreceding, -1))
+    words = F.sum(F.col("n") * F.col("size")).over(W.partitionBy("source"))
+    counts = counts.withColumn("before", F.coalesce(before, F.lit(0))).withColumn("words", words)
+    done = large.groupBy(F.col("source").alias("s")).agg(F.sum(F.col("copies") * F.col("size")).alias("done"))
+    counts = counts.join(done, F.col("source").eqNullSafe(F.col("s")), "left")
+    key = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")).alias("key")  # null as a value, so that all joins are plain
+    counts = counts.select(key, "size", "salt", "before", "words", "done")
+    inner = W.partitionBy("source", "size", "salt").orderBy("digest")
+    small = small.withColumn("k", F.row_number().over(inner)).withColumn("key", key).join(counts, ["key", "size", "salt"])
+    rate = F.greatest(F.lit(0.0), F.least(F.lit(float(max_epochs)), (F.col("target") - F.coalesce("done", F.lit(0))) / F.col("words")))
+    small = small.withColumn("copies", F.coalesce(_repetitions(rate, F.col("before") + F.col("k")), F.lit(0)))
+    out = ["row", "size", "source_size", "target", "copies"]
+    both = large.select(*out).unionByName(small.select(*out))
+    return both.select(*[F.col("row").getField(c).alias(c) for c in rest], *out[1:], (F.col("copies") * F.col("size")).alias("taken"))

@@ -11,7 +11,8 @@ over all documents.
 
 Defined results: null or empty text scores by the bias alone; a doc_id with several labels takes their majority, ties
 counting as 1; null labels are ignored; without labelled rows of both classes every score is the share of label 1 (0.5
-without any); repeated rows score alike; an empty table gives an empty result.
+without any); repeated rows score alike; an empty table gives an empty result; input columns named score or predicted are
+replaced, others are carried.
 """
 
 from __future__ import annotations
@@ -121,6 +122,7 @@ def train_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", tr
 
 def score_quality(docs: DataFrame, model: tuple[bytes, float], text: str = "text") -> DataFrame:
     """docs with score double and predicted int; text is the only column that a score depends on."""
+    docs = docs.drop("score", "predicted")
     weights = docs.sparkSession.sparkContext.broadcast(model[0])
     bias, names = model[1], docs.columns
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship
-from . import bpe, mixing, nbsvm, suffixdedup
+from . import bitslice, bpe, linedup, mixing, nbsvm, ngram_jaccard, pii, simhash, suffixdedup, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,11 +22,23 @@ def byte_bpe() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard.ngram_jaccard(table(spark, sf_dir, "documents"))
+
+
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return mixed.select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
 
 
+def op4_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace_entities(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = nbsvm.train_quality(docs, labels.where(~nbsvm.held_out()).select("doc_id", "quality"))
@@ -34,23 +46,34 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = linedup.drop_boilerplate(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixdedup.substring_dedup(table(spark, sf_dir, "documents"), keep_first=False, digest=True)
 
 
+def op8_bitsliced_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitslice.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, index = warc.write_warc(table(spark, sf_dir, "pages"))
+    return warc.read_warc(spark, folder, index)
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(table(spark, sf_dir, "documents").select("doc_id", "text"), *byte_bpe())
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_mix_sources, op5_quality, op7_suffix_dedup, op10_byte_bpe)}
-
-
-WORD_SQL = "'[^\\x20\\x09-\\x0D]+'"
+    return {f.__name__: f for f in (op1_ngram_jaccard, op2_simhash, op3_mix_sources, op4_surrogates, op5_quality, op6_line_dedup, op7_suffix_dedup, op8_bitsliced_topk, op9_warc, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mix_sources": MIX_SQL}
+    return {"op1_ngram_jaccard": JACCARD_SQL, "op3_mix_sources": MIX_SQL, "op6_line_dedup": LINES_SQL, "op8_bitsliced_topk": TOPK_SQL, "op9_warc": WARC_SQL}
 
 
 MIX_SQL = r"""
@@ -90,3 +113,57 @@ small AS (
 )
 SELECT doc_id, source, size, source_size, target, copies, copies * size AS taken FROM parts
 """
+
+JACCARD_SQL = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingled AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [hash(w)] ELSE list_distinct([hash(w[i : i + 4]) FOR i IN range(1, len(w) - 3)]) END AS s FROM worded
+), sized AS (SELECT doc_id, len(s)::BIGINT AS n_shingles, s, hash(list_sort(s)) AS k FROM shingled),
+classes AS (SELECT min(doc_id) AS rep, k, any_value(n_shingles) AS n, any_value(s) AS s FROM sized WHERE n_shingles > 0 GROUP BY k),
+terms AS (SELECT rep, n, unnest(s) AS t FROM classes),
+links AS (
+  SELECT a.rep AS a, b.rep AS b FROM terms a JOIN terms b ON a.t = b.t AND a.rep < b.rep AND a.n * 100 >= b.n * 75 AND b.n * 100 >= a.n * 75
+  GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+), edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(node, root) AS (
+  SELECT rep, rep FROM classes
+  UNION
+  SELECT e.b, r.root FROM reach r JOIN edges e ON e.a = r.node WHERE r.root < e.b
+), roots AS (SELECT node, min(root) AS root FROM reach GROUP BY node)
+SELECT d.doc_id, d.n_shingles, coalesce(r.root, d.doc_id) AS component_id
+FROM sized d LEFT JOIN classes c ON d.k = c.k AND d.n_shingles > 0 LEFT JOIN roots r ON r.node = c.rep
+"""
+
+LINES_SQL = r"""
+WITH numbered AS (SELECT *, row_number() OVER () AS rid FROM documents),
+lines AS (
+  SELECT rid, doc_id, source, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM numbered WHERE text IS NOT NULL
+), cut AS (SELECT *, trim(line, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS body FROM lines),
+spread AS (SELECT body, count(DISTINCT coalesce(source, '')) AS sites, min(doc_id) AS least FROM cut WHERE body <> '' GROUP BY body HAVING sites >= 10),
+marked AS (SELECT c.*, s.body IS NOT NULL AND c.doc_id <> s.least AS gone FROM cut c LEFT JOIN spread s ON c.body = s.body),
+kept AS (SELECT rid, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS text FROM marked GROUP BY rid)
+SELECT n.doc_id, coalesce(k.n_lines, 0) AS n_lines, coalesce(k.n_removed, 0) AS n_removed, CASE WHEN n.text IS NOT NULL THEN sha256(coalesce(k.text, '')) END AS kept_sha256
+FROM numbered n LEFT JOIN kept k USING (rid)
+"""
+
+TOPK_SQL = """
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.e) = len(c.e)
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM scored
+QUALIFY rank <= 5
+"""
+
+WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS digest FROM pages),
+g AS (SELECT digest, max(page_id) AS last, count(*) AS n FROM p GROUP BY digest)
+SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(p.digest, 5 * (i // 4) + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INT + 1, 1) FOR i IN range(32)], '') AS payload_digest,
+       CASE WHEN g.last IS NULL OR page_id IS NOT DISTINCT FROM g.last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN g.last IS NOT NULL AND page_id IS DISTINCT FROM g.last THEN g.last END AS refers_to
+FROM p JOIN g ON p.digest = g.digest
+"""
