@@ -1,29 +1,13 @@
-"""Shared folder, lineage cuts, size-checked broadcasts and connected components."""
+"""Tables in the shared folder and connected components; the rest comes from the library's storage module."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: A side is broadcast only if its counted rows times its row width stay within this many bytes.
-BROADCAST_BYTES = 32 << 20
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; a temporary one only where that is unset (tests)."""
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
-    if not named:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="clausework-"))
-        named = spark.sparkContext.getCheckpointDir()
-    return named
-
+from ..storage import checkpointed, maybe_broadcast, scratch, shared_dir
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/clausework/{name}-{uuid.uuid4().hex}"
+__all__ = ["checkpointed", "connected_components", "maybe_broadcast", "scratch", "shared_dir", "stored"]
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -33,34 +17,32 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """df with its lineage cut by a reliable checkpoint."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def maybe_broadcast(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
-    """df marked for broadcast if its counted size allows; else as it is, for a shuffled join."""
-    return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
-
-
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component): component is the smallest node id reachable over the undirected edges (a, b).
 
-    Each round gives every node the smallest label among its neighbours' labels, then jumps to its label's label, so
-    rounds grow with the logarithm of a path's length. A round is two joins and a partial-aggregated minimum: no node's
-    neighbours are ever gathered in one place. Only nodes that have an edge appear.
+    A round hooks every node to its smallest neighbour if that is smaller, follows hooks to their ends, and contracts the
+    edges to those ends; edges inside a component vanish, so later rounds work on what is left. Minima are aggregations that
+    combine before their shuffle and no node's neighbours are gathered in one place. Only nodes that have an edge appear.
     """
-    both = checkpointed(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).where("a <> b").distinct())
-    labels = checkpointed(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("label")))
+    left = checkpointed(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct())
+    found = None
     for _ in range(max_rounds):
-        near = both.join(labels.select(F.col("node").alias("b"), F.col("label").alias("l")), "b").groupBy(F.col("a").alias("node")).agg(F.min("l").alias("l"))
-        lower = labels.join(near, "node").select("node", F.col("label").alias("was"), F.least("label", "l").alias("label"))
-        up = labels.select(F.col("node").alias("label"), F.col("label").alias("up"))
-        new = lower.join(up, "label", "left").select("node", "was", F.least("label", F.coalesce("up", "label")).alias("label"))
-        new = checkpointed(new)
-        changed = new.where("label <> was").limit(1).count()
-        labels = new.select("node", "label")
-        if not changed:
-            return labels.select("node", F.col("label").alias("component"))
+        hooks = left.select(F.col("b").alias("node"), F.col("a").alias("to")).union(left.select("a", "a"))
+        hooks = checkpointed(hooks.groupBy("node").agg(F.min("to").alias("to")))
+        while True:  # to the ends of chains of hooks; each step doubles what is followed
+            ahead = hooks.select(F.col("node").alias("to"), F.col("to").alias("end"))
+            hooks = checkpointed(hooks.join(ahead, "to").select("node", "to", "end"))
+            moved = hooks.where("to <> end").limit(1).count()
+            hooks = hooks.select("node", F.col("end").alias("to"))
+            if not moved:
+                break
+        if found is None:
+            found = hooks.withColumnRenamed("to", "component")
+        else:
+            found = found.join(hooks.select(F.col("node").alias("component"), "to"), "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+        at = lambda c: hooks.select(F.col("node").alias(c), F.col("to").alias(f"{c}_end"))  # noqa: B023, E731
+        ends = left.join(at("a"), "a").join(at("b"), "b").select(F.least("a_end", "b_end").alias("a"), F.greatest("a_end", "b_end").alias("b"))
+        left = checkpointed(ends.where("a <> b").distinct())
+        if not left.limit(1).count():
+            return checkpointed(found)
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
