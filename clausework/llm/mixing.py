@@ -85,7 +85,8 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), budget: f
     counts = counts.select(key, "size", "salt", "before", "words", "done")
     inner = W.partitionBy("source", "size", "salt").orderBy("digest")
     small = small.withColumn("k", F.row_number().over(inner)).withColumn("key", key).join(counts, ["key", "size", "salt"])
-    rate = F.greatest(F.lit(0.0), F.least(F.lit(float(max_epochs)), (F.col("target") - F.coalesce("done", F.lit(0))) / F.col("words")))
+    # greatest and least skip nulls, so a source without words is told apart first
+    rate = F.when(F.col("words") > 0, F.lit(1.0)) * F.greatest(F.lit(0.0), F.least(F.lit(float(max_epochs)), F.try_divide(F.col("target") - F.coalesce("done", F.lit(0)), F.col("words"))))
     small = small.withColumn("copies", F.coalesce(_repetitions(rate, F.col("before") + F.col("k")), F.lit(0)))
     out = ["row", "size", "source_size", "target", "copies"]
     both = large.select(*out).unionByName(small.select(*out))

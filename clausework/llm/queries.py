@@ -103,7 +103,7 @@ WITH sized AS (
 ), done AS (SELECT source, sum(copies * size) AS done FROM large GROUP BY source),
 rest AS (SELECT source, sum(size) AS words FROM ranked WHERE NOT is_large GROUP BY source),
 small AS (
-  SELECT r.*, greatest(0.0::DOUBLE, least(2.0::DOUBLE, (r.target - coalesce(d.done, 0)::DOUBLE) / nullif(s.words, 0)::DOUBLE)) AS rate
+  SELECT r.*, CASE WHEN s.words > 0 THEN greatest(0.0::DOUBLE, least(2.0::DOUBLE, (r.target - coalesce(d.done, 0)::DOUBLE) / s.words::DOUBLE)) END AS rate
   FROM ranked r JOIN rest s ON r.source IS NOT DISTINCT FROM s.source LEFT JOIN done d ON r.source IS NOT DISTINCT FROM d.source
   WHERE NOT r.is_large
 ), parts AS (

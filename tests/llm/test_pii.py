@@ -1,0 +1,59 @@
+import re
+
+from clausework.llm import pii as P
+
+SCHEMA = "doc_id long, text string"
+
+
+def kinds(text):
+    return [(e.kind, text[e.start : e.end]) for e in P.detect(text)]
+
+
+def test_detection():
+    text = 'Mail und.34@mail7.example.com or +1 (017) 555-7713, host 97.51.17.173, card 9807915762804490, token = "04dbebab91ab85687d33eeaaf9ac699e1188".'
+    assert kinds(text) == [("email", "und.34@mail7.example.com"), ("phone", "+1 (017) 555-7713"), ("ipv4", "97.51.17.173"), ("account", "9807915762804490"), ("secret", "04dbebab91ab85687d33eeaaf9ac699e1188")]
+    assert kinds("Frau Weber met Mr. John Smith and Анна Иванова") == [("surname", "Weber"), ("given", "John"), ("surname", "Smith"), ("given", "Анна"), ("surname", "Иванова")]
+    assert kinds("The 12 of 345 words in 2024, version 1.2.3, are plain.") == []
+
+
+def test_format_type_script_and_gender():
+    found = "+1 (017) 555-7713"
+    new, entities = P.replaced(f"call {found} now", b"k")
+    assert re.fullmatch(r"call \+1 \(\d{3}\) \d{3}-\d{4} now", new) and found not in new and entities[0].kind == "phone"
+    other, _ = P.replaced("call +1-017-555-7713", b"k")
+    assert re.sub(r"\D", "", new) == re.sub(r"\D", "", other)
+    name, _ = P.replaced("Анна Иванова", b"k")
+    given, surname = name.split()
+    assert given in P.GIVEN["cyrillic", "f"] and P.script_of(surname) == "cyrillic"
+    male, _ = P.replaced("JOHN", b"k")
+    assert male == "JOHN"
+    account, _ = P.replaced("4111111111111111", b"k")
+    assert P._sound(account)
+    assert P.replaced("x@a.example.com", b"k")[0] != P.replaced("x@a.example.com", b"other")[0]
+    assert P.replaced("X@A.EXAMPLE.COM", b"k")[0].lower() == P.replaced("x@a.example.com", b"k")[0]
+
+
+def test_coreference_distinctness_and_edges(spark):
+    rows = [(i, f"a{i}@b.example.com and 10.0.{i % 250}.{i % 7}") for i in range(300)] + [(300, None), (301, ""), (None, "a1@b.example.com"), (302, "a1@b.example.com " * 3000), (302, "a1@b.example.com " * 3000)]
+    df = spark.createDataFrame([(*r, "kept") for r in rows], SCHEMA + ", kinds string")
+    got = P.replace_entities(df).collect()
+    assert len(got) == len(rows)
+    plain = {d: t for d, t in rows if d is not None}
+    mail = {}
+    for r in got:
+        if r.doc_id is not None and r.doc_id < 300:
+            assert r.n_entities == 2 and r.kinds == ["email", "ipv4"]
+            mail[r.doc_id] = r.text.split()[0]
+            assert mail[r.doc_id] not in plain[r.doc_id]
+    assert len(set(mail.values())) == 300
+    by = {r.doc_id: r.text for r in got}
+    assert by[None] == mail[1] and by[302].split() == [mail[1]] * 3000 and by[300] is None and by[301] == ""
+    assert P.replace_entities(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_collisions_are_drawn_again(spark):
+    short = [("surname", f"{a}{b}") for a in "abcdef" for b in "abcdef"]
+    got = P.assigned(spark.createDataFrame(short, "kind string, canonical string")).collect()
+    assert len(got) == 36 and len({r.new for r in got}) == 36
+    assert not {r.new for r in got} & {c for _, c in short}
+    assert max(r.attempt for r in got) > 0
