@@ -30,13 +30,13 @@ def procedures(clauses: DataFrame, kept: DataFrame) -> DataFrame:
     units = kept.where(~F.contains("key", F.lit("/")))
     own = _titled(units).where(X.strip(F.coalesce("text", F.lit(""))) != "")
     shape = lambda df, prio, o, how: df.select(F.lit(prio).alias("prio"), o.alias("o"), "at", F.lit("Procedure").alias("type"), "label", F.col("key").alias("clause"), F.col("label").alias("anchor"), F.lit(f"deterministic:{how}").alias("extractor"), "confidence", "review")
-    direct = shape(own, 0, F.struct(F.col("ord").cast("long"), F.lit(0)), "procedure")
+    direct = shape(own, 0, F.struct(F.col("ord").cast("long").alias("ord"), F.lit(0).alias("depth")), "procedure")
     up = ancestors(clauses.select(F.col("key").alias("node"), "parent")).where("depth > 0")
     up = up.join(units.select(F.col("key").alias("node"), F.col("ord").alias("from_ord")), "node").select(F.col("ancestor").alias("key"), F.struct(F.col("from_ord").cast("long").alias("ord"), F.col("depth")).alias("o"))
     nearest = up.groupBy("key").agg(F.min("o").alias("o"))
     above = _titled(clauses).join(nearest, "key").join(direct.select("at").distinct(), "at", "left_anti")
     above = first_by(above, ["at"], F.col("o"))
-    return direct.unionByName(shape(above, 1, F.struct(F.col("o.ord").alias("ord"), F.col("o.depth").alias("col2")), "procedure-heading"))
+    return direct.unionByName(shape(above, 1, F.col("o"), "procedure-heading"))
 
 
 def vocabulary_hits(clauses: DataFrame, cfg: SpecConfig, key: str = "key", text: str = "text") -> DataFrame:
@@ -53,7 +53,7 @@ def extract(clauses: DataFrame, kept: DataFrame, cfg: SpecConfig) -> tuple[DataF
     """(entities, relations) that need no model, merged by id; kept are the relevant clauses."""
     procs = procedures(clauses, kept)
     ordinal = lambda prio, a, b: (F.lit(prio).cast("long") * (1 << 50) + a.cast("long") * 100_000 + b.cast("long")).alias("ord")
-    named = procs.select((F.col("prio").cast("long") * (1 << 50) + F.col("o.ord") * 100_000 + F.col("o.col2")).alias("ord"), "type", "label", "clause", "anchor", "extractor", "confidence", "review")
+    named = procs.select((F.col("prio").cast("long") * (1 << 50) + F.col("o.ord") * 100_000 + F.col("o.depth")).alias("ord"), "type", "label", "clause", "anchor", "extractor", "confidence", "review")
     none = F.lit(None).cast("string")
     words = vocabulary_hits(kept, cfg)
     words = words.select(ordinal(2, F.col("ord"), F.col("n")), "type", F.col("term").alias("label"), F.col("key").alias("clause"), F.col("term").alias("anchor"), F.concat(F.lit("deterministic:vocab:"), "type").alias("extractor"), none.alias("confidence"), none.alias("review"))

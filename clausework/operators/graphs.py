@@ -91,7 +91,7 @@ def counts_by(rows: DataFrame, column: str) -> DataFrame:
 
 def highlights(facts: DataFrame, clauses: DataFrame) -> DataFrame:
     """(key, pos, start, length): where each fact's anchor stands in its clause (from 1); those that overlap an earlier one go."""
-    where = F.locate("anchor", F.col("text"))
+    where = F.position("anchor", "text")
     found = facts.join(clauses.select("key", "text"), "key").where(where > 0)
     spans = found.groupBy("key").agg(F.array_sort(F.collect_list(F.struct(where.alias("start"), F.col("pos"), F.char_length("anchor").alias("length")))).alias("s"))
     zero = F.struct(F.lit(0).alias("end"), F.array().cast("array<struct<start:int,pos:int,length:int>>").alias("kept"))
