@@ -22,13 +22,14 @@ def document_blocks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     return lines.select("doc_id", "ord", F.lit("p").alias("kind"), F.when(level.isNotNull(), F.concat(F.lit("Heading "), level)).otherwise("Normal").alias("style"), level.cast("int").alias("level"), F.regexp_replace("text", "^# ", "").alias("text"))
 
 
-def fold_clauses(blocks: DataFrame, spec: Column | None = None, version: Column | None = None) -> DataFrame:
+def fold_clauses(blocks: DataFrame, spec: Column | None = None, version: Column | None = None, last_wins: bool = False, base: str = "_") -> DataFrame:
     """Clauses of ordered blocks (doc_id, ord, kind, style, level, text; a table's text is already flattened).
 
     A non-empty heading opens a clause: ``number<tab>title`` with a number that starts with a letter or digit is keyed by
     the number, any other by the last numbered key (``_`` if none), a slash and its title. Everything else goes to the
     clause that is open, ``_preamble`` before any. A key that comes again keeps its first title and level, and its text
-    goes on. Parents that are no clauses become null.
+    goes on; with last_wins a key that comes again starts anew instead, and only its last text is kept. Parents that are
+    no clauses become null. ``base`` is the key above unnumbered headings before any numbered one.
     """
     spec, version = (F.lit(None).cast("string") if c is None else c for c in (spec, version))
     t = X.strip(F.col("text"))
@@ -39,9 +40,12 @@ def fold_clauses(blocks: DataFrame, spec: Column | None = None, version: Column
     keyed = heading & F.rlike(number, F.lit(r"(?U)^[\p{L}\p{N}]"))
     marked = blocks.withColumns({"heading": heading, "keyed": keyed, "number": number, "title": title})
     past = W.partitionBy("doc_id").orderBy("ord").rowsBetween(W.unboundedPreceding, W.currentRow)
-    marked = marked.withColumn("base", F.coalesce(F.last(F.when(F.col("keyed"), F.col("number")), ignorenulls=True).over(past), F.lit("_")))
+    marked = marked.withColumn("base", F.coalesce(F.last(F.when(F.col("keyed"), F.col("number")), ignorenulls=True).over(past), F.lit(base)))
     own = F.when(F.col("keyed"), F.col("number")).when(F.col("heading"), F.concat("base", F.lit("/"), "title"))
     marked = marked.withColumn("key", F.coalesce(F.last(own, ignorenulls=True).over(past), F.lit("_preamble")))
+    if last_wins:
+        opened = F.max(F.when(F.col("heading"), F.col("ord"))).over(W.partitionBy("doc_id", "key"))
+        marked = marked.withColumn("opened", opened).where("opened is null or ord >= opened").drop("opened")
     parent = F.when(F.col("keyed"), F.when(F.contains("number", F.lit(".")), F.regexp_replace("number", r"\.[^.]*$", ""))).when(F.col("heading"), F.col("base"))
     indent = F.repeat(F.lit("   "), F.coalesce(F.regexp_extract("style", r"^B(\d+)$", 1).try_cast("int"), F.lit(0)))
     body = F.when(F.col("kind") == "t", F.when(t != "", F.col("text"))).when(~F.col("heading"), F.when(t != "", F.concat(indent, F.regexp_replace("text", r"(?U)\s+$", ""))))

@@ -6,6 +6,8 @@ missing ends, types outside the ends' allowed ones; lifecycle fields. Provenance
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -49,9 +51,14 @@ def fitting(typed: DataFrame, ontology: Ontology) -> DataFrame:
     return typed
 
 
-def findings(entities: DataFrame, relations: DataFrame, ontology: Ontology | None = None) -> DataFrame:
-    """Errors: (rule_ord, row_ord, cat, id, rel, slot, ref, got, allowed, what, field, pseudo)."""
+def findings(entities: DataFrame, relations: DataFrame, ontology: Ontology | None = None, subtypes: bool = True) -> DataFrame:
+    """Errors: (rule_ord, row_ord, cat, id, rel, slot, ref, got, allowed, what, field, pseudo).
+
+    Without subtypes an end's type must be one that the slot names itself.
+    """
     ontology = ontology or Ontology()
+    if not subtypes:
+        ontology = replace(ontology, entity_types=tuple((t, None) for t, _ in ontology.entity_types))
     spark = entities.sparkSession
     types = F.broadcast(ontology.types(spark).select("type"))
     rules = F.broadcast(ontology.relations(spark).withColumnRenamed("rel", "type"))

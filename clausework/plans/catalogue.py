@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import kernels as K
 from ..functions import text as X
-from ..operators import comparison, corpus, extraction, graphs, history, merging, review, validation
+from ..operators import audit, comparison, corpus, curated, extraction, graphs, history, merging, review, validation
 from ..sources import documents
 from . import adapters as A
 
@@ -605,3 +605,34 @@ def q_competency_provenance(spark, d):
 def q_layer_counts(spark, d):
     edges = A.relations(spark, d).where("type = 'PART_OF'").withColumn("type", F.lit("IN_LAYER"))
     return graphs.layer_counts(A.entities(spark, d), edges)
+
+
+@query("""SELECT 'entity' AS part, 'Procedure' AS type, count(*) AS n FROM part WHERE p_partkey % 2 = 0 UNION ALL SELECT 'entity', 'Timer', count(*) FROM part WHERE p_partkey % 2 = 1
+UNION ALL SELECT 'entity', 'Stratum', count(*) FROM nation UNION ALL SELECT 'entity', 'DomainRoot', count(*) FROM region UNION ALL SELECT 'entity', 'Release', 3
+UNION ALL SELECT 'relation', 'IN_LAYER', count(*) FROM part UNION ALL SELECT 'relation', 'BROADER', count(*) FROM nation UNION ALL SELECT 'relation', 'NEXT_RELEASE', 2
+UNION ALL SELECT 'relation', 'GOVERNS', count(*) FROM part WHERE p_partkey % 2 = 1 AND p_partkey + 1 IN (SELECT p_partkey FROM part)""")
+def q_curated_graph(spark, d):
+    p = A.table(spark, d, "part")
+    k = F.col("p_partkey")
+    items = p.select(k.alias("ord"), F.concat(F.lit("i"), k).alias("key"), F.when(k % 2 == 0, "Procedure").otherwise("Timer").alias("type"), F.concat("p_name", F.lit(" "), k).alias("label"), F.lit("5.1").alias("clause"))
+    n, none = A.table(spark, d, "nation"), F.lit(None).cast("string")
+    concepts = n.select((F.col("n_nationkey").cast("long") + 100).alias("ord"), F.concat(F.lit("C_N"), "n_nationkey").alias("key"), F.lit("Stratum").alias("type"), F.col("n_name").alias("label"), F.concat(F.lit("C_R"), "n_regionkey").alias("broader"))
+    concepts = concepts.unionByName(A.table(spark, d, "region").select(F.col("r_regionkey").cast("long").alias("ord"), F.concat(F.lit("C_R"), "r_regionkey").alias("key"), F.lit("DomainRoot").alias("type"), F.col("r_name").alias("label"), none.alias("broader")))
+    pairs = p.where(k % 2 == 1).join(p.select((k - 1).alias("before")), k == F.col("before"))
+    facts = pairs.select(k.alias("ord"), F.concat(F.lit("i"), k).alias("src"), F.concat(F.lit("i"), k + 1).alias("dst"), F.lit("GOVERNS").alias("type"), F.lit("prose").alias("modality"), F.lit("high").alias("confidence"), F.lit("5.1").alias("clause"), none.alias("procedure"), F.lit("role: x").alias("attrs"), none.alias("quote"))
+    entities, relations = curated.curated_graph(items, concepts, facts, ("Rel-15", "Rel-16", "Rel-17"), "C_N0", A.CONFIG)
+    ids = entities.select("id").distinct()
+    whole = relations.join(ids.withColumnRenamed("id", "src"), "src", "left_semi").join(ids.withColumnRenamed("id", "dst"), "dst", "left_semi")
+    count = lambda rows, part: rows.groupBy("type").agg(F.count(F.lit(1)).alias("n")).select(F.lit(part).alias("part"), "type", "n")
+    return count(entities, "entity").unionByName(count(whole, "relation"))
+
+
+@query(_SEGMENTS + ", b AS (SELECT *, lag(value) OVER w AS x, lead(value) OVER w AS y FROM seg WINDOW w AS (PARTITION BY key ORDER BY segment)) SELECT key, segment, value FROM b WHERE observations = 1 AND x = y")
+def q_blips(spark, d):
+    return audit.blips(_segments(spark, d)).select("key", "segment", "value")
+
+
+@query("SELECT norm, count(*) AS n FROM (SELECT DISTINCT lower(p_brand || ' ' || p_type) AS norm, p_partkey AS id FROM part) GROUP BY norm HAVING count(*) > 1")
+def q_near_duplicate_labels(spark, d):
+    rows = A.table(spark, d, "part").select(F.col("p_partkey").alias("id"), F.lit("Part").alias("type"), F.concat_ws("_", "p_brand", F.upper("p_type")).alias("label"))
+    return audit.near_duplicates(rows).select("norm", F.size("ids").cast("long").alias("n"))

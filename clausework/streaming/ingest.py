@@ -46,3 +46,37 @@ def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "1 hour") -
     """(user_id, start, end, n): runs of a user's events with no gap longer than ``gap``."""
     s = events.withWatermark("ts", late).groupBy(F.session_window("ts", gap).alias("w"), "user_id").agg(F.count(F.lit(1)).alias("n"))
     return s.select("user_id", F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")
+
+
+class Progress:
+    """Counts of a stream's batches, for reports while it runs: rows so far, rows a second, and the time that a total still takes."""
+
+    def __init__(self, spark: SparkSession, total: int | None = None):
+        from pyspark.sql.streaming import StreamingQueryListener
+
+        progress = self
+        self.rows, self.seconds, self.total = 0, 0.0, total
+
+        class Listener(StreamingQueryListener):
+            def onQueryStarted(self, event):
+                pass
+
+            def onQueryProgress(self, event):
+                progress.add(event.progress.numInputRows, event.progress.batchDuration / 1000)
+
+            def onQueryIdle(self, event):
+                pass
+
+            def onQueryTerminated(self, event):
+                pass
+
+        spark.streams.addListener(Listener())
+
+    def add(self, rows: int, seconds: float) -> None:
+        self.rows += rows
+        self.seconds += seconds
+
+    def report(self) -> str:
+        rate = self.rows / self.seconds if self.seconds else 0.0
+        left = f", {(self.total - self.rows) / rate:.0f} s left" if self.total and rate else ""
+        return f"{self.rows} rows, {rate:.1f} rows/s{left}"

@@ -283,3 +283,35 @@ def test_configuration(spark):
     assert Options.of(spark).rho == 0.3 and Options.of(spark, rho=0.1).rho == 0.1 and Options.of(spark).retries == 3
     spark.conf.unset("clausework.rho")
     spark.conf.unset("clausework.retries")
+
+
+def test_later_headings_can_win(spark):
+    rows = [("d", 0, "p", "Heading 1", 1, "5\tTop"), ("d", 1, "p", "Normal", None, "first"), ("d", 2, "p", "Heading 1", 1, "5\tAgain"), ("d", 3, "p", "Normal", None, "second"), ("d", 4, "p", "Heading 1", 1, "Loose")]
+    got = {r.key: (r.title, r.text) for r in corpus.fold_clauses(spark.createDataFrame(rows, BLOCKS), last_wins=True, base="?").collect()}
+    assert got == {"5": ("Again", "second"), "5/Loose": ("Loose", "")}
+
+
+def test_curated_graph_is_sound_and_strict_types_can_be_asked_for(spark):
+    from clausework.operators import curated
+
+    items = spark.createDataFrame([(0, "t", "Timer", "T300", "7.1"), (1, "p", "Procedure", "Setup", "5.3"), (2, "m", "SIPMethod", "INVITE", None)], "ord long, key string, type string, label string, clause string")
+    concepts = spark.createDataFrame([(0, "C_ROOT", "DomainRoot", "Root", None), (1, "C_RRC", "ProtocolLayer", "RRC", "C_S"), (2, "C_S", "Stratum", "AS", "C_ROOT")], "ord long, key string, type string, label string, broader string")
+    facts = spark.createDataFrame([(0, "t", "p", "GOVERNS", "prose", "high", "5.3", None, "role: guard", "q"), (1, "p", "m", "EXCHANGES", "prose", "high", None, "p", "", None)], "ord long, src string, dst string, type string, modality string, confidence string, clause string, procedure string, attrs string, quote string")
+    entities, relations = curated.curated_graph(items, concepts, facts, ("Rel-15", "Rel-16"), "C_RRC", CFG)
+    assert entities.count() == 8 and {r.type: r.n for r in relations.groupBy("type").agg(F.count(F.lit(1)).alias("n")).collect()} == {"GOVERNS": 1, "EXCHANGES": 1, "IN_LAYER": 2, "BROADER": 2, "NEXT_RELEASE": 1}
+    assert validation.findings(entities, relations).count() == 0
+    assert [r.cat for r in validation.findings(entities, relations, subtypes=False).collect()] == ["range-violation"]
+    assert [r.attrs for r in relations.where("type = 'GOVERNS'").collect()] == [{"role": "guard"}]
+
+
+def test_audit(spark):
+    from clausework.operators import audit
+
+    entities, relations = faulty(spark)
+    found = validation.findings(entities, relations)
+    warned = spark.createDataFrame([], "row_ord long, what string, id string, pos int, clause string, anchor string, cat string")
+    presence = history.presence(spark.createDataFrame([("a", 1), ("b", 1), ("b", 2)], "key string, release long"), 1, 2)
+    segments = history.segments(spark.createDataFrame([("k", i, v) for i, v in enumerate("AABA")], "key string, at long, value string"))
+    marked = spark.createDataFrame([], "key string")
+    got = {r.risk: (r.hits, r.passed) for r in audit.audit(entities, relations, found, warned, presence, segments, marked).collect()}
+    assert got == {"R1": (11, False), "R2": (0, True), "R3": (1, False), "R4": (1, True), "R5": (6, True), "R6": (2, True), "R7": (0, True)}

@@ -143,3 +143,23 @@ def test_windows_and_sessions(spark):
     events = spark.createDataFrame(rows, "user_id int, event_type string, t string").withColumn("ts", F.to_timestamp("t"))
     assert sorted(r.n for r in ingest.windowed_counts(events).collect()) == [1, 3]
     assert sorted((r.user_id, r.n) for r in ingest.sessions(events).collect()) == [(1, 1), (1, 2), (2, 1)]
+
+
+def test_exports_and_progress(spark, tmp_path):
+    from clausework.schema import RELATIONS
+    from clausework.sources import exports
+
+    row = (0, "r", "T", "a", "b", "prose", "high", None, {"k": "v"}, None, [], [], None, None, None)
+    exports.records_json(spark.createDataFrame([row], RELATIONS), str(tmp_path / "out"))
+    got = spark.read.json(str(tmp_path / "out")).first()
+    assert got["from"] == "a" and got["to"] == "b"
+    assert set(json.loads(exports.ontology_json())["relation_types"]["GOVERNS"]) == {"domain", "range"}
+    nodes = spark.createDataFrame([("a", "<A>", "Timer", None)], "id string, label string, grp string, detail string")
+    edges = spark.createDataFrame([("e", "a", "a", "X")], "id string, src string, dst string, label string")
+    assert "&lt;A&gt;" in exports.view_page(nodes, edges, "t")
+    with pytest.raises(ValueError, match="focus"):
+        exports.view_page(nodes.union(nodes), edges, "t", most=1)
+    assert exports.shareable(nodes.selectExpr("id", "'T' type", "repeat('x', 70) label")).first().label == "x" * 59 + "…"
+    progress = ingest.Progress(spark, total=100)
+    progress.add(20, 2.0)
+    assert progress.report() == "20 rows, 10.0 rows/s, 8 s left"
