@@ -10,7 +10,7 @@ from ..schema import SpecConfig
 from .graphs import ancestors
 from .merging import entity_records, first_by, merge_records, relation_records
 
-#: Titles that name no procedure, levels at which procedures stand, and titles to review.
+#: Titles that name no procedure, levels at which procedures stand, titles to review, and references to clauses.
 GENERIC_TITLES = ("general", "void", "introduction", "scope", "", "purpose")
 PROCEDURE_LEVELS = (3, 4, 5)
 AMBIGUOUS_TITLE = r"(?i)(\bparameters?\b|as a security mechanism|[-–]\s*general$|\babnormal cases\b|\bstored information\b|\bintroduction\b)"

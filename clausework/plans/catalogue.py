@@ -401,10 +401,10 @@ def q_pairwise_jaccard(spark, d):
     return comparison.set_compare(A.table(spark, d, "events").select(F.col("event_type").alias("label"), F.col("user_id").alias("id")))
 
 
-@query("SELECT id, side FROM (SELECT user_id AS id, 'only_a' AS side FROM events WHERE event_id % 7 = 1 EXCEPT SELECT user_id, 'only_a' FROM events WHERE event_id % 7 = 2) UNION ALL (SELECT user_id, 'only_b' FROM events WHERE event_id % 7 = 2 EXCEPT SELECT user_id, 'only_b' FROM events WHERE event_id % 7 = 1)")
+@query("SELECT id, side FROM (SELECT user_id AS id, 'only_a' AS side FROM events WHERE event_id % 97 = 1 EXCEPT SELECT user_id, 'only_a' FROM events WHERE event_id % 97 = 2) UNION ALL (SELECT user_id, 'only_b' FROM events WHERE event_id % 97 = 2 EXCEPT SELECT user_id, 'only_b' FROM events WHERE event_id % 97 = 1)")
 def q_set_compare(spark, d):
     e = A.table(spark, d, "events")
-    pick = lambda n: e.where(F.col("event_id") % 7 == n).select(F.col("user_id").alias("id"))
+    pick = lambda n: e.where(F.col("event_id") % 97 == n).select(F.col("user_id").alias("id"))
     return comparison.set_differences(pick(1), pick(2))
 
 
@@ -449,7 +449,7 @@ def q_unsupported_fraction(spark, d):
     return _judged(spark, d).select("type", comparison.unsupported_fraction(F.col("matched"), F.col("total")).alias("fraction"))
 
 
-@query("""SELECT 'entities' AS part, m AS measure, NULL AS type, count(*) FILTER (WHERE CASE WHEN m = 'recall' THEN g % 3 <> 0 ELSE true END) AS matched, count(*) AS total
+@query("""SELECT 'entities' AS part, m AS measure, NULL::VARCHAR AS type, count(*) FILTER (WHERE CASE WHEN m = 'recall' THEN g % 3 <> 0 ELSE true END) AS matched, count(*) AS total
 FROM (SELECT p_partkey AS g, unnest(['recall', 'precision']) AS m FROM part) WHERE m = 'recall' OR g % 3 <> 0 GROUP BY m""")
 def q_eval_entities(spark, d):
     p = A.table(spark, d, "part").select(F.col("p_partkey").alias("ord"), F.concat(F.lit("g"), "p_partkey").alias("id"), F.lit("Part").alias("type"), F.concat("p_name", F.lit(" "), "p_partkey").alias("label"))
