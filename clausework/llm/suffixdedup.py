@@ -9,8 +9,13 @@ dealt to buckets that keep every match together:
 * each suffix is owned by its anchor, the k-gram with the least hash among those inside its ``min_bytes`` bytes (leftmost
   of equals). Equal suffixes have equal anchors at equal distance. Neighbouring suffixes with one anchor form a run of at
   most ``min_bytes - K + 1`` suffixes, one row ``(anchor hash, hash of the run's bytes, text, place)``;
-* runs with equal bytes match as a whole and need no sorting; where an anchor stands in runs with different bytes, one run
-  of each kind is sorted: its suffixes, their common prefixes and previous/next positions.
+* runs with equal bytes match as a whole and need no sorting; where an anchor stands in runs with different bytes, the first
+  run of each kind is sorted: its suffixes, their common prefixes and previous/next positions. An anchor with more than
+  ``CROWD`` kinds is not gathered in one task: its suffixes are grouped by the hash of their bytes instead, first and last
+  place of each, which says the same.
+
+Everything before the sort is joins and aggregations that combine before their shuffles, so neither a frequent anchor nor
+a frequent passage meets in one task.
 
 Copies of a whole text are one text here, ordered by its least doc_id, so groups of copies shrink before any shuffle; the
 removal found for a text is joined back to all its copies.
@@ -38,6 +43,8 @@ MIN_BYTES = 200
 K = 64
 #: Suffixes that one sort takes at a time.
 SORT_ROWS = 150_000
+#: Kinds of runs of one anchor above which its suffixes are looked up by their hashes, over all tasks, instead of sorted in one.
+CROWD = 5_000
 _NULL_ID = -(1 << 63)
 
 
@@ -87,58 +94,31 @@ def _anchors(min_bytes: int, k: int):
     return run
 
 
-def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For rows (h, c, k1, at, doc) sorted by h: runs with equal bytes are repeated as a whole; of an anchor with runs of
-    several kinds, the first of each kind goes on to be sorted (sort = true). Runs of no interest give no row."""
-    held = None
-    for batch in batches:
-        part = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in ("h", "c", "k1", "at", "doc")}
-        if held is not None:
-            part = {n: np.concatenate([held[n], part[n]]) for n in part}
-        if not len(part["h"]):
-            continue
-        cut = int(np.searchsorted(part["h"], part["h"][-1]))
-        held = {n: v[cut:] for n, v in part.items()}
-        if cut:
-            yield _class_rows({n: v[:cut] for n, v in part.items()})
-    if held is not None and len(held["h"]):
-        yield _class_rows(held)
-
-
-def _class_rows(x: dict) -> pa.RecordBatch:
-    order = np.lexsort((x["at"], x["k1"], x["doc"], x["c"], x["h"]))
-    h, c, k1, at, doc = (x[n][order] for n in ("h", "c", "k1", "at", "doc"))
-    first = np.ones(len(h), bool)
-    first[1:] = (h[1:] != h[:-1]) | (c[1:] != c[:-1])
-    last = np.append(first[1:], True)
-    head = np.ones(len(h), bool)
-    head[1:] = h[1:] != h[:-1]
-    group = np.cumsum(head) - 1
-    kinds = np.bincount(group, weights=first).astype(np.int64)
-    whole, sort = ~(first & last), first & (kinds[group] > 1)
-    keep = whole | sort
-    earlier = whole & ~first
-    return pa.RecordBatch.from_arrays([pa.array(v[keep]) for v in (h, k1, at, doc, whole, earlier, sort)], ["h", "k1", "at", "doc", "whole", "earlier", "sort"])
-
-
 def _cut(min_bytes: int):
-    """Rows (h, doc, k1, at, bytes) of the runs to sort, out of the texts that hold them."""
+    """Rows (h, doc, k1, at, bytes) of the runs to sort, out of the texts that hold them; of crowded anchors' runs, a row
+    without bytes for each suffix, with the hash of its first min_bytes bytes as h."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = X.utf8(batch.column("text"))
-            whole = data.tobytes()
-            h, at, k1, doc, got = [], [], [], [], []
             for i, runs in enumerate(batch.column("runs").to_pylist()):
                 k, d = batch.column("k1")[i].as_py(), batch.column("doc")[i].as_py()
+                text = data[offsets[i] : offsets[i + 1]]
+                whole = text.tobytes()
+                h, at, got = [], [], []
                 for r in runs:
-                    lo = int(offsets[i]) + (r["at"] >> 8)
-                    h.append(r["h"])
-                    at.append(r["at"])
-                    k1.append(k)
-                    doc.append(d)
-                    got.append(whole[lo : lo + (r["at"] & 255) - 1 + min_bytes])
-            yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(doc, pa.int64()), pa.array(k1, pa.int64()), pa.array(at, pa.int64()), pa.array(got, pa.binary())], ["h", "doc", "k1", "at", "bytes"])
+                    lo, size = r["at"] >> 8, r["at"] & 255
+                    if r["crowded"]:
+                        part = text[lo : lo + size - 1 + min_bytes]
+                        starts = np.arange(size)
+                        h += X.Hashes(part).of(starts, starts + min_bytes).view(np.int64).tolist()
+                        at += ((lo + starts) * 256 + 1).tolist()
+                        got += [None] * size
+                    else:
+                        h.append(r["h"])
+                        at.append(r["at"])
+                        got.append(whole[lo : lo + size - 1 + min_bytes])
+                yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array([d] * len(h), pa.int64()), pa.array([k] * len(h), pa.int64()), pa.array(at, pa.int64()), pa.array(got, pa.binary())], ["h", "doc", "k1", "at", "bytes"])
 
     return run
 
@@ -232,24 +212,37 @@ def _joined(runs: list[tuple[int, int]]) -> list[int]:
     return out
 
 
-def repeated_suffixes(docs: DataFrame, min_bytes: int = MIN_BYTES, k: int = K) -> DataFrame:
+def repeated_suffixes(docs: DataFrame, min_bytes: int = MIN_BYTES, k: int = K, crowd: int = CROWD) -> DataFrame:
     """(k1, k2, copies, doc, every, later) of texts that repeat: keys of the text, its rows and least doc_id, and the runs
     [start, end, start, end, ...] of its repeated suffixes: all of them, and those with an earlier occurrence."""
     keyed = _keyed(docs)
     texts = keyed.groupBy("k1", "k2").agg(F.min("doc").alias("doc"), F.count(F.lit(1)).alias("copies"))
-    rows = keyed.where(F.octet_length("text") >= min_bytes).select("text", "k1", "doc").mapInArrow(_anchors(min_bytes, k), "h long, c long, k1 long, at long, doc long")
-    rows = rows.groupBy("h", "c", "k1", "at").agg(F.min("doc").alias("doc"))
-    spread = rows.repartition("h").sortWithinPartitions("h").select("h", "c", "k1", "at", "doc")
-    kinds = stored(spread.mapInArrow(_classes, "h long, k1 long, at long, doc long, whole boolean, earlier boolean, sort boolean"), "anchors")
-    to_sort = kinds.where("sort").groupBy("k1", "doc").agg(F.collect_list(F.struct("h", "at")).alias("runs"))
-    n = kinds.where("sort").count()
-    cut = keyed.where(F.octet_length("text") >= min_bytes).select("text", "k1", "doc").join(maybe_broadcast(to_sort, n, 40), ["k1", "doc"])
-    cut = cut.mapInArrow(_cut(min_bytes), "h long, doc long, k1 long, at long, bytes binary")
-    cut = cut.repartition("h").sortWithinPartitions("h")
-    found = cut.mapInArrow(_sorted_runs(min_bytes), "k1 long, doc long, start long, end long, earlier boolean")
-    start = F.shiftright("at", 8)
-    wholes = kinds.where("whole").select("k1", "doc", start.alias("start"), (start + F.col("at").bitwiseAND(255) - 1).alias("end"), "earlier")
-    runs = wholes.unionByName(found).groupBy("k1", "doc").agg(F.collect_list(F.struct("start", "end", "earlier")).alias("runs"))
+    long = keyed.where(F.octet_length("text") >= min_bytes).select("text", "k1", "doc")
+    rows = long.mapInArrow(_anchors(min_bytes, k), "h long, c long, k1 long, at long, doc long")
+    # anchors that stand more than once, and whether in runs of several kinds; then only their runs
+    anchors = rows.groupBy("h").agg(F.count(F.lit(1)).alias("n"), (F.min("c") < F.max("c")).alias("mixed")).where("n > 1").select("h", "mixed")
+    place = F.struct("doc", "k1", "at")
+    shared = stored(rows.join(anchors, "h").select("h", "c", "mixed", place.alias("place")), "anchors")
+    kinds = shared.groupBy("h", "c", "mixed").agg(F.min("place").alias("first"), F.max("place").alias("last"))
+    kinds = stored(kinds.where("mixed or first <> last"), "kinds")
+    # runs with equal bytes repeat as a whole
+    members = shared.join(kinds.where("first <> last").select("h", "c", "first"), ["h", "c"])
+    start = F.shiftright("place.at", 8)
+    wholes = members.select("place.k1", "place.doc", start.alias("start"), (start + F.col("place.at").bitwiseAND(255) - 1).alias("end"), (F.col("place") > F.col("first")).alias("earlier"))
+    # of mixed anchors the first run of each kind is sorted, or looked up suffix by suffix where there are too many
+    mixed = kinds.where("mixed")
+    crowded = mixed.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > crowd).select("h", F.lit(True).alias("crowded"))
+    chosen = mixed.join(crowded, "h", "left").select("first.k1", "first.doc", F.struct("h", "first.at", F.coalesce("crowded", F.lit(False)).alias("crowded")).alias("run"))
+    lists = chosen.groupBy("k1", "doc").agg(F.collect_list("run").alias("runs"))
+    cut = long.join(maybe_broadcast(lists, mixed.count(), 40), ["k1", "doc"]).mapInArrow(_cut(min_bytes), "h long, doc long, k1 long, at long, bytes binary")
+    cut = stored(cut, "runs")
+    sorted_runs = cut.where("bytes is not null").repartition("h").sortWithinPartitions("h")
+    found = sorted_runs.mapInArrow(_sorted_runs(min_bytes), "k1 long, doc long, start long, end long, earlier boolean")
+    single = cut.where("bytes is null").select("h", place.alias("place"))
+    ends = single.groupBy("h").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first <> last").select("h", "first")
+    at = F.shiftright("place.at", 8)
+    looked_up = single.join(ends, "h").select("place.k1", "place.doc", at.alias("start"), at.alias("end"), (F.col("place") > F.col("first")).alias("earlier"))
+    runs = wholes.unionByName(found).unionByName(looked_up).groupBy("k1", "doc").agg(F.collect_list(F.struct("start", "end", "earlier")).alias("runs"))
     runs = runs.mapInArrow(_merge, "k1 long, doc long, every array<long>, later array<long>")
     return texts.join(runs, ["k1", "doc"], "left").where("copies > 1 or every is not null")
 
@@ -271,13 +264,13 @@ def byte_spans(n: int, suffixes: list[int] | None, min_bytes: int) -> list[tuple
     return [(a, b) for a, b in out]
 
 
-def substring_dedup(docs: DataFrame, min_bytes: int = MIN_BYTES, keep_first: bool = True, digest: bool = False, k: int = K) -> DataFrame:
+def substring_dedup(docs: DataFrame, min_bytes: int = MIN_BYTES, keep_first: bool = True, digest: bool = False, k: int = K, crowd: int = CROWD) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, and spans array<struct<start, end>> with kept binary, or kept_sha256).
 
     keep_first: bytes of a passage's first occurrence (by least doc_id of the text, then place) stay; else all go.
     digest: the kept bytes' SHA-256 instead of the bytes.
     """
-    found = stored(repeated_suffixes(docs, min_bytes, k), "repeats")
+    found = stored(repeated_suffixes(docs, min_bytes, k, crowd), "repeats")
     rows = found.count()
     size = found.agg(F.sum(F.coalesce(F.size("every"), F.lit(0)) * 16 + 64)).first()[0] if rows else 0
     joined = _keyed(docs).join(maybe_broadcast(found.withColumnRenamed("doc", "least"), 1, int(size or 0)), ["k1", "k2"], "left")

@@ -55,6 +55,13 @@ def test_large_groups_are_sorted_in_parts(spark, monkeypatch):
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == brute(rows, 40, False)
 
 
+@pytest.mark.parametrize("keep_first", [False, True])
+def test_crowded_anchors_are_looked_up(spark, keep_first):
+    rows = corpus(11)
+    got = S.substring_dedup(spark.createDataFrame(rows, SCHEMA), 40, keep_first, digest=True, k=16, crowd=1).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == brute(rows, 40, keep_first)
+
+
 def test_spans_kept_bytes_repeats_and_empty(spark):
     p = "this passage is long enough to be found again by its bytes"
     rows = [(1, "x" + p + "y"), (2, "z" + p), (2, "z" + p), (None, p), (3, "short")]
