@@ -2,12 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship
 from ..storage import checkpointed, maybe_broadcast, scratch, shared_dir
 
-__all__ = ["checkpointed", "connected_components", "maybe_broadcast", "scratch", "shared_dir", "stored"]
+__all__ = ["checkpointed", "connected_components", "maybe_broadcast", "prepared", "scratch", "shared_dir", "stored"]
+
+
+#: Rows and bytes of an Arrow batch: texts are long, and both the JVM and the Python worker hold a batch several times over.
+ARROW_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"), "spark.sql.execution.arrow.maxBytesPerBatch": ("268435456", "8388608")}
+
+
+def prepared(spark: SparkSession) -> SparkSession:
+    """The session with this package shipped to workers and, where nobody set them, Arrow batches of a few megabytes."""
+    for name, (default, small) in ARROW_BATCH.items():
+        now = str(spark.conf.get(name, default)).lower()
+        if now in (default, "256mb", "256m", f"{default}b"):
+            spark.conf.set(name, small)
+    return ship(spark)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

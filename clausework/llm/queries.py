@@ -7,12 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship
 from . import bitslice, bpe, linedup, mixing, nbsvm, ngram_jaccard, pii, simhash, suffixdedup, warc
+from .cluster import prepared
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return prepared(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def byte_bpe() -> tuple[str, str]:

@@ -12,28 +12,27 @@ from pyspark.sql import functions as F
 
 from clausework.llm import bpe, cluster, linedup, mixing, nbsvm, ngram_jaccard
 from clausework.llm.queries import byte_bpe
-from clausework.session import ship
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject; it learns from labels of documents that are not held out."""
-    labels = ship(spark).read.parquet(f"{sf_dir}/labels.parquet").where(~nbsvm.held_out()).select("doc_id", "quality")
+    labels = cluster.prepared(spark).read.parquet(f"{sf_dir}/labels.parquet").where(~nbsvm.held_out()).select("doc_id", "quality")
     scored = nbsvm.score_quality(docs, nbsvm.train_quality(docs, labels))
     return scored.where("predicted = 1").select(*COLUMNS)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without boilerplate lines of many sources."""
-    ship(spark)
+    cluster.prepared(spark)
     kept = linedup.drop_boilerplate(docs.select(*COLUMNS))
     return kept.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least doc_id of each group of similar documents."""
-    ship(spark)
+    cluster.prepared(spark)
     found = ngram_jaccard.ngram_jaccard(docs.select("doc_id", "text"))
     extra = cluster.stored(found.where("component_id <> doc_id").select("doc_id").distinct(), "extra")
     return docs.join(cluster.maybe_broadcast(extra, extra.count(), 40), "doc_id", "left_anti").select(*COLUMNS)
@@ -41,7 +40,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them."""
-    ship(spark)
+    cluster.prepared(spark)
     key = F.struct(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), F.xxhash64("text").alias("hash")).alias("key")
     mixed = mixing.mix_sources(docs.select("doc_id", "source", "text", F.xxhash64("text").alias("hash")))
     taken = mixed.select(F.struct(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), "hash").alias("key"), "copies").where("copies > 0")
@@ -52,7 +51,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, with the digests that show that they decode to its bytes."""
-    ship(spark)
+    cluster.prepared(spark)
     return bpe.bpe_digests(docs.select("doc_id", "source", "text"), *byte_bpe(), keep_ids=True)
 
 
@@ -63,7 +62,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = ship(spark).read.parquet(f"{sf_dir}/documents.parquet").select(*COLUMNS)
+    docs = cluster.prepared(spark).read.parquet(f"{sf_dir}/documents.parquet").select(*COLUMNS)
     for name, stage in STAGES:
         docs = cluster.stored(stage(spark, docs, sf_dir), name)
     return docs
