@@ -28,8 +28,9 @@ from pyspark.sql import functions as F
 
 BITS = 64
 LONGEST = 12
-#: Rows of one range, about; a range is one window partition.
-RANGE_ROWS = 8192
+#: Rows of one range, about; a range is one window partition. Above MAX_RANGES of them ranges grow instead.
+RANGE_ROWS = 4096
+MAX_RANGES = 1 << 16
 WORD = r"[^\x20\x09-\x0D]+"
 _PAIR = (1 << 32) + 1
 
@@ -73,12 +74,22 @@ def _ranges(docs: DataFrame, range_rows: int) -> list[int]:
     n = docs.where(F.col("doc_id").isNotNull()).count()
     if not n:
         return []
-    parts = max(1, min(4096, round(n / range_rows)))
+    parts = max(1, min(MAX_RANGES, round(n / range_rows)))
     at = [i / parts for i in range(parts)]
     got = docs.agg(F.min("doc_id").alias("least"), F.percentile_approx("doc_id", at, max(10_000, 20 * parts)).alias("bounds")).first()
     return sorted({got["least"], *got["bounds"]})
 
 
+def _range_of(value: Column, bounds: list[int]) -> Column:
+    """Index of the last of ascending bounds that is not above value; looked up in two steps of about the root of their number."""
+    step = max(1, round(len(bounds) ** 0.5))
+    parts = [bounds[i : i + step] for i in range(0, len(bounds), step)]
+    upto = lambda c: F.size(F.filter(c, lambda b: b <= value))
+    outer = upto(F.array(*[F.lit(p[0]) for p in parts])) - 1
+    inner = F.get(F.array(*[F.array(*[F.lit(b) for b in p]) for p in parts]), outer)
+    return outer * step + upto(inner) - 1
+
+
 def edited_fingerprints(docs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
     """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next).
 
@@ -86,16 +97,13 @@ def edited_fingerprints(docs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFr
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     bounds = _ranges(docs, range_rows)
-    if bounds:
-        firsts = F.array(*[F.lit(b) for b in bounds])
-        own = F.size(F.filter(firsts, lambda b: b <= F.col("doc_id"))) - 1
-    else:
-        firsts, own = F.array().cast("array<bigint>"), F.lit(0)
+    own = _range_of(F.col("doc_id"), bounds) if bounds else F.lit(0)
     loose = F.pmod(F.xxhash64("text"), F.lit(max(1, len(bounds)))).cast("int") - len(bounds) - 1
     place = lambda at, guard, last: F.struct(at.cast("int").alias("range"), F.lit(guard).alias("guard"), F.lit(last).alias("last"))
     places = F.when(F.col("doc_id").isNull(), F.array(place(loose, False, False)))
     if bounds:
-        before = F.when(F.array_contains(firsts, F.col("doc_id")) & (own > 0), F.array(place(own - 1, True, False))).otherwise(F.array().cast("array<struct<range:int,guard:boolean,last:boolean>>"))
+        opens = (own > 0) & (_range_of(F.col("doc_id") - 1, bounds) < own)
+        before = F.when(opens, F.array(place(own - 1, True, False))).otherwise(F.array().cast("array<struct<range:int,guard:boolean,last:boolean>>"))
         around = F.when(F.col("doc_id") == bounds[0], F.array(place(F.lit(len(bounds) - 1), True, True))).otherwise(F.array().cast("array<struct<range:int,guard:boolean,last:boolean>>"))
         places = places.otherwise(F.concat(F.array(place(own, False, False)), before, around))
     dealt = docs.select("doc_id", "text", F.inline(places))
