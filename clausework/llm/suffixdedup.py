@@ -221,6 +221,7 @@ def repeated_suffixes(docs: DataFrame, min_bytes: int = MIN_BYTES, k: int = K, c
     rows = long.mapInArrow(_anchors(min_bytes, k), "h long, c long, k1 long, at long, doc long")
     # anchors that stand more than once, and whether in runs of several kinds; then only their runs
     anchors = rows.groupBy("h").agg(F.count(F.lit(1)).alias("n"), (F.min("c") < F.max("c")).alias("mixed")).where("n > 1").select("h", "mixed")
+    anchors = stored(anchors, "repeated")  # a table of its own, so that Spark can split the join at a frequent anchor
     place = F.struct("doc", "k1", "at")
     shared = stored(rows.join(anchors, "h").select("h", "c", "mixed", place.alias("place")), "anchors")
     kinds = shared.groupBy("h", "c", "mixed").agg(F.min("place").alias("first"), F.max("place").alias("last"))
@@ -240,6 +241,7 @@ def repeated_suffixes(docs: DataFrame, min_bytes: int = MIN_BYTES, k: int = K, c
     found = sorted_runs.mapInArrow(_sorted_runs(min_bytes), "k1 long, doc long, start long, end long, earlier boolean")
     single = cut.where("bytes is null").select("h", place.alias("place"))
     ends = single.groupBy("h").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first <> last").select("h", "first")
+    ends = stored(ends, "ends")
     at = F.shiftright("place.at", 8)
     looked_up = single.join(ends, "h").select("place.k1", "place.doc", at.alias("start"), at.alias("end"), (F.col("place") > F.col("first")).alias("earlier"))
     runs = wholes.unionByName(found).unionByName(looked_up).groupBy("k1", "doc").agg(F.collect_list(F.struct("start", "end", "earlier")).alias("runs"))
