@@ -49,3 +49,18 @@ def test_adders_give_exact_scores():
         bits = np.stack([np.unpackbits(d.view(np.uint8), bitorder="little")[:130] for d in digits]).astype(np.int64)
         score = (bits << np.arange(len(digits))[:, None]).sum(axis=0) - int(-q[q < 0].sum()) * ((1 << slices.shape[1]) - 1) + least * int(q.sum())
         assert (score == x @ q).all()
+
+
+def test_more_copies_than_k_in_one_block(spark):
+    rows = [(0, [1.0, 1.0])] * 3 + [(1, [9.0, 9.0])] * 12 + [(2, [8.0, 8.0])] * 7 + [(2, [8.001, 8.0])] + [(i, [7.0, float(-i)]) for i in range(3, 20)]
+    got = B.top_k(spark.createDataFrame(rows, SCHEMA).coalesce(1), F.col("vec_id") == 0, k=5).collect()
+    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got) == brute(rows, 100, 5)
+
+
+def test_components_beyond_the_slices_score_exactly(spark):
+    rng = random.Random(3)
+    rows = [(i, [rng.uniform(-1, 1) for _ in range(3)]) for i in range(40)]
+    rows += [(40 + i, [rng.uniform(-1, 1) * 10 ** rng.choice([4, 5, 6]) for _ in range(3)]) for i in range(20)]
+    rows += [(100, [7e4, 1.0, 0.0]), (101, [8e4, 1.0, 0.0]), (102, [0.0, 1e8, 0.0])]
+    got = B.top_k(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 10 == 0, k=5, block_rows=16).collect()
+    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got) == brute(rows, 10, 5)
