@@ -3,6 +3,7 @@
 Detected: e-mail addresses, telephone numbers, IPv4 addresses, account numbers (13 to 19 digits), secrets given to a name
 such as token or password, and personal names after a title or led by a known given name. An entity is its type with a
 canonical form (digits of a number, lower case of an address, ...), so different spellings of one entity get one surrogate.
+Numbers that stand beside each other are entities of their own: ``numbers`` says where one ends.
 
 A surrogate is drawn from a keyed hash of type, canonical form and attempt: digits become digits, letters become letters of
 the same case and script, separators stay; an IPv4 address stays one; the account number's check digit stays sound if it
@@ -53,10 +54,24 @@ LETTERS = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "абвгдежз
 _GENDER = {name: (script, gender) for (script, gender), names in GIVEN.items() for name in names}
 _NAME = r"[^\W\d_a-zа-яα-ω][^\W\d_]+(?:-[^\W\d_]+)?"
 _EMAIL = re.compile(r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}")
-_NUMBER = re.compile(r"(?<![\w.])(?:\+?\d|\(\d)[\d ().\-]{5,24}\d(?![\w])")
+_NUMBER = re.compile(r"(?<![\w.])(?:\+?\d|\(\d)[\d ().\-/]{5,}\d(?![\w])")
 _IPV4 = re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d)")
-_PHONE = re.compile(r"\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d[\d .\-]{4,14}\d|\(\d{3}\) ?\d{3}[ .\-]\d{4}|\d{3}[.\-]\d{3}[.\-]\d{4}|0\d{2,4}[ \-/]\d{3,4}[ \-]?\d{3,4}")
+_LOCAL = r"0\d{2,4}[ \-/]\d{3,4}[ \-]?\d{3,4}"
+_PLAIN = r"\(\d{3}\) ?\d{3}[ .\-]\d{4}|\d{3}[.\-]\d{3}[.\-]\d{4}"
+_CARD = r"\d{4}[ \-]\d{4}[ \-]\d{4}[ \-]\d{4}"
+#: An international number ends before another number if enough of it is left, else where its digits and separators end.
+_ABROAD = r"\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d"
+_PHONE = re.compile(rf"{_ABROAD}(?:(?! (?:{_PLAIN}|{_LOCAL}|{_CARD}|\d{{13,19}})(?!\d))[\d .\-]){{4,14}}\d(?!\d)|{_ABROAD}[\d .\-]{{4,14}}\d|{_PLAIN}|{_LOCAL}")
+_CLEAR = re.compile(rf"(?<!\d)(?:\+\d|{_PLAIN})")
+_LOOSE = re.compile(rf"(?<!\d){_LOCAL}(?!\d)")
 _ACCOUNT = re.compile(r"\d(?:[ \-]?\d){12,18}")
+_WHOLE = re.compile(r"\d(?:[ \-]?\d){12,18}(?!\d)")
+_CHAIN = re.compile(r"\d(?:[ \-]?\d)*")
+_GROUP = re.compile(r"(?<![\d+])\d{13,19}(?!\d)")
+_CARDS = re.compile(rf"(?<![\d+])(?=({_CARD}|\d{{4}}[ \-]\d{{6}}[ \-]\d{{5}})(?!\d))")
+_PARTING = re.compile(rf"({_CARD})[ \-]\d{{3}}")
+_BEGINNING = re.compile(r"(?<!\d)(?:\+?\d|\(\d)")
+_DIGITS = re.compile(r"\d+")
 _SECRET = re.compile(r"""(?i:\b(?:api[_-]?key|access[_-]?key|auth[_-]?token|token|secret|password|passwd)\b)["']?\s*[:=]\s*["']?([A-Za-z0-9+/_\-]{8,}={0,2})""")
 _SECRET_WORD = re.compile(r"(?i)key|token|secret|passw")
 _TITLED = re.compile(rf"\b({'|'.join(TITLES)})\.? ({_NAME})(?: ({_NAME}))?")
@@ -79,6 +94,61 @@ def script_of(word: str) -> str:
     return "latin"
 
 
+def _account(piece: str, at: int, end: int) -> int:
+    """End of the account number that begins at a place, or 0."""
+    end = min(end, at + 64)  # more than 26 digits with separators and the number behind them
+    clear = _CLEAR.search(piece, at + 1, end)
+    end = clear.start() if clear else end
+    loose = _LOOSE.search(piece, at + 1, end)
+    if loose and _WHOLE.match(piece, at, loose.start()):
+        end = loose.start()
+    chain = _CHAIN.match(piece, at, end)
+    if not chain:
+        return 0
+    digits = re.sub(r"\D", "", chain[0])
+    parting = _PARTING.fullmatch(chain[0])
+    if parting and not _sound(digits):
+        return at + len(parting[1])
+    hit = _WHOLE.match(piece, at, end) if not 19 < len(digits) < 26 else None  # too few for two: as much as one can have
+    hit = hit or _ACCOUNT.match(piece, at, end)
+    return hit.end() if hit else 0
+
+
+def numbers(piece: str) -> list[tuple[int, int, str]]:
+    """(start, end, kind) of the telephone and account numbers in a run of digits and separators, in order.
+
+    First come groups of 13 to 19 digits and cards with a sound check digit. In what they leave, a number begins with a group
+    of digits: a telephone number if one can be read there, else an account, which ends before a telephone number, between
+    groups where two can stand, and before a card's three further digits. Last come numbers inside groups.
+    """
+    found = [(m.start(), m.end(), "account") for m in _GROUP.finditer(piece)]
+    last = 0
+    for m in _CARDS.finditer(piece):
+        if m.start() >= last and _sound(re.sub(r"\D", "", m[1])):
+            last = m.end(1)
+            found.append((m.start(), last, "account"))
+
+    def gaps() -> list[tuple[int, int]]:
+        found.sort()
+        return list(zip([0, *(b for _, b, _ in found)], [*(a for a, _, _ in found), len(piece)], strict=True))
+
+    for at, end in gaps():
+        while m := _BEGINNING.search(piece, at, end):
+            at = m.start()
+            phone = _PHONE.match(piece, at, end)
+            stop = phone.end() if phone else _account(piece, at, end) if piece[at].isdigit() else 0
+            if stop:
+                found.append((at, stop, "phone" if phone else "account"))
+                at = stop
+            else:
+                at = _DIGITS.match(piece, at).end() if piece[at].isdigit() else at + 1
+    for at, end in gaps():
+        while hit := (account := _ACCOUNT.search(piece, at, end)) or _PHONE.search(piece, at, end):
+            found.append((hit.start(), hit.end(), "account" if account else "phone"))
+            at = hit.end()
+    return sorted(found)
+
+
 def detect(text: str | None) -> list[Entity]:
     """Entities of a whole text in order of place, without overlaps."""
     if not text:
@@ -88,13 +158,10 @@ def detect(text: str | None) -> list[Entity]:
         found += [Entity(m.start(), m.end(), "email", m[0].lower()) for m in _EMAIL.finditer(text)]
     for m in _IPV4.finditer(text):
         found.append(Entity(m.start(), m.end(), "ipv4", m[0]))
-    for m in _NUMBER.finditer(text):
-        piece, at = m[0], m.start()
-        phone = _PHONE.search(piece)
-        account = _ACCOUNT.search(piece) if not phone or phone.start() else None
-        hit, kind = (account, "account") if account else (phone, "phone")
-        if hit:
-            found.append(Entity(at + hit.start(), at + hit.end(), kind, re.sub(r"\D", "", hit[0])))
+    other = _IPV4.sub(lambda m: m[0] if text[max(0, m.start() - 1) : m.start()] == "+" else "\n" * len(m[0]), text) if found else text
+    for m in _NUMBER.finditer(other):
+        at = m.start()
+        found += [Entity(at + a, at + b, kind, re.sub(r"\D", "", m[0][a:b])) for a, b, kind in numbers(m[0])]
     if _SECRET_WORD.search(text):
         found += [Entity(m.start(1), m.end(1), "secret", m[1]) for m in _SECRET.finditer(text)]
     for m in _TITLED.finditer(text):

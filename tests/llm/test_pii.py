@@ -57,3 +57,19 @@ def test_collisions_are_drawn_again(spark):
     assert len(got) == 36 and len({r.new for r in got}) == 36
     assert not {r.new for r in got} & {c for _, c in short}
     assert max(r.attempt for r in got) > 0
+
+
+def test_numbers_beside_each_other():
+    assert kinds("555-123-4567 555-987-6543") == [("phone", "555-123-4567"), ("phone", "555-987-6543")]
+    assert kinds("(212) 555-0147 (212) 555-0199, 030/1234567") == [("phone", "(212) 555-0147"), ("phone", "(212) 555-0199"), ("phone", "030/1234567")]
+    assert kinds("030/1234567/030/7654321 555-123-4567") == [("phone", "030/1234567"), ("phone", "030/7654321"), ("phone", "555-123-4567")]
+    assert kinds("+49 30 1234567 555-123-4567 +1 212 555 0147") == [("phone", "+49 30 1234567"), ("phone", "555-123-4567"), ("phone", "+1 212 555 0147")]
+    for card in ("4111 1111 1111 1111", "4111111111111111", "1234 5678 9012 3456"):
+        for text in (f"{card} 123", f"{card} 555-123-4567", f"10.0.0.17 {card} 030 1234567", f"+49 30 1234567 {card}", f"{card} {card} {card}"):
+            found = kinds(text)
+            assert ("account", card) in found and len(found) == {"3": 1, "7": 2 + text.startswith("10")}.get(text[-1], text.count(card)) + text.startswith("+"), text
+    assert kinds("3704 0044 0532 0130 00") == [("account", "3704 0044 0532 0130 00")]
+    assert kinds("4000 1234 5678 9010") == [("account", "4000 1234 5678 9010")]
+    new, entities = P.replaced("4111 1111 1111 1111 123 or 4111-1111-1111-1111", b"k")
+    first, second = (re.sub(r"\D", "", x) for x in new.split(" 123 or "))
+    assert first == second and len(entities) == 2
