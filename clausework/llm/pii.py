@@ -7,7 +7,7 @@ Numbers that stand beside each other are entities of their own: ``numbers`` says
 
 A surrogate is drawn from a keyed hash of type, canonical form and attempt: digits become digits, letters become letters of
 the same case and script, separators stay; an IPv4 address stays one; the account number's check digit stays sound if it
-was; a given name becomes one of the same gender and script from the same list; titles stay. Without the key nothing can be
+was; a given name becomes another of the same gender and script from the same list; titles stay. Without the key nothing can be
 traced back.
 
 Collisions are checked over all entities of the corpus: two that would get one surrogate, or one that would get another's
@@ -222,8 +222,13 @@ def surrogate(key: bytes, kind: str, canonical: str, attempt: int = 0) -> str:
         return digits
     if kind == "given":
         gender, name = canonical.split(":", 1)
-        names = GIVEN.get((script_of(name), gender)) or GIVEN["latin", "f"]
-        return f"{gender}:{names[s.below(len(names))].lower()}"
+        listed = (script_of(name), gender) if (script_of(name), gender) in GIVEN else ("latin", "f")
+        names = [x.lower() for x in GIVEN[listed]]
+        if name in names:  # one shift for all names of a list: never the name itself, and never two alike
+            at = names.index(name) + 1 + Stream(key, "given names", *listed).below(len(names) - 1)
+        else:
+            at = s.below(len(names))
+        return f"{gender}:{names[at % len(names)]}"
     keep_from = canonical.rfind(".") if kind == "email" else len(canonical)
     out = []
     for i, c in enumerate(canonical):
@@ -288,11 +293,12 @@ def _draw(key: bytes):
 def assigned(entities: DataFrame, key: bytes = KEY) -> DataFrame:
     """(kind, canonical, attempt, new) for distinct (kind, canonical): no two surrogates of a kind are equal, and none is a real form.
 
-    Given names are drawn from short lists and may coincide: with the surname beside them they are no identity alone.
+    Given names come from short lists: listed ones get distinct others, further ones may coincide with those. With the surname
+    beside them they are no identity alone.
     """
     shape = "kind string, canonical string, attempt int, new string"
     all_of = checkpointed(entities.withColumn("attempt", F.lit(0)).mapInArrow(_draw(key), shape))
-    for _ in range(MAX_ATTEMPTS):
+    for n in range(MAX_ATTEMPTS + 1):
         unique = all_of.where("kind <> 'given'")
         first = unique.groupBy("kind", "new").agg(F.min("canonical").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("kind", F.col("new"), "first")
         real = unique.select("kind", F.col("canonical").alias("new"), F.lit(True).alias("real"))
@@ -301,9 +307,10 @@ def assigned(entities: DataFrame, key: bytes = KEY) -> DataFrame:
         again = checkpointed(again)
         if not again.limit(1).count():
             return all_of
+        if n == MAX_ATTEMPTS:
+            raise RuntimeError(f"surrogates still collide after {MAX_ATTEMPTS} attempts")
         kept = all_of.join(again.select("kind", "canonical"), ["kind", "canonical"], "left_anti").select("kind", "canonical", "attempt", "new")
         all_of = checkpointed(kept.unionByName(again.mapInArrow(_draw(key), shape)))
-    return all_of
 
 
 def replace_entities(docs: DataFrame, key: bytes = KEY, text: str = "text") -> DataFrame:

@@ -1,5 +1,7 @@
 import re
 
+import pytest
+
 from clausework.llm import pii as P
 
 SCHEMA = "doc_id long, text string"
@@ -73,3 +75,18 @@ def test_numbers_beside_each_other():
     new, entities = P.replaced("4111 1111 1111 1111 123 or 4111-1111-1111-1111", b"k")
     first, second = (re.sub(r"\D", "", x) for x in new.split(" 123 or "))
     assert first == second and len(entities) == 2
+
+
+def test_given_names_become_others():
+    for key in (P.KEY, b"k", b"other"):
+        for (_, gender), names in P.GIVEN.items():
+            new = [P.surrogate(key, "given", f"{gender}:{n.lower()}") for n in names]
+            assert sorted(new) == sorted(f"{gender}:{n.lower()}" for n in names)
+            assert all(x != f"{gender}:{n.lower()}" for x, n in zip(new, names, strict=True))
+
+
+def test_collisions_that_stay_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(P, "MAX_ATTEMPTS", 0)
+    short = spark.createDataFrame([("surname", f"{a}{b}") for a in "abcdef" for b in "abcdef"], "kind string, canonical string")
+    with pytest.raises(RuntimeError):
+        P.assigned(short)
