@@ -315,3 +315,19 @@ def test_audit(spark):
     marked = spark.createDataFrame([], "key string")
     got = {r.risk: (r.hits, r.passed) for r in audit.audit(entities, relations, found, warned, presence, segments, marked).collect()}
     assert got == {"R1": (11, False), "R2": (0, True), "R3": (1, False), "R4": (1, True), "R5": (6, True), "R6": (2, True), "R7": (0, True)}
+
+
+def test_alias_lexical_meets_all_parts(spark):
+    from clausework.functions.kernels import label_distance
+    from clausework.plans import adapters, catalogue
+
+    d = "/root/testdata/sf0.001"
+    parts = [(r.p_partkey, r.p_name, r.p_brand) for r in adapters.table(spark, d, "part").collect()]
+    got = {r.surface_id: (r.canonical_id, r.distance) for r in catalogue.q_alias_lexical(spark, d).collect()}
+    canonical = [p for p in parts if p[0] % 2 == 0]
+    want = {str(k) for k, _, brand in parts if k % 2 and any(c[2] == brand for c in canonical)}
+    assert set(got) == want and len(want) > len(parts) // 4
+    for k, name, brand in parts:
+        if str(k) in want:
+            best = min((label_distance(name, c[1]), c[0]) for c in canonical if c[2] == brand)
+            assert got[str(k)] == (str(best[1]), pytest.approx(best[0], abs=1e-4))
