@@ -70,14 +70,17 @@ def hex_fingerprint(fp: Column) -> Column:
 
 
 def _ranges(docs: DataFrame, range_rows: int) -> list[int]:
-    """First doc_ids of ranges of about equal rows; the first is the least of all."""
+    """First doc_ids of ranges of about equal rows, each of which exists; the first is the least of all."""
     n = docs.where(F.col("doc_id").isNotNull()).count()
     if not n:
         return []
     parts = max(1, min(MAX_RANGES, round(n / range_rows)))
     at = [i / parts for i in range(parts)]
     got = docs.agg(F.min("doc_id").alias("least"), F.percentile_approx("doc_id", at, max(10_000, 20 * parts)).alias("bounds")).first()
-    return sorted({got["least"], *got["bounds"]})
+    bounds = sorted({got["least"], *got["bounds"]})
+    # percentiles are rounded to doubles, so they only deal ranges; what a range begins with is its least doc_id
+    known = docs.where(F.col("doc_id").isNotNull())
+    return sorted(r["first"] for r in known.groupBy(_range_of(F.col("doc_id"), bounds).alias("range")).agg(F.min("doc_id").alias("first")).collect())
 
 
 def _range_of(value: Column, bounds: list[int]) -> Column:

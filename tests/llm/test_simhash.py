@@ -74,3 +74,15 @@ def test_no_python_in_the_plan(spark):
     df = S.edited_fingerprints(spark.createDataFrame([(1, "a b"), (2, "c")], SCHEMA)).withColumn("x", F.lit(1))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_ids_that_doubles_cannot_hold(spark):
+    for least in (2**60 + 1, -(2**62) + 1):
+        rows = [(least + i * 3, f"text{i} of document {i * i} ends here") for i in range(50)]
+        expected = edited(rows)
+        got = {r.doc_id: r for r in S.edited_fingerprints(spark.createDataFrame(rows, SCHEMA).repartition(4), 7).collect()}
+        assert {d: (r.n_chars, r.edited_sha256) for d, r in got.items()} == {d: (n, hashlib.sha256(t.encode()).hexdigest()) for d, (n, t) in expected.items()}
+        order = sorted(expected)
+        for i, d in enumerate(order):
+            a, b = int(got[d].fingerprint, 16), int(got[order[(i + 1) % len(order)]].fingerprint, 16)
+            assert got[d].near_next == 1 - bin(a ^ b).count("1") / 64
