@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from ..functions import text as X
 from ..storage import checkpointed
 
 
-def ancestors(links: DataFrame, max_depth: int = 64) -> DataFrame:
+def ancestors(links: DataFrame) -> DataFrame:
     """(node, ancestor, depth) for links (node, parent): every node itself at depth 0, then upwards; cycles end where they close.
 
     One join per level over the rows of the level before; a level is written down, so plans do not grow.
@@ -18,7 +20,7 @@ def ancestors(links: DataFrame, max_depth: int = 64) -> DataFrame:
     step = links.where("parent is not null").select(F.col("node").alias("at"), F.col("parent").alias("up"))
     level = links.select("node").distinct().select("node", F.col("node").alias("ancestor"), F.lit(0).alias("depth"), F.array("node").alias("path"))
     done = level
-    for depth in range(1, max_depth + 1):
+    for depth in count(1):  # a path repeats no node, so a level is empty at last
         level = level.join(step, F.col("ancestor") == F.col("at")).where(~F.array_contains("path", F.col("up")))
         level = checkpointed(level.select("node", F.col("up").alias("ancestor"), F.lit(depth).alias("depth"), F.concat("path", F.array("up")).alias("path")))
         if not level.limit(1).count():

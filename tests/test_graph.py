@@ -331,3 +331,9 @@ def test_alias_lexical_meets_all_parts(spark):
         if str(k) in want:
             best = min((label_distance(name, c[1]), c[0]) for c in canonical if c[2] == brand)
             assert got[str(k)] == (str(best[1]), pytest.approx(best[0], abs=1e-4))
+
+
+def test_ancestors_of_a_chain_beyond_64_levels(spark):
+    links = spark.createDataFrame([(i, i - 1 if i else None) for i in range(70)], "node long, parent long")
+    got = graphs.ancestors(links).where("node = 69").collect()
+    assert sorted((r.ancestor, r.depth) for r in got) == [(69 - d, d) for d in range(69, -1, -1)]
