@@ -5,7 +5,7 @@ Writing: every task writes one archive of gzip members, one for each record, und
 files that it names count, so a task that runs again after a lost executor leaves at most a file that nothing refers to.
 Of pages with equal payloads the one with the largest id is a response and the others are revisits that refer to it.
 
-Reading: index rows are dealt by file and stretch of the file and sorted by offset; neighbouring records are fetched with
+Reading: index rows are dealt by file and stretch of the file, to tasks of about ``TASK_BYTES`` of archive, and sorted by offset; neighbouring records are fetched with
 one read of at most ``READ_BYTES``, gaps up to ``GAP_BYTES`` included.
 
 Archives and index stand in a folder that all executors share, reached by its URI through pyarrow's file systems.
@@ -32,6 +32,8 @@ from .cluster import maybe_broadcast, scratch
 
 READ_BYTES = 8 << 20
 GAP_BYTES = 64 << 10
+#: Archive bytes that one reading task takes, about.
+TASK_BYTES = 128 << 20
 #: Payloads of fewer bytes are always responses.
 DEDUP_BYTES = 0
 ID = "urn:page:"
@@ -165,5 +167,8 @@ def read_warc(spark: SparkSession, folder: str, index: DataFrame) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to) of the records that ``index`` selects; responses'
     lengths and digests are those of the payloads read."""
     stretch = F.floor(F.col("offset") / READ_BYTES)
-    dealt = index.select("file", "offset", "length", stretch.alias("at")).repartition("file", "at").sortWithinPartitions("file", "offset")
+    total = index.agg(F.sum("length")).first()[0] or 0
+    # index rows are small and stand for large records, so tasks are counted by archive bytes, and AQE may not merge them
+    tasks = max(1, -(-total // TASK_BYTES), min(spark.sparkContext.defaultParallelism, -(-total // READ_BYTES)))
+    dealt = index.select("file", "offset", "length", stretch.alias("at")).repartition(tasks, "file", "at").sortWithinPartitions("file", "offset")
     return dealt.drop("at").mapInArrow(_reader(f"{folder}/archives"), "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")

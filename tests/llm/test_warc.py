@@ -47,3 +47,18 @@ def test_reads_are_coalesced_and_bounded(spark, monkeypatch):
     system, path = fs.FileSystem.from_uri(folder)
     raw = system.open_input_file(f"{path}/archives/{rows[3].file}").read_at(rows[3].length, rows[3].offset)
     assert warc.parsed(raw)["payload"] == b"page 3"
+
+
+def test_small_index_rows_of_large_records_are_read_by_many_tasks(spark, monkeypatch):
+    import os
+
+    monkeypatch.setattr(warc, "READ_BYTES", 1 << 20)
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    rows = spark.createDataFrame([(i, "u", os.urandom(500_000).hex()) for i in range(64)], SCHEMA)
+    folder, index = warc.write_warc(rows.coalesce(1))
+    assert index.selectExpr("sum(length)").first()[0] >= 30 << 20
+    found = warc.read_warc(spark, folder, index)
+    from pyspark.sql import functions as F
+
+    tasks = found.groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) > 1 and sum(t["count"] for t in tasks) == 64
