@@ -1,17 +1,18 @@
 """Quality classifier: a linear hinge-loss model over n-gram indicators scaled by class log-count ratios.
 
-Terms are hashed into ``BUCKETS`` features: words as written, and runs of one to three word shapes (letters, capitals and
-digits each collapsed to one sign, other characters kept), and whether some word follows itself. A text's vector has, for each of its k features, the feature's
-log-count ratio r = log((p/|p|) / (q/|q|)) over smoothed document counts p, q of the two classes, divided by sqrt(k).
-Dual coordinate descent fits weights and a bias for the hinge loss; the score is the logistic of the scaled margin.
-
-The fit reads labelled rows only, at most about ``TRAIN_ROWS`` of them (those with the smallest seeded hashes of doc_id, so
-every labelled row is as likely to be taken); it runs in one task whose input that bound limits. Scoring is one narrow pass
+Terms are hashed into ``BUCKETS`` features: words as written and pairs of words, and runs of one to three word shapes
+(letters, capitals and digits each collapsed to one sign, other characters kept). A text's vector has, for each of its k
+features, the feature's log-count ratio r = log((p/|p|) / (q/|q|)) over smoothed document counts p, q of the two classes,
+divided by sqrt(k). Dual coordinate descent fits weights and a bias for the hinge loss, until no coordinate's projected
+gradient exceeds ``TOLERANCE`` in a pass, ``EPOCHS`` passes at most; the score is the logistic of the scaled margin.
+
+The fit reads labelled documents only, at most about ``TRAIN_ROWS`` of them (those with the smallest seeded hashes of doc_id,
+so every labelled one is as likely to be taken), one text of each; it runs in one task whose input that bound limits. Scoring is one narrow pass
 over all documents.
 
 Defined results: null or empty text scores by the bias alone; a doc_id with several labels takes their majority, ties
 counting as 1; null labels are ignored; without labelled rows of both classes every score is the share of label 1 (0.5
-without any); repeated rows score alike; an empty table gives an empty result; input columns named score or predicted are
+without any); repeated rows score alike, and of a doc_id's texts the least is learnt from; an empty table gives an empty result; input columns named score or predicted are
 replaced, others are carried.
 """
 
@@ -27,10 +28,11 @@ from pyspark.sql import types as T
 
 from . import textops as X
 
-BUCKETS = 1 << 18
+BUCKETS = 1 << 20
 TRAIN_ROWS = 12_000
 C = 1.0
-EPOCHS = 12
+EPOCHS = 40
+TOLERANCE = 0.02
 MARGIN_SCALE = 3.0
 
 _SHAPE = np.arange(256, dtype=np.uint8)
@@ -54,9 +56,7 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     place = np.zeros(len(data) + 1, np.int64)
     np.cumsum(keep, out=place[1:])
     shapes = X.Hashes(shape[keep]).of(place[starts], place[ends])
-    parts = [(words, row)] + [X.ngram_hashes(shapes, row, n) for n in (1, 2, 3)]
-    same = np.flatnonzero((words[1:] == words[:-1]) & (row[1:] == row[:-1]))
-    parts.append((np.ones(len(same), np.uint64), row[same]))  # a word twice in a row, whichever
+    parts = [(words, row), X.ngram_hashes(words, row, 2)] + [X.ngram_hashes(shapes, row, n) for n in (1, 2, 3)]
     salt = np.arange(1, len(parts) + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019)
     bucket = np.concatenate([(X.mix(h ^ s) % np.uint64(BUCKETS)).astype(np.int64) for (h, _), s in zip(parts, salt, strict=True)])
     key = np.unique(np.concatenate([r for _, r in parts]) * BUCKETS + bucket)
@@ -79,16 +79,20 @@ def fit(vectors: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> tuple[n
     w, bias, alpha = np.zeros(BUCKETS), 0.0, np.zeros(len(y))
     rng = np.random.default_rng(seed)
     for _ in range(EPOCHS):
+        worst = 0.0
         for i in rng.permutation(len(y)):
             v = vectors[i]
             x = ratio[v] * scale[i]
             gradient = y[i] * (w[v] @ x + bias) - 1
+            worst = max(worst, abs(min(gradient, 0.0) if alpha[i] <= 0 else max(gradient, 0.0) if alpha[i] >= C else gradient))
             new = min(max(alpha[i] - gradient / squares[i], 0.0), C)
             if new != alpha[i]:
                 step = (new - alpha[i]) * y[i]
                 w[v] += step * x
                 bias += step
                 alpha[i] = new
+        if worst <= TOLERANCE:
+            break
     return (w * ratio).astype(np.float32), float(bias)
 
 
@@ -115,7 +119,8 @@ def train_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", tr
         share = train_rows / n
         known = known.where(F.col("at") < int(share * 2**64) - 2**63)
     texts = docs.select("doc_id", "text").where(F.col("text").isNotNull())
-    sample = texts.join(F.broadcast(known), "doc_id").select("text", "label", "at")  # the sample's bound keeps it small
+    sample = texts.join(F.broadcast(known), "doc_id")  # the sample's bound keeps it small
+    sample = sample.groupBy("doc_id", "label", "at").agg(F.min("text").alias("text"))
     rows = sample.repartition(1).mapInArrow(_fit_task, "weights binary, bias double").collect()
     return (bytes(rows[0].weights), rows[0].bias) if rows else (np.zeros(BUCKETS, np.float32).tobytes(), 0.0)
 

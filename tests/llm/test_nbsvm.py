@@ -52,3 +52,49 @@ def test_dual_coordinate_descent_separates():
     w, b = N.fit(vectors, np.arange(200) % 2)
     margin = np.array([w[v].sum() / np.sqrt(len(v)) + b for v in vectors])
     assert ((margin > 0) == (np.arange(200) % 2 == 1)).all()
+
+
+def test_words_pairs_and_shapes_are_the_features():
+    def of(text):
+        data = np.frombuffer(text.encode(), np.uint8)
+        return set(N.features(data, np.array([0, len(data)]))[0].tolist())
+
+    assert len(of("ab cd ef")) == 3 + 2 + 3  # words, pairs, and shapes of one to three words
+    assert of("ab cd") & of("ef gh") == of("ij") & of("ab cd") | (of("ij kl") & of("ab cd"))
+    assert len(of("ab cd") & of("cd ab")) == 2 + 2  # both words and both shape runs, but not the pair
+
+
+def test_ratios_and_weights_against_brute_force():
+    """The fitted model's primal objective against a plain subgradient bound: the gap to the dual is small."""
+    rng = np.random.default_rng(4)
+    vectors = [np.unique(rng.integers(0, 60, rng.integers(5, 25))) for _ in range(120)]
+    labels = np.array([int(30 in v or rng.random() < 0.3) for v in vectors])
+    w, b = N.fit(vectors, labels)
+    p, q = np.ones(N.BUCKETS), np.ones(N.BUCKETS)
+    for v, y in zip(vectors, labels, strict=True):
+        for f in v:
+            (p if y else q)[f] += 1
+    ratio = np.log((p / p.sum()) / (q / q.sum()))
+    x = np.zeros((120, 61))
+    for i, v in enumerate(vectors):
+        x[i, v] = ratio[v] / np.sqrt(len(v))
+        x[i, 60] = 1.0  # the bias is a weight of a constant feature
+    y = np.where(labels == 1, 1.0, -1.0)
+    alpha = np.zeros(120)
+    z = x * y[:, None]
+    gram = z @ z.T
+    for _ in range(4000):  # projected gradient ascent of the dual, plainly
+        alpha = np.clip(alpha + (1 - gram @ alpha) / np.linalg.norm(gram, 2), 0, N.C)
+    best = alpha @ z
+    primal = lambda u: 0.5 * u @ u + N.C * np.maximum(0, 1 - z @ u).sum()
+    with np.errstate(divide="ignore", invalid="ignore"):
+        mine = np.append(np.where(ratio[:60] != 0, w[:60] / ratio[:60], 0.0), b)
+    assert primal(mine) <= primal(best) * 1.02
+    assert np.abs(x @ mine - x @ best).max() < 0.1
+
+
+def test_many_rows_of_one_labelled_document_are_one_text(spark):
+    rows, labels = corpus(80)
+    docs, known = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(labels, "doc_id long, quality int")
+    again = docs.unionByName(docs.where("doc_id < 3").crossJoin(spark.range(500)).drop("id"))
+    assert N.train_quality(again, known) == N.train_quality(docs, known)
