@@ -79,26 +79,28 @@ def oracle_sql() -> dict[str, str]:
 MIX_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         md5('mix' || coalesce(doc_id::VARCHAR, '')) AS digest
+         md5('mix' || coalesce(doc_id::VARCHAR, 'text ' || md5(coalesce(text, '')))) AS digest
   FROM documents
 ), ordered AS (
   SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS n FROM sized GROUP BY source
 ), weighted AS (
-  SELECT *, CASE n % 3 WHEN 0 THEN 3.0::DOUBLE WHEN 1 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END AS weight, source_size * 2.0::DOUBLE AS stop FROM ordered
+  SELECT *, CASE n % 3 WHEN 0 THEN 3.0::DOUBLE WHEN 1 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END AS weight, source_size * 2.0::DOUBLE AS stop,
+         ('0x' || substr(md5('mix start ' || coalesce('=' || source, '')), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS start FROM ordered
 ), levels AS (
   SELECT *, (sum(source_size) OVER ()::DOUBLE * 1.5::DOUBLE
              - coalesce(sum(stop) OVER (ORDER BY source_size / weight, n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0::DOUBLE))
             / sum(weight) OVER (ORDER BY source_size / weight, n ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
   FROM weighted
 ), targets AS (
-  SELECT source, source_size, coalesce(least(max(CASE WHEN level * weight <= stop THEN level END) OVER () * weight, stop), stop) AS target FROM levels
+  SELECT source, source_size, start, coalesce(least(max(CASE WHEN level * weight <= stop THEN level END) OVER () * weight, stop), stop) AS target FROM levels
 ), docs AS (
-  SELECT d.*, t.source_size, t.target, d.size * 100 > t.source_size AS is_large
+  SELECT d.*, t.source_size, t.target, t.start, d.size * 100 > t.source_size AS is_large,
+         length(bin(d.size)) * 8 + (d.size * 8) // (1::BIGINT << length(bin(d.size))) AS class
   FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
 ), ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY source, is_large ORDER BY size DESC, CASE WHEN is_large THEN '' ELSE substr(digest, 1, 2) END, digest) AS k FROM docs
+  SELECT *, row_number() OVER (PARTITION BY source, is_large ORDER BY class DESC, digest, size DESC) AS k FROM docs
 ), large AS (
-  SELECT *, (floor(target / source_size * k + 0.5::DOUBLE) - floor(target / source_size * (k - 1) + 0.5::DOUBLE))::BIGINT AS copies
+  SELECT *, (floor(target / source_size * k + start) - floor(target / source_size * (k - 1) + start))::BIGINT AS copies
   FROM ranked WHERE is_large
 ), done AS (SELECT source, sum(copies * size) AS done FROM large GROUP BY source),
 rest AS (SELECT source, sum(size) AS words FROM ranked WHERE NOT is_large GROUP BY source),
@@ -109,7 +111,7 @@ small AS (
 ), parts AS (
   SELECT doc_id, source, size, source_size, target, copies FROM large
   UNION ALL
-  SELECT doc_id, source, size, source_size, target, coalesce((floor(rate * k + 0.5::DOUBLE) - floor(rate * (k - 1) + 0.5::DOUBLE))::BIGINT, 0) FROM small
+  SELECT doc_id, source, size, source_size, target, coalesce((floor(rate * k + start) - floor(rate * (k - 1) + start))::BIGINT, 0) FROM small
 )
 SELECT doc_id, source, size, source_size, target, copies, copies * size AS taken FROM parts
 """

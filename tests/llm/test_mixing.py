@@ -65,6 +65,32 @@ def test_clashing_names_nulls_and_empty(spark):
     assert M.mix_sources(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
+def test_another_seed_takes_other_documents_and_keeps_targets(spark):
+    rng = random.Random(8)
+    rows = [(i, "ab"[i % 2], "w " * size) for i, size in enumerate(rng.sample(range(20, 2000), 600))]
+    df = spark.createDataFrame(rows, SCHEMA)
+    first, second = ({r.doc_id: r for r in M.mix_sources(df, weights=(1, 1), seed=s).collect()} for s in ("one", "two"))
+    open_ = [d for d, r in first.items() if r.target < 2 * r.source_size]
+    assert sum(first[d].copies != second[d].copies for d in open_) > 0.3 * len(open_)
+    for got in (first, second):
+        for s in "ab":
+            part = [r for r in got.values() if r.source == s]
+            assert abs(sum(r.taken for r in part) - part[0].target) <= 0.01 * part[0].target
+
+
+def test_many_sources_are_placed_in_code_point_order(spark):
+    sizes = {f"s{i:04}": 10 + i * 7 % 50 for i in range(1500)} | {"É": 11, "Z": 12, None: 13}
+    got = {r.source: r for r in M.source_targets(spark.createDataFrame(list(sizes.items()), "source string, size long")).collect()}
+    expected = targets(sizes)
+    assert all(abs(got[s].target - t) < 1e-6 * t for s, t in expected.items()) and len(got) == len(expected)
+
+
+def test_null_ids_and_a_very_long_text(spark):
+    rows = [(None, "a", "x " * n) for n in range(1, 80)] + [(None, "a", "y " * n) for n in range(1, 80)] + [(1, "b", "long " * 200_000)]
+    runs = [sorted((r.source, r.size, r.copies) for r in M.mix_sources(spark.createDataFrame(rows, SCHEMA).repartition(p)).collect()) for p in (2, 5)]
+    assert runs[0] == runs[1] and len(runs[0]) == len(rows) and runs[0][-1][1] == 200_000
+
+
 def test_no_python_in_the_plan(spark):
     plan = M.mix_sources(spark.createDataFrame(corpus(1)[:20], SCHEMA))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
