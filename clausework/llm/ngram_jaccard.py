@@ -3,14 +3,19 @@
 1. One pass gives every text its set's size, a 128-bit key of the set and ``BANDS`` band hashes of ``BAND_ROWS`` min-hashes
    each. Equal sets fold into one class, named by its least doc_id, before anything else is compared.
 2. Classes that share a band hash may be similar; joined to the least class of that band they form candidate components.
-   A pair at the threshold 0.75 shares no band with probability (1 - 0.75^4)^64 < 3e-11, and a more similar pair with less.
-3. A candidate component is compared in tiles of bounded size (``TILE_SHINGLES``). A tile's sets stand in order of size;
-   only sets within the size band that the threshold allows meet. Hashed bitmaps as wide as the tile's sizes call for bound
-   the overlap from above by bit counts: every bit that only one set has costs that set an element. Pairs that pass are
-   decided exactly on their sorted arrays, with integers. Pairs already connected are not compared again.
-4. A component above one tile is dealt to several, first each for itself, then the least member of each part against
-   those of other tiles, and at last those members that are not in the component's main part against all the others.
-   That decides every pair that is not connected yet, so no link between components is lost, and no task holds a large group.
+   This only spares most texts the comparison: a pair at the threshold 0.75 shares no band with probability
+   (1 - 0.75^4)^64 < 3e-11, and a more similar pair with less. Everything after it is exact.
+3. A component of more than ``TILE_SHINGLES`` shingles is dealt again by rarity: linked sets share one of their rarest
+   shingles (of a set of n, the n - ceil(0.75 n) + 1 that stand in the fewest sets of the component), so only sets that
+   share such a one stay together. Texts from one template part here unless they share most of their rare shingles too.
+4. A component is compared in tiles of bounded size. A tile's sets stand in order of size; sets that share one of their
+   rarest shingles of the tile, and whose sizes the threshold allows, meet. Hashed bitmaps as wide as the tile's sizes call
+   for bound the overlap from above by bit counts: every bit that only one set has costs that set an element. Pairs that pass
+   are decided exactly on their sorted arrays, with integers. Pairs already connected are not compared again.
+5. A component that is still above one tile is dealt to size bands of about a tile, first each for itself, then the least
+   member of each part against those of other tiles, and at last those members that are not in the component's main part
+   against all bands whose sizes allow a link. That decides every pair that is not connected yet, so no link between
+   components is lost, and no task holds a large group.
 
 Defined results: words are runs of bytes other than space and 0x09-0x0D, lower-cased in A-Z only; with fewer than n words
 the whole sequence is the one shingle; null, empty or blank texts have the empty set and are linked with nothing; rows with
@@ -35,7 +40,7 @@ N = 5
 #: Links need 100 * intersection >= PERCENT * union.
 PERCENT = 75
 BANDS, BAND_ROWS = 64, 4
-TILE_SHINGLES = 2_000_000
+TILE_SHINGLES = 200_000
 
 _RNG = np.random.default_rng(0xBA9D)
 _MULTIPLY = _RNG.integers(0, 1 << 31, BANDS * BAND_ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -79,40 +84,104 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(bands), pa.array(np.repeat(batch.column("rep").to_numpy(zero_copy_only=False), BANDS))], ["bucket", "node"])
 
 
+class _Parts:
+    """Disjoint groups of places; ``of`` names each place's group at any time."""
+
+    def __init__(self, labels: np.ndarray):
+        _, self.of = np.unique(labels, return_inverse=True)
+        by_group = np.argsort(self.of, kind="stable")
+        cuts = np.flatnonzero(np.diff(self.of[by_group])) + 1
+        self.members = [part.tolist() for part in np.split(by_group, cuts)]
+
+    def join(self, a: int, b: int) -> None:
+        large, small = sorted((self.of[a], self.of[b]), key=lambda g: -len(self.members[g]))
+        self.of[self.members[small]] = large
+        self.members[large] += self.members[small]
+        self.members[small] = []
+
+
+def prefix_length(size, percent: int = PERCENT):
+    """How many of a set's shingles, first in any order that all sets share, must hold one of every linked set's."""
+    return size - -(-percent * size // 100) + 1
+
+
+def _lists(tokens: np.ndarray, owner: np.ndarray, size: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(list, place) of every shingle that several sets have among their rarest, lists numbered, places ascending in each."""
+    _, number, count = np.unique(tokens, return_inverse=True, return_counts=True)
+    rarity = count[number]
+    by_set = np.lexsort((number, rarity, owner))
+    nth = np.arange(len(tokens)) - np.repeat(np.cumsum(size) - size, size)
+    rarest = by_set[nth < prefix_length(size, percent)[owner]]
+    rarest = rarest[rarity[rarest] > 1]
+    rarest = rarest[np.lexsort((owner[rarest], number[rarest]))]
+    lists, place = number[rarest], owner[rarest]
+    shared = np.bincount(lists)[lists] > 1 if len(lists) else np.zeros(0, bool)
+    return np.unique(lists[shared], return_inverse=True)[1], place[shared]
+
+
 def linked_pairs(h: np.ndarray, bounds: np.ndarray, labels: np.ndarray, percent: int = PERCENT) -> list[tuple[int, int]]:
     """Label pairs that connect all labels of linked sets: a spanning forest, found without comparing connected sets."""
     sizes = np.diff(bounds)
     order = np.argsort(sizes, kind="stable")
     order = order[sizes[order] > 0]
-    m = len(order)
-    if m < 2:
-        return []
     size = sizes[order]
-    bits = int(min(4096, max(128, 1 << int(2 * size[-1] - 1).bit_length())))
-    maps = np.zeros((m, bits // 64), np.uint64)
-    for i, o in enumerate(order):
-        bit = h[bounds[o] : bounds[o + 1]] & np.uint64(bits - 1)
-        np.bitwise_or.at(maps[i], (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
-    _, root = np.unique(labels[order], return_inverse=True)
-    out = []
-    for i in range(m - 1):
-        end = int(np.searchsorted(size, 100 * size[i] // percent, side="right"))
-        j = i + 1 + np.flatnonzero(root[i + 1 : end] != root[i])
-        if not len(j):
-            continue
-        mine, theirs = maps[i], maps[j]
-        most = np.minimum(size[i] - np.bitwise_count(mine & ~theirs).sum(axis=1), size[j] - np.bitwise_count(theirs & ~mine).sum(axis=1))
-        j = j[(100 + percent) * most >= percent * (size[i] + size[j])]
-        a = h[bounds[order[i]] : bounds[order[i] + 1]]
-        for x in j:
-            if root[x] == root[i]:
+    if len(order) < 2:
+        return []
+    owner = np.repeat(np.arange(len(order)), size)
+    at = np.cumsum(size) - size
+    tokens = h[np.repeat(bounds[order] - at, size) + np.arange(len(owner))]
+    lists, place = _lists(tokens, owner, size, percent)
+    if not len(place):
+        return []
+    words = int(min(4096, max(128, 1 << int(2 * size[place].max() - 1).bit_length()))) // 64
+    met = np.unique(place)
+    row = np.zeros(len(order), np.int64)
+    row[met] = np.arange(len(met))
+    maps = np.zeros(len(met) * words, np.uint64)
+    some = np.isin(owner, met)
+    bit = tokens[some] & np.uint64(words * 64 - 1)
+    np.bitwise_or.at(maps, row[owner[some]] * words + (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
+    maps = maps.reshape(len(met), words)
+    parts, out = _Parts(labels[order]), []
+
+    def compare(i: int, others: np.ndarray) -> None:
+        """Joins set i with those of the others, sizes allowing, that it is linked with."""
+        small, large = np.minimum(size[i], size[others]), np.maximum(size[i], size[others])
+        others = others[(100 * small >= percent * large) & (parts.of[others] != parts.of[i])]
+        if not len(others):
+            return
+        mine, theirs = maps[row[i]], maps[row[others]]
+        most = np.minimum(size[i] - np.bitwise_count(mine & ~theirs).sum(axis=1), size[others] - np.bitwise_count(theirs & ~mine).sum(axis=1))
+        a = tokens[at[i] : at[i] + size[i]]
+        for x in others[(100 + percent) * most >= percent * (size[i] + size[others])].tolist():
+            if parts.of[x] == parts.of[i]:
                 continue
-            b = h[bounds[order[x]] : bounds[order[x] + 1]]
-            at = np.searchsorted(b, a)
-            both = int((b[np.minimum(at, len(b) - 1)] == a).sum())
+            b = tokens[at[x] : at[x] + size[x]]
+            near = np.searchsorted(b, a)
+            both = int((b[np.minimum(near, len(b) - 1)] == a).sum())
             if 100 * both >= percent * (len(a) + len(b) - both):
                 out.append((int(labels[order[i]]), int(labels[order[x]])))
-                root[root == root[x]] = root[i]
+                parts.join(i, x)
+
+    first = np.flatnonzero(np.diff(lists, prepend=-1))
+    # every set with the first of its lists: that connects most of what is linked
+    stars = np.unique(place[first][lists] * len(order) + place)
+    stars = stars[stars // len(order) != stars % len(order)]
+    for group in np.split(stars, np.flatnonzero(np.diff(stars // len(order))) + 1):
+        if len(group):
+            compare(int(group[0] // len(order)), group % len(order))
+    # what lists still hold of unconnected sets, each with those behind it
+    of = parts.of[place]
+    mixed = (np.minimum.reduceat(of, first) != np.maximum.reduceat(of, first))[lists]
+    lists, place = lists[mixed], place[mixed]
+    end = np.searchsorted(lists, lists, side="right")
+    by_place = np.argsort(place, kind="stable")
+    for mine in np.split(by_place, np.flatnonzero(np.diff(place[by_place])) + 1):
+        if len(mine):
+            behind = [place[p + 1 : end[p]] for p in mine.tolist()]
+            i = int(place[mine[0]])
+            behind = [b[parts.of[b] != parts.of[i]] for b in behind]
+            compare(i, np.unique(np.concatenate(behind)))
     return out
 
 
@@ -140,14 +209,59 @@ def tile_links(docs: DataFrame, tiles: DataFrame, n: int = N, percent: int = PER
     return rows.repartition("tile").sortWithinPartitions("tile").mapInArrow(_tile_links(n, percent), "a long, b long")
 
 
-def _part(column: str, parts: str):
-    return F.pmod(F.xxhash64(column, F.lit(5)), F.col(parts)).alias(column + "_part")
+def _shingle_rows(n: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = X.utf8(batch.column("text"))
+            for lo, hi, part, at in X.slices(data, offsets):
+                h, bounds = X.shingle_sets(part, at, n)
+                size = np.diff(bounds)
+                one = lambda c: batch.column(c).slice(lo, hi - lo).to_numpy(zero_copy_only=False)  # noqa: B023, E731
+                key = X.by_row(X.mix(h), bounds, np.add, 0).view(np.int64)
+                columns = [np.repeat(v, size) for v in (one("comp"), one("node"), key, size)]
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in (*columns, h.view(np.int64))], ["comp", "node", "key", "size", "h"])
+
+    return run
+
+
+def rare_edges(docs: DataFrame, members: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
+    """Edges (a, b) that connect the nodes of a component (node, comp) whose sets share one of their rarest shingles in it."""
+    held = maybe_broadcast(members.select("node", "comp"), members.count(), 32)
+    texts = docs.select(F.col("doc_id").alias("node"), "text").join(held, "node")
+    shingles = stored(texts.select("comp", "node", "text").mapInArrow(_shingle_rows(n), "comp long, node long, key long, size long, h long"), "shingles")
+    counts = shingles.groupBy("comp", "h").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1")
+    shared = shingles.join(counts, ["comp", "h"])
+    one_set = W.partitionBy("node", "key")  # a window holds one set's shingles; those that no other has stand before them
+    place = F.row_number().over(one_set.orderBy("sets", "h")) + F.col("size") - F.count(F.lit(1)).over(one_set)
+    length = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1
+    rarest = stored(shared.withColumn("place", place).where(F.col("place") <= length).select("comp", "h", "node"), "rarest")
+    least = rarest.groupBy("comp", "h").agg(F.min("node").alias("b"), F.max("node").alias("most")).where("b < most").drop("most")
+    return rarest.join(least, ["comp", "h"]).where("node <> b").select(F.col("node").alias("a"), "b").distinct()
+
+
+def _dealt(members: DataFrame, name: str, tile_shingles: int) -> DataFrame:
+    """members (node, comp, n_shingles) with ``name``: parts of about a tile each that follow sizes."""
+    sizes = members.groupBy("comp", "n_shingles").agg(F.sum("n_shingles").alias("all"))
+    before = F.coalesce(F.sum("all").over(W.partitionBy("comp").orderBy("n_shingles").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    sizes = sizes.select("comp", "n_shingles", F.floor(before / tile_shingles).alias("from"), F.ceil(F.col("all") / tile_shingles).alias("wide"))
+    return members.join(sizes, ["comp", "n_shingles"]).withColumn(name, F.col("from") + F.pmod(F.xxhash64("node", F.lit(5)), F.col("wide"))).drop("from", "wide")
+
+
+def _band(rows: DataFrame, name: str) -> DataFrame:
+    return rows.groupBy("comp", name).agg(F.min("n_shingles").alias(f"{name}_lo"), F.max("n_shingles").alias(f"{name}_hi"))
 
 
 def component_links(docs: DataFrame, members: DataFrame, n: int = N, percent: int = PERCENT, tile_shingles: int = TILE_SHINGLES) -> DataFrame:
     """Edges (a, b) that connect the linked nodes of candidate components (node, comp, n_shingles)."""
-    sums = members.groupBy("comp").agg(F.ceil(F.sum("n_shingles") / tile_shingles).alias("parts"))
-    members = checkpointed(members.join(sums, "comp").withColumn("block", F.pmod(F.xxhash64("node", F.lit(5)), F.col("parts"))))
+    parts = lambda m: m.groupBy("comp").agg(F.ceil(F.sum("n_shingles") / tile_shingles).alias("parts"))
+    members = checkpointed(members.select("node", "comp", "n_shingles").join(parts(members), "comp"))
+    if members.where("parts > 1").limit(1).count():
+        large = members.where("parts > 1").select("node", "comp", "n_shingles")
+        again = connected_components(rare_edges(docs, large, n, percent))
+        again = large.drop("comp").join(again.withColumnRenamed("component", "comp"), "node")
+        members = members.where("parts = 1").select("node", "comp", "n_shingles").unionByName(again.select("node", "comp", "n_shingles"))
+        members = members.join(parts(members), "comp")
+    members = checkpointed(_dealt(members, "block", tile_shingles))
     edges = stored(tile_links(docs, members.select(F.xxhash64("comp", "block").alias("tile"), "node", F.col("node").alias("label")), n, percent), "links")
     large = members.where("parts > 1")
     if not large.limit(1).count():
@@ -160,23 +274,22 @@ def component_links(docs: DataFrame, members: DataFrame, n: int = N, percent: in
         tiles = heads.join(sums.where("heads > 1"), "comp").withColumn("at", F.pmod(F.xxhash64("node", F.lit(9)), F.col("tiles")))
         found = stored(tile_links(docs, tiles.select(F.xxhash64("comp", "at").alias("tile"), "node", "label"), n, percent), "links")
         edges = edges.union(found)
-        if not found.limit(1).count() or tiles.agg(F.max("tiles")).first()[0] == 1:
-            break
-        if found.count() * 10 < before:
+        joined = found.count()
+        if not joined or joined * 10 < before or tiles.agg(F.max("tiles")).first()[0] == 1:
             break
     labels = _labels(large, edges)
     weight = labels.groupBy("comp", "label").agg(F.count(F.lit(1)).alias("w"))
     main = weight.groupBy("comp").agg(F.max_by("label", F.struct("w", "label")).alias("main"))
-    labels = labels.join(main, "comp")
-    others = labels.where("label <> main")
-    chunks = others.groupBy("comp").agg(F.ceil(F.sum("n_shingles") / tile_shingles).alias("chunks"))
-    if not chunks.limit(1).count():
+    others = labels.join(main, "comp").where("label <> main").select("comp", "node", "label", "n_shingles")
+    if not others.limit(1).count():
         return edges
-    # every member's block meets every chunk of the members outside the main part
-    base = labels.join(chunks, "comp").select("comp", "node", "label", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"))
-    guests = others.join(chunks, "comp").select("comp", "node", "label", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("block"), F.pmod(F.xxhash64("node", F.lit(7)), F.col("chunks")).alias("chunk"))
-    tiles = base.unionByName(guests).distinct().select(F.xxhash64("comp", "block", "chunk").alias("tile"), "node", "label")
-    return edges.union(stored(tile_links(docs, tiles, n, percent), "links"))
+    # the members outside the main part, in chunks by size, meet every block whose sizes allow a link
+    others = checkpointed(_dealt(others, "chunk", tile_shingles))
+    near = (F.col("block_lo") * percent <= F.col("chunk_hi") * 100) & (F.col("chunk_lo") * percent <= F.col("block_hi") * 100)
+    meetings = _band(labels, "block").join(_band(others, "chunk"), "comp").where(near).select("comp", "block", "chunk")
+    meetings = stored(meetings.withColumn("tile", F.xxhash64("comp", "block", "chunk")), "meetings")
+    tiles = labels.join(meetings, ["comp", "block"]).select("tile", "node", "label").union(others.join(meetings, ["comp", "chunk"]).select("tile", "node", "label"))
+    return edges.union(stored(tile_links(docs, tiles.distinct(), n, percent), "links"))
 
 
 def _labels(members: DataFrame, edges: DataFrame) -> DataFrame:
@@ -185,6 +298,17 @@ def _labels(members: DataFrame, edges: DataFrame) -> DataFrame:
     return checkpointed(members.join(found, "node", "left").withColumn("label", F.coalesce("label", "node")))
 
 
+def _texts_once(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """docs, of a doc_id that several rows have each text once."""
+    twice = stored(known.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("doc_id"), "repeated")
+    n = twice.count()
+    if not n:
+        return docs
+    twice = maybe_broadcast(twice, n, 16)
+    several = docs.join(twice, "doc_id", "left_semi").groupBy("doc_id", F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2")).agg(F.min("text").alias("text"))
+    return docs.join(twice, "doc_id", "left_anti").unionByName(stored(several.select("doc_id", "text"), "texts"))
+
+
 def ngram_jaccard(docs: DataFrame, n: int = N, percent: int = PERCENT, tile_shingles: int = TILE_SHINGLES) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of docs (doc_id long, text)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -192,12 +316,13 @@ def ngram_jaccard(docs: DataFrame, n: int = N, percent: int = PERCENT, tile_shin
     known = signed.where("doc_id is not null and n_shingles > 0")
     classes = stored(known.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles")), "classes")
     reps = known.join(classes.select("k1", "k2", "rep"), ["k1", "k2"]).where("doc_id = rep").select("rep", "bands")
-    buckets = reps.mapInArrow(_buckets, "bucket long, node long")
-    least = F.first("node").over(W.partitionBy("bucket").orderBy("node").rowsBetween(W.unboundedPreceding, W.currentRow))
-    edges = buckets.withColumn("least", least).where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
+    buckets = stored(reps, "representatives").mapInArrow(_buckets, "bucket long, node long")
+    least = buckets.groupBy("bucket").agg(F.min("node").alias("b"), F.max("node").alias("most")).where("b < most").select("bucket", "b")
+    least = stored(least, "buckets")
+    edges = buckets.join(maybe_broadcast(least, least.count(), 32), "bucket").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
     same_id = classes.groupBy("rep").agg(F.sum("n_shingles").alias("n_shingles"))
     members = connected_components(edges).withColumnRenamed("component", "comp").join(same_id.withColumnRenamed("rep", "node"), "node")
-    links = component_links(docs, members, n, percent, tile_shingles)
+    links = component_links(_texts_once(docs, known), members, n, percent, tile_shingles)
     found = connected_components(links)
     named = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("k1", "k2", F.coalesce("component", "rep").alias("component"))
     return signed.drop("bands").join(named, ["k1", "k2"], "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))

@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import numpy as np
 
@@ -65,6 +66,81 @@ def test_equals_brute_force_in_one_tile_and_in_many(spark):
     assert result(df, tile_shingles=500) == expected
 
 
+def test_sizes_of_templates_and_bands_against_brute_force(spark):
+    """Templates whose slots leave pairs on both sides of the threshold, in tiles so small that all stages are used."""
+    rng = random.Random(11)
+    base = [f"t{i}" for i in range(40)]
+    rows = []
+    for i in range(160):
+        w = list(base)
+        for slot in rng.sample(range(0, 40, 9), rng.randint(0, 3)):
+            w[slot] = f"v{rng.randint(0, 6)}"
+        rows.append((i, " ".join(w[: rng.choice([36, 38, 40])] + [f"tail{i % 23}"] * rng.randint(0, 3))))
+    rows += [(200 + i, f"thank you for your order number {i}") for i in range(60)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    expected = brute(rows)
+    assert len({c for _, c in expected.values()}) > 70
+    for tile in (150, 900, J.TILE_SHINGLES):
+        assert result(df, tile_shingles=tile) == expected
+
+
+def sets_of(sets):
+    return np.concatenate(sets), np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+
+
+def test_short_texts_of_one_template_do_not_meet():
+    """40,000 sets of two common shingles and one of their own: no pair is compared."""
+    own = X.mix(np.arange(40_000, dtype=np.uint64))
+    sets = [np.sort(np.array([11, 22, v], np.uint64)) for v in own]
+    start = time.time()
+    assert J.linked_pairs(*sets_of(sets), np.arange(len(sets))) == []
+    assert time.time() - start < 5
+
+
+def test_template_texts_end_to_end_without_links(spark):
+    n = 40_000
+    df = spark.range(n).selectExpr("id as doc_id", "concat('thank you for your order number ', id) as text")
+    got = J.ngram_jaccard(df)
+    assert got.where("component_id <> doc_id or n_shingles <> 3").count() == 0 and got.count() == n
+
+
+def test_random_sets_of_a_tile_against_all_pairs():
+    rng = np.random.default_rng(12)
+    for seed in range(25):
+        pool = X.mix(np.arange(60, dtype=np.uint64) + np.uint64(1000 * seed))
+        base = [rng.choice(pool, rng.integers(2, 30), replace=False) for _ in range(4)]
+        sets = []
+        for _ in range(60):
+            b = base[rng.integers(4)]
+            keep = b[rng.random(len(b)) > 0.12]
+            sets.append(np.unique(np.concatenate([keep, rng.choice(pool, rng.integers(0, 4))])))
+        pairs = J.linked_pairs(*sets_of(sets), np.arange(60))
+        parent = list(range(60))
+
+        def root(x, parent=parent):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        for i in range(60):
+            for j in range(i):
+                both = len(np.intersect1d(sets[i], sets[j]))
+                if both and 100 * both >= 75 * (len(sets[i]) + len(sets[j]) - both):
+                    parent[root(i)] = root(j)
+        mine = list(range(60))
+        for a, b in pairs:
+            mine[root(a, mine)] = root(b, mine)
+        same = lambda p: [[root(i, p) == root(j, p) for i in range(60)] for j in range(60)]
+        assert same(mine) == same(parent)
+
+
+def test_a_document_of_many_rows_is_one_set(spark):
+    rows = [(1, "a b c d e f g h"), (2, "a b c d e f g h i"), (1, "q r s t u v w")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    df = df.unionByName(df.where("doc_id = 1").crossJoin(spark.range(2000)).drop("id"))
+    assert {tuple(r) for r in J.ngram_jaccard(df).collect()} == {(1, 4, 1), (2, 5, 1), (1, 3, 1)}
+
+
 def test_nulls_repeats_extra_columns_and_empty_tables(spark):
     rows = [(None, "a b c d e f", 1), (3, "a b c d e f", 2), (3, "a b c d e f", 2), (4, "A b c d e f", 3), (5, None, None), (5, None, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, n_shingles int")
