@@ -40,7 +40,7 @@ N = 5
 #: Links need 100 * intersection >= PERCENT * union.
 PERCENT = 75
 BANDS, BAND_ROWS = 64, 4
-TILE_SHINGLES = 200_000
+TILE_SHINGLES = 1_000_000
 
 _RNG = np.random.default_rng(0xBA9D)
 _MULTIPLY = _RNG.integers(0, 1 << 31, BANDS * BAND_ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
