@@ -1,18 +1,22 @@
 """Personal data: detection, and keyed surrogates of the same type, format, script and gender.
 
 Detected: e-mail addresses, telephone numbers, IPv4 addresses, account numbers (13 to 19 digits), secrets given to a name
-such as token or password, and personal names after a title or led by a known given name. An entity is its type with a
-canonical form (digits of a number, lower case of an address, ...), so different spellings of one entity get one surrogate.
-Numbers that stand beside each other are entities of their own: ``numbers`` says where one ends.
+such as token or password, and personal names after a title, after words that introduce one ("my name is", "signed by"), or
+led by a known given name. An entity is its type with a canonical form (digits of a number, lower case of an address, ...), so
+different spellings of one entity get one surrogate. Numbers that stand beside each other are entities of their own:
+``numbers`` says where one ends. Every pattern takes time in proportion to the text; addresses are read from their "@" outwards.
 
 A surrogate is drawn from a keyed hash of type, canonical form and attempt: digits become digits, letters become letters of
-the same case and script, separators stay; an IPv4 address stays one; the account number's check digit stays sound if it
-was; a given name becomes another of the same gender and script from the same list; titles stay. Without the key nothing can be
-traced back.
+the same case and script (any script: other letters come from the same stretch of Unicode), separators stay; an IPv4 address
+stays one; the account number's check digit stays sound if it was; a listed given name becomes another of the same gender and
+script, by a shift of its list that gives no name itself and no two alike; an unlisted one, like a surname, gets letters of
+its own; titles stay. So persons that differ stay different, and a surname alone still points to its bearer. The key must be
+given: without it nothing can be traced back.
 
-Collisions are checked over all entities of the corpus: two that would get one surrogate, or one that would get another's
-real form, are drawn again with the next attempt, all but the first in order, until none is left. Only those few entities
-whose attempt is not 0 are carried back to their texts, by a join.
+Texts are searched once; the spans found are stored beside them. Collisions are checked over all entities of the corpus: two
+that would get one surrogate, or one that would get another's real form, are drawn again with the next attempt, all but the
+first in order, until none is left; ``MAX_ATTEMPTS`` without success is an error. Only those few entities whose attempt is not
+0 are carried back to their texts, by a join.
 
 Defined results: null text stays null without entities; empty texts, repeated rows, null doc_ids and empty tables need no
 exception; overlapping matches: the earlier, then the longer one, holds; input columns named n_entities or kinds are replaced,
@@ -24,7 +28,9 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -34,7 +40,6 @@ from pyspark.sql import types as T
 
 from .cluster import checkpointed, maybe_broadcast, stored
 
-KEY = b"surrogate key"
 MAX_ATTEMPTS = 50
 
 #: Given names by script and gender.
@@ -53,7 +58,8 @@ LETTERS = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "абвгдежз
 
 _GENDER = {name: (script, gender) for (script, gender), names in GIVEN.items() for name in names}
 _NAME = r"[^\W\d_a-zа-яα-ω][^\W\d_]+(?:-[^\W\d_]+)?"
-_EMAIL = re.compile(r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}")
+_BEFORE_AT = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+_DOMAIN = re.compile(r"[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}")
 _NUMBER = re.compile(r"(?<![\w.])(?:\+?\d|\(\d)[\d ().\-/]{5,}\d(?![\w])")
 _IPV4 = re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d)")
 _LOCAL = r"0\d{2,4}[ \-/]\d{3,4}[ \-]?\d{3,4}"
@@ -75,6 +81,7 @@ _DIGITS = re.compile(r"\d+")
 _SECRET = re.compile(r"""(?i:\b(?:api[_-]?key|access[_-]?key|auth[_-]?token|token|secret|password|passwd)\b)["']?\s*[:=]\s*["']?([A-Za-z0-9+/_\-]{8,}={0,2})""")
 _SECRET_WORD = re.compile(r"(?i)key|token|secret|passw")
 _TITLED = re.compile(rf"\b({'|'.join(TITLES)})\.? ({_NAME})(?: ({_NAME}))?")
+_INTRODUCED = re.compile(rf"(?:\b(?i:my name is|name is|signed by|written by)|\b(?i:name|author|signed|contact):) ({_NAME}) ({_NAME})\b")
 _LED = re.compile(rf"\b({'|'.join(sorted(_GENDER))}) ({_NAME})\b")
 
 
@@ -85,6 +92,20 @@ class Entity(NamedTuple):
     canonical: str
 
 
+def addresses(text: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of the e-mail addresses: from each "@" to the left as far as it goes, and a domain to the right."""
+    done, at = 0, text.find("@")
+    while at >= 0:
+        lo = at
+        while lo > done and text[lo - 1] in _BEFORE_AT:
+            lo -= 1
+        domain = _DOMAIN.match(text, at + 1) if lo < at else None
+        done = domain.end() if domain else at + 1
+        if domain:
+            yield lo, done
+        at = text.find("@", done)
+
+
 def script_of(word: str) -> str:
     for c in word:
         if "\u0370" <= c <= "\u03ff" or "\u1f00" <= c <= "\u1fff":
@@ -149,13 +170,24 @@ def numbers(piece: str) -> list[tuple[int, int, str]]:
     return sorted(found)
 
 
+def _given(m: re.Match, group: int, gender: str = "") -> Entity:
+    """A given name: listed ones with their gender, the title's first; any other is a forename."""
+    name = m[group]
+    listed = _GENDER.get(name)
+    if not listed:
+        return Entity(m.start(group), m.end(group), "forename", name.lower())
+    if (listed[0], gender) not in GIVEN or name not in GIVEN[listed[0], gender]:
+        gender = listed[1]
+    return Entity(m.start(group), m.end(group), "given", f"{gender}:{name.lower()}")
+
+
 def detect(text: str | None) -> list[Entity]:
     """Entities of a whole text in order of place, without overlaps."""
     if not text:
         return []
     found: list[Entity] = []
     if "@" in text:
-        found += [Entity(m.start(), m.end(), "email", m[0].lower()) for m in _EMAIL.finditer(text)]
+        found += [Entity(a, b, "email", text[a:b].lower()) for a, b in addresses(text)]
     for m in _IPV4.finditer(text):
         found.append(Entity(m.start(), m.end(), "ipv4", m[0]))
     other = _IPV4.sub(lambda m: m[0] if text[max(0, m.start() - 1) : m.start()] == "+" else "\n" * len(m[0]), text) if found else text
@@ -165,17 +197,16 @@ def detect(text: str | None) -> list[Entity]:
     if _SECRET_WORD.search(text):
         found += [Entity(m.start(1), m.end(1), "secret", m[1]) for m in _SECRET.finditer(text)]
     for m in _TITLED.finditer(text):
-        given = m[2] if m[3] else ""
-        if not given and m[2] in _GENDER:
+        if m[3]:
+            found.append(_given(m, 2, TITLES[m[1]]))
+        elif m[2] in _GENDER:
             continue
-        gender = TITLES[m[1]] or _GENDER.get(given, ("", ""))[1]
-        if given:
-            found.append(Entity(m.start(2), m.end(2), "given", f"{gender or _GENDER.get(given, ('', 'f'))[1]}:{given.lower()}"))
         last = 3 if m[3] else 2
         found.append(Entity(m.start(last), m.end(last), "surname", m[last].lower()))
-    for m in _LED.finditer(text):
-        found.append(Entity(m.start(1), m.end(1), "given", f"{_GENDER[m[1]][1]}:{m[1].lower()}"))
-        found.append(Entity(m.start(2), m.end(2), "surname", m[2].lower()))
+    for pattern in (_LED, _INTRODUCED):
+        for m in pattern.finditer(text):
+            found.append(_given(m, 1))
+            found.append(Entity(m.start(2), m.end(2), "surname", m[2].lower()))
     found.sort(key=lambda e: (e.start, -e.end))
     out: list[Entity] = []
     for e in found:
@@ -207,6 +238,16 @@ def _sound(digits: str) -> bool:
     return total % 10 == 0
 
 
+@lru_cache(maxsize=4096)
+def _letters(c: str) -> str:
+    """Letters to draw from for a lower-case or caseless letter: of its script, or of its kind in its stretch of 128 code points."""
+    first = unicodedata.name(c, "?").split(" ")[0]
+    if first in ("LATIN", "CYRILLIC", "GREEK"):
+        return LETTERS[first.lower()]
+    start, kind = ord(c) & ~127, unicodedata.category(c)
+    return "".join(x for x in map(chr, range(start, start + 128)) if unicodedata.category(x) == kind and unicodedata.name(x, "?").split(" ")[0] == first)
+
+
 def surrogate(key: bytes, kind: str, canonical: str, attempt: int = 0) -> str:
     """The canonical form of the surrogate."""
     s = Stream(key, kind, canonical, attempt)
@@ -222,12 +263,10 @@ def surrogate(key: bytes, kind: str, canonical: str, attempt: int = 0) -> str:
         return digits
     if kind == "given":
         gender, name = canonical.split(":", 1)
-        listed = (script_of(name), gender) if (script_of(name), gender) in GIVEN else ("latin", "f")
+        listed = (script_of(name), gender)
         names = [x.lower() for x in GIVEN[listed]]
-        if name in names:  # one shift for all names of a list: never the name itself, and never two alike
-            at = names.index(name) + 1 + Stream(key, "given names", *listed).below(len(names) - 1)
-        else:
-            at = s.below(len(names))
+        # one shift for all names of a list: never the name itself, and never two alike
+        at = names.index(name) + 1 + Stream(key, "given names", *listed).below(len(names) - 1)
         return f"{gender}:{names[at % len(names)]}"
     keep_from = canonical.rfind(".") if kind == "email" else len(canonical)
     out = []
@@ -239,7 +278,7 @@ def surrogate(key: bytes, kind: str, canonical: str, attempt: int = 0) -> str:
         elif kind == "secret" and re.fullmatch(r"[0-9a-fA-F]+", canonical):
             out.append("abcdef"[s.below(6)].upper() if c.isupper() else "abcdef"[s.below(6)])
         else:
-            letters = LETTERS[script_of(c)]
+            letters = _letters(c)
             x = letters[s.below(len(letters))]
             out.append(x.upper() if c.isupper() else x)
     return "".join(out)
@@ -252,7 +291,7 @@ def rendered(kind: str, found: str, new: str) -> str:
         return "".join(next(digits) if c.isdigit() else c for c in found)
     if kind == "given":
         new = new.split(":", 1)[1]
-    if kind in ("given", "surname", "email"):
+    if kind in ("given", "forename", "surname", "email"):
         if found.isupper():
             return new.upper()
         if kind != "email":
@@ -262,22 +301,28 @@ def rendered(kind: str, found: str, new: str) -> str:
     return new
 
 
-def replaced(text: str, key: bytes, attempts: dict[tuple[str, str], int] | None = None) -> tuple[str, list[Entity]]:
-    entities, out, at = detect(text), [], 0
-    for e in entities:
-        new = surrogate(key, e.kind, e.canonical, (attempts or {}).get((e.kind, e.canonical), 0))
-        out += [text[at : e.start], rendered(e.kind, text[e.start : e.end], new)]
-        at = e.end
-    return "".join([*out, text[at:]]), entities
+def with_surrogates(text: str, entities: list[Entity], key: bytes, attempts: dict[tuple[str, str], int]) -> str:
+    out, at = [], 0
+    for start, end, kind, canonical in entities:
+        out += [text[at:start], rendered(kind, text[start:end], surrogate(key, kind, canonical, attempts.get((kind, canonical), 0)))]
+        at = end
+    return "".join([*out, text[at:]])
+
+
+def replaced(text: str, key: bytes) -> tuple[str, list[Entity]]:
+    """One text by itself: with surrogates of first attempts, and its entities."""
+    entities = detect(text)
+    return with_surrogates(text, entities, key, {}), entities
+
+
+_SPANS = "array<struct<start: int, end: int, kind: string, canonical: string>>"
+_SPANS_TYPE = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string()), ("canonical", pa.string())]))
 
 
 def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows: set = set()
-        for t1, t2, text in zip(*(batch.column(c).to_pylist() for c in ("t1", "t2", "text")), strict=True):
-            rows.update((t1, t2, e.kind, e.canonical) for e in detect(text))
-        columns = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.string(), pa.string()), strict=True)], ["t1", "t2", "kind", "canonical"])
+        spans = [[e._asdict() for e in detect(text)] for text in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(spans, _SPANS_TYPE)], [*batch.schema.names, "spans"])
 
 
 def _draw(key: bytes):
@@ -290,11 +335,10 @@ def _draw(key: bytes):
     return run
 
 
-def assigned(entities: DataFrame, key: bytes = KEY) -> DataFrame:
+def assigned(entities: DataFrame, key: bytes) -> DataFrame:
     """(kind, canonical, attempt, new) for distinct (kind, canonical): no two surrogates of a kind are equal, and none is a real form.
 
-    Given names come from short lists: listed ones get distinct others, further ones may coincide with those. With the surname
-    beside them they are no identity alone.
+    Given names of the lists need no check: they are permuted.
     """
     shape = "kind string, canonical string, attempt int, new string"
     all_of = checkpointed(entities.withColumn("attempt", F.lit(0)).mapInArrow(_draw(key), shape))
@@ -313,29 +357,31 @@ def assigned(entities: DataFrame, key: bytes = KEY) -> DataFrame:
         all_of = checkpointed(kept.unionByName(again.mapInArrow(_draw(key), shape)))
 
 
-def replace_entities(docs: DataFrame, key: bytes = KEY, text: str = "text") -> DataFrame:
+def replace_entities(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
     """docs with surrogates in ``text``, n_entities, and kinds (distinct, sorted)."""
     docs = docs.drop("n_entities", "kinds")
-    keyed = docs.select(F.struct(*docs.columns).alias("row"), F.col(text).alias("text"), F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2"))
-    found = stored(keyed.where(F.col("text").isNotNull()).select("t1", "t2", "text").mapInArrow(_find, "t1 long, t2 long, kind string, canonical string").distinct(), "entities")
-    special = stored(assigned(found.select("kind", "canonical").distinct(), key).where("attempt > 0").select("kind", "canonical", "attempt"), "attempts")
-    lists = found.join(maybe_broadcast(special, special.count(), 128), ["kind", "canonical"]).groupBy("t1", "t2").agg(F.collect_list(F.struct("kind", "canonical", "attempt")).alias("attempts"))
+    rest = [c for c in docs.columns if c != text]
+    carried = T.StructType([docs.schema[c] for c in rest])
+    keyed = docs.select((F.struct(*rest) if rest else F.struct(F.lit(None).cast("string").alias("none"))).alias("row"), F.col(text).alias("text"), F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2"))
+    found = stored(keyed.mapInArrow(_find, T.StructType([*keyed.schema.fields, T.StructField("spans", T._parse_datatype_string(_SPANS))])), "spans")
+    entities = found.select("t1", "t2", F.explode(F.transform("spans", lambda e: F.struct(e["kind"].alias("kind"), e["canonical"].alias("canonical")))).alias("e")).select("t1", "t2", "e.*").distinct()
+    special = stored(assigned(entities.select("kind", "canonical").distinct(), key).where("attempt > 0").select("kind", "canonical", "attempt"), "attempts")
+    size = special.agg(F.sum(F.octet_length("canonical") + 64)).first()[0] or 0
+    lists = entities.join(maybe_broadcast(special, 1, int(size)), ["kind", "canonical"]).groupBy("t1", "t2").agg(F.collect_list(F.struct("kind", "canonical", "attempt")).alias("attempts"))
     lists = stored(lists, "lists")
-    size = lists.agg(F.sum(F.size("attempts") * 128)).first()[0] or 0
-    joined = keyed.join(maybe_broadcast(lists, 1, int(size)), ["t1", "t2"], "left").select("row", "text", "attempts")
-    fields = [T.StructField("n_entities", T.LongType()), T.StructField("kinds", T.ArrayType(T.StringType()))]
+    size = lists.agg(F.sum(F.aggregate("attempts", F.lit(32).cast("long"), lambda a, x: a + 64 + F.octet_length(x["canonical"])))).first()[0] or 0
+    joined = found.join(maybe_broadcast(lists, 1, int(size)), ["t1", "t2"], "left").select("row", "text", "spans", "attempts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 1024):
-                part = batch.slice(lo, 1024)
-                texts, counts, kinds = [], [], []
-                for t, special in zip(part.column("text").to_pylist(), part.column("attempts").to_pylist(), strict=True):
-                    new, entities = replaced(t, key, {(x["kind"], x["canonical"]): x["attempt"] for x in special or ()}) if t else (t, [])
-                    texts.append(new)
-                    counts.append(len(entities))
-                    kinds.append(sorted({e.kind for e in entities}))
-                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(texts, pa.string()), pa.array(counts, pa.int64()), pa.array(kinds, pa.list_(pa.string()))], ["row", "new_text", "n_entities", "kinds"])
-
-    done = joined.mapInArrow(run, T.StructType([T.StructField("row", docs.schema), T.StructField("new_text", T.StringType()), *fields]))
+            texts, counts, kinds = [], [], []
+            for t, spans, special in zip(*(batch.column(c).to_pylist() for c in ("text", "spans", "attempts")), strict=True):
+                entities = [Entity(**e) for e in spans]
+                texts.append(with_surrogates(t, entities, key, {(x["kind"], x["canonical"]): x["attempt"] for x in special or ()}) if entities else t)
+                counts.append(len(entities))
+                kinds.append(sorted({e.kind for e in entities}))
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string()), pa.array(counts, pa.int64()), pa.array(kinds, pa.list_(pa.string()))], ["row", "new_text", "n_entities", "kinds"])
+
+    fields = [T.StructField("n_entities", T.LongType()), T.StructField("kinds", T.ArrayType(T.StringType()))]
+    done = joined.mapInArrow(run, T.StructType([keyed.schema["row"] if not rest else T.StructField("row", carried), T.StructField("new_text", T.StringType()), *fields]))
     return done.select(*[F.col("new_text").alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns], "n_entities", "kinds")

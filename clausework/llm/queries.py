@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,12 @@ def byte_bpe() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def surrogate_key(spark: SparkSession) -> bytes:
+    """The key that the setting names; without one a fresh key, so that no surrogate can be computed again."""
+    named = spark.conf.get("spark.clausework.surrogateKey", None)
+    return named.encode() if named else secrets.token_bytes(32)
+
+
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.ngram_jaccard(table(spark, sf_dir, "documents"))
 
@@ -36,7 +43,7 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.replace_entities(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return pii.replace_entities(table(spark, sf_dir, "documents").select("doc_id", "text"), surrogate_key(spark))
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ import pytest
 from clausework.llm import pii as P
 
 SCHEMA = "doc_id long, text string"
+KEY = b"surrogate key"
 
 
 def kinds(text):
@@ -38,7 +39,7 @@ def test_format_type_script_and_gender():
 def test_coreference_distinctness_and_edges(spark):
     rows = [(i, f"a{i}@b.example.com and 10.0.{i % 250}.{i % 7}") for i in range(300)] + [(300, None), (301, ""), (None, "a1@b.example.com"), (302, "a1@b.example.com " * 3000), (302, "a1@b.example.com " * 3000)]
     df = spark.createDataFrame([(*r, "kept") for r in rows], SCHEMA + ", kinds string")
-    got = P.replace_entities(df).collect()
+    got = P.replace_entities(df, KEY).collect()
     assert len(got) == len(rows)
     plain = {d: t for d, t in rows if d is not None}
     mail = {}
@@ -50,12 +51,12 @@ def test_coreference_distinctness_and_edges(spark):
     assert len(set(mail.values())) == 300
     by = {r.doc_id: r.text for r in got}
     assert by[None] == mail[1] and by[302].split() == [mail[1]] * 3000 and by[300] is None and by[301] == ""
-    assert P.replace_entities(spark.createDataFrame([], SCHEMA)).collect() == []
+    assert P.replace_entities(spark.createDataFrame([], SCHEMA), KEY).collect() == []
 
 
 def test_collisions_are_drawn_again(spark):
     short = [("surname", f"{a}{b}") for a in "abcdef" for b in "abcdef"]
-    got = P.assigned(spark.createDataFrame(short, "kind string, canonical string")).collect()
+    got = P.assigned(spark.createDataFrame(short, "kind string, canonical string"), KEY).collect()
     assert len(got) == 36 and len({r.new for r in got}) == 36
     assert not {r.new for r in got} & {c for _, c in short}
     assert max(r.attempt for r in got) > 0
@@ -78,7 +79,7 @@ def test_numbers_beside_each_other():
 
 
 def test_given_names_become_others():
-    for key in (P.KEY, b"k", b"other"):
+    for key in (KEY, b"k", b"other"):
         for (_, gender), names in P.GIVEN.items():
             new = [P.surrogate(key, "given", f"{gender}:{n.lower()}") for n in names]
             assert sorted(new) == sorted(f"{gender}:{n.lower()}" for n in names)
@@ -89,4 +90,53 @@ def test_collisions_that_stay_are_an_error(spark, monkeypatch):
     monkeypatch.setattr(P, "MAX_ATTEMPTS", 0)
     short = spark.createDataFrame([("surname", f"{a}{b}") for a in "abcdef" for b in "abcdef"], "kind string, canonical string")
     with pytest.raises(RuntimeError):
-        P.assigned(short)
+        P.assigned(short, KEY)
+
+
+def test_persons_stay_distinct_and_a_surname_points_to_its_bearer(spark):
+    """10,000 persons, most with unlisted given names, each named twice and once by surname alone."""
+    given = [*(n for names in P.GIVEN.values() for n in names)][:40] + [f"Given{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(160)]
+    people = [(given[i % 200], "Sur" + "".join(chr(97 + int(d)) for d in f"{i // 200:03}")) for i in range(10_000)]
+    rows = [(i, f"signed by {g} {s} and name: {g} {s} or Dr. {s}") for i, (g, s) in enumerate(people)]
+    seen, surnames = {}, {}
+    for r in P.replace_entities(spark.createDataFrame(rows, SCHEMA).repartition(4), KEY).collect():
+        w = r.text.split()
+        assert r.n_entities == 5 and w[2:4] == w[6:8] and w[3] == w[10]
+        seen[r.doc_id] = (w[2], w[3])
+        assert surnames.setdefault(people[r.doc_id][1], w[3]) == w[3]
+        assert (w[2], w[3]) != people[r.doc_id] and w[2] != people[r.doc_id][0] and w[3] != people[r.doc_id][1]
+    assert len(set(seen.values())) == 10_000 and len(set(surnames.values())) == 50
+
+
+def test_scripts_stay():
+    import unicodedata
+
+    for name in ("Dr. محمد", "Dr. 김민준", "Dr. יצחק", "Dr. Ελευθερίου", "Dr. Ščepanović", "Dr. 田中太郎", "Dr. தமிழன்"):
+        new, entities = P.replaced(name, b"k")
+        assert [e.kind for e in entities] == ["surname"] and new != name and len(new) == len(name)
+        first = lambda c: unicodedata.name(c).split(" ")[0]
+        assert all(first(a) == first(b) for a, b in zip(name, new, strict=True))
+
+
+def test_long_texts_take_time_in_proportion():
+    import time
+
+    blobs = ["a" * 1_000_000, "a" * 500_000 + "@" + "b" * 500_000, "x@" * 500_000, "a.b-" * 250_000 + "@", "x@" + "y" * 1_000_000, "1" * 1_000_000, "12 34 5 " * 125_000, "+1-" * 330_000, "555-123-4567 " * 77_000, "token " * 160_000, "token" + " " * 1_000_000, "Dr. " * 250_000, "1.1." * 250_000, "(1" * 500_000, "Anna " * 200_000]
+    slow = {}
+    for blob in blobs:
+        start = time.time()
+        P.detect(blob)
+        slow[blob[:12]] = time.time() - start
+    assert max(slow.values()) < 12, slow  # quadratic patterns take hours
+
+
+def test_introduced_names_and_addresses():
+    assert kinds("my name is Bertrand Russell, written by Zoë Quux") == [("forename", "Bertrand"), ("surname", "Russell"), ("forename", "Zoë"), ("surname", "Quux")]
+    assert kinds("a@b a@@b.com x.y@z.co.uk, <p@q.org>;p@q.r") == [("email", "x.y@z.co.uk"), ("email", "p@q.org")]
+    assert kinds("a@b.com@c.org") == [("email", "a@b.com")]
+
+
+def test_a_table_of_texts_alone(spark):
+    df = spark.createDataFrame([("mail a@b.com",), (None,)], "body string")
+    got = P.replace_entities(df, KEY, text="body").collect()
+    assert sorted(r.n_entities for r in got) == [0, 1] and all("a@b.com" not in (r.body or "") for r in got)
