@@ -79,7 +79,8 @@ _PARTING = re.compile(rf"({_CARD})[ \-]\d{{3}}")
 _BEGINNING = re.compile(r"(?<!\d)(?:\+?\d|\(\d)")
 _DIGITS = re.compile(r"\d+")
 _SECRET = re.compile(r"""(?i:\b(?:api[_-]?key|access[_-]?key|auth[_-]?token|token|secret|password|passwd)\b)["']?\s*[:=]\s*["']?([A-Za-z0-9+/_\-]{8,}={0,2})""")
-_SECRET_WORD = re.compile(r"(?i)key|token|secret|passw")
+#: Words without which the pattern behind need not be tried.
+_SECRET_WORDS, _INTRODUCING = ("key", "token", "secret", "passw"), ("name", "by ", "author:", "signed:", "contact:")
 _TITLED = re.compile(rf"\b({'|'.join(TITLES)})\.? ({_NAME})(?: ({_NAME}))?")
 _INTRODUCED = re.compile(rf"(?:\b(?i:my name is|name is|signed by|written by)|\b(?i:name|author|signed|contact):) ({_NAME}) ({_NAME})\b")
 _LED = re.compile(rf"\b({'|'.join(sorted(_GENDER))}) ({_NAME})\b")
@@ -188,13 +189,15 @@ def detect(text: str | None) -> list[Entity]:
     found: list[Entity] = []
     if "@" in text:
         found += [Entity(a, b, "email", text[a:b].lower()) for a, b in addresses(text)]
-    for m in _IPV4.finditer(text):
-        found.append(Entity(m.start(), m.end(), "ipv4", m[0]))
-    other = _IPV4.sub(lambda m: m[0] if text[max(0, m.start() - 1) : m.start()] == "+" else "\n" * len(m[0]), text) if found else text
-    for m in _NUMBER.finditer(other):
-        at = m.start()
-        found += [Entity(at + a, at + b, kind, re.sub(r"\D", "", m[0][a:b])) for a, b, kind in numbers(m[0])]
-    if _SECRET_WORD.search(text):
+    if _DIGITS.search(text):
+        for m in _IPV4.finditer(text):
+            found.append(Entity(m.start(), m.end(), "ipv4", m[0]))
+        other = _IPV4.sub(lambda m: m[0] if text[max(0, m.start() - 1) : m.start()] == "+" else "\n" * len(m[0]), text) if found else text
+        for m in _NUMBER.finditer(other):
+            at = m.start()
+            found += [Entity(at + a, at + b, kind, re.sub(r"\D", "", m[0][a:b])) for a, b, kind in numbers(m[0])]
+    low = text.lower()
+    if any(w in low for w in _SECRET_WORDS):
         found += [Entity(m.start(1), m.end(1), "secret", m[1]) for m in _SECRET.finditer(text)]
     for m in _TITLED.finditer(text):
         if m[3]:
@@ -203,7 +206,7 @@ def detect(text: str | None) -> list[Entity]:
             continue
         last = 3 if m[3] else 2
         found.append(Entity(m.start(last), m.end(last), "surname", m[last].lower()))
-    for pattern in (_LED, _INTRODUCED):
+    for pattern in (_LED, _INTRODUCED) if any(w in low for w in _INTRODUCING) else (_LED,):
         for m in pattern.finditer(text):
             found.append(_given(m, 1))
             found.append(Entity(m.start(2), m.end(2), "surname", m[2].lower()))
