@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..schema import SpecConfig
 from .graphs import ancestors
-from .merging import entity_records, first_by, merge_records, relation_records
+from .merging import entity_records, first_by, merge_records, ordinal, relation_records
 
 #: Titles that name no procedure, levels at which procedures stand, titles to review, and references to clauses.
 GENERIC_TITLES = ("general", "void", "introduction", "scope", "", "purpose")
@@ -31,7 +31,7 @@ def procedures(clauses: DataFrame, kept: DataFrame) -> DataFrame:
     own = _titled(units).where(X.strip(F.coalesce("text", F.lit(""))) != "")
     shape = lambda df, prio, o, how: df.select(F.lit(prio).alias("prio"), o.alias("o"), "at", F.lit("Procedure").alias("type"), "label", F.col("key").alias("clause"), F.col("label").alias("anchor"), F.lit(f"deterministic:{how}").alias("extractor"), "confidence", "review")
     direct = shape(own, 0, F.struct(F.col("ord").cast("long").alias("ord"), F.lit(0).alias("depth")), "procedure")
-    up = ancestors(clauses.select(F.col("key").alias("node"), "parent")).where("depth > 0")
+    up = ancestors(clauses.select(F.col("key").alias("node"), "parent"), units.select(F.col("key").alias("node"))).where("depth > 0")
     up = up.join(units.select(F.col("key").alias("node"), F.col("ord").alias("from_ord")), "node").select(F.col("ancestor").alias("key"), F.struct(F.col("from_ord").cast("long").alias("ord"), F.col("depth")).alias("o"))
     nearest = up.groupBy("key").agg(F.min("o").alias("o"))
     above = _titled(clauses).join(nearest, "key").join(direct.select("at").distinct(), "at", "left_anti")
@@ -42,21 +42,21 @@ def procedures(clauses: DataFrame, kept: DataFrame) -> DataFrame:
 def vocabulary_hits(clauses: DataFrame, cfg: SpecConfig, key: str = "key", text: str = "text") -> DataFrame:
     """(key, ord, type, term, n): terms that stand in a clause's text as whole words, n in order of the vocabulary.
 
-    All terms are tested in one pass over the text, as literal patterns that are compiled once; there is no join.
+    All terms are tested in one pass over the text, a pattern only where the text holds its term at all; there is no join.
     """
     terms = [(t, term) for t, terms in cfg.vocab for term in terms]
-    hits = [F.when(X.word_in(F.coalesce(text, F.lit("")), term), F.struct(F.lit(i).alias("n"), F.lit(t).alias("type"), F.lit(term).alias("term"))) for i, (t, term) in enumerate(terms)]
+    whole = F.coalesce(text, F.lit(""))
+    hits = [F.when(F.contains(whole, F.lit(term)) & X.word_in(whole, term), F.struct(F.lit(i).alias("n"), F.lit(t).alias("type"), F.lit(term).alias("term"))) for i, (t, term) in enumerate(terms)]
     return clauses.select(F.col(key).alias("key"), "ord", F.explode(F.array_compact(F.array(*hits))).alias("h")).select("key", "ord", "h.type", "h.term", "h.n")
 
 
 def extract(clauses: DataFrame, kept: DataFrame, cfg: SpecConfig) -> tuple[DataFrame, DataFrame]:
     """(entities, relations) that need no model, merged by id; kept are the relevant clauses."""
     procs = procedures(clauses, kept)
-    ordinal = lambda prio, a, b: (F.lit(prio).cast("long") * (1 << 50) + a.cast("long") * 100_000 + b.cast("long")).alias("ord")
-    named = procs.select((F.col("prio").cast("long") * (1 << 50) + F.col("o.ord") * 100_000 + F.col("o.depth")).alias("ord"), "type", "label", "clause", "anchor", "extractor", "confidence", "review")
+    named = procs.select(ordinal(F.col("prio"), F.col("o.ord"), F.col("o.depth")).alias("ord"), "type", "label", "clause", "anchor", "extractor", "confidence", "review")
     none = F.lit(None).cast("string")
     words = vocabulary_hits(kept, cfg)
-    words = words.select(ordinal(2, F.col("ord"), F.col("n")), "type", F.col("term").alias("label"), F.col("key").alias("clause"), F.col("term").alias("anchor"), F.concat(F.lit("deterministic:vocab:"), "type").alias("extractor"), none.alias("confidence"), none.alias("review"))
+    words = words.select(ordinal(F.lit(2), F.col("ord"), F.col("n")).alias("ord"), "type", F.col("term").alias("label"), F.col("key").alias("clause"), F.col("term").alias("anchor"), F.concat(F.lit("deterministic:vocab:"), "type").alias("extractor"), none.alias("confidence"), none.alias("review"))
     entities = merge_records(entity_records(named.unionByName(words), cfg), "defined_in")
     return entities, cross_references(kept, procs, cfg)
 
@@ -70,5 +70,5 @@ def cross_references(kept: DataFrame, procs: DataFrame, cfg: SpecConfig) -> Data
     refs = refs.join(ids.withColumnRenamed("pid", "src"), "at")
     refs = refs.join(ids.select(F.col("at").alias("target"), F.col("pid").alias("dst")), F.col("m")["target"] == F.col("target")).where("src <> dst")
     none = F.lit(None).cast("string")
-    rows = refs.select((F.col("ord").cast("long") * 100_000 + F.col("pos")).alias("ord"), F.lit("INVOKES").alias("type"), "src", "dst", F.col("key").alias("clause"), F.col("m")["anchor"].alias("anchor"), none.alias("modality"), F.lit("high").alias("confidence"), F.lit("xref").alias("procedure_ctx"), none.alias("extractor"))
+    rows = refs.select(ordinal(F.lit(0), F.col("ord"), F.col("pos")).alias("ord"), F.lit("INVOKES").alias("type"), "src", "dst", F.col("key").alias("clause"), F.col("m")["anchor"].alias("anchor"), none.alias("modality"), F.lit("high").alias("confidence"), F.lit("xref").alias("procedure_ctx"), none.alias("extractor"))
     return first_by(relation_records(rows, cfg), ["id"], "ord")

@@ -11,14 +11,17 @@ from ..functions import text as X
 from ..storage import checkpointed
 
 
-def ancestors(links: DataFrame) -> DataFrame:
+def ancestors(links: DataFrame, start: DataFrame | None = None) -> DataFrame:
     """(node, ancestor, depth) for links (node, parent): every node itself at depth 0, then upwards; cycles end where they close.
 
+    With ``start`` (node) only the ancestors of those nodes are followed.
     One join per level over the rows of the level before; a level is written down, so plans do not grow.
     """
     links = links.select("node", "parent").where("node is not null").distinct()
     step = links.where("parent is not null").select(F.col("node").alias("at"), F.col("parent").alias("up"))
-    level = links.select("node").distinct().select("node", F.col("node").alias("ancestor"), F.lit(0).alias("depth"), F.array("node").alias("path"))
+    nodes = links.select("node").distinct()
+    nodes = nodes if start is None else nodes.join(start.select("node").distinct(), "node", "left_semi")
+    level = nodes.select("node", F.col("node").alias("ancestor"), F.lit(0).alias("depth"), F.array("node").alias("path"))
     done = level
     for depth in count(1):  # a path repeats no node, so a level is empty at last
         level = level.join(step, F.col("ancestor") == F.col("at")).where(~F.array_contains("path", F.col("up")))
@@ -38,7 +41,7 @@ def spine(clauses: DataFrame, referenced: DataFrame) -> DataFrame:
     """(key, parent) of referenced clauses and all their ancestors; parent only if it is in the spine."""
     links = clauses.select(F.col("key").alias("node"), "parent")
     known = clauses.select("key").distinct()
-    up = ancestors(links).join(referenced.select(F.col("key").alias("node")).distinct(), "node", "left_semi")
+    up = ancestors(links, referenced.select(F.col("key").alias("node")))
     keys = up.select(F.col("ancestor").alias("key")).distinct().join(known, "key", "left_semi")
     held = clauses.select("key", "parent").join(keys, "key", "left_semi")
     parents = keys.select(F.col("key").alias("p"))

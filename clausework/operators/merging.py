@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text as X
@@ -11,10 +10,21 @@ from ..schema import PROV, SpecConfig
 
 
 def first_by(rows: DataFrame, keys: list[str], *order: Column | str, last: bool = False) -> DataFrame:
-    """One row for each key: the first (or last) in order."""
-    by = [F.col(o) if isinstance(o, str) else o for o in order]
-    rank = F.row_number().over(W.partitionBy(*keys).orderBy(*[c.desc() if last else c.asc() for c in by]))
-    return rows.withColumn("rank_", rank).where("rank_ = 1").drop("rank_")
+    """One row for each key: the first (or last) in order; an aggregation, so a frequent key combines before its shuffle."""
+    by = F.struct(*[(F.col(o) if isinstance(o, str) else o).alias(f"o{i}") for i, o in enumerate(order)])
+    pick = F.max_by if last else F.min_by
+    return rows.groupBy(*keys).agg(pick(F.struct(*rows.columns), by).alias("row_")).select("row_.*")
+
+
+#: Bits of the parts of an ``ord`` made of three: 8 sources, clauses and places.
+PLACE_BITS, CLAUSE_BITS = 20, 40
+
+
+def ordinal(source: Column, clause: Column, place: Column) -> Column:
+    """One number that orders by source, clause, place; a part that does not fit is an error, never another's order."""
+    fits = (source.cast("long") < 8) & clause.cast("long").between(0, (1 << CLAUSE_BITS) - 1) & place.cast("long").between(0, (1 << PLACE_BITS) - 1)
+    number = (source.cast("long") * (1 << CLAUSE_BITS) + clause.cast("long")) * (1 << PLACE_BITS) + place.cast("long")
+    return F.when(fits, number).otherwise(F.raise_error(F.concat_ws(" ", F.lit("no order for"), source.cast("string"), clause.cast("string"), place.cast("string"))).cast("long"))
 
 
 def provenance(cfg: SpecConfig, clause: Column, anchor: Column) -> Column:
@@ -44,13 +54,16 @@ def merge_records(records: DataFrame, lineage: str) -> DataFrame:
     """One record for each id: the first in ``ord`` with the provenance of all, in order.
 
     A later record adds those of its items whose clause and anchor no record before it has; items that repeat inside one
-    record stay. Only provenance items are grouped, keyed by id; all else is the first record's.
+    record stay. Only provenance items are grouped, keyed by id; all else is the first record's. Of each clause and anchor
+    the first record's items win in an aggregation, so an id that many records name combines before its shuffles.
     """
     first = first_by(records, ["id"], "ord").drop(lineage)
-    items = records.select("id", F.col("ord").alias("o"), F.posexplode(lineage).alias("pos", "item"))
-    opener = F.min("o").over(W.partitionBy("id", F.col("item.clause"), F.col("item.anchor")))
-    kept = items.withColumn("opener", opener).where("o = opener")
-    lists = kept.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("o", "pos", "item"))).alias("l")).select("id", F.col("l.item").alias(lineage))
+    placed = F.transform(lineage, lambda p, i: F.struct(i.alias("pos"), p.alias("item")))
+    items = records.select("id", F.col("ord").alias("o"), placed.alias("all"), F.explode(F.array_distinct(F.transform(lineage, lambda p: F.struct(p["clause"].alias("clause"), p["anchor"].alias("anchor"))))).alias("k"))
+    same = lambda x: x["item"]["clause"].eqNullSafe(F.col("k.clause")) & x["item"]["anchor"].eqNullSafe(F.col("k.anchor"))
+    items = items.select("id", "k", "o", F.transform(F.filter("all", same), lambda x: F.struct(F.col("o").alias("o"), x["pos"].alias("pos"), x["item"].alias("item"))).alias("mine"))
+    kept = items.groupBy("id", "k").agg(F.min_by("mine", "o").alias("mine"))
+    lists = kept.groupBy("id").agg(F.array_sort(F.flatten(F.collect_list("mine"))).alias("l")).select("id", F.col("l.item").alias(lineage))
     merged = first.join(lists, "id", "left").withColumn(lineage, F.coalesce(lineage, F.array().cast(f"array<{PROV}>")))
     return merged.select(*records.columns)
 
@@ -63,10 +76,10 @@ def facts_to_records(facts: DataFrame, cfg: SpecConfig) -> tuple[DataFrame, Data
     ends = F.array(F.struct(F.lit(0).alias("end"), F.col("subject_type").alias("type"), F.col("subject").alias("label")), F.struct(F.lit(1).alias("end"), F.col("object_type").alias("type"), F.col("object").alias("label")))
     none = F.lit(None).cast("string")
     rows = facts.select("clause_ord", "clause", "pos", "anchor", F.inline(ends))
-    rows = rows.select((F.col("clause_ord").cast("long") * 1_000_000 + F.col("pos") * 2 + F.col("end")).alias("ord"), "clause", "type", "label", "anchor", F.lit("llm").alias("extractor"), none.alias("confidence"), none.alias("review"))
+    rows = rows.select(ordinal(F.lit(0), F.col("clause_ord"), F.col("pos") * 2 + F.col("end")).alias("ord"), "clause", "type", "label", "anchor", F.lit("llm").alias("extractor"), none.alias("confidence"), none.alias("review"))
     entities = entity_records(rows, cfg).withColumn("clause_", F.get("defined_in", F.lit(0))["clause"])
     entities = first_by(entities, ["clause_", "id"], "ord", last=True).drop("clause_")
     of = lambda end: X.canonical_id(F.col(f"{end}_type"), F.col(end), F.lit(cfg.spec))
-    edges = facts.select((F.col("clause_ord").cast("long") * 1_000_000 + F.col("pos")).alias("ord"), F.col("rel").alias("type"), of("subject").alias("src"), of("object").alias("dst"), "clause", "anchor", F.coalesce("modality", F.lit("prose")).alias("modality"), F.coalesce("confidence", F.lit("low")).alias("confidence"), F.lit("llm").alias("procedure_ctx"), F.lit("llm").alias("extractor"))
+    edges = facts.select(ordinal(F.lit(0), F.col("clause_ord"), F.col("pos")).alias("ord"), F.col("rel").alias("type"), of("subject").alias("src"), of("object").alias("dst"), "clause", "anchor", F.coalesce("modality", F.lit("prose")).alias("modality"), F.coalesce("confidence", F.lit("low")).alias("confidence"), F.lit("llm").alias("procedure_ctx"), F.lit("llm").alias("extractor"))
     relations = relation_records(edges, cfg).withColumn("clause_", F.get("provenance", F.lit(0))["clause"])
     return entities, first_by(relations, ["clause_", "id"], "ord").drop("clause_")

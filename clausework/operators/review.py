@@ -28,20 +28,20 @@ def conflict_groups(relations: DataFrame, functional: tuple[str, ...] = FUNCTION
 
 
 def review_queue(entities: DataFrame, relations: DataFrame, warned: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
-    """(section, pos, kind, id, type, src, reason, detail, distance), by section and pos: conflict groups, entities and
-    relations of low or medium confidence, warnings, alias merges."""
+    """(section, pos, sub, kind, id, type, src, reason, detail, distance), in order of section, pos, sub, src, type: conflict
+    groups (by src and type alone), entities and relations of low or medium confidence, warnings, alias merges."""
     none, weak = F.lit(None).cast("string"), F.col("confidence").isin("low", "med")
     first = lambda c: F.get(c, F.lit(0))
 
     def item(rows: DataFrame, section: int, pos: Column, kind: str, **v: Column) -> DataFrame:
         fields = [v.get(c, none).cast("string").alias(c) for c in ("id", "type", "src", "reason", "detail")]
-        return rows.select(F.lit(section).alias("section"), pos.cast("long").alias("pos"), F.lit(kind).alias("kind"), *fields, v.get("distance", F.lit(None)).cast("double").alias("distance"))
+        return rows.select(F.lit(section).alias("section"), pos.cast("long").alias("pos"), v.get("sub", F.lit(0)).cast("int").alias("sub"), F.lit(kind).alias("kind"), *fields, v.get("distance", F.lit(None)).cast("double").alias("distance"))
 
     groups = conflict_groups(relations)
-    queue = item(groups, 0, F.row_number().over(W.orderBy("src", "type")), "conflict-group", type=F.col("type"), src=F.col("src"), detail=F.array_join(F.transform("members", lambda m: m["dst"]), ","))
+    queue = item(groups, 0, F.lit(0), "conflict-group", type=F.col("type"), src=F.col("src"), detail=F.array_join(F.transform("members", lambda m: m["dst"]), ","))
     queue = queue.unionByName(item(entities.where(weak), 1, F.col("ord"), "ambiguous-entity-type", id=F.col("id"), type=F.col("type"), reason=F.col("review"), detail=first("defined_in")["clause"]))
     queue = queue.unionByName(item(relations.where(weak), 2, F.col("ord"), "low-confidence-relation", id=F.col("id"), type=F.col("type"), src=F.col("src"), detail=first("provenance")["anchor"]))
-    queue = queue.unionByName(item(warned, 3, F.col("row_ord") * 1000 + F.col("pos"), "validation-warning", id=F.col("id"), reason=F.col("cat"), detail=F.col("clause")))
+    queue = queue.unionByName(item(warned, 3, F.col("row_ord"), "validation-warning", sub=F.col("pos"), id=F.col("id"), reason=F.col("cat"), detail=F.col("clause")))
     if aliases is not None:
         merges = aliases.where("proposal = 'merge'")
         queue = queue.unionByName(item(merges, 4, F.col("surface_ord"), "alias-suggestion", id=F.col("surface_id"), src=F.col("canonical_id"), reason=F.col("backend"), distance=F.col("distance")))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -24,12 +24,6 @@ CATEGORIES = (
 _COLUMNS = ("rule_ord", "row_ord", "cat", "id", "rel", "slot", "ref", "got", "allowed", "what", "field")
 
 
-def _finding(rows: DataFrame, rule: int, cat: str, **values) -> DataFrame:
-    none = F.lit(None).cast("string")
-    given = {k: F.col(v) if isinstance(v, str) else v for k, v in values.items()}
-    return rows.select(F.lit(rule).alias("rule_ord"), F.col("ord").cast("long").alias("row_ord"), F.lit(cat).alias("cat"), "id", *[given.get(c, none).cast("string").alias(c) for c in _COLUMNS[4:]])
-
-
 def typed_ends(relations: DataFrame, entities: DataFrame) -> DataFrame:
     """relations with src_type, dst_type, src_label, dst_label of their ends' entities; of equal ids the last entity holds."""
     known = first_by(entities.select("id", "type", "label", "ord"), ["id"], "ord", last=True)
@@ -40,50 +34,65 @@ def typed_ends(relations: DataFrame, entities: DataFrame) -> DataFrame:
 
 
 def fitting(typed: DataFrame, ontology: Ontology) -> DataFrame:
-    """typed relations with src_ok, dst_ok and, with ends exchanged, src_swapped, dst_swapped; null types fit nowhere."""
-    allowed = F.broadcast(ontology.allowed(typed.sparkSession))
-    wild = F.broadcast(ontology.wildcards(typed.sparkSession))
+    """typed relations with src_ok, dst_ok and, with ends exchanged, src_swapped, dst_swapped; null types fit nowhere.
+
+    One join with the relation types, which are a few hundred rows at most, each with the types that its ends allow.
+    """
+    spark = typed.sparkSession
+    slots = ontology.allowed(spark).groupBy(F.col("rel").alias("type")).agg(*[F.collect_set(F.when(F.col("slot") == s, F.struct(F.col("type").alias("t"))["t"])).alias(f"{s}_allowed") for s in ("src", "dst")])
+    wild = ontology.wildcards(spark).groupBy(F.col("rel").alias("type")).agg(*[F.max(F.col("slot") == s).alias(f"{s}_wild") for s in ("src", "dst")])
+    typed = typed.join(F.broadcast(slots.join(wild, "type", "full")), "type", "left")
     for slot, end, name in (("src", "src", "src_ok"), ("dst", "dst", "dst_ok"), ("src", "dst", "src_swapped"), ("dst", "src", "dst_swapped")):
-        a = allowed.where(F.col("slot") == slot).select(F.col("rel").alias("type"), F.col("type").alias(f"{end}_type"), F.lit(True).alias("a_"))
-        w = wild.where(F.col("slot") == slot).select(F.col("rel").alias("type"), F.lit(True).alias("w_"))
-        typed = typed.join(a, ["type", f"{end}_type"], "left").join(w, "type", "left")
-        typed = typed.withColumn(name, F.coalesce("a_", "w_", F.lit(False)) & F.col(f"{end}_type").isNotNull()).drop("a_", "w_")
-    return typed
+        fits = F.coalesce(f"{slot}_wild", F.lit(False)) | F.coalesce(F.array_contains(f"{slot}_allowed", F.col(f"{end}_type")), F.lit(False))
+        typed = typed.withColumn(name, fits & F.col(f"{end}_type").isNotNull())
+    return typed.drop("src_allowed", "dst_allowed", "src_wild", "dst_wild")
+
+
+def _found(rule: int, **values: Column) -> Column:
+    none = F.lit(None).cast("string")
+    return F.struct(F.lit(rule).alias("rule_ord"), F.lit(CATEGORIES[rule]).alias("cat"), *[values.get(c, none).cast("string").alias(c) for c in _COLUMNS[4:]])
+
+
+def _lifecycle(rows: DataFrame, what: str, releases: Column) -> Column:
+    """Findings of a row's lifecycle fields that can be told from the row alone."""
+    unknown = lambda r: r.isNotNull() & ~F.array_contains(releases, r)
+    observed = F.transform(F.filter("observed_in", lambda r: ~F.array_contains(releases, r)), lambda r: _found(6, got=r, what=F.lit(what), field=F.lit("observed_in")))
+    fields = [F.when(unknown(F.col(c)), _found(7, got=F.col(c), what=F.lit(what), field=F.lit(c))) for c in ("introduced_in", "valid_until")]
+    return F.concat(F.coalesce(observed, F.array()), F.array_compact(F.array(*fields)))
 
 
 def findings(entities: DataFrame, relations: DataFrame, ontology: Ontology | None = None, subtypes: bool = True) -> DataFrame:
     """Errors: (rule_ord, row_ord, cat, id, rel, slot, ref, got, allowed, what, field, pseudo).
 
-    Without subtypes an end's type must be one that the slot names itself.
+    Without subtypes an end's type must be one that the slot names itself. Entities and relations are read once each: a row
+    gives the list of its findings. Only ids that are superseded need a further join.
     """
     ontology = ontology or Ontology()
     if not subtypes:
         ontology = replace(ontology, entity_types=tuple((t, None) for t, _ in ontology.entity_types))
     spark = entities.sparkSession
-    types = F.broadcast(ontology.types(spark).select("type"))
-    rules = F.broadcast(ontology.relations(spark).withColumnRenamed("rel", "type"))
-    out = [_finding(entities.join(types, "type", "left_anti"), 0, CATEGORIES[0], got="type", what=F.lit("entity"))]
-    out.append(_finding(relations.join(rules, "type", "left_anti"), 1, CATEGORIES[1], rel="type", got="type", what=F.lit("relation")))
-    typed = fitting(typed_ends(relations.join(rules, "type"), entities), ontology)
-    for i, (end, name) in enumerate((("src", "from"), ("dst", "to"))):
-        lost = typed.where(F.col(f"{end}_known").isNull())
-        out.append(_finding(lost, 2 + i, CATEGORIES[2 + i], rel="type", slot=F.lit(name), ref=end, what=F.lit("relation")))
-        wrong = typed.where(F.col(f"{end}_type").isNotNull() & ~F.col(f"{end}_ok"))
-        out.append(_finding(wrong, 4 + i, CATEGORIES[4 + i], rel="type", slot=F.lit(name), ref=end, got=f"{end}_type", allowed=("domain", "range")[i], what=F.lit("relation")))
+    types = F.broadcast(ontology.types(spark).select("type", F.lit(True).alias("declared")))
+    rules = F.broadcast(ontology.relations(spark).withColumnRenamed("rel", "type").withColumn("declared", F.lit(True)))
     releases = F.array(*[F.lit(r) for r in ontology.releases])
-    both = entities.select("ord", "id", F.lit("entity").alias("what"), "observed_in", "introduced_in", "valid_until", "supersedes").unionByName(relations.select("ord", "id", F.lit("relation").alias("what"), "observed_in", "introduced_in", "valid_until", "supersedes"))
-    observed = both.withColumn("r", F.explode("observed_in")).where(~F.array_contains(releases, F.col("r")))
-    out.append(_finding(observed, 6, CATEGORIES[6], got="r", what="what", field=F.lit("observed_in")))
-    fields = both.select("ord", "id", "what", F.explode(F.create_map(F.lit("introduced_in"), F.col("introduced_in"), F.lit("valid_until"), F.col("valid_until"))).alias("field", "r"))
-    out.append(_finding(fields.where(F.col("r").isNotNull() & ~F.array_contains(releases, F.col("r"))), 7, CATEGORIES[7], got="r", what="what", field="field"))
-    ids = entities.select(F.col("id").alias("supersedes")).union(relations.select("id")).distinct()
-    out.append(_finding(both.where("supersedes is not null").join(ids, "supersedes", "left_anti"), 8, CATEGORIES[8], got="supersedes", what="what", field=F.lit("supersedes")))
-    all_of = out[0]
-    for f in out[1:]:
-        all_of = all_of.unionByName(f)
-    pseudo = ontology.relations(spark).select("rel", F.col("pseudo_src").alias("ps"), F.col("pseudo_dst").alias("pd"))
-    flagged = all_of.join(F.broadcast(pseudo), "rel", "left")
-    slot = F.when(F.col("slot") == "from", F.col("ps")).when(F.col("slot") == "to", F.col("pd"))
+    c = F.col
+    spread = lambda rows, lists: rows.select(c("ord").cast("long").alias("row_ord"), "id", F.inline(F.concat(*lists)))
+    own = F.array_compact(F.array(F.when(c("declared").isNull(), _found(0, got=c("type"), what=F.lit("entity")))))
+    out = spread(entities.join(types, "type", "left"), [own, _lifecycle(entities, "entity", releases)])
+    typed = fitting(typed_ends(relations.join(rules, "type", "left"), entities), ontology)
+    known, relation = c("declared").isNotNull(), F.lit("relation")
+    ends = [F.when(~known, _found(1, rel=c("type"), got=c("type"), what=relation))]
+    for i, (end, name) in enumerate((("src", "from"), ("dst", "to"))):
+        ends.append(F.when(known & c(f"{end}_known").isNull(), _found(2 + i, rel=c("type"), slot=F.lit(name), ref=c(end), what=relation)))
+        wrong = known & c(f"{end}_type").isNotNull() & ~c(f"{end}_ok")
+        ends.append(F.when(wrong, _found(4 + i, rel=c("type"), slot=F.lit(name), ref=c(end), got=c(f"{end}_type"), allowed=c(("domain", "range")[i]), what=relation)))
+    out = out.unionByName(spread(typed, [F.array_compact(F.array(*ends)), _lifecycle(relations, "relation", releases)]))
+    named = lambda rows, what: rows.select("ord", "id", "supersedes", F.lit(what).alias("what"))
+    ids = entities.select(c("id").alias("supersedes")).union(relations.select("id")).distinct()
+    lost = named(entities, "entity").unionByName(named(relations, "relation")).where("supersedes is not null").join(ids, "supersedes", "left_anti")
+    out = out.unionByName(spread(lost, [F.array(_found(8, got=c("supersedes"), what=c("what"), field=F.lit("supersedes")))]))
+    pseudo = ontology.relations(spark).select("rel", c("pseudo_src").alias("ps"), c("pseudo_dst").alias("pd"))
+    flagged = out.join(F.broadcast(pseudo), "rel", "left")
+    slot = F.when(c("slot") == "from", c("ps")).when(c("slot") == "to", c("pd"))
     return flagged.withColumn("pseudo", F.coalesce(slot, F.lit(False))).select(*_COLUMNS, "pseudo")
 
 
@@ -102,7 +111,7 @@ def warnings(entities: DataFrame, relations: DataFrame, haystacks: DataFrame, ve
 
 
 def messages(found: DataFrame) -> DataFrame:
-    """found with message: one line for each error."""
+    """found with message: one line for each error. The wordings are fixed values."""
     c = F.col
     text = (
         F.when(c("cat") == CATEGORIES[0], F.format_string("entity %s undeclared type %s", c("id"), c("got")))

@@ -37,7 +37,7 @@ def build(clauses: DataFrame, cfg: SpecConfig, facts: DataFrame | None = None, s
     if facts is not None:
         flat = facts.select("clause_ord", "clause", F.posexplode("facts").alias("pos", "f")).select("clause_ord", "clause", "pos", "f.*")
         more_e, more_r = merging.facts_to_records(flat, cfg)
-        late = F.col("ord") + (1 << 60)
+        late = F.col("ord") + (4 << (merging.CLAUSE_BITS + merging.PLACE_BITS))  # behind all that needs no model
         entities = merging.merge_records(entities.unionByName(more_e.withColumn("ord", late)), "defined_in")
         relations = merging.merge_records(relations.unionByName(more_r.withColumn("ord", late)), "provenance")
     entities, relations = checkpointed(entities), checkpointed(relations)

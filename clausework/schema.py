@@ -14,7 +14,7 @@ LIFE = "observed_in array<string>, introduced_in string, valid_until string, sup
 ENTITIES = f"ord long, id string, type string, label string, extractor string, confidence string, review string, defined_in array<{PROV}>, {LIFE}"
 RELATIONS = f"ord long, id string, type string, src string, dst string, modality string, confidence string, procedure_ctx string, attrs map<string,string>, extractor string, provenance array<{PROV}>, {LIFE}"
 FINDINGS = "rule_ord int, row_ord long, cat string, id string, rel string, slot string, ref string, got string, allowed string"
-REVIEW = "section int, pos long, kind string, id string, type string, src string, reason string, detail string, distance double"
+REVIEW = "section int, pos long, sub int, kind string, id string, type string, src string, reason string, detail string, distance double"
 
 #: Ordered releases.
 RELEASES = ("Rel-15", "Rel-16", "Rel-17", "Rel-18", "Rel-19", "Rel-20")
@@ -56,6 +56,7 @@ RELATION_TYPES = {
     "NEXT_RELEASE": (("Release",), ("Release",)),
     "SUPERSEDES": (("*",), ("*",)),
 }
+#: Relation types whose subject has one object.
 FUNCTIONAL = ("HAS_DOMAIN", "ON_EXPIRY_OF", "GOVERNS")
 #: Retyping rules (relation, type of its source, type of its target, new relation).
 RETYPE_RULES = (("TRIGGERS", "Procedure", "Event", "RAISES"),)

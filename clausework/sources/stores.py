@@ -10,7 +10,7 @@ from ..schema import ENTITIES, FINDINGS, RELATIONS, REVIEW, SpecConfig
 _CLAUSE = "struct<id:string,key:string,number:string,title:string,level:int,parent:string,text:string,tables:int>"
 STORE = f"spec string, version string, release string, source_file string, clause_count int, table_count int, clauses map<string,{_CLAUSE}>"
 FACT = "struct<subject:string,subject_type:string,rel:string,object:string,object_type:string,modality:string,confidence:string,anchor:string>"
-LOG = f"type string, spec string, version string, model string, prompt_variant string, max_clause_chars int, sentinel boolean, clause string, facts array<{FACT}>, corrupt string"
+LOG = f"type string, spec string, version string, model string, prompt_variant string, max_clause_chars int, sentinel boolean, clause string, facts array<{FACT}>, appended long, corrupt string"
 #: A run may go on from a log only if these agree.
 HEADER = ("spec", "version", "model", "prompt_variant", "max_clause_chars", "sentinel")
 SUGGESTIONS = "surface_ord long, surface_id string, surface_label string, surface_type string, canonical_id string, canonical_label string, canonical_type string, exact double, distance double, backend string, proposal string"
@@ -90,23 +90,28 @@ class HeaderMismatch(ValueError):
 def read_log(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(headers, records) of an append log of JSON lines: blank and torn lines are skipped, of a clause's records the last holds.
 
-    Lines are in order of file and place; each append writes files of its own, whose names sort by their batch.
+    Lines are in order of their append's number (0 where there is none), then of file and place.
     """
     lines = spark.read.schema(LOG).json(path, columnNameOfCorruptRecord="corrupt", mode="PERMISSIVE")
-    good = lines.withColumn("line", F.struct(F.input_file_name(), F.monotonically_increasing_id())).where("corrupt is null")
+    good = lines.withColumn("line", F.struct(F.coalesce("appended", F.lit(0)), F.input_file_name(), F.monotonically_increasing_id())).where("corrupt is null")
     headers = good.where("type = 'header'").select("line", *HEADER)
     records = good.where("clause is not null").groupBy("clause").agg(F.max_by("facts", "line").alias("facts"))
     return headers.orderBy(F.desc("line")).limit(1).drop("line"), records
 
 
 def append_log(records: DataFrame, path: str, header: dict | None = None) -> None:
-    """Adds (clause, facts) records, and a header first for a fresh log; files are added whole or not at all."""
+    """Adds (clause, facts) records, and a header first for a fresh log; files are added whole or not at all.
+
+    Every append has the next number, which its lines carry; a log has one writer at a time.
+    """
+    spark = records.sparkSession
     if header is not None:
-        spark = records.sparkSession
         kinds = {"max_clause_chars": "int", "sentinel": "boolean"}
         head = spark.createDataFrame([("header", *[header.get(k) for k in HEADER])], "type string, " + ", ".join(f"{k} {kinds.get(k, 'string')}" for k in HEADER))
         head.coalesce(1).write.mode("overwrite").json(path)
-    records.select("clause", "facts").write.mode("append").option("ignoreNullFields", "false").json(path)
+    last = spark.read.schema(LOG).json(path, columnNameOfCorruptRecord="corrupt", mode="PERMISSIVE").agg(F.max("appended")).first()[0] if exists(spark, path) else None
+    numbered = records.select("clause", "facts", F.lit((last or 0) + 1).cast("long").alias("appended"))
+    numbered.write.mode("append").option("ignoreNullFields", "false").json(path)
 
 
 def check_header(header: DataFrame, current: dict) -> None:

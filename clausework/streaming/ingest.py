@@ -28,11 +28,11 @@ def ingest(docs: DataFrame, cfg: SpecConfig, out: str, checkpoint: str) -> Strea
 
 
 def merged(spark: SparkSession, out: str) -> tuple[DataFrame, DataFrame]:
-    """(entities, relations) over all batches: earlier batches' records come first."""
+    """(entities, relations) over all batches, ord as (batch, ord): earlier batches' records come first."""
     result = []
     for name, lineage in (("entities", "defined_in"), ("relations", "provenance")):
         rows = spark.read.parquet(f"{out}/{name}")
-        rows = rows.withColumn("ord", F.col("batch").cast("long") * (1 << 56) + F.col("ord") % (1 << 56)).drop("batch")
+        rows = rows.withColumn("ord", F.struct(F.col("batch").cast("long").alias("batch"), "ord")).drop("batch")
         result.append(merging.merge_records(rows, lineage))
     return result[0], result[1]
 
