@@ -1,18 +1,18 @@
 """Removal of repeated passages by suffix order and previous/next matches, for passages of ``min_bytes`` or more.
 
 A byte is repeated if a string of ``min_bytes`` bytes that covers it also starts elsewhere. Suffixes cut to that length are
-the unit: in their sorted order, equal ones stand side by side in order of position, so a suffix's previous smaller position
-is an earlier occurrence exactly if its neighbour before shares all ``min_bytes`` bytes (its longest previous factor is
-long enough), and the next one likewise a later occurrence. One global suffix array does not distribute, so suffixes are
-dealt to buckets that keep every match together:
+the unit: in suffix order, the longest string of a suffix that also starts earlier is the longer of its common prefixes with
+the nearest suffixes before and after it that stand at smaller positions (``previous_factors``). A suffix whose longest
+previous factor has all ``min_bytes`` bytes is a later copy, one whose longest next factor has them has a later copy. One
+global suffix array does not distribute, so suffixes are dealt to buckets that keep every match together:
 
 * each suffix is owned by its anchor, the k-gram with the least hash among those inside its ``min_bytes`` bytes (leftmost
   of equals). Equal suffixes have equal anchors at equal distance. Neighbouring suffixes with one anchor form a run of at
   most ``min_bytes - K + 1`` suffixes, one row ``(anchor hash, hash of the run's bytes, text, place)``;
-* runs with equal bytes match as a whole and need no sorting; where an anchor stands in runs with different bytes, the first
-  run of each kind is sorted: its suffixes, their common prefixes and previous/next positions. An anchor with more than
-  ``CROWD`` kinds is not gathered in one task: its suffixes are grouped by the hash of their bytes instead, first and last
-  place of each, which says the same.
+* runs with equal bytes (by 128 bits of hashes: the anchor's and the run's) match as a whole and need no sorting; where an
+  anchor stands in runs with different bytes, the first run of each kind is sorted: its suffixes, their common prefixes and
+  their longest previous and next factors. An anchor with more than ``CROWD`` kinds is not gathered in one task: its suffixes
+  are grouped by their bytes instead, first and last place of each, which says the same.
 
 Everything before the sort is joins and aggregations that combine before their shuffles, so neither a frequent anchor nor
 a frequent passage meets in one task.
@@ -46,6 +46,9 @@ SORT_ROWS = 150_000
 #: Kinds of runs of one anchor above which its suffixes are looked up by their hashes, over all tasks, instead of sorted in one.
 CROWD = 5_000
 _NULL_ID = -(1 << 63)
+#: A run's place is its start and, in the low bits, how many suffixes it has.
+SIZE_BITS = 20
+_SIZE = (1 << SIZE_BITS) - 1
 
 
 def anchor_runs(data: np.ndarray, offsets: np.ndarray, min_bytes: int, k: int) -> tuple[np.ndarray, ...]:
@@ -89,31 +92,29 @@ def _anchors(min_bytes: int, k: int):
             doc = batch.column("doc").to_numpy(zero_copy_only=False)
             for lo, _, part, at in X.slices(data, offsets):
                 r, start, size, h, c = anchor_runs(part, at, min_bytes, k)
-                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(c), pa.array(key[lo + r]), pa.array(start * 256 + size), pa.array(doc[lo + r])], ["h", "c", "k1", "at", "doc"])
+                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(c), pa.array(key[lo + r]), pa.array((start << SIZE_BITS) + size), pa.array(doc[lo + r])], ["h", "c", "k1", "at", "doc"])
 
     return run
 
 
 def _cut(min_bytes: int):
     """Rows (h, doc, k1, at, bytes) of the runs to sort, out of the texts that hold them; of crowded anchors' runs, a row
-    without bytes for each suffix, with the hash of its first min_bytes bytes as h."""
+    without h for each suffix, with its first min_bytes bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = X.utf8(batch.column("text"))
             for i, runs in enumerate(batch.column("runs").to_pylist()):
                 k, d = batch.column("k1")[i].as_py(), batch.column("doc")[i].as_py()
-                text = data[offsets[i] : offsets[i + 1]]
-                whole = text.tobytes()
+                whole = data[offsets[i] : offsets[i + 1]].tobytes()
                 h, at, got = [], [], []
                 for r in runs:
-                    lo, size = r["at"] >> 8, r["at"] & 255
+                    lo, size = r["at"] >> SIZE_BITS, r["at"] & _SIZE
                     if r["crowded"]:
-                        part = text[lo : lo + size - 1 + min_bytes]
-                        starts = np.arange(size)
-                        h += X.Hashes(part).of(starts, starts + min_bytes).view(np.int64).tolist()
-                        at += ((lo + starts) * 256 + 1).tolist()
-                        got += [None] * size
+                        starts = range(lo, lo + size)
+                        h += [None] * size
+                        at += [(x << SIZE_BITS) + 1 for x in starts]
+                        got += [whole[x : x + min_bytes] for x in starts]
                     else:
                         h.append(r["h"])
                         at.append(r["at"])
@@ -123,11 +124,30 @@ def _cut(min_bytes: int):
     return run
 
 
+def previous_factors(position: list[int], lcp: list[int]) -> list[int]:
+    """Of each suffix, in suffix order, the length of its longest string that also starts at a smaller position.
+
+    ``lcp[i]`` is the common prefix of suffixes i - 1 and i. A stack holds suffixes of rising positions, each with its common
+    prefix with the one below, its previous smaller position; the suffix that takes one off is its next smaller position.
+    """
+    n = len(position)
+    out, stack = [0] * n, []
+    for i in range(n + 1):
+        p, shared = (position[i], lcp[i]) if i < n else (None, 0)
+        while stack and (p is None or stack[-1][0] > p):
+            _, below, top = stack.pop()
+            out[top] = below if below > shared else shared
+            if below < shared:
+                shared = below
+        if i < n:
+            stack.append((p, shared if stack else 0, i))
+    return out
+
+
 def suffix_matches(windows: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(has an earlier match, has a later match) of rows of ``windows`` (n x length bytes) in positions ``order``.
+    """(longest previous, longest next factor) of rows of ``windows`` (n x length bytes) in positions ``order``, both cut to length.
 
-    Sorts the windows, equal ones by position; the common prefix of neighbours says where one kind ends, and inside a kind
-    the neighbour before is the previous smaller position and the one after the next larger.
+    A longest next factor is a longest previous one with positions counted from the end.
     """
     n, length = windows.shape
     by_position = np.argsort(order, kind="stable")
@@ -135,30 +155,30 @@ def suffix_matches(windows: np.ndarray, order: np.ndarray) -> tuple[np.ndarray,
     suffixes = np.argsort(w.view(f"S{length}").ravel(), kind="stable")
     w = w[suffixes]
     differ = w[1:] != w[:-1]
-    lcp = np.where(differ.any(axis=1), differ.argmax(axis=1), length)
-    same = lcp >= length
-    back, ahead = np.zeros(n, bool), np.zeros(n, bool)
+    lcp = [0, *np.where(differ.any(axis=1), differ.argmax(axis=1), length).tolist()][:n]
+    back, ahead = np.zeros(n, np.int64), np.zeros(n, np.int64)
     at = by_position[suffixes]
-    back[at[1:]] = same
-    ahead[at[:-1]] = same
+    position = order[at]
+    back[at] = previous_factors(position.tolist(), lcp)
+    ahead[at] = previous_factors((-position).tolist(), lcp)
     return back, ahead
 
 
 def _sorted_runs(min_bytes: int):
     def emit(rows: dict[str, list]) -> pa.RecordBatch:
         """Suffix order over whole anchors' runs; rows (k1, doc, start, end, earlier) of repeated suffixes."""
-        sizes = np.array([a & 255 for a in rows["at"]])
+        sizes = np.array([a & _SIZE for a in rows["at"]])
         text = np.frombuffer(b"".join(rows["bytes"]), np.uint8)
         base = np.concatenate([[0], np.cumsum(sizes - 1 + min_bytes)])[:-1]
         member = np.repeat(np.arange(len(sizes)), sizes)
         inner = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        place = np.lexsort((np.array([a >> 8 for a in rows["at"]]), np.array(rows["k1"]), np.array(rows["doc"])))
+        place = np.lexsort((np.array([a >> SIZE_BITS for a in rows["at"]]), np.array(rows["k1"]), np.array(rows["doc"])))
         rank = np.empty(len(sizes), np.int64)
         rank[place] = np.arange(len(sizes))
-        position = rank[member] * 256 + inner
+        position = (rank[member] << SIZE_BITS) + inner
         starts = base[member] + inner
         view = np.lib.stride_tricks.sliding_window_view(text, min_bytes)
-        back, ahead = np.zeros(len(member), bool), np.zeros(len(member), bool)
+        back, ahead = np.zeros(len(member), np.int64), np.zeros(len(member), np.int64)
         if len(member) <= 2 * SORT_ROWS:
             back, ahead = suffix_matches(view[starts], position)
         else:  # one large group: suffixes with the same two first bytes at a time
@@ -166,9 +186,10 @@ def _sorted_runs(min_bytes: int):
             for v in np.unique(lead):
                 some = np.flatnonzero(lead == v)
                 back[some], ahead[some] = suffix_matches(view[starts[some]], position[some])
+        back, ahead = back >= min_bytes, ahead >= min_bytes
         hit = np.flatnonzero(back | ahead)
         m = member[hit]
-        start = np.array([a >> 8 for a in rows["at"]])[m] + inner[hit]
+        start = np.array([a >> SIZE_BITS for a in rows["at"]])[m] + inner[hit]
         edge = np.ones(len(hit), bool)
         edge[1:] = (m[1:] != m[:-1]) | (start[1:] != start[:-1] + 1) | (back[hit][1:] != back[hit][:-1])
         lo = np.flatnonzero(edge)
@@ -215,10 +236,12 @@ def _joined(runs: list[tuple[int, int]]) -> list[int]:
 def repeated_suffixes(docs: DataFrame, min_bytes: int = MIN_BYTES, k: int = K, crowd: int = CROWD) -> DataFrame:
     """(k1, k2, copies, doc, every, later) of texts that repeat: keys of the text, its rows and least doc_id, and the runs
     [start, end, start, end, ...] of its repeated suffixes: all of them, and those with an earlier occurrence."""
+    if min_bytes - k + 1 > _SIZE:
+        raise ValueError(f"passages of more than {_SIZE + k - 1} bytes are not supported")
     keyed = _keyed(docs)
     texts = keyed.groupBy("k1", "k2").agg(F.min("doc").alias("doc"), F.count(F.lit(1)).alias("copies"))
     long = keyed.where(F.octet_length("text") >= min_bytes).select("text", "k1", "doc")
-    rows = long.mapInArrow(_anchors(min_bytes, k), "h long, c long, k1 long, at long, doc long")
+    rows = stored(long.mapInArrow(_anchors(min_bytes, k), "h long, c long, k1 long, at long, doc long"), "runs")
     # anchors that stand more than once, and whether in runs of several kinds; then only their runs
     anchors = rows.groupBy("h").agg(F.count(F.lit(1)).alias("n"), (F.min("c") < F.max("c")).alias("mixed")).where("n > 1").select("h", "mixed")
     anchors = stored(anchors, "repeated")  # a table of its own, so that Spark can split the join at a frequent anchor
@@ -228,22 +251,22 @@ def repeated_suffixes(docs: DataFrame, min_bytes: int = MIN_BYTES, k: int = K, c
     kinds = stored(kinds.where("mixed or first <> last"), "kinds")
     # runs with equal bytes repeat as a whole
     members = shared.join(kinds.where("first <> last").select("h", "c", "first"), ["h", "c"])
-    start = F.shiftright("place.at", 8)
-    wholes = members.select("place.k1", "place.doc", start.alias("start"), (start + F.col("place.at").bitwiseAND(255) - 1).alias("end"), (F.col("place") > F.col("first")).alias("earlier"))
+    start = F.shiftright("place.at", SIZE_BITS)
+    wholes = members.select("place.k1", "place.doc", start.alias("start"), (start + F.col("place.at").bitwiseAND(_SIZE) - 1).alias("end"), (F.col("place") > F.col("first")).alias("earlier"))
     # of mixed anchors the first run of each kind is sorted, or looked up suffix by suffix where there are too many
     mixed = kinds.where("mixed")
     crowded = mixed.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > crowd).select("h", F.lit(True).alias("crowded"))
     chosen = mixed.join(crowded, "h", "left").select("first.k1", "first.doc", F.struct("h", "first.at", F.coalesce("crowded", F.lit(False)).alias("crowded")).alias("run"))
     lists = chosen.groupBy("k1", "doc").agg(F.collect_list("run").alias("runs"))
     cut = long.join(maybe_broadcast(lists, mixed.count(), 40), ["k1", "doc"]).mapInArrow(_cut(min_bytes), "h long, doc long, k1 long, at long, bytes binary")
-    cut = stored(cut, "runs")
-    sorted_runs = cut.where("bytes is not null").repartition("h").sortWithinPartitions("h")
+    cut = stored(cut, "cut")
+    sorted_runs = cut.where("h is not null").repartition("h").sortWithinPartitions("h")
     found = sorted_runs.mapInArrow(_sorted_runs(min_bytes), "k1 long, doc long, start long, end long, earlier boolean")
-    single = cut.where("bytes is null").select("h", place.alias("place"))
-    ends = single.groupBy("h").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first <> last").select("h", "first")
+    single = cut.where("h is null").select("bytes", place.alias("place"))
+    ends = single.groupBy("bytes").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first <> last").select("bytes", "first")
     ends = stored(ends, "ends")
-    at = F.shiftright("place.at", 8)
-    looked_up = single.join(ends, "h").select("place.k1", "place.doc", at.alias("start"), at.alias("end"), (F.col("place") > F.col("first")).alias("earlier"))
+    at = F.shiftright("place.at", SIZE_BITS)
+    looked_up = single.join(ends, "bytes").select("place.k1", "place.doc", at.alias("start"), at.alias("end"), (F.col("place") > F.col("first")).alias("earlier"))
     runs = wholes.unionByName(found).unionByName(looked_up).groupBy("k1", "doc").agg(F.collect_list(F.struct("start", "end", "earlier")).alias("runs"))
     runs = runs.mapInArrow(_merge, "k1 long, doc long, every array<long>, later array<long>")
     return texts.join(runs, ["k1", "doc"], "left").where("copies > 1 or every is not null")

@@ -75,4 +75,26 @@ def test_previous_and_next_positions():
     text = np.frombuffer(b"abcabcab", np.uint8)
     windows = np.lib.stride_tricks.sliding_window_view(text, 3)
     back, ahead = S.suffix_matches(windows, np.arange(6))
-    assert back.tolist() == [False, False, False, True, True, True] and ahead.tolist() == [True, True, True, False, False, False]
+    assert back.tolist() == [0, 0, 0, 3, 3, 3] and ahead.tolist() == [3, 3, 3, 0, 0, 0]
+
+
+def test_previous_and_next_factors_against_brute_force():
+    rng = np.random.default_rng(5)
+    for letters, length in ((2, 12), (4, 6), (1, 9)):
+        windows = rng.integers(97, 97 + letters, (150, length)).astype(np.uint8)
+        order = rng.permutation(150)
+        back, ahead = S.suffix_matches(windows, order)
+        shared = lambda a, b: int(np.argmin(np.append(windows[a] == windows[b], False)))  # noqa: B023, E731
+        for i in range(150):
+            assert back[i] == max((shared(i, j) for j in range(150) if order[j] < order[i]), default=0)
+            assert ahead[i] == max((shared(i, j) for j in range(150) if order[j] > order[i]), default=0)
+
+
+@pytest.mark.parametrize("keep_first", [False, True])
+def test_long_passages_and_a_very_long_text(spark, keep_first):
+    rng = random.Random(21)
+    letters = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = letters(700)
+    rows = [(i, letters(300) + passage[i * 20 :] + letters(200)) for i in range(8)] + [(8, letters(150_000) + passage + letters(150_000)), (9, letters(390))]
+    got = S.substring_dedup(spark.createDataFrame(rows, SCHEMA), 400, keep_first, digest=True).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == brute(rows, 400, keep_first)
