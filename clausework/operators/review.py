@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions.kernels import lexical_distance
+from ..provider import vectors_of
 from ..schema import FUNCTIONAL
+from ..storage import checkpointed
 
 #: Edges of the histogram of distances, and the upper bounds of the coarse one.
 EDGES = (0, 0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.35, 0.4, 0.45, 0.5, 0.6, 0.7, 0.8, 0.9, 1.01)
@@ -69,6 +71,18 @@ def proposals(found: DataFrame, rho: float, backend: str) -> DataFrame:
     return found.withColumns({"distance": F.bround("exact", 4), "backend": F.lit(backend), "proposal": F.when(F.col("exact") < rho, "merge").otherwise("new-entity")})
 
 
+def aligned(entities: DataFrame, compatible: DataFrame, rho: float, embed: Callable[[list[str]], list[list[float]]] | None = None, size: int = 32) -> DataFrame:
+    """Suggestions by the vectors of a source, or by labels where there is none or it fails for good; rows name their backend."""
+    vectors = None
+    if embed is not None:
+        try:
+            vectors = checkpointed(vectors_of(entities, embed, size))
+        except Exception as e:  # a task's error reaches the driver inside Spark's own
+            if "EngineError" not in str(e):
+                raise
+    return suggest_aliases(entities, compatible, rho, vectors)
+
+
 def suggest_aliases(entities: DataFrame, compatible: DataFrame, rho: float, vectors: DataFrame | None = None) -> DataFrame:
     """Suggestions for model-made entities whose id no deterministic one has: by vectors (label, vector) if given, else by labels."""
     canonical = entities.where(F.startswith(F.coalesce("extractor", F.lit("")), F.lit("deterministic")))

@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 from ..functions import kernels as K
 from ..functions import text as X
 from ..operators import audit, comparison, corpus, curated, extraction, graphs, history, merging, review, validation
-from ..sources import documents
+from ..provider import facts_of, replies
+from ..sources import documents, exports, stores
+from ..storage import scratch
+from ..streaming import ingest
 from . import adapters as A
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -356,10 +359,10 @@ _ALIAS = """WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e, label FROM embed
 best AS (SELECT s.vec_id AS surface, c.vec_id AS canonical, 1 - list_cosine_similarity(s.e, c.e) AS d FROM v s JOIN v c ON s.label = c.label AND s.vec_id % 2 = 1 AND c.vec_id % 2 = 0 QUALIFY row_number() OVER (PARTITION BY s.vec_id ORDER BY d, c.vec_id) = 1)"""
 
 
-def _aliases(spark, d):
+def _aliases(spark, d, rho=0.5):
     v = A.table(spark, d, "embeddings").select(F.col("vec_id").alias("ord"), F.col("vec_id").alias("id"), F.col("vec_id").alias("label"), F.col("label").alias("type"), F.col("embedding").alias("vector"))
     same = v.select(F.col("type").alias("a"), F.col("type").alias("b")).distinct()
-    return review.proposals(review.nearest(v.where("ord % 2 = 1"), v.where("ord % 2 = 0"), same, X.cosine_distance, "vector"), 0.5, "embedding")
+    return review.proposals(review.nearest(v.where("ord % 2 = 1"), v.where("ord % 2 = 0"), same, X.cosine_distance, "vector"), rho, "embedding")
 
 
 @query(_ALIAS + " SELECT surface, canonical, round(d, 4) AS distance FROM best")
@@ -401,11 +404,14 @@ def q_pairwise_jaccard(spark, d):
     return comparison.set_compare(A.table(spark, d, "events").select(F.col("event_type").alias("label"), F.col("user_id").alias("id")))
 
 
-@query("SELECT id, side FROM (SELECT user_id AS id, 'only_a' AS side FROM events WHERE event_id % 97 = 1 EXCEPT SELECT user_id, 'only_a' FROM events WHERE event_id % 97 = 2) UNION ALL (SELECT user_id, 'only_b' FROM events WHERE event_id % 97 = 2 EXCEPT SELECT user_id, 'only_b' FROM events WHERE event_id % 97 = 1)")
+_TYPED_DAYS = "WITH k AS (SELECT DISTINCT user_id || ':' || floor(epoch(ts) / 86400)::BIGINT AS id, event_type IN ('purchase', 'signup') AS a FROM events)"
+
+
+@query(_TYPED_DAYS + " SELECT id, CASE WHEN bool_or(a) THEN 'only_a' ELSE 'only_b' END AS side FROM k GROUP BY id HAVING count(*) = 1")
 def q_set_compare(spark, d):
-    e = A.table(spark, d, "events")
-    pick = lambda n: e.where(F.col("event_id") % 97 == n).select(F.col("user_id").alias("id"))
-    return comparison.set_differences(pick(1), pick(2))
+    day = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 86400).cast("long")
+    keys = A.table(spark, d, "events").select(F.concat_ws(":", "user_id", day).alias("id"), F.col("event_type").isin("purchase", "signup").alias("a"))
+    return comparison.set_differences(keys.where("a").select("id"), keys.where("not a").select("id"))
 
 
 @query("""WITH p AS (SELECT l_partkey AS src, l_suppkey AS dst, bool_or(l_returnflag = 'A') AS a, bool_or(l_returnflag = 'R') AS b FROM lineitem WHERE l_returnflag IN ('A', 'R') GROUP BY 1, 2)
@@ -636,3 +642,264 @@ def q_blips(spark, d):
 def q_near_duplicate_labels(spark, d):
     rows = A.table(spark, d, "part").select(F.col("p_partkey").alias("id"), F.lit("Part").alias("type"), F.concat_ws("_", "p_brand", F.upper("p_type")).alias("label"))
     return audit.near_duplicates(rows).select("norm", F.size("ids").cast("long").alias("n"))
+
+
+# --- stores, logs, model replies -------------------------------------------------------------------------------------
+
+
+@query("SELECT user_id::VARCHAR AS clause, max(event_type) AS last FROM events GROUP BY user_id")
+def q_log_last_wins(spark, d):
+    """Each type of event is one append of a log with a record for each user: the last append that names a user holds."""
+    rows = A.table(spark, d, "events").select("user_id", "event_type").distinct()
+    path = scratch(spark, "log")
+    header = {k: "x" for k in stores.HEADER} | {"max_clause_chars": 1, "sentinel": False}
+    fact = F.from_json(F.to_json(F.struct(F.col("event_type").alias("subject"))), stores.FACT)
+    for i, r in enumerate(sorted(rows.select("event_type").distinct().collect())):
+        part = rows.where(F.col("event_type") == r.event_type)
+        stores.append_log(part.select(F.col("user_id").cast("string").alias("clause"), F.array(fact).alias("facts")), path, None if i else header)
+    return stores.read_log(spark, path)[1].select("clause", F.col("facts")[0]["subject"].alias("last"))
+
+
+@query(_FILTER + """, t AS (SELECT measure, count(*) AS n FROM (SELECT unnest(['total', CASE WHEN reason IS NULL THEN 'kept' ELSE 'dropped' END, CASE WHEN reason IS NULL AND structural THEN 'kept_by_structure' END, 'reason:' || reason]) AS measure FROM filtered) WHERE measure IS NOT NULL GROUP BY measure)
+SELECT label, measure, n FROM t, (VALUES ('first'), ('second')) v(label)""")
+def q_snapshots(spark, d):
+    """Two runs' tables beside each other, the second written twice; a table that no run wrote is empty if optional."""
+    snapshots = stores.Snapshots(spark, scratch(spark, "snapshots"))
+    report = corpus.relevance_report(_filtered(spark, d))
+    snapshots.write("filter", report, A.CONFIG, "first")
+    for rows in (report.limit(1), report):
+        snapshots.write("filter", rows, A.CONFIG, "second")
+    none = snapshots.read("aliases", optional=True).select("label", F.col("backend").alias("measure"), F.col("surface_ord").alias("n"))
+    return snapshots.read("filter").select("label", "measure", "n").unionByName(none)
+
+
+@query("WITH" + _CLAUSE + " SELECT key AS clause, CASE WHEN doc_id % 3 = 0 THEN 0 WHEN doc_id % 3 = 1 THEN 1 ELSE 2 END::INT AS facts, CASE WHEN doc_id % 3 > 0 THEN key END AS subject FROM clauses")
+def q_model_facts(spark, d):
+    """Replies of a source that reasons first, answers in vain at first, and states as many facts as doc_id by 3 leaves."""
+    import json
+
+    def source(request: list[dict]) -> str:
+        key = request[1]["content"].split("Clause ", 1)[1].split(" ", 1)[0]
+        fact = {"subject": key, "subject_type": "Event", "rel": "RAISES", "object": "x", "object_type": "Procedure"}
+        n = int(key.rsplit(".", 1)[1]) % 3
+        return "<think>[1]</think>no" if n == 2 and len(request) < 3 else f"<think>[{{</think>{json.dumps([fact] * n)} so."
+
+    got = facts_of(replies(A.clauses(spark, d), A.CONFIG, source, max_chars=0))
+    return got.select("clause", F.size("facts").alias("facts"), F.get("facts", F.lit(0))["subject"].alias("subject"))
+
+
+# --- whole extraction, warnings, evaluation, review ------------------------------------------------------------------
+
+_TITLED = "trim(title) AS label FROM {0} WHERE lower(trim(title)) NOT IN ('general', 'void', 'introduction', 'scope', '', 'purpose') AND level IN (3, 4, 5)"
+
+
+@query(_FILTER.replace("WITH", "WITH RECURSIVE", 1) + """, kept AS (SELECT * FROM filtered WHERE reason IS NULL),
+direct AS (SELECT key, """ + _TITLED.format("kept") + """ AND trim(text) <> ''),
+up AS (SELECT parent AS key FROM kept WHERE parent IS NOT NULL UNION SELECT c.parent FROM up u JOIN clauses c ON c.key = u.key WHERE c.parent IS NOT NULL),
+above AS (SELECT key, """ + _TITLED.format("clauses") + """ AND key IN (SELECT key FROM up) AND key NOT IN (SELECT key FROM direct)),
+""" + _terms() + """, named AS (
+  SELECT 'Procedure' AS type, label, 0 AS prio, 'deterministic:procedure' AS extractor, key FROM direct UNION ALL SELECT 'Procedure', label, 1, 'deterministic:procedure-heading', key FROM above
+  UNION ALL SELECT type, term, 2, 'deterministic:vocab:' || type, key FROM kept, terms WHERE regexp_matches(text, '(^|[^A-Za-z0-9_])' || term || '([^A-Za-z0-9_]|$)')
+), slugged AS (SELECT *, '3gpp:rrc/' || lower(type) || '/' || trim(regexp_replace(label, '[^A-Za-z0-9]+', '-', 'g'), '-') AS id FROM named)
+SELECT id, any_value(type) AS type, arg_min(extractor, prio) AS extractor, count(DISTINCT key || chr(1) || label) AS anchors FROM slugged GROUP BY id""")
+def q_extract(spark, d):
+    clauses = A.clauses(spark, d)
+    entities, _ = extraction.extract(clauses, corpus.relevance(clauses, A.CONFIG).where("kept"), A.CONFIG)
+    return entities.select("id", "type", "extractor", F.size("defined_in").cast("long").alias("anchors"))
+
+
+_WARNED = "WITH" + _CLAUSE + """, own AS (SELECT *, title || chr(10) || text AS t FROM clauses), hays AS (SELECT o.doc_id, o.key, o.t || coalesce(chr(10) || string_agg(c.t, chr(10)), '') AS hay FROM own o LEFT JOIN own c ON c.parent = o.key GROUP BY o.doc_id, o.key, o.t),
+warned AS (SELECT 'e' || doc_id AS id, doc_id, CASE WHEN doc_id % 5 = 0 THEN 'clause-missing' WHEN NOT contains(hay, CASE WHEN doc_id % 2 = 0 THEN 'the' ELSE 'les' END) THEN 'anchor-missing' END AS cat FROM hays WHERE doc_id % 7 <> 0)
+"""
+
+
+def _documented(spark, d):
+    """An entity for each document: a clause that is missing for every fifth, a word as anchor, curated for every seventh."""
+    n, none = F.col("doc_id"), F.lit(None).cast("string")
+    clause = F.when(n % 5 == 0, F.concat(F.lit("missing."), n)).otherwise(F.concat("source", F.lit("."), n))
+    prov = F.struct(none.alias("release"), none.alias("spec"), F.lit(A.CONFIG.version).alias("version"), clause.alias("clause"), F.when(n % 2 == 0, "the").otherwise("les").alias("anchor"), (n % 7 == 0).alias("curated"), F.lit(None).cast("boolean").alias("external"))
+    return A.table(spark, d, "documents").select(n.cast("long").alias("ord"), F.concat(F.lit("e"), n).alias("id"), F.lit("Word").alias("type"), F.concat(F.lit("word "), n).alias("label"), F.when(n % 10 == 0, "low").when(n % 10 == 1, "med").otherwise("high").alias("confidence"), none.alias("review"), F.array(prov).alias("defined_in"))
+
+
+def _warnings(spark, d):
+    from ..schema import RELATIONS
+
+    return validation.warnings(_documented(spark, d), A.ship(spark).createDataFrame([], RELATIONS), corpus.haystacks(A.clauses(spark, d)), A.CONFIG.version)
+
+
+@query(_WARNED + "SELECT id, cat FROM warned WHERE cat IS NOT NULL")
+def q_warnings(spark, d):
+    return _warnings(spark, d).select("id", "cat")
+
+
+@query(_WARNED + ", " + _PAIRS[5:] + ", " + _ALIAS[5:] + """ SELECT section, kind, count(*) AS n FROM (
+  SELECT 0 AS section, 'conflict-group' AS kind FROM (SELECT src FROM pairs GROUP BY src HAVING count(*) >= 2) UNION ALL SELECT 1, 'ambiguous-entity-type' FROM documents WHERE doc_id % 10 < 2
+  UNION ALL SELECT 2, 'low-confidence-relation' FROM pairs WHERE dst % 10 = 0 UNION ALL SELECT 3, 'validation-warning' FROM warned WHERE cat IS NOT NULL UNION ALL SELECT 4, 'alias-suggestion' FROM best WHERE d < 0.8) GROUP BY section, kind""")
+def q_review_sections(spark, d):
+    queue = review.review_queue(_documented(spark, d), _supplies(spark, d), _warnings(spark, d), _aliases(spark, d, 0.8))
+    return queue.groupBy("section", "kind").agg(F.count(F.lit(1)).alias("n"))
+
+
+_TRUTH = """WITH pairs AS (SELECT l_partkey AS p, l_suppkey AS s, bool_or(l_returnflag = 'A') AS a FROM lineitem GROUP BY 1, 2), ents AS (SELECT (SELECT count(*) FROM part) + (SELECT count(*) FROM supplier) AS n)"""
+
+
+@query(_TRUTH + """ SELECT 'entities' AS part, 'recall' AS measure, n AS matched, n AS total FROM ents UNION ALL SELECT 'entities', 'precision', n + (SELECT count(*) FROM supplier WHERE s_suppkey % 4 = 0), n + (SELECT count(*) FROM supplier WHERE s_suppkey % 2 = 0) FROM ents
+UNION ALL SELECT 'relations', 'recall', count(*) FILTER (WHERE a AND s % 4 <> 2), count(*) FROM pairs UNION ALL SELECT unnest(['relations', 'model relations']), unnest(['precision', 'supported']), count(*) FILTER (WHERE a AND s % 4 <> 2), count(*) FILTER (WHERE a) FROM pairs""")
+def q_eval_relations(spark, d):
+    """Parts supplied by suppliers: a run that saw some of it names every second supplier by a surface of its own, for half of which aliases are known."""
+    item = lambda t, key, kind, name: A.table(spark, d, t).select(F.col(key).alias("k"), F.lit(kind).alias("type"), F.concat(name, F.lit(" "), key).alias("label"))
+    named = item("part", "p_partkey", "Part", "p_name").unionByName(item("supplier", "s_suppkey", "Supplier", "s_name"))
+    at = lambda prefix: named.select(F.col("k").alias("ord"), F.concat(F.lit(prefix), F.lower("type"), "k").alias("id"), "type", "label")
+    surfaces = A.table(spark, d, "supplier").where("s_suppkey % 2 = 0").select(F.col("s_suppkey").alias("ord"), F.concat(F.lit("xsupplier"), "s_suppkey").alias("id"), F.lit("Supplier").alias("type"), F.concat(F.lit("other "), "s_suppkey").alias("label"))
+    suggested = surfaces.select(F.col("ord").alias("surface_ord"), F.col("id").alias("surface_id"), F.concat(F.lit("rsupplier"), "ord").alias("canonical_id"), F.when(F.col("ord") % 4 == 0, "merge").otherwise("new-entity").alias("proposal"))
+    pairs = A.table(spark, d, "lineitem").groupBy("l_partkey", "l_suppkey").agg(F.max(F.col("l_returnflag") == "A").alias("a"))
+    edge = lambda rows, prefix, to: rows.select(F.lit("SUPPLIED_BY").alias("type"), F.concat(F.lit(prefix + "part"), "l_partkey").alias("src"), to.alias("dst"), F.lit("llm").alias("extractor"))
+    gold = edge(pairs, "g", F.concat(F.lit("gsupplier"), "l_suppkey"))
+    run = edge(pairs.where("a"), "r", F.concat(F.when(F.col("l_suppkey") % 2 == 0, "xsupplier").otherwise("rsupplier"), F.col("l_suppkey")))
+    found = comparison.evaluate(at("g"), gold, at("r").unionByName(surfaces), run, comparison.alias_map(suggested))
+    return found.where("type is null").select("part", "measure", "matched", "total")
+
+
+@query("SELECT 'g' || p_partkey AS id FROM part WHERE p_partkey % 3 = 0")
+def q_unmatched_gold(spark, d):
+    gold = A.table(spark, d, "part").select(F.col("p_partkey").alias("ord"), F.concat(F.lit("g"), "p_partkey").alias("id"), F.lit("Part").alias("type"), F.concat("p_name", F.lit("_"), "p_partkey").alias("label"))
+    return comparison.unmatched_gold(gold, gold.where("ord % 3 <> 0").withColumn("label", F.upper("label")))
+
+
+@query(_ALIAS + " SELECT surface, canonical FROM best WHERE d < 0.8")
+def q_alias_map(spark, d):
+    return comparison.alias_map(_aliases(spark, d, 0.8))
+
+
+@query("SELECT part, type, count(*) AS n FROM (SELECT 'entity' AS part, ['Timer', 'Release', 'ProtocolLayer', 'Stratum', 'Procedure'][p_partkey % 5 + 1] AS type FROM part UNION ALL SELECT 'relation', ['GOVERNS', 'IN_LAYER', 'BROADER'][p_partkey % 3 + 1] FROM part) WHERE type NOT IN ('ProtocolLayer', 'Stratum', 'DomainRoot', 'Release', 'IN_LAYER', 'BROADER', 'NEXT_RELEASE') GROUP BY 1, 2")
+def q_without_scaffold(spark, d):
+    k = F.col("p_partkey").cast("int")
+    of = lambda names: A.table(spark, d, "part").select(F.element_at(F.array(*map(F.lit, names)), k % len(names) + 1).alias("type"))
+    entities, relations = stores.without_scaffold(of(("Timer", "Release", "ProtocolLayer", "Stratum", "Procedure")), of(("GOVERNS", "IN_LAYER", "BROADER")))
+    count = lambda rows, part: rows.groupBy("type").agg(F.count(F.lit(1)).alias("n")).select(F.lit(part).alias("part"), "type", "n")
+    return count(entities, "entity").unionByName(count(relations, "relation"))
+
+
+@query(_GRAPH.replace("['Party', 'Customer', 'Supplier']", "['Party']") + " SELECT cat, count(*) AS n FROM found GROUP BY cat")
+def q_findings_strict(spark, d):
+    return validation.findings(A.entities(spark, d), A.relations(spark, d), A.ONTOLOGY, subtypes=False).groupBy("cat").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(_GRAPH + """, names AS (SELECT DISTINCT split_part(id, '/', 3) AS name FROM entities), lost AS (SELECT *, starts_with(ref, 'kg:x/ledger') AS pseudo, split_part(ref, '/', 2) AS bucket FROM found WHERE cat IN ('dangling-from', 'dangling-to'))
+SELECT CASE WHEN pseudo AND cat = 'dangling-to' THEN 'pseudo-type-target' WHEN split_part(ref, '/', 3) IN (SELECT name FROM names) THEN 'wrong-type-bucket' ELSE 'UNRESOLVED' END AS rule, bucket, count(DISTINCT ref) AS refs, count(*) AS findings FROM lost GROUP BY 1, 2""")
+def q_dangling_summary(spark, d):
+    found = _findings(spark, d)
+    lost = found.where("cat in ('dangling-from', 'dangling-to')").select("ref")
+    return validation.dangling_summary(found, validation.near_misses(lost, A.entities(spark, d), ["customer", "order"]))
+
+
+@query("WITH RECURSIVE" + _CLAUSE + ", up AS (SELECT key AS node, key AS ancestor, 0 AS depth FROM clauses UNION ALL SELECT u.node, c.parent, u.depth + 1 FROM up u JOIN clauses c ON c.key = u.ancestor WHERE c.parent IS NOT NULL) SELECT node, max(depth)::INT AS depth FROM up GROUP BY node")
+def q_depths(spark, d):
+    return graphs.depths(A.clauses(spark, d).select(F.col("key").alias("node"), "parent"))
+
+
+@query("WITH" + _CLAUSE + " SELECT key FROM (SELECT key FROM clauses ORDER BY doc_id LIMIT 300)")
+def q_worklist(spark, d):
+    return corpus.worklist(A.clauses(spark, d), 300).select("key")
+
+
+@query("WITH" + _CLAUSE + ", f AS (SELECT key, p AS pos, strpos(text, a) AS start FROM clauses, (VALUES (0, 'the'), (1, 'and'), (2, 'les')) v(p, a)) SELECT key, pos, start::INT AS start, 3 AS length FROM f WHERE start > 0")
+def q_highlights(spark, d):
+    c = A.clauses(spark, d)
+    facts = c.select("key", F.posexplode(F.array(F.lit("the"), F.lit("and"), F.lit("les"))).alias("pos", "anchor"))
+    return graphs.highlights(facts, c)
+
+
+@query("SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 'curated' WHEN p_partkey % 3 = 1 THEN 'TS Rel-16 clause ' || p_size ELSE 'TS Rel-15 clause 7' END AS shown FROM part")
+def q_provenance_shown(spark, d):
+    """The provenance of the wanted release, else the first with a clause."""
+    k, none = F.col("p_partkey"), F.lit(None).cast("string")
+    item = lambda release, clause: F.struct(F.lit(release).alias("release"), F.lit("TS").alias("spec"), none.alias("version"), clause.cast("string").alias("clause"), none.alias("anchor"), F.lit(None).cast("boolean").alias("curated"), F.lit(None).cast("boolean").alias("external"))
+    lists = F.when(k % 3 == 0, F.slice(F.array(item("x", none)), 1, 0)).when(k % 3 == 1, F.array(item("Rel-14", none), item("Rel-15", F.lit("7")), item("Rel-16", F.col("p_size")))).otherwise(F.array(item("Rel-16", none), item("Rel-15", F.lit("7"))))
+    return A.table(spark, d, "part").select("p_partkey", graphs.provenance_text(lists, "Rel-16").alias("shown"))
+
+
+@query("WITH RECURSIVE" + _CLAUSE + """, up AS (SELECT key FROM clauses WHERE doc_id % 10 = 3 UNION SELECT c.parent FROM up u JOIN clauses c ON c.key = u.key WHERE c.parent IN (SELECT key FROM clauses))
+SELECT 'CONTAINS' AS label, count(*) AS n FROM clauses WHERE key IN (SELECT key FROM up) AND parent IN (SELECT key FROM up) UNION ALL SELECT 'DEFINED_IN', count(*) FROM clauses WHERE doc_id % 10 = 3 UNION ALL SELECT 'Clause', count(DISTINCT key) FROM up UNION ALL SELECT 'Word', count(*) FROM clauses WHERE doc_id % 10 = 3""")
+def q_view(spark, d):
+    """A graph view: entities, the clauses above their definitions, and the edges among those."""
+    from ..schema import RELATIONS
+
+    entities = _documented(spark, d).where("ord % 10 = 3").withColumn("defined_in", F.transform("defined_in", lambda p: p.withField("clause", F.regexp_replace(p["clause"], "missing", "x"))))
+    clauses = A.clauses(spark, d)
+    own = clauses.select(F.concat(F.lit("e"), "ord").alias("id"), F.col("key").alias("own"))
+    entities = entities.join(own, "id").withColumn("defined_in", F.transform("defined_in", lambda p: p.withField("clause", F.col("own")))).drop("own")
+    nodes = graphs.view_nodes(entities, clauses, "Rel-19").groupBy(F.col("grp").alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    edges = graphs.view_edges(entities, spark.createDataFrame([], RELATIONS), clauses, "Rel-19").groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    return nodes.unionByName(edges)
+
+
+@query("SELECT p_partkey, 'Rel-' || p_size AS release FROM part")
+def q_release_of(spark, d):
+    return A.table(spark, d, "part").select("p_partkey", X.release_of(F.concat_ws(".", "p_size", "p_partkey")).alias("release"))
+
+
+@query("SELECT p_partkey, replace(trim(p_name), chr(10), ' ') || ' | ' || p_brand || chr(10) || '' || ' | ' || p_type AS table FROM part")
+def q_table_text(spark, d):
+    cells = F.array(F.array(F.concat(F.lit(" "), "p_name", F.lit("\n")), F.col("p_brand")), F.array(F.lit(None).cast("string"), F.col("p_type")))
+    return A.table(spark, d, "part").select("p_partkey", X.table_text(cells).alias("table"))
+
+
+@query("SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN p_brand WHEN 1 THEN 'note' END AS k, CASE p_partkey % 3 WHEN 0 THEN p_type || ': x' WHEN 1 THEN p_type END AS v FROM part")
+def q_attributes(spark, d):
+    n = F.col("p_partkey") % 3
+    held = X.attributes(F.when(n == 0, F.concat("p_brand", F.lit(": "), "p_type", F.lit(": x"))).when(n == 1, F.col("p_type")))
+    return A.table(spark, d, "part").withColumn("m", held).select("p_partkey", F.get(F.map_keys("m"), F.lit(0)).alias("k"), F.get(F.map_values("m"), F.lit(0)).alias("v"))
+
+
+@query("SELECT p_partkey AS id, p_brand AS type, CASE WHEN length(p_name || p_type || p_name) > 60 THEN left(p_name || p_type || p_name, 59) || '…' ELSE p_name || p_type || p_name END AS label FROM part")
+def q_shareable(spark, d):
+    return exports.shareable(A.table(spark, d, "part").select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("type"), F.concat("p_name", "p_type", "p_name").alias("label"), "p_size"))
+
+
+@query("SELECT user_id, count(*) AS sessions, max(n) AS longest FROM (SELECT user_id, s, count(*) AS n FROM (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s FROM (SELECT *, CASE WHEN ts <= lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) + INTERVAL 6 HOUR THEN 0 ELSE 1 END AS new FROM events)) GROUP BY 1, 2) GROUP BY 1")
+def q_sessions(spark, d):
+    events = A.table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    return ingest.sessions(events, "6 hours").groupBy("user_id").agg(F.count(F.lit(1)).alias("sessions"), F.max("n").alias("longest"))
+
+
+@query("SELECT floor(epoch(ts) / 3600)::BIGINT AS hour, event_type, count(*) AS n FROM events GROUP BY 1, 2")
+def q_windowed_counts(spark, d):
+    events = A.table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    return ingest.windowed_counts(events, "1 hour").select(F.floor(F.unix_seconds("start") / 3600).cast("long").alias("hour"), "event_type", "n")
+
+
+@query("SELECT user_id AS release, arg_max(event_id || '.' || (event_id % 12), (event_id, event_id % 12)) AS version FROM events GROUP BY user_id")
+def q_representative(spark, d):
+    e = F.col("event_id")
+    return history.representative(A.table(spark, d, "events").select(F.col("user_id").alias("release"), F.concat_ws(".", e, e % 12).alias("version")))
+
+
+@query("""WITH s AS (SELECT DISTINCT l_partkey AS id, year(l_shipdate) AS y FROM lineitem WHERE year(l_shipdate) BETWEEN 1992 AND 1997)
+SELECT id, string_agg('Y' || y, ',' ORDER BY y) AS observed, 'Y' || min(y) AS introduced_in, CASE WHEN max(y) < 1997 THEN 'Y' || max(y) END AS valid_until, 'label Y' || max(y) AS label, count(*) AS provenance FROM s GROUP BY id""")
+def q_derive(spark, d):
+    """The years in which a part was shipped as releases: one record over all of them."""
+    year, none = F.concat(F.lit("Y"), F.year("l_shipdate")), F.lit(None).cast("string")
+    seen = A.table(spark, d, "lineitem").where(F.year("l_shipdate").between(1992, 1997)).select(F.col("l_partkey").alias("id"), year.alias("release")).distinct()
+    prov = F.struct(F.col("release"), none.alias("spec"), none.alias("version"), F.lit("1").alias("clause"), none.alias("anchor"), F.lit(None).cast("boolean").alias("curated"), F.lit(None).cast("boolean").alias("external"))
+    rows = seen.select("release", F.lit(0).cast("long").alias("ord"), "id", F.concat(F.lit("label "), "release").alias("label"), F.array(prov).alias("defined_in"), F.array("release").alias("observed_in"), F.col("release").alias("introduced_in"), none.alias("valid_until"))
+    out = history.derive(rows, "defined_in", A.ONTOLOGY.releases)
+    return out.select("id", F.array_join("observed_in", ",").alias("observed"), "introduced_in", "valid_until", "label", F.size("defined_in").cast("long").alias("provenance"))
+
+
+@query("SELECT o_orderpriority || ', ' || o_orderstatus AS raw, CASE WHEN o_orderpriority < o_orderstatus THEN o_orderpriority || ',' || o_orderstatus ELSE o_orderstatus || ',' || o_orderpriority END AS as_set, left(o_orderpriority, 1)::DOUBLE AS number, count(*) AS n FROM orders GROUP BY 1, 2, 3")
+def q_normalised_values(spark, d):
+    raw = F.concat_ws(", ", "o_orderpriority", "o_orderstatus")
+    rows = A.table(spark, d, "orders").select(raw.alias("raw"))
+    return rows.select("raw", history.normalised_set(F.col("raw")).alias("as_set"), history.normalised_number(F.col("raw")).alias("number")).groupBy("raw", "as_set", "number").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(_GRAPH + ", " + _WEEK[5:] + ", " + _SEGMENTS[5:] + ", " + _WARNED.split("WITH", 1)[1] + """, spans AS (SELECT key, min(release) AS lo, max(release) AS hi FROM e GROUP BY key), b AS (SELECT *, lag(value) OVER w AS x, lead(value) OVER w AS y FROM seg WINDOW w AS (PARTITION BY key ORDER BY segment))
+SELECT 'R1' AS risk, count(*) AS hits, count(*) = 0 AS passed FROM found UNION ALL SELECT 'R2', count(*), true FROM (SELECT type FROM entities GROUP BY type, lower(trim(regexp_replace(label, '[ _-]+', ' ', 'g'))) HAVING count(DISTINCT id) > 1)
+UNION ALL SELECT 'R3', count(*), count(*) = 0 FROM spans, lim WHERE spans.hi < lim.hi AND spans.key % 2 = 1 UNION ALL SELECT 'R4', count(*), true FROM b WHERE observations = 1 AND x = y UNION ALL SELECT 'R5', count(*), true FROM relations WHERE type = 'PART_OF'
+UNION ALL SELECT 'R6', count(*), true FROM spans, lim WHERE spans.lo = lim.lo UNION ALL SELECT 'R7', count(*), count(*) = 0 FROM warned WHERE cat = 'anchor-missing'""")
+def q_audit(spark, d):
+    e, lo, hi = _weeks(spark, d)
+    relations = A.relations(spark, d).withColumn("modality", F.when(F.col("type") == "PART_OF", "prose").otherwise("table"))
+    marked = e.where("key % 2 = 0").select("key").distinct()
+    return audit.audit(A.entities(spark, d), relations, _findings(spark, d), _warnings(spark, d), history.presence(e, lo, hi), _segments(spark, d), marked).select("risk", "hits", "passed")

@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 import argparse
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import corpus, extraction, merging, review, validation
-from ..provider import Provider, facts_of, replies
+from ..provider import SENTINEL, Provider, facts_of, replies
 from ..schema import Ontology, Options, SpecConfig
 from ..sources import stores
 from ..storage import checkpointed
 
+#: Examples are part of every request, so there are few.
+MOST_EXAMPLES = 20
+
 
 @dataclass
 class Result:
@@ -26,7 +30,7 @@ class Result:
     report: DataFrame
 
 
-def build(clauses: DataFrame, cfg: SpecConfig, facts: DataFrame | None = None, scope: str | None = None, rho: float = 0.18, ontology: Ontology | None = None) -> Result:
+def build(clauses: DataFrame, cfg: SpecConfig, facts: DataFrame | None = None, scope: str | None = None, rho: float = 0.18, ontology: Ontology | None = None, embed: Callable | None = None) -> Result:
     """The result of a run over clauses, with model facts (clause_ord, clause, facts) if there are any."""
     ontology = ontology or Ontology()
     filtered = corpus.relevance(clauses, cfg)
@@ -43,12 +47,15 @@ def build(clauses: DataFrame, cfg: SpecConfig, facts: DataFrame | None = None, s
     entities, relations = checkpointed(entities), checkpointed(relations)
     found = validation.findings(entities, relations, ontology)
     warned = validation.warnings(entities, relations, corpus.haystacks(clauses), cfg.version)
-    aliases = review.suggest_aliases(entities, ontology.compatible(clauses.sparkSession), rho)
+    aliases = review.aligned(entities, ontology.compatible(clauses.sparkSession), rho, embed)
     return Result(entities, relations, found, warned, aliases, review.review_queue(entities, relations, warned, aliases), corpus.relevance_report(filtered))
 
 
-def run(spark: SparkSession, store: str, snapshots: str, cfg: SpecConfig, provider: Provider | None = None, label: str = "default", log: str | None = None, resume: bool = False, limit: int | None = None, scope: str | None = None, options: Options | None = None, model: str = "none") -> Result:
-    """Reads a clause store, runs, and writes a snapshot. With a log, facts are kept as they come and a run can go on from it."""
+def run(spark: SparkSession, store: str, snapshots: str, cfg: SpecConfig, provider: Provider | None = None, label: str = "default", log: str | None = None, resume: bool = False, limit: int | None = None, scope: str | None = None, options: Options | None = None, model: str = "none", ontology: Ontology | None = None, examples: str | None = None, embed: Callable | None = None) -> Result:
+    """Reads a clause store, runs, and writes a snapshot. With a log, facts are kept as they come and a run can go on from it.
+
+    examples is a file of few-shot examples, ontology the user's types, embed a source of vectors for the alignment.
+    """
     options = options or Options.of(spark)
     clauses = stores.read_store(spark, store)
     facts = None
@@ -62,14 +69,16 @@ def run(spark: SparkSession, store: str, snapshots: str, cfg: SpecConfig, provid
             head, records = stores.read_log(spark, log)
             stores.check_header(head, header)
             work, _ = stores.todo(work, records)
-        got = facts_of(replies(work, cfg, provider, options.max_clause_chars, options.retries, options.prompt_variant))
+        shown = [r.asDict(recursive=True) for r in stores.read_examples(spark, examples).limit(MOST_EXAMPLES).collect()] if examples else []
+        replied = replies(work, cfg, provider, options.max_clause_chars, options.retries, options.prompt_variant, None, shown, ontology, options.sentinel)
+        got = facts_of(replied, SENTINEL if options.sentinel else None)
         if log:
             stores.append_log(got, log, None if going_on else header)
             _, records = stores.read_log(spark, log)
             facts = records.join(clauses.select(F.col("key").alias("clause"), F.col("ord").alias("clause_ord")), "clause")
         else:
             facts = got
-    result = build(clauses, cfg, facts, scope, options.rho)
+    result = build(clauses, cfg, facts, scope, options.rho, ontology, embed)
     out = stores.Snapshots(spark, snapshots)
     for name, rows in (("entities", result.entities), ("relations", result.relations), ("findings", result.findings), ("review", result.review), ("aliases", result.aliases), ("filter", result.report)):
         out.write(name, rows, cfg, label)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Callable, Iterator
 
@@ -16,6 +17,8 @@ from .schema import Ontology, SpecConfig
 
 #: Seconds before the first retry, and the most before any.
 FIRST_WAIT, LONGEST_WAIT = 2.0, 30.0
+#: What a model writes between its reasoning and its answer, where it is asked to.
+SENTINEL = "=== ANSWER ==="
 REMINDER = "That was no JSON array. Answer with the JSON array of facts alone, or [] if there are none."
 #: A provider takes a list of messages (role, content) and returns the reply.
 Provider = Callable[[list[dict]], str]
@@ -59,11 +62,12 @@ def ontology_card(ontology: Ontology | None = None) -> str:
     return f"Entity types:\n{types}\nRelations:\n{relations}"
 
 
-def messages(cfg: SpecConfig, key: str, title: str, text: str, examples: list[dict] = (), variant: str = "v1", ontology: Ontology | None = None) -> list[dict]:
-    """The request for one chunk of a clause."""
+def messages(cfg: SpecConfig, key: str, title: str, text: str, examples: list[dict] = (), variant: str = "v1", ontology: Ontology | None = None, sentinel: bool = False) -> list[dict]:
+    """The request for one chunk of a clause; examples are (clause, text, facts)."""
     rule = "Name only facts that the text states; quote the span that states each as its anchor." if variant == "v2" else "Name the facts of the text."
-    system = f"You read {cfg.spec} and answer with a JSON array of facts. {rule}\n{ontology_card(ontology)}"
-    shown = "".join(f"\nExample {e['clause']}:\n{e['text']}\n" for e in examples)
+    marked = f" Write the line {SENTINEL} after your reasoning and the array behind it." if sentinel else ""
+    system = f"You read {cfg.spec} and answer with a JSON array of facts. {rule}{marked}\n{ontology_card(ontology)}"
+    shown = "".join(f"\nExample {e['clause']}:\n{e['text']}\nFacts: {json.dumps(e.get('facts') or [], ensure_ascii=False)}\n" for e in examples)
     return [{"role": "system", "content": system}, {"role": "user", "content": f"{shown}\nClause {key} {title}\n{text}"}]
 
 
@@ -76,18 +80,19 @@ def ask(provider: Provider, request: list[dict], retries: int, readable: Callabl
     return reply
 
 
-def replies(clauses: DataFrame, cfg: SpecConfig, provider: Provider, max_chars: int = 6000, retries: int = 3, variant: str = "v1", parallel: int | None = None) -> DataFrame:
-    """(clause_ord, clause, part, reply) for every chunk of the clauses' texts."""
+def replies(clauses: DataFrame, cfg: SpecConfig, provider: Provider, max_chars: int = 6000, retries: int = 3, variant: str = "v1", parallel: int | None = None, examples: list[dict] = (), ontology: Ontology | None = None, sentinel: bool = False) -> DataFrame:
+    """(clause_ord, clause, part, reply) for every chunk of the clauses' texts. Examples are few, and part of every request."""
 
     def readable(reply: str) -> bool:
-        return read_reply(without_reasoning(reply))[1] is not None
+        answer = reply.rpartition(SENTINEL)[2] if sentinel else reply
+        return read_reply(without_reasoning(answer))[1] is not None
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = []
             for at, key, title, text in zip(frame["ord"], frame["key"], frame["title"], frame["text"], strict=True):
                 for part, piece in enumerate(chunk(text or "", max_chars)):
-                    rows.append((at, key, part, ask(provider, messages(cfg, key, title or "", piece, variant=variant), retries, readable)))
+                    rows.append((at, key, part, ask(provider, messages(cfg, key, title or "", piece, examples, variant, ontology, sentinel), retries, readable)))
             yield pd.DataFrame(rows, columns=["clause_ord", "clause", "part", "reply"])
 
     rows = clauses.select(F.col("ord").cast("long").alias("ord"), "key", "title", "text")
@@ -100,3 +105,15 @@ def facts_of(replied: DataFrame, marker: str | None = None) -> DataFrame:
     parsed = replied.withColumn("r", parse_reply(strip_reasoning(F.col("reply"), marker)))
     parts = parsed.groupBy("clause_ord", "clause").agg(F.array_sort(F.collect_list(F.struct("part", F.coalesce("r.facts", F.array().cast(FACTS)).alias("facts")))).alias("p"))
     return parts.select("clause_ord", "clause", F.flatten("p.facts").alias("facts"))
+
+
+def vectors_of(labels: DataFrame, embed: Callable[[list[str]], list[list[float]]], size: int = 32, retries: int = 3) -> DataFrame:
+    """(label, vector) of distinct labels, asked for in batches inside tasks; a batch that is too large is halved."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            names = frame["label"].tolist()
+            got = in_batches(names, lambda part: with_retries(lambda: embed(part), retries), size)
+            yield pd.DataFrame({"label": names, "vector": [[float(x) for x in v] for v in got]})
+
+    return labels.select("label").where("label is not null").distinct().mapInPandas(run, "label string, vector array<double>")
