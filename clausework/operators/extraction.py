@@ -47,7 +47,7 @@ def vocabulary_hits(clauses: DataFrame, cfg: SpecConfig, key: str = "key", text:
     terms = [(t, term) for t, terms in cfg.vocab for term in terms]
     whole = F.coalesce(text, F.lit(""))
     hits = [F.when(F.contains(whole, F.lit(term)) & X.word_in(whole, term), F.struct(F.lit(i).alias("n"), F.lit(t).alias("type"), F.lit(term).alias("term"))) for i, (t, term) in enumerate(terms)]
-    return clauses.select(F.col(key).alias("key"), "ord", F.explode(F.array_compact(F.array(*hits))).alias("h")).select("key", "ord", "h.type", "h.term", "h.n")
+    return clauses.select(F.col(key).alias("key"), "ord", F.explode(F.array_compact(F.array(*hits)).cast("array<struct<n:int,type:string,term:string>>")).alias("h")).select("key", "ord", "h.type", "h.term", "h.n")
 
 
 def extract(clauses: DataFrame, kept: DataFrame, cfg: SpecConfig) -> tuple[DataFrame, DataFrame]:

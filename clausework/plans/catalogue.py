@@ -669,8 +669,8 @@ def q_snapshots(spark, d):
     snapshots.write("filter", report, A.CONFIG, "first")
     for rows in (report.limit(1), report):
         snapshots.write("filter", rows, A.CONFIG, "second")
-    none = snapshots.read("aliases", optional=True).select("label", F.col("backend").alias("measure"), F.col("surface_ord").alias("n"))
-    return snapshots.read("filter").select("label", "measure", "n").unionByName(none)
+    none = snapshots.read("aliases", optional=True).select(F.col("run").alias("label"), F.col("backend").alias("measure"), F.col("surface_ord").alias("n"))
+    return snapshots.read("filter").select(F.col("run").alias("label"), "measure", "n").unionByName(none)
 
 
 @query("WITH" + _CLAUSE + " SELECT key AS clause, CASE WHEN doc_id % 3 = 0 THEN 0 WHEN doc_id % 3 = 1 THEN 1 ELSE 2 END::INT AS facts, CASE WHEN doc_id % 3 > 0 THEN key END AS subject FROM clauses")

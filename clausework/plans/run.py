@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import importlib
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -85,8 +86,16 @@ def run(spark: SparkSession, store: str, snapshots: str, cfg: SpecConfig, provid
     return result
 
 
+def _named(name: str | None) -> Callable | None:
+    """The function that ``module:function`` names."""
+    if not name:
+        return None
+    module, function = name.split(":")
+    return getattr(importlib.import_module(module), function)
+
+
 def main(argv: list[str] | None = None) -> None:
-    """spark-submit entry: a run without a model, or the report of one that is there."""
+    """spark-submit entry: a run, with a model if one is named, and its errors by category."""
     from ..session import local_session
 
     p = argparse.ArgumentParser(description=__doc__)
@@ -94,11 +103,22 @@ def main(argv: list[str] | None = None) -> None:
         p.add_argument(name, required=True)
     p.add_argument("--label", default="default")
     p.add_argument("--clauses", help="comma-separated prefixes")
-    p.add_argument("--rho", type=float)
+    for name, kind in (("--rho", float), ("--max-clause-chars", int), ("--retries", int), ("--prompt-variant", str), ("--limit", int)):
+        p.add_argument(name, type=kind)
+    p.add_argument("--provider", help="module:function that answers a request; without, the run is deterministic")
+    p.add_argument("--embed", help="module:function that gives labels' vectors")
+    p.add_argument("--model", default="none", help="the model's name, for the log's header")
+    p.add_argument("--log", help="where facts are kept as they come")
+    p.add_argument("--resume", action="store_true", help="go on from the log")
+    p.add_argument("--sentinel", action="store_true", default=None)
+    p.add_argument("--examples", help="a file of few-shot examples")
+    p.add_argument("--dry-run", action="store_true", help="no model, whatever --provider says")
     a = p.parse_args(argv)
     spark = SparkSession.getActiveSession() or local_session()
     cfg = SpecConfig(a.spec, a.version)
-    result = run(spark, a.store, a.snapshots, cfg, label=a.label, scope=a.clauses, options=Options.of(spark, rho=a.rho))
+    options = Options.of(spark, rho=a.rho, max_clause_chars=a.max_clause_chars, retries=a.retries, prompt_variant=a.prompt_variant, sentinel=a.sentinel)
+    provider = None if a.dry_run else _named(a.provider)
+    result = run(spark, a.store, a.snapshots, cfg, provider, a.label, a.log, a.resume, a.limit, a.clauses, options, a.model, examples=a.examples, embed=_named(a.embed))
     validation.by_category(result.findings).show(truncate=False)
 
 

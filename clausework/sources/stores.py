@@ -52,7 +52,8 @@ def without_scaffold(entities: DataFrame, relations: DataFrame) -> tuple[DataFra
 
 
 class Snapshots:
-    """Runs' results as tables partitioned by specification, version and label, so that runs never touch each other's."""
+    """Runs' results as tables partitioned by specification, version and run, so that runs never touch each other's. A run is
+    named by its label; the column is ``run``, as entities have labels of their own."""
 
     TABLES = {"entities": ENTITIES, "relations": RELATIONS, "findings": f"{FINDINGS}, what string, field string, pseudo boolean", "review": REVIEW, "aliases": SUGGESTIONS, "filter": "measure string, n long"}
 
@@ -60,7 +61,7 @@ class Snapshots:
         self.spark, self.root = spark, root.rstrip("/")
 
     def path(self, table: str, spec: str | None = None, version: str | None = None, label: str | None = None) -> str:
-        part = "".join(f"/{k}={v}" for k, v in (("spec", spec), ("version", version), ("label", label)) if v is not None)
+        part = "".join(f"/{k}={v}" for k, v in (("spec", spec), ("version", version), ("run", label)) if v is not None)
         return f"{self.root}/{table}{part}"
 
     def write(self, table: str, rows: DataFrame, cfg: SpecConfig, label: str = "default") -> None:
@@ -73,9 +74,9 @@ class Snapshots:
         if not exists(self.spark, at):
             if not optional:
                 raise FileNotFoundError(f"no {table} under {self.root}; run the extraction first")
-            return self.spark.createDataFrame([], f"{self.TABLES[table]}, spec string, version string, label string")
-        rows = self.spark.read.schema(f"{self.TABLES[table]}, spec string, version string, label string").option("basePath", at).parquet(at)
-        for column, value in (("spec", spec), ("version", version), ("label", label)):
+            return self.spark.createDataFrame([], f"{self.TABLES[table]}, spec string, version string, run string")
+        rows = self.spark.read.schema(f"{self.TABLES[table]}, spec string, version string, run string").option("basePath", at).parquet(at)
+        for column, value in (("spec", spec), ("version", version), ("run", label)):
             if value is not None:
                 rows = rows.where(F.col(column) == value)
         if label is not None and not optional and not rows.limit(1).count():

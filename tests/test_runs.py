@@ -107,3 +107,43 @@ def test_lexical_suggestions_against_brute_force(spark):
             found += 1
             assert got[str(s.p_partkey)].canonical_id == str(min(near)[1]) and abs(got[str(s.p_partkey)].distance - min(near)[0]) < 1e-4
     assert found
+
+
+def answers(request):
+    key = request[1]["content"].split("Clause ", 1)[1].split(" ", 1)[0]
+    return f'[{{"subject": "S{key}", "subject_type": "Event", "rel": "TRIGGERS", "object": "P", "object_type": "Procedure"}}, {{"subject": "P", "subject_type": "Procedure", "rel": "TRIGGERS", "object": "S{key}", "object_type": "Event"}}]'
+
+
+def test_command_lines_run_resume_and_report(spark, tmp_path, capsys):
+    import json
+
+    from clausework.plans import reports, run
+
+    clauses = {f"5.{i}": {"id": f"5.{i}", "key": f"5.{i}", "number": f"5.{i}", "title": f"Setup {i}", "level": 3, "parent": None, "text": f"text {i}", "tables": 0} for i in range(4)}
+    (tmp_path / "store.json").write_text(json.dumps({"spec": "TS 38.331", "version": "19.2.0", "clauses": clauses}))
+    at = ["--store", str(tmp_path / "store.json"), "--snapshots", str(tmp_path / "runs"), "--spec", "TS 38.331", "--version", "19.2.0"]
+    model = ["--provider", "tests.test_runs:answers", "--log", str(tmp_path / "log"), "--model", "m"]
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(run, "SpecConfig", lambda spec, version: SpecConfig(spec, version, include_prefixes=("5.",)))
+        run.main([*at, "--label", "first", *model, "--limit", "2"])
+        run.main([*at, "--label", "second", *model, "--resume"])
+        with pytest.raises(stores.HeaderMismatch):
+            run.main([*at, *model, "--resume", "--max-clause-chars", "7"])
+        run.main([*at, "--label", "plain", "--dry-run", *model])
+    runs = stores.Snapshots(spark, str(tmp_path / "runs"))
+    count = lambda t, label: runs.read(t, label=label).count()
+    assert [count("relations", x) for x in ("first", "second")] == [4, 8] and runs.read("relations", label="plain", optional=True).count() == 0
+    assert stores.read_log(spark, str(tmp_path / "log"))[1].count() == 4
+    common = ["--snapshots", str(tmp_path / "runs"), "--spec", "TS 38.331", "--version", "19.2.0"]
+    capsys.readouterr()
+    for report, more, expected in (
+        ("triage", ["--label", "second"], "TRIGGERS"),
+        ("compare", ["--label", "first,second"], "only_b=4"),
+        ("evaluate", ["--label", "first", "--gold", "second"], "measure=recall"),
+        ("align", ["--label", "second", "--rho", "0.9"], "merge"),
+        ("retype", ["--label", "second", "--write-label", "retyped"], "new_type=RAISES"),
+    ):
+        reports.main([report, *common, *more, "--out", str(tmp_path / "report.txt")])
+        shown = capsys.readouterr().out
+        assert expected in shown and (tmp_path / "report.txt").read_text() == shown, (report, shown)
+    assert {r.type for r in runs.read("relations", label="retyped").collect()} == {"TRIGGERS", "RAISES"}
