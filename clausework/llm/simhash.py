@@ -37,7 +37,7 @@ _PAIR = (1 << 32) + 1
 
 def _weight(word: Column) -> Column:
     n = F.least(F.char_length(word), F.lit(LONGEST)) - 2
-    return F.coalesce(F.greatest(F.lit(1), n * n), F.lit(0)).cast("long")
+    return F.when(word.isNotNull(), F.greatest(F.lit(1), n * n)).otherwise(0).cast("long")  # greatest skips nulls
 
 
 def _votes() -> list[Column]:

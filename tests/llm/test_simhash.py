@@ -86,3 +86,32 @@ def test_ids_that_doubles_cannot_hold(spark):
         for i, d in enumerate(order):
             a, b = int(got[d].fingerprint, 16), int(got[order[(i + 1) % len(order)]].fingerprint, 16)
             assert got[d].near_next == 1 - bin(a ^ b).count("1") / 64
+
+
+def test_votes_against_brute_force(spark):
+    """Each word's hash votes with the square of its length less two (at most ten) on every bit; a tie is no bit. Long and repeated texts too."""
+    import re
+
+    import xxhash
+
+    rng = random.Random(17)
+    words = ["".join(rng.choice("abcdéß Ж"[:7]) for _ in range(rng.randint(1, 15))).replace(" ", "x") for _ in range(80)]
+    texts = [" ".join(rng.choice(words) for _ in range(n)) for n in (0, 1, 2, 3, 10, 200)] + ["Abc abc\tABC\x0bx", "y " * 50_000, "long" * 20_000, None]
+    rows = [(i, t, "more") for i, t in enumerate(texts)] + [(len(texts), texts[4], "more")]
+
+    def plain(text):
+        sums = [0] * 64
+        for w in re.findall(r"[^\x20\x09-\x0D]+", (text or "").lower()):
+            h, n = xxhash.xxh64(w.encode(), seed=42).intdigest(), max(1, (min(len(w), 12) - 2) ** 2)
+            for b in range(64):
+                sums[b] += n if h >> b & 1 else -n
+        return f"{sum(1 << b for b in range(64) if sums[b] > 0):016x}"
+
+    df = spark.createDataFrame(rows, "doc_id long, text string, fingerprint string")
+    got = {r.doc_id: r for r in S.edited_fingerprints(df, range_rows=3).collect()}
+    for i, t, _ in rows:
+        assert got[i].fingerprint == plain(t), t[:40]
+        following = rows[(i + 1) % len(rows)][1] or ""
+        cut = len(t or "") // 4
+        edited = (t or "")[: len(t or "") - cut] + following[:cut]
+        assert got[i].edited_fingerprint == plain(edited) and got[i].n_chars == len(t or "")
