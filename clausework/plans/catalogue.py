@@ -199,6 +199,13 @@ def q_chunk(spark, d):
     return parts.select("doc_id", "part", F.char_length("text").alias("chars"), F.md5("text").alias("digest"))
 
 
+@query("SELECT doc_id, md5(replace(text, chr(10), '')) AS digest, true AS within FROM documents WHERE text IS NOT NULL")
+def q_chunk_whole(spark, d):
+    """Chunks of a text, put together, are the text but for line feeds, and none is too long."""
+    parts = A.table(spark, d, "documents").select("doc_id", K.chunks(1000)(F.col("text")).alias("parts")).where("parts is not null")
+    return parts.select("doc_id", F.md5(F.replace(F.array_join("parts", ""), F.lit("\n"), F.lit(""))).alias("digest"), F.forall("parts", lambda x: F.char_length(x) <= 1000).alias("within"))
+
+
 @query()
 def q_alias_lexical(spark, d):
     parts = A.table(spark, d, "part").select(F.col("p_partkey").alias("ord"), F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("label"), F.col("p_brand").alias("type"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -12,9 +13,11 @@ BROADCAST_BYTES = 32 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; a temporary one only where that is unset (tests)."""
+    """The folder that the cluster names in spark.checkpoint.dir; a temporary one only on one machine, where that is unset (tests)."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("name a folder that all machines share in spark.checkpoint.dir")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="clausework-"))
         named = spark.sparkContext.getCheckpointDir()
     return named
