@@ -34,7 +34,7 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.edited_fingerprints(table(spark, sf_dir, "documents"))
+    return simhash.edited_fingerprints(table(spark, sf_dir, "documents"), radius=simhash.RADIUS)
 
 
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

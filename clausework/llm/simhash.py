@@ -10,11 +10,16 @@ range's first document, and the last one a copy of the first of all, so no windo
 
 ``near_fingerprints`` searches by permuted block tables: 64 bits are cut into radius + 3 blocks, and for every choice of
 3 blocks there is a table keyed by those blocks. Two fingerprints within the radius differ in at most ``radius`` blocks, so
-they agree in some table's key; candidates are then decided by counting bits.
+they agree in some table's key; candidates are then decided by counting bits, and a pair counts in the first table that
+holds it. Only distinct fingerprints are searched, so copies never meet. A key that more than ``CROWD`` of them share is
+not compared as it is: the bits outside its blocks are cut into radius + 3 blocks again, whose tables hold the same pairs
+under keys of about 48 bits, so that a crowd has at most the 2^16 fingerprints that agree in those.
 
 Defined results: null text counts as empty; a text without words has the fingerprint 0; rows with a null doc_id stand
 outside the order, as if an empty document came next; rows that repeat a doc_id are in order of their texts; a single
-document is its own next; an empty table gives an empty result. Further columns are not carried.
+document is its own next; an empty table gives an empty result. Further columns are not carried. Equal fingerprints are
+not near each other but the same, so n_near counts other fingerprints only, and least_near is never above a row's own
+doc_id; it is null where all rows within the radius have a null doc_id.
 """
 
 from __future__ import annotations
@@ -26,11 +31,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .cluster import maybe_broadcast, stored
+
 BITS = 64
 LONGEST = 12
 #: Rows of one range, about; a range is one window partition. Above MAX_RANGES of them ranges grow instead.
 RANGE_ROWS = 4096
 MAX_RANGES = 1 << 16
+RADIUS = 3
+#: Known fingerprints under one key above which the key is refined.
+CROWD = 1000
 WORD = r"[^\x20\x09-\x0D]+"
 _PAIR = (1 << 32) + 1
 
@@ -93,8 +103,8 @@ def _range_of(value: Column, bounds: list[int]) -> Column:
     return outer * step + upto(inner) - 1
 
 
-def edited_fingerprints(docs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
-    """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next).
+def edited_fingerprints(docs: DataFrame, range_rows: int = RANGE_ROWS, radius: int | None = None) -> DataFrame:
+    """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next); with ``radius`` also n_near, least_near.
 
     The edited text: the last floor(n_chars / 4) code points replaced by the first as many (or all) of the next document's.
     """
@@ -128,24 +138,74 @@ def edited_fingerprints(docs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFr
     prints = prints.groupBy("range", "n", "guard", "doc_id", "n_chars").agg(pick(0, "fp").alias("fp"), pick(1, "fp").alias("edited_fp"), pick(1, "sha").alias("edited_sha256"))
     after = F.lead("fp").over(W.partitionBy("range").orderBy("n"))
     prints = prints.withColumn("next_fp", F.coalesce(F.when(F.col("doc_id").isNotNull(), after), F.lit(0).cast("long"))).where(~F.col("guard"))
+    found = [] if radius is None else ["n_near", "least_near"]
+    if found:
+        prints = with_near(prints.select("doc_id", "n_chars", "edited_sha256", "fp", "edited_fp", "next_fp"), radius)
     return prints.select(
         "doc_id", "n_chars", "edited_sha256", hex_fingerprint(F.col("fp")).alias("fingerprint"), hex_fingerprint(F.col("edited_fp")).alias("edited_fingerprint"),
-        likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"), likeness(F.col("fp"), F.col("next_fp")).alias("near_next"),
+        likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"), likeness(F.col("fp"), F.col("next_fp")).alias("near_next"), *found,
     )
 
 
-def near_fingerprints(wanted: DataFrame, known: DataFrame, radius: int = 3) -> DataFrame:
-    """(fp, near, distance): for each distinct fp of ``wanted``, all distinct fps of ``known`` within ``radius`` bits."""
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
+def _tables(bits: list[int], radius: int) -> list[list[int]]:
+    """The bits of each block table's key: every choice of 3 of the radius + 3 blocks that ``bits`` are cut into."""
     blocks = radius + 3
-    edges = [round(i * BITS / blocks) for i in range(blocks + 1)]
-    masks = [((1 << hi) - (1 << lo)) for lo, hi in zip(edges, edges[1:], strict=False)]
-    signed = lambda m: m - (1 << 64) if m >> 63 else m
-    tables = [signed(masks[a] | masks[b] | masks[c]) for a, b, c in combinations(range(blocks), 3)]
-
-    def keyed(df: DataFrame, name: str) -> DataFrame:
-        keys = F.array(*[F.struct(F.lit(i).alias("tab"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(tables)])
-        return df.select("fp").where(F.col("fp").isNotNull()).distinct().select(F.col("fp").alias(name), F.inline(keys))
-
-    distance = F.bit_count(F.col("fp").bitwiseXOR(F.col("near")))
-    pairs = keyed(wanted, "fp").join(keyed(known, "near"), ["tab", "key"]).withColumn("distance", distance)
-    return pairs.where(F.col("distance") <= radius).select("fp", "near", "distance").distinct()
+    edges = [round(i * len(bits) / blocks) for i in range(blocks + 1)]
+    cut = [bits[lo:hi] for lo, hi in zip(edges, edges[1:], strict=False)]
+    return [[b for block in some for b in block] for some in combinations(cut, 3)]
+
+
+def _mask(bits: list[int]) -> int:
+    return sum(1 << b for b in bits)
+
+
+def near_fingerprints(wanted: DataFrame, known: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> DataFrame:
+    """(fp, near, distance): for each distinct fp of ``wanted``, all distinct fps of ``known`` within ``radius`` bits."""
+    tables = _tables(list(range(BITS)), radius)
+    masks = [_mask(t) for t in tables]
+    finer = [[m | _mask(t) for t in _tables([b for b in range(BITS) if not m >> b & 1], radius)] for m in masks]
+    row = lambda ms: F.array(*[F.lit(_signed(m)) for m in ms])
+
+    def placed(df: DataFrame, name: str) -> DataFrame:
+        fps = df.select("fp").where(F.col("fp").isNotNull()).distinct().withColumnRenamed("fp", name)
+        keys = [F.struct(F.lit(i).alias("tab"), F.col(name).bitwiseAND(F.lit(_signed(m))).alias("key")) for i, m in enumerate(masks)]
+        return fps.select(name, F.inline(F.array(*keys)))
+
+    def pairs(left: DataFrame, right: DataFrame, by: list[str], first: Column) -> DataFrame:
+        distance = F.bit_count(F.col("fp").bitwiseXOR(F.col("near")))
+        met = left.join(right, by).where(distance <= radius)
+        return met.where(first).select("fp", "near", distance.alias("distance"))
+
+    differ = F.col("fp").bitwiseXOR(F.col("near"))
+    is_first = lambda ms, tab: F.array_position(F.transform(ms, lambda m: differ.bitwiseAND(m) == 0), True) - 1 == F.col(tab)
+    left, right = placed(wanted, "fp"), placed(known, "near")
+    crowds = stored(right.groupBy("tab", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > crowd).select("tab", "key"), "crowds")
+    n = crowds.count()
+    first = is_first(row(masks), "tab")
+    if not n:
+        return pairs(left, right, ["tab", "key"], first)
+    crowds = maybe_broadcast(crowds, n, 16)
+    subs = F.get(F.array(*[row(ms) for ms in finer]), F.col("tab"))
+
+    def refined(df: DataFrame, name: str) -> DataFrame:
+        some = df.join(crowds, ["tab", "key"], "left_semi")
+        return some.select(name, "tab", F.inline(F.transform(subs, lambda m, i: F.struct(i.alias("sub"), F.col(name).bitwiseAND(m).alias("sub_key")))))
+
+    rest = pairs(left.join(crowds, ["tab", "key"], "left_anti"), right.join(crowds, ["tab", "key"], "left_anti"), ["tab", "key"], first)
+    return rest.unionByName(pairs(refined(left, "fp"), refined(right, "near"), ["tab", "sub", "sub_key"], first & is_first(subs, "sub")))
+
+
+def with_near(prints: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> DataFrame:
+    """prints (doc_id, fp, ...) with n_near, the other fingerprints within ``radius`` bits, and least_near, the least doc_id within it."""
+    prints = stored(prints, "fingerprints")
+    least = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct_fingerprints")
+    near = near_fingerprints(least.select("fp"), least.select("fp"), radius, crowd).where("distance > 0")
+    n = least.count()
+    found = near.join(maybe_broadcast(least.select(F.col("fp").alias("near"), F.col("least").alias("other")), n, 32), "near")
+    found = found.groupBy("fp").agg(F.count(F.lit(1)).alias("n_near"), F.min("other").alias("other"))
+    known = stored(least.join(found, "fp", "left").select("fp", F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"), F.least("least", "other").alias("least_near")), "near")
+    return prints.join(maybe_broadcast(known, n, 40), "fp")

@@ -65,13 +65,39 @@ def test_block_tables_find_every_fingerprint_within_the_radius(spark):
                 x ^= 1 << bit
             known.append(x)
     signed = lambda v: v - (1 << 64) if v >> 63 else v
-    pairs = S.near_fingerprints(spark.createDataFrame([(signed(b),) for b in base], "fp long"), spark.createDataFrame([(signed(k),) for k in known], "fp long"), 3).collect()
-    expected = {(signed(a), signed(b)) for a in base for b in known if bin(a ^ b).count("1") <= 3}
-    assert {(p.fp, p.near) for p in pairs} == expected
+    known += [base[0] ^ (1 << i) ^ (1 << j) for i in range(50, 64) for j in range(40, 50)]  # many in few blocks
+    wanted, all_ = spark.createDataFrame([(signed(b),) for b in base], "fp long"), spark.createDataFrame([(signed(k),) for k in known], "fp long")
+    expected = sorted({(signed(a), signed(b), bin(a ^ b).count("1")) for a in base for b in known if bin(a ^ b).count("1") <= 3})
+    for crowd in (S.CROWD, 20, 1, 0):  # keys as they are, some refined, and all
+        assert sorted(tuple(p) for p in S.near_fingerprints(wanted, all_, 3, crowd).collect()) == expected  # each pair once
+    everyone = sorted({(signed(a), signed(b)) for a in known for b in known if bin(a ^ b).count("1") <= 2})
+    assert sorted((p.fp, p.near) for p in S.near_fingerprints(all_, all_, 2, 10).collect()) == everyone
+
+
+def test_documents_within_the_radius_against_brute_force(spark):
+    rng = random.Random(23)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 12))) for _ in range(300)]
+    rows = []
+    for d in range(40):
+        base = [rng.choice(words) for _ in range(120)]
+        rows += [(d * 10 + k, " ".join(base + ["a", "an", "or", "by"][:k])) for k in range(rng.randint(1, 4))]
+    rows += [(2000, rows[5][1]), (2001, rows[5][1]), (2002, None), (2003, " "), (None, "only without an id here"), (None, rows[9][1])]
+    got = S.edited_fingerprints(spark.createDataFrame(rows, SCHEMA), 50, radius=3).collect()
+    assert len(got) == len(rows)
+    least = {}
+    for r in got:
+        least.setdefault(int(r.fingerprint, 16), []).append(r.doc_id)
+    for r in got:
+        fp = int(r.fingerprint, 16)
+        near = [x for x in least if bin(x ^ fp).count("1") <= 3]
+        ids = [d for x in near for d in least[x] if d is not None]
+        assert (r.n_near, r.least_near) == (len(near) - 1, min(ids, default=None))
+    assert any(r.n_near for r in got)
+    assert S.edited_fingerprints(spark.createDataFrame([], SCHEMA), radius=3).collect() == []
 
 
 def test_no_python_in_the_plan(spark):
-    df = S.edited_fingerprints(spark.createDataFrame([(1, "a b"), (2, "c")], SCHEMA)).withColumn("x", F.lit(1))
+    df = S.edited_fingerprints(spark.createDataFrame([(1, "a b"), (2, "c")], SCHEMA), radius=3).withColumn("x", F.lit(1))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
 
