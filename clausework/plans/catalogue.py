@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import kernels as K
 from ..functions import text as X
-from ..operators import audit, comparison, corpus, curated, extraction, graphs, history, merging, review, validation
+from ..operators import audit, comparison, corpus, curated, extraction, graphs, history, merging, questions, review, validation
 from ..provider import facts_of, replies
 from ..sources import documents, exports, stores
 from ..storage import scratch
@@ -557,61 +557,93 @@ def q_new_since(spark, d):
     return graphs.new_since(A.table(spark, d, "orders").select(F.col("o_orderkey").alias("id")), seen)
 
 
-def _joined(spark, d, *names: str) -> DataFrame:
-    """customer, orders, lineitem, part, supplier, nation joined along their keys, as far as named."""
-    keys = {"orders": ("c_custkey", "o_custkey"), "lineitem": ("o_orderkey", "l_orderkey"), "part": ("l_partkey", "p_partkey"), "supplier": ("l_suppkey", "s_suppkey"), "nation": ("c_nationkey", "n_nationkey")}
-    out = A.table(spark, d, "customer")
-    for n in names:
-        a, b = keys[n]
-        out = out.join(A.table(spark, d, n), F.col(a) == F.col(b))
-    return out
+def _nodes(rows: DataFrame, kind: str, key: str, label: str) -> DataFrame:
+    return rows.select(F.concat(F.lit(f"{kind}:"), key).alias("id"), F.lit(kind).alias("type"), F.col(label).cast("string").alias("label"))
+
+
+def _edges(rows: DataFrame, kind: str, src: tuple[str, str], dst: tuple[str, str], ord=None, **attrs) -> DataFrame:
+    """Relations of a kind between (type, key column) and (type, key column)."""
+    at = lambda end: F.concat(F.lit(f"{end[0]}:"), F.col(end[1]))
+    pairs = [x for k, v in attrs.items() for x in (F.lit(k), v.cast("string"))]
+    return rows.select((F.lit(0) if ord is None else ord).alias("ord"), F.lit(kind).alias("type"), at(src).alias("src"), at(dst).alias("dst"), F.create_map(*pairs).cast("map<string,string>").alias("attrs"))
+
+
+def _key(c: str):
+    return F.split_part(F.col(c), F.lit(":"), F.lit(2)).cast("long")
 
 
 @query("SELECT c_custkey, o_orderpriority AS direction, count(*) AS messages FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY 1, 2")
 def q_competency_messages(spark, d):
-    return _joined(spark, d, "orders").groupBy("c_custkey", F.col("o_orderpriority").alias("direction")).agg(F.count(F.lit(1)).alias("messages"))
+    """Customers as procedures that exchange orders."""
+    orders = A.table(spark, d, "orders").join(A.table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey")), "o_custkey")
+    edges = _edges(orders, "EXCHANGES", ("Procedure", "o_custkey"), ("Message", "o_orderkey"), direction=F.col("o_orderpriority"))
+    found = questions.messages(_nodes(orders, "Message", "o_orderkey", "o_orderkey"), edges)
+    return found.groupBy(_key("procedure").alias("c_custkey"), "direction").agg(F.count("label").alias("messages"))
 
 
 @query("SELECT p_partkey, arg_min(s_name, s_suppkey) AS supervisor, count(DISTINCT s_suppkey) AS candidates FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey GROUP BY 1")
 def q_competency_supervisor(spark, d):
-    rows = A.table(spark, d, "lineitem").join(A.table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey")).join(A.table(spark, d, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-    return rows.groupBy("p_partkey").agg(F.min_by("s_name", "s_suppkey").alias("supervisor"), F.countDistinct("s_suppkey").alias("candidates"))
+    """Suppliers as timers that govern parts."""
+    parts, suppliers = A.table(spark, d, "part"), A.table(spark, d, "supplier")
+    lines = A.table(spark, d, "lineitem").join(parts.select(F.col("p_partkey").alias("l_partkey")), "l_partkey")
+    edges = _edges(lines, "GOVERNS", ("Timer", "l_suppkey"), ("Procedure", "l_partkey"))
+    found = questions.timers(_nodes(suppliers, "Timer", "s_suppkey", "s_name"), edges).where("label is not null")
+    return found.groupBy(_key("procedure").alias("p_partkey")).agg(F.min_by("label", _key("timer")).alias("supervisor"), F.countDistinct("timer").alias("candidates"))
 
 
 @query("SELECT c_custkey, arg_min(o_orderstatus, (o_orderdate, o_orderkey)) AS before, arg_max(o_orderstatus, (o_orderdate, o_orderkey)) AS after FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY 1")
 def q_competency_states(spark, d):
-    order = F.struct("o_orderdate", "o_orderkey")
-    return _joined(spark, d, "orders").groupBy("c_custkey").agg(F.min_by("o_orderstatus", order).alias("before"), F.max_by("o_orderstatus", order).alias("after"))
+    """Customers as procedures; the status of their orders as states."""
+    orders = A.table(spark, d, "orders").join(A.table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey")), "o_custkey")
+    ends, order = (("Procedure", "o_custkey"), ("State", "o_orderstatus")), F.struct("o_orderdate", "o_orderkey")
+    edges = _edges(orders, "HAS_PRECONDITION", *ends, ord=order).unionByName(_edges(orders, "TRANSITIONS_TO", *ends, ord=order))
+    found = questions.states(_nodes(orders.select("o_orderstatus").distinct(), "State", "o_orderstatus", "o_orderstatus"), edges)
+    return found.select(_key("procedure").alias("c_custkey"), "before", "after")
 
 
 @query("SELECT o_orderkey, count(*) AS carried, count(*) FILTER (WHERE l_returnflag = 'R') AS optional FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1")
 def q_competency_elements(spark, d):
-    rows = A.table(spark, d, "orders").join(A.table(spark, d, "lineitem"), F.col("l_orderkey") == F.col("o_orderkey"))
-    return rows.groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("carried"), F.count_if(F.col("l_returnflag") == "R").alias("optional"))
+    """Orders as messages that carry lines; returned lines are optional."""
+    lines = A.table(spark, d, "lineitem").join(A.table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey")
+    lines = lines.withColumn("line", F.concat_ws(".", "l_orderkey", "l_linenumber"))
+    edges = _edges(lines, "CONTAINS", ("Message", "l_orderkey"), ("InformationElement", "line"), optional=F.col("l_returnflag") == "R")
+    found = questions.elements(_nodes(lines.select("line").distinct(), "InformationElement", "line", "line"), edges)
+    return found.groupBy(_key("message").alias("o_orderkey")).agg(F.count("label").alias("carried"), F.count_if("optional").alias("optional"))
 
 
 @query("SELECT r_name, count(DISTINCT n_nationkey) AS invoked FROM region LEFT JOIN nation ON n_regionkey = r_regionkey GROUP BY 1")
 def q_competency_invoked(spark, d):
-    rows = A.table(spark, d, "region").join(A.table(spark, d, "nation"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
-    return rows.groupBy("r_name").agg(F.countDistinct("n_nationkey").alias("invoked"))
+    """Regions as procedures that invoke nations."""
+    edges = _edges(A.table(spark, d, "nation"), "INVOKES", ("Procedure", "n_regionkey"), ("Procedure", "n_nationkey"))
+    found = questions.invoked(_nodes(A.table(spark, d, "region"), "Procedure", "r_regionkey", "r_name"), edges)
+    return found.groupBy(F.col("label").alias("r_name")).agg(F.countDistinct("invoked").alias("invoked"))
 
 
 @query("SELECT l_partkey, count(DISTINCT o_custkey) AS reused_by FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1 HAVING count(DISTINCT o_custkey) > 1")
 def q_competency_reuse(spark, d):
-    rows = A.table(spark, d, "lineitem").join(A.table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    return rows.groupBy("l_partkey").agg(F.countDistinct("o_custkey").alias("reused_by")).where("reused_by > 1")
+    """Parts as messages that customers reuse."""
+    rows = A.table(spark, d, "lineitem").join(A.table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
+    found = questions.reuse(_edges(rows, "REUSED_BY", ("Message", "l_partkey"), ("Procedure", "o_custkey")))
+    return found.select(_key("message").alias("l_partkey"), F.col("procedures").alias("reused_by"))
 
 
 @query("SELECT x.event_type AS trigger, y.event_type AS triggered, count(*) AS n FROM (SELECT *, lead(event_id) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS next FROM events) x JOIN events y ON y.event_id = x.next GROUP BY 1, 2")
 def q_competency_triggers(spark, d):
+    """Each event triggers its user's next one."""
     w = W.partitionBy("user_id").orderBy("ts", "event_id")
-    rows = A.table(spark, d, "events").select(F.col("event_type").alias("trigger"), F.lead("event_type").over(w).alias("triggered"))
-    return rows.where("triggered is not null").groupBy("trigger", "triggered").agg(F.count(F.lit(1)).alias("n"))
+    events = A.table(spark, d, "events").select("event_id", "event_type", F.lead("event_id").over(w).alias("next"))
+    edges = _edges(events.where("next is not null"), "TRIGGERS", ("Event", "event_id"), ("Event", "next"))
+    found = questions.triggers(_nodes(events, "Event", "event_id", "event_type"), edges)
+    return found.groupBy(F.col("cause_label").alias("trigger"), F.col("label").alias("triggered")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("SELECT n_name, c_mktsegment, count(*) AS defined FROM customer JOIN nation ON n_nationkey = c_nationkey GROUP BY 1, 2")
 def q_competency_provenance(spark, d):
-    return _joined(spark, d, "nation").groupBy("n_name", "c_mktsegment").agg(F.count(F.lit(1)).alias("defined"))
+    """Customers as entities, defined in the clause of their nation and the specification of their segment."""
+    rows = A.table(spark, d, "customer").join(A.table(spark, d, "nation"), F.col("n_nationkey") == F.col("c_nationkey"))
+    place = F.struct(F.col("c_mktsegment").alias("spec"), F.lit("Rel-19").alias("release"), F.col("n_name").alias("clause"))
+    found = questions.definitions(rows.select(F.col("c_custkey").alias("id"), F.array(place).alias("defined_in")))
+    return found.groupBy(F.col("clause").alias("n_name"), F.col("spec").alias("c_mktsegment")).agg(F.count(F.lit(1)).alias("defined"))
 
 
 @query("SELECT 'kg:x/region/' || n_regionkey AS concept, count(*) AS entities FROM nation GROUP BY 1")
