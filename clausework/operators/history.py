@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.kernels import lexical_distance
+from ..storage import checkpointed
+
 
 def presence(observed: DataFrame, first: int, last: int) -> DataFrame:
     """(key, introduced, floor, observed, last_seen, valid_until, gaps) for rows (key, release as a number).
@@ -34,21 +37,39 @@ def as_of(found: DataFrame, at) -> DataFrame:
     return found.where((F.col("valid_from") <= at) & (F.col("valid_to").isNull() | (F.lit(at) < F.col("valid_to"))))
 
 
-def renames(observed: DataFrame, links: DataFrame, release: int, least: float = 0.5) -> DataFrame:
+def renames(observed: DataFrame, links: DataFrame, release: int, least: float = 0.5, about: DataFrame | None = None) -> DataFrame:
     """(gone, new, shared, overlap): keys last seen just before a release and keys first seen in it that share neighbours.
 
-    observed (key, release); links (key, neighbour). Candidates meet through a shared neighbour, never all against all;
-    overlap is shared neighbours by all of both. They are for review: nothing is merged.
+    observed (key, release); links (key, neighbour). Overlap is shared neighbours by all of both. Keys that reach ``least``
+    share one of their rarest neighbours, so candidates meet through those, not through what everything is linked to, and
+    are counted exactly afterwards. With ``about`` (key, type, layer, label) only keys of one type and layer meet (nulls
+    are equal), and similarity (1 less the distance of their labels, null if one has none) is a further column. What comes
+    out is for review: nothing is merged.
     """
     ends = observed.groupBy("key").agg(F.min("release").alias("lo"), F.max("release").alias("hi"))
-    gone, new = ends.where(F.col("hi") == release - 1).select("key"), ends.where(F.col("lo") == release).select("key")
-    near = links.select("key", "neighbour").distinct()
-    of = lambda keys, name: near.join(keys, "key").select(F.col("key").alias(name), "neighbour")
-    size = near.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    shared = of(gone, "gone").join(of(new, "new"), "neighbour").groupBy("gone", "new").agg(F.count(F.lit(1)).alias("shared"))
-    sized = shared.join(size.select(F.col("key").alias("gone"), F.col("n").alias("a")), "gone").join(size.select(F.col("key").alias("new"), F.col("n").alias("b")), "new")
+    sides = ends.where((F.col("hi") == release - 1) | (F.col("lo") == release)).select("key", (F.col("lo") == release).alias("is_new"))
+    if about is None:
+        kind = F.lit("").alias("kind")
+    else:
+        sides, kind = sides.join(about.dropDuplicates(["key"]), "key"), F.to_json(F.struct("type", "layer")).alias("kind")
+    sides = sides.select("key", "is_new", kind, *(["label"] if about is not None else []))
+    held = checkpointed(links.select("key", "neighbour").where("neighbour is not null").distinct().join(sides, "key"))
+    sizes = held.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    shares = held.groupBy("neighbour").agg(F.count(F.lit(1)).alias("d"))
+    place = F.row_number().over(W.partitionBy("key").orderBy("d", "neighbour"))
+    bar = F.lit(least - 0.00005)  # overlap is rounded to four places before it is held against least
+    rare = held.join(shares, "neighbour").withColumn("place", place).join(sizes, "key").where(F.col("place") <= F.col("n") - F.ceil(bar * F.col("n") - 1e-9) + 1)
+    of = lambda rows, new, name, *more: rows.where(F.col("is_new") == new).select(F.col("key").alias(name), "neighbour", *more)
+    pairs = of(rare, False, "gone", "kind").join(of(rare, True, "new", "kind"), ["neighbour", "kind"]).select("gone", "new").distinct()
+    shared = pairs.join(of(held, False, "gone"), "gone").join(of(held, True, "new"), ["new", "neighbour"]).groupBy("gone", "new").agg(F.count(F.lit(1)).alias("shared"))
+    sized = shared.join(sizes.select(F.col("key").alias("gone"), F.col("n").alias("a")), "gone").join(sizes.select(F.col("key").alias("new"), F.col("n").alias("b")), "new")
     overlap = F.col("shared").cast("double") / (F.col("a") + F.col("b") - F.col("shared"))
-    return sized.select("gone", "new", "shared", F.round(overlap, 4).alias("overlap")).where(F.col("overlap") >= least)
+    found = sized.select("gone", "new", "shared", F.round(overlap, 4).alias("overlap")).where(F.col("overlap") >= least)
+    if about is None:
+        return found
+    label = lambda new, name, to: sides.where(F.col("is_new") == new).select(F.col("key").alias(name), F.col("label").alias(to))
+    named = found.join(label(False, "gone", "a"), "gone").join(label(True, "new", "b"), "new")
+    return named.select("gone", "new", "shared", "overlap", F.round(1 - lexical_distance("a", "b"), 4).alias("similarity"))
 
 
 def representative(versions: DataFrame) -> DataFrame:

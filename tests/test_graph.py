@@ -252,6 +252,21 @@ def test_views(spark, clauses):
     assert all(r.src in ids and r.dst in ids for r in edges.collect())
 
 
+def test_renames_against_brute_force(spark):
+    """Candidates through rare neighbours lose no pair, whatever the bar; all keys share one neighbour."""
+    rng = random.Random(11)
+    links = [(f"{side}{i}", n) for side in "gn" for i in range(25) for n in {"hub", *(f"x{rng.randint(0, 12)}" for _ in range(rng.randint(0, 6)))}]
+    seen = spark.createDataFrame([(k, 1 if k[0] == "g" else 2) for k in {k for k, _ in links}], "key string, release long")
+    rows = spark.createDataFrame(links + links[:9], "key string, neighbour string")
+    sets = {}
+    for k, n in links:
+        sets.setdefault(k, set()).add(n)
+    share = {(g, n): round(len(sets[g] & sets[n]) / len(sets[g] | sets[n]), 4) for g in sets if g[0] == "g" for n in sets if n[0] == "n"}
+    for least in (0.1, 0.3333, 0.5, 0.75, 1.0):
+        got = {(r.gone, r.new): r.overlap for r in history.renames(seen, rows, 2, least).collect()}
+        assert got == {p: o for p, o in share.items() if o >= least and o > 0}
+
+
 def test_history(spark):
     values = spark.createDataFrame([("k", i, v) for i, v in enumerate(["A", "A", "B", "A", None, None])], "key string, at long, value string")
     got = history.segments(values).orderBy("segment").collect()
@@ -262,6 +277,12 @@ def test_history(spark):
     assert got == {"a": (1, True, None, 1), "b": (2, False, 2, 0), "c": (3, False, None, 0)}
     links = spark.createDataFrame([("b", "n1"), ("b", "n2"), ("c", "n1"), ("c", "n2"), ("c", "n3")], "key string, neighbour string")
     assert [(r.gone, r.new, r.overlap) for r in history.renames(seen, links, 3).collect()] == [("b", "c", 0.6667)]
+    kinds = [("a", "T", "L", "x"), ("b", "T", "L", "setup timer"), ("c", "T", "L", "setup timers"), ("c2", "T", "M", "setup timer"), ("c3", "U", "L", None), ("b2", "U", "L", "y"), ("b2", "U", "L", "y")]
+    about = spark.createDataFrame(kinds, "key string, type string, layer string, label string")
+    more = seen.union(spark.createDataFrame([("c2", 3), ("c3", 3), ("b2", 2)], seen.schema))
+    near = links.union(spark.createDataFrame([(k, n) for k in ("c2", "c3", "b2") for n in ("n1", "n2", None)], links.schema))
+    got = {(r.gone, r.new): (r.shared, r.overlap, r.similarity) for r in history.renames(more, near, 3, 0.5, about).collect()}
+    assert got == {("b", "c"): (2, 0.6667, 0.9565), ("b2", "c3"): (2, 1.0, None)}
     versions = spark.createDataFrame([("R", "19.2.0"), ("R", "19.10.0")], "release string, version string")
     assert history.representative(versions).first().version == "19.10.0"
 
