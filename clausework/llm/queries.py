@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitslice, bpe, linedup, mixing, nbsvm, ngram_jaccard, pii, simhash, suffixdedup, warc
+from . import bitslice, bpe, linedup, mixing, nbsvm, ngram_jaccard, pii, prefixtrie, simhash, suffixdedup, warc
 from .cluster import prepared
 
 
@@ -75,12 +75,19 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(table(spark, sf_dir, "documents").select("doc_id", "text"), *byte_bpe())
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+QUERIES = (op1_ngram_jaccard, op2_simhash, op3_mix_sources, op4_surrogates, op5_quality, op6_line_dedup, op7_suffix_dedup, op8_bitsliced_topk, op9_warc, op10_byte_bpe, op11_prefix_trie)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ngram_jaccard, op2_simhash, op3_mix_sources, op4_surrogates, op5_quality, op6_line_dedup, op7_suffix_dedup, op8_bitsliced_topk, op9_warc, op10_byte_bpe)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_ngram_jaccard": JACCARD_SQL, "op3_mix_sources": MIX_SQL, "op6_line_dedup": LINES_SQL, "op8_bitsliced_topk": TOPK_SQL, "op9_warc": WARC_SQL}
+    return {"op1_ngram_jaccard": JACCARD_SQL, "op3_mix_sources": MIX_SQL, "op6_line_dedup": LINES_SQL, "op8_bitsliced_topk": TOPK_SQL, "op9_warc": WARC_SQL, "op11_prefix_trie": TRIE_SQL}
 
 
 MIX_SQL = r"""
@@ -176,3 +183,41 @@ SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
        CASE WHEN g.last IS NOT NULL AND page_id IS DISTINCT FROM g.last THEN g.last END AS refers_to
 FROM p JOIN g ON p.digest = g.digest
 """
+
+TRIE_SQL = """
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS k
+  FROM conversations WHERE conv_id IS NOT NULL
+), lens AS (SELECT conv_id, count(*) AS len FROM t GROUP BY conv_id),
+crc AS (
+  SELECT conv_id, len, conv_id - conv_id % 5 AS base, xor(list_reduce(
+    list_transform(range(1, length(conv_id::VARCHAR) + 1), lambda i: ascii(substr(conv_id::VARCHAR, i::INT, 1))::BIGINT),
+    lambda acc, b: list_reduce(range(8), lambda a, j: xor(a >> 1, CASE WHEN a & 1 = 1 THEN 3988292384 ELSE 0 END), xor(acc, b)), 4294967295::BIGINT), 4294967295) AS crc
+  FROM lens
+), plan AS (
+  SELECT c.conv_id, c.base, CASE WHEN c.base = c.conv_id THEN 0 ELSE crc % 9 END AS h, CASE WHEN c.base = c.conv_id THEN 0 ELSE least(crc % 9, coalesce(b.len, 0)) END AS from_base
+  FROM crc c LEFT JOIN lens b ON b.conv_id = c.base
+), turns AS (
+  SELECT p.conv_id, k - h + from_base AS d, role, text FROM t JOIN plan p ON p.conv_id = t.conv_id AND k > h
+  UNION ALL
+  SELECT p.conv_id, k, role, text FROM t JOIN plan p ON p.base = t.conv_id AND k <= from_base
+), prefixes AS (
+  SELECT conv_id, d, list(md5(length(role)::VARCHAR || ':' || role || text)) OVER (PARTITION BY conv_id ORDER BY d) AS p, strlen(text) AS bytes FROM turns
+  UNION ALL
+  SELECT conv_id, 0, [], 0 FROM plan
+), nodes AS (SELECT p, d, min(conv_id) AS m, count(*) AS n, any_value(bytes) AS bytes FROM prefixes GROUP BY p, d),
+members AS (SELECT x.conv_id, x.d, n.m, n.n FROM prefixes x JOIN nodes n ON x.p = n.p AND x.d = n.d),
+tree AS (SELECT n.m, n.d, n.n, (n.n - 1) * n.bytes AS own, a.m AS parent FROM nodes n LEFT JOIN members a ON a.conv_id = n.m AND a.d = n.d - 1),
+kids AS (SELECT parent AS m, d - 1 AS d, count(*) AS n_children FROM tree WHERE d > 0 GROUP BY ALL),
+sums AS (
+  SELECT a.m, a.d, count(*) FILTER (WHERE k.m IS NULL) AS n_leaves, sum(t.own) AS saved
+  FROM tree t LEFT JOIN kids k ON k.m = t.m AND k.d = t.d JOIN members a ON a.conv_id = t.m AND a.d <= t.d GROUP BY a.m, a.d
+), ends AS (
+  SELECT m, d, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS digest FROM members x
+  WHERE NOT EXISTS (SELECT 1 FROM members y WHERE y.conv_id = x.conv_id AND y.d = x.d + 1) GROUP BY m, d
+)
+SELECT t.m AS conv_id, t.d::BIGINT AS depth, t.parent AS parent_conv_id, t.n AS n_convs, coalesce(k.n_children, 0) AS n_children, s.n_leaves, s.saved::BIGINT AS saved_tokens,
+       coalesce(e.digest, sha256('')) AS ends_sha256
+FROM tree t JOIN sums s ON s.m = t.m AND s.d = t.d LEFT JOIN kids k ON k.m = t.m AND k.d = t.d LEFT JOIN ends e ON e.m = t.m AND e.d = t.d
+"""
