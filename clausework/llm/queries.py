@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitslice, bpe, linedup, mixing, nbsvm, ngram_jaccard, pii, prefixtrie, simhash, suffixdedup, warc
+from . import bitslice, bpe, linedup, mixing, nbsvm, ngram_jaccard, pii, prefixtrie, secretscan, simhash, spelling, suffixdedup, warc
 from .cluster import prepared
 
 
@@ -79,7 +79,15 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefixtrie.conversation_trie(table(spark, sf_dir, "conversations"))
 
 
-QUERIES = (op1_ngram_jaccard, op2_simhash, op3_mix_sources, op4_surrogates, op5_quality, op6_line_dedup, op7_suffix_dedup, op8_bitsliced_topk, op9_warc, op10_byte_bpe, op11_prefix_trie)
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secretscan.spans_digest(secretscan.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"))
+
+
+QUERIES = (op1_ngram_jaccard, op2_simhash, op3_mix_sources, op4_surrogates, op5_quality, op6_line_dedup, op7_suffix_dedup, op8_bitsliced_topk, op9_warc, op10_byte_bpe, op11_prefix_trie, op12_secret_scan, op13_spelling)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
