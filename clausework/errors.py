@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 #: Code to (template, hint).
 CATALOGUE = {
     "LLM-E001": ("the model did not answer within {timeout} s", "raise the timeout or shorten the chunks"),
@@ -22,7 +24,29 @@ class EngineError(RuntimeError):
 
         super().__init__(f"{code}: {template.format_map(Named(context))} ({hint})")
 
+    def __reduce__(self):
+        return _again, (self.code, self.context)
+
     def transient(self) -> bool:
         """Whether another try may help: unreachable, status 429, or from 500 on."""
         status = self.context.get("status")
         return self.code == "LLM-E003" or (self.code == "LLM-E002" and isinstance(status, int) and (status == 429 or status >= 500))
+
+    def packed(self) -> str:
+        """The error as text that ``unpacked`` reads."""
+        return json.dumps({"code": self.code, "context": self.context}, default=str)
+
+
+def _again(code: str, context: dict) -> EngineError:
+    return EngineError(code, **context)
+
+
+def packed(error: Exception) -> str:
+    """Any error as text, to be carried in a row."""
+    return error.packed() if isinstance(error, EngineError) else json.dumps({"message": f"{type(error).__name__}: {error}"})
+
+
+def unpacked(text: str) -> Exception:
+    """The error that ``packed`` wrote: an EngineError, or a RuntimeError with the other's name and message."""
+    said = json.loads(text)
+    return EngineError(said["code"], **said["context"]) if "code" in said else RuntimeError(said["message"])

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Iterable
+from itertools import combinations
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 from ..operators import comparison, review, validation
 from ..schema import RETYPE_RULES, Ontology, Options, SpecConfig
 from ..sources import stores
+from ..storage import checkpointed
+from .run import _named
 
 
 def table_lines(title: str, rows: DataFrame, order: Iterable, most: int) -> list[str]:
@@ -53,7 +56,7 @@ def compare(entities: DataFrame, relations: DataFrame, samples: int = 8) -> str:
     lines += table_lines("entities of pairs of runs", comparison.set_compare(ids), ["label_a", "label_b"], 100)
     lines += table_lines("relations of pairs of runs", comparison.set_compare(relations.select(run, "id")), ["label_a", "label_b"], 100)
     labels = sorted(r.label for r in ids.select("label").distinct().collect())
-    for a, b in zip(labels, labels[1:], strict=False):
+    for a, b in combinations(labels, 2):
         own = comparison.set_differences(*(ids.where(F.col("label") == x).select("id") for x in (a, b)))
         lines += table_lines(f"only in one of {a} and {b}", own, ["side", "id"], samples)
         differ = comparison.object_divergence(*(relations.where(F.col("run") == x) for x in (a, b)))
@@ -77,6 +80,20 @@ def alignment(suggestions: DataFrame, rho: float, samples: int = 8) -> str:
     return "\n".join(lines + table_lines(f"next to {rho}", review.boundary(suggestions, rho, samples).select("side", "place", "surface_id", "canonical_id", "distance"), ["side", "place"], 2 * samples))
 
 
+def retype(entities: DataFrame, relations: DataFrame, rules: DataFrame, ontology: Ontology | None = None) -> tuple[str, dict[str, DataFrame]]:
+    """What the rules change and the errors by category before and after, and the tables of the retyped run."""
+    o, keys = ontology or Ontology(), ("spec", "version", "run")
+    entities, relations = entities.drop(*keys), relations.drop(*keys)
+    plan = validation.retype_plan(entities, relations, rules)
+    after = checkpointed(validation.retyped(entities, relations, rules))
+    found = [checkpointed(validation.findings(entities, r, o)) for r in (relations, after)]
+    lines = table_lines("relations to retype", plan.groupBy("old_type", "new_type").agg(F.count(F.lit(1)).alias("n")), ["old_type", "new_type"], 50)
+    counts = [f.groupBy("cat").agg(F.count(F.lit(1)).alias(n)) for f, n in zip(found, ("before", "after"), strict=True)]
+    both = counts[0].join(counts[1], "cat", "full").select("cat", *(F.coalesce(n, F.lit(0)).alias(n) for n in ("before", "after")))
+    lines += table_lines("errors before and after", both, ["cat"], 50)
+    return "\n".join(lines), {"entities": entities, "relations": after, "findings": found[1]}
+
+
 def main(argv: list[str] | None = None) -> None:
     from ..session import local_session
 
@@ -88,7 +105,9 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--gold", default="gold", help="the label of the curated truth")
     p.add_argument("--rho", type=float)
     p.add_argument("--samples", type=int, default=8)
-    p.add_argument("--write-label", help="where retype writes its run; without, it only reports")
+    p.add_argument("--write-label", help="where retype writes its run and align its new suggestions (the same run is allowed); without, they only report")
+    p.add_argument("--recompute", action="store_true", help="align: measure all distances of the run anew")
+    p.add_argument("--embed", help="module:function that gives labels' vectors, for --recompute")
     p.add_argument("--out", help="a file for the report")
     a = p.parse_args(argv)
     spark = SparkSession.getActiveSession() or local_session()
@@ -103,16 +122,17 @@ def main(argv: list[str] | None = None) -> None:
     elif a.report == "evaluate":
         text = evaluation((read("entities", a.gold), read("relations", a.gold)), read("entities"), read("relations"), read("aliases", optional=True))
     elif a.report == "align":
-        text = alignment(read("aliases"), Options.of(spark, rho=a.rho).rho, a.samples)
+        rho, suggestions = Options.of(spark, rho=a.rho).rho, None
+        if a.recompute:
+            suggestions = checkpointed(review.aligned(read("entities"), Ontology().compatible(spark), rho, _named(a.embed)))
+            if a.write_label:
+                snapshots.write("aliases", suggestions, cfg, a.write_label)
+        text = alignment(read("aliases") if suggestions is None else suggestions, rho, a.samples)
     else:
         rules = spark.createDataFrame(list(RETYPE_RULES), "type string, src_type string, dst_type string, new_type string")
-        entities, relations = read("entities"), read("relations")
-        plan = validation.retype_plan(entities, relations, rules)
-        text = "\n".join(table_lines("relations to retype", plan.groupBy("old_type", "new_type").agg(F.count(F.lit(1)).alias("n")), ["old_type"], 50))
+        text, tables = retype(read("entities"), read("relations"), rules)
         if a.write_label:
-            keys = ("spec", "version", "run")
-            snapshots.write("entities", entities.drop(*keys), cfg, a.write_label)
-            snapshots.write("relations", validation.retyped(entities, relations, rules).drop(*keys), cfg, a.write_label)
+            snapshots.commit(tables, cfg, a.write_label)
     if a.out:
         Path(a.out).write_text(text + "\n", encoding="utf-8")
     print(text)

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .errors import EngineError
+from .errors import EngineError, packed
 from .functions.kernels import FACTS, chunk, parse_reply, read_reply, without_reasoning
 from .functions.text import strip_reasoning
 from .schema import Ontology, SpecConfig
@@ -80,31 +80,52 @@ def ask(provider: Provider, request: list[dict], retries: int, readable: Callabl
     return reply
 
 
-def replies(clauses: DataFrame, cfg: SpecConfig, provider: Provider, max_chars: int = 6000, retries: int = 3, variant: str = "v1", parallel: int | None = None, examples: list[dict] = (), ontology: Ontology | None = None, sentinel: bool = False) -> DataFrame:
-    """(clause_ord, clause, part, reply) for every chunk of the clauses' texts. Examples are few, and part of every request."""
+def replies(clauses: DataFrame, cfg: SpecConfig, provider: Provider, max_chars: int = 6000, retries: int = 3, variant: str = "v1", parallel: int | None = None, examples: list[dict] = (), ontology: Ontology | None = None, sentinel: bool = False, keep_errors: bool = False) -> DataFrame:
+    """(clause_ord, clause, part, reply) for every chunk of the clauses' texts. Examples are few, and part of every request.
+
+    With keep_errors also error: a request that fails is a row with its error, and its task asks nothing more; what it leaves
+    out has no row. Without, a failure fails the job.
+    """
 
     def readable(reply: str) -> bool:
         answer = reply.rpartition(SENTINEL)[2] if sentinel else reply
         return read_reply(without_reasoning(answer))[1] is not None
 
+    def asked(key: str, title: str, text: str) -> Iterator[tuple[int, str | None, str | None]]:
+        for part, piece in enumerate(chunk(text or "", max_chars)):
+            try:
+                yield part, ask(provider, messages(cfg, key, title or "", piece, examples, variant, ontology, sentinel), retries, readable), None
+            except Exception as e:
+                if not keep_errors:
+                    raise
+                yield part, None, packed(e)
+                return
+
+    columns = ["clause_ord", "clause", "part", "reply", *(["error"] if keep_errors else [])]
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        failed = False
         for frame in frames:
             rows = []
             for at, key, title, text in zip(frame["ord"], frame["key"], frame["title"], frame["text"], strict=True):
-                for part, piece in enumerate(chunk(text or "", max_chars)):
-                    rows.append((at, key, part, ask(provider, messages(cfg, key, title or "", piece, examples, variant, ontology, sentinel), retries, readable)))
-            yield pd.DataFrame(rows, columns=["clause_ord", "clause", "part", "reply"])
+                if failed:
+                    break
+                rows += [(at, key, part, reply, error) for part, reply, error in asked(key, title, text)]
+                failed = rows[-1][-1] is not None if rows else False
+            yield pd.DataFrame([r[: len(columns)] for r in rows], columns=columns)
 
     rows = clauses.select(F.col("ord").cast("long").alias("ord"), "key", "title", "text")
     rows = rows.repartition(parallel, "key") if parallel else rows
-    return rows.mapInPandas(run, "clause_ord long, clause string, part int, reply string")
+    return rows.mapInPandas(run, "clause_ord long, clause string, part int, reply string" + (", error string" if keep_errors else ""))
 
 
 def facts_of(replied: DataFrame, marker: str | None = None) -> DataFrame:
-    """(clause_ord, clause, facts): each clause's facts over all its parts, in order; empty where nothing parses."""
+    """(clause_ord, clause, facts): each clause's facts over all its parts, in order; empty where nothing parses. If replies
+    carry errors, also error: one of the clause's, null where all its requests were answered."""
     parsed = replied.withColumn("r", parse_reply(strip_reasoning(F.col("reply"), marker)))
-    parts = parsed.groupBy("clause_ord", "clause").agg(F.array_sort(F.collect_list(F.struct("part", F.coalesce("r.facts", F.array().cast(FACTS)).alias("facts")))).alias("p"))
-    return parts.select("clause_ord", "clause", F.flatten("p.facts").alias("facts"))
+    errors = [F.min("error").alias("error")] if "error" in replied.columns else []
+    parts = parsed.groupBy("clause_ord", "clause").agg(F.array_sort(F.collect_list(F.struct("part", F.coalesce("r.facts", F.array().cast(FACTS)).alias("facts")))).alias("p"), *errors)
+    return parts.select("clause_ord", "clause", F.flatten("p.facts").alias("facts"), *(["error"] if errors else []))
 
 
 def vectors_of(labels: DataFrame, embed: Callable[[list[str]], list[list[float]]], size: int = 32, retries: int = 3) -> DataFrame:

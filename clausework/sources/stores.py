@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import re
+import uuid
+from urllib.parse import quote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import ENTITIES, FINDINGS, RELATIONS, REVIEW, SpecConfig
+from .commits import Manifests
 
 _CLAUSE = "struct<id:string,key:string,number:string,title:string,level:int,parent:string,text:string,tables:int>"
 STORE = f"spec string, version string, release string, source_file string, clause_count int, table_count int, clauses map<string,{_CLAUSE}>"
@@ -53,35 +58,47 @@ def without_scaffold(entities: DataFrame, relations: DataFrame) -> tuple[DataFra
 
 class Snapshots:
     """Runs' results as tables partitioned by specification, version and run, so that runs never touch each other's. A run is
-    named by its label; the column is ``run``, as entities have labels of their own."""
+    named by its label; the column is ``run``, as entities have labels of their own.
+
+    All tables of a run are committed together (``commits``): readers see the last commit of each run, whole, and nothing of
+    one that did not end. Nothing is overwritten, so a run may be made from itself; older commits stay readable by number.
+    """
 
-    TABLES = {"entities": ENTITIES, "relations": RELATIONS, "findings": f"{FINDINGS}, what string, field string, pseudo boolean", "review": REVIEW, "aliases": SUGGESTIONS, "filter": "measure string, n long"}
+    TABLES = {"entities": ENTITIES, "relations": RELATIONS, "findings": f"{FINDINGS}, what string, field string, pseudo boolean", "review": REVIEW, "aliases": SUGGESTIONS, "filter": "measure string, n long", "metrics": "phase string, measure string, value double"}
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-
-    def path(self, table: str, spec: str | None = None, version: str | None = None, label: str | None = None) -> str:
-        part = "".join(f"/{k}={v}" for k, v in (("spec", spec), ("version", version), ("run", label)) if v is not None)
-        return f"{self.root}/{table}{part}"
-
-    def write(self, table: str, rows: DataFrame, cfg: SpecConfig, label: str = "default") -> None:
-        """Replaces this run's partition alone."""
-        rows.write.mode("overwrite").parquet(self.path(table, cfg.compact, cfg.version, label))
-
-    def read(self, table: str, spec: str | None = None, version: str | None = None, label: str | None = None, optional: bool = False) -> DataFrame:
-        """Rows of one run or of all that the filters leave; a missing optional table is empty."""
-        at = self.path(table)
-        if not exists(self.spark, at):
+        self.manifests = Manifests(spark, self.root)
+
+    def path(self, table: str, run: tuple[str, str, str], commit: str) -> str:
+        spec, version, label = (quote(x, safe=" ") for x in run)
+        return f"{self.root}/{table}/spec={spec}/version={version}/run={label}/commit={commit}"
+
+    def commit(self, tables: dict[str, DataFrame], cfg: SpecConfig, label: str = "default") -> int:
+        """Writes tables of a run, then shows them all at once; its other tables stay as they are. The commit's number."""
+        run, name = (cfg.compact, cfg.version, label), uuid.uuid4().hex
+        last = self.manifests.numbers().get(run, 0)
+        for table, rows in tables.items():
+            rows.write.parquet(self.path(table, run, name))
+        before = self.manifests.tables(run, last) if last else {}
+        self.manifests.publish(run, before | dict.fromkeys(tables, name), last)
+        return last + 1
+
+    def write(self, table: str, rows: DataFrame, cfg: SpecConfig, label: str = "default") -> int:
+        """Replaces one table of a run."""
+        return self.commit({table: rows}, cfg, label)
+
+    def read(self, table: str, spec: str | None = None, version: str | None = None, label: str | None = None, optional: bool = False, number: int | None = None) -> DataFrame:
+        """Rows of one run or of all that the filters leave, as last committed (or as of commit ``number``); a missing optional table is empty."""
+        fits = lambda run: all(want in (None, is_) for want, is_ in zip((spec, version, label), run, strict=True))
+        runs = {run: n if number is None else number for run, n in self.manifests.numbers().items() if fits(run)}
+        paths = [self.path(table, run, tables[table]) for run, n in runs.items() if table in (tables := self.manifests.tables(run, n))]
+        shape = f"{self.TABLES[table]}, spec string, version string, run string"
+        if not paths:
             if not optional:
-                raise FileNotFoundError(f"no {table} under {self.root}; run the extraction first")
-            return self.spark.createDataFrame([], f"{self.TABLES[table]}, spec string, version string, run string")
-        rows = self.spark.read.schema(f"{self.TABLES[table]}, spec string, version string, run string").option("basePath", at).parquet(at)
-        for column, value in (("spec", spec), ("version", version), ("run", label)):
-            if value is not None:
-                rows = rows.where(F.col(column) == value)
-        if label is not None and not optional and not rows.limit(1).count():
-            raise FileNotFoundError(f"no {table} of run {label!r} under {self.root}")
-        return rows
+                raise FileNotFoundError(f"no {table}{f' of run {label!r}' if label else ''} under {self.root}; run the extraction first")
+            return self.spark.createDataFrame([], shape)
+        return self.spark.read.schema(f"{shape}, commit string").option("basePath", f"{self.root}/{table}").parquet(*paths).drop("commit")
 
 
 class HeaderMismatch(ValueError):
@@ -93,26 +110,39 @@ def read_log(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
     Lines are in order of their append's number (0 where there is none), then of file and place.
     """
-    lines = spark.read.schema(LOG).json(path, columnNameOfCorruptRecord="corrupt", mode="PERMISSIVE")
+    lines = spark.read.schema(LOG).option("recursiveFileLookup", "true").json(path, columnNameOfCorruptRecord="corrupt", mode="PERMISSIVE")
     good = lines.withColumn("line", F.struct(F.coalesce("appended", F.lit(0)), F.input_file_name(), F.monotonically_increasing_id())).where("corrupt is null")
     headers = good.where("type = 'header'").select("line", *HEADER)
     records = good.where("clause is not null").groupBy("clause").agg(F.max_by("facts", "line").alias("facts"))
     return headers.orderBy(F.desc("line")).limit(1).drop("line"), records
 
 
-def append_log(records: DataFrame, path: str, header: dict | None = None) -> None:
-    """Adds (clause, facts) records, and a header first for a fresh log; files are added whole or not at all.
+def start_log(spark: SparkSession, path: str, header: dict) -> None:
+    """A fresh log with its header."""
+    kinds = {"max_clause_chars": "int", "sentinel": "boolean"}
+    head = spark.createDataFrame([("header", *[header.get(k) for k in HEADER])], "type string, " + ", ".join(f"{k} {kinds.get(k, 'string')}" for k in HEADER))
+    head.coalesce(1).write.mode("overwrite").json(path)
 
-    Every append has the next number, which its lines carry; a log has one writer at a time.
-    """
+
+def last_append(spark: SparkSession, path: str) -> int:
+    """The number of a log's last append, which names its folder; 0 if there is none."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/append-*")
+    found = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(at) or []
+    return max((int(m[1]) for f in found if (m := re.search(r"append-(\d+)$", f.getPath().getName()))), default=0)
+
+
+def put_append(records: DataFrame, path: str, number: int) -> None:
+    """Append ``number`` of a log: (clause, facts) records, whole or not at all. Putting it again replaces it."""
+    numbered = records.select("clause", "facts", F.lit(number).cast("long").alias("appended"))
+    numbered.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/append-{number:012d}")
+
+
+def append_log(records: DataFrame, path: str, header: dict | None = None) -> None:
+    """Adds (clause, facts) records, and a header first for a fresh log; a log has one writer at a time."""
     spark = records.sparkSession
     if header is not None:
-        kinds = {"max_clause_chars": "int", "sentinel": "boolean"}
-        head = spark.createDataFrame([("header", *[header.get(k) for k in HEADER])], "type string, " + ", ".join(f"{k} {kinds.get(k, 'string')}" for k in HEADER))
-        head.coalesce(1).write.mode("overwrite").json(path)
-    last = spark.read.schema(LOG).json(path, columnNameOfCorruptRecord="corrupt", mode="PERMISSIVE").agg(F.max("appended")).first()[0] if exists(spark, path) else None
-    numbered = records.select("clause", "facts", F.lit((last or 0) + 1).cast("long").alias("appended"))
-    numbered.write.mode("append").option("ignoreNullFields", "false").json(path)
+        start_log(spark, path, header)
+    put_append(records, path, last_append(spark, path) + 1)
 
 
 def check_header(header: DataFrame, current: dict) -> None:
