@@ -5,13 +5,15 @@
 2. Classes that share a band hash may be similar; joined to the least class of that band they form candidate components.
    This only spares most texts the comparison: a pair at the threshold 0.75 shares no band with probability
    (1 - 0.75^4)^64 < 3e-11, and a more similar pair with less. Everything after it is exact.
-3. A component of more than ``TILE_SHINGLES`` shingles is dealt again by rarity: linked sets share one of their rarest
-   shingles (of a set of n, the n - ceil(0.75 n) + 1 that stand in the fewest sets of the component), so only sets that
-   share such a one stay together. Texts from one template part here unless they share most of their rare shingles too.
-4. A component is compared in tiles of bounded size. A tile's sets stand in order of size; sets that share one of their
-   rarest shingles of the tile, and whose sizes the threshold allows, meet. Hashed bitmaps as wide as the tile's sizes call
-   for bound the overlap from above by bit counts: every bit that only one set has costs that set an element. Pairs that pass
-   are decided exactly on their sorted arrays, with integers. Pairs already connected are not compared again.
+3. A component of more than ``TILE_SHINGLES`` shingles is dealt again by rarity. Shingles stand in one order, rarest in the
+   component first. Of two linked sets, the smaller one's n - ceil(6/7 n) + 1 first shingles (those it indexes) hold one of the
+   larger one's n - ceil(0.75 n) + 1 first, as they share ceil(3/7 (a + b)) or more; only sets that do so stay together. Texts
+   of one template, each with words of its own, part here: their common shingles come behind those that are indexed.
+4. A component is compared in tiles of bounded size. A tile's sets stand in order of size; sets that meet by the same two
+   prefixes are candidates if their sizes allow a link, and if the places of the shingle where they meet leave enough behind
+   it in both. Hashed bitmaps as wide as the tile's sizes call for then bound the overlap from above by bit counts: every bit
+   that only one set has costs that set an element. Pairs that pass are decided exactly on their sorted arrays, with
+   integers. Pairs already connected are not compared again.
 5. A component that is still above one tile is dealt to size bands of about a tile, first each for itself, then the least
    member of each part against those of other tiles, and at last those members that are not in the component's main part
    against all bands whose sizes allow a link. That decides every pair that is not connected yet, so no link between
@@ -105,18 +107,39 @@ def prefix_length(size, percent: int = PERCENT):
     return size - -(-percent * size // 100) + 1
 
 
-def _lists(tokens: np.ndarray, owner: np.ndarray, size: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(list, place) of every shingle that several sets have among their rarest, lists numbered, places ascending in each."""
+def index_length(size, percent: int = PERCENT):
+    """How many of a set's shingles, first in that order, must hold one that any linked set of its size or more has among
+    its ``prefix_length`` first: two such sets share at least 2 t / (1 + t) of the smaller one's size."""
+    return size - -(-2 * percent * size // (100 + percent)) + 1
+
+
+def needed(a, b, percent: int = PERCENT):
+    """The least number of common shingles of linked sets of these sizes."""
+    return -(-percent * (a + b) // (100 + percent))
+
+
+def _postings(tokens: np.ndarray, owner: np.ndarray, size: np.ndarray, percent: int) -> tuple[np.ndarray, ...]:
+    """(list, place, nth, indexed) of every shingle that a set has among its rarest: the lists numbered, places ascending in
+    each, how many of its set stand before it, and whether it is among those that are indexed. A list begins with an indexed
+    one, and has others behind it."""
     _, number, count = np.unique(tokens, return_inverse=True, return_counts=True)
     rarity = count[number]
     by_set = np.lexsort((number, rarity, owner))
     nth = np.arange(len(tokens)) - np.repeat(np.cumsum(size) - size, size)
-    rarest = by_set[nth < prefix_length(size, percent)[owner]]
-    rarest = rarest[rarity[rarest] > 1]
-    rarest = rarest[np.lexsort((owner[rarest], number[rarest]))]
+    keep = (nth < prefix_length(size, percent)[owner]) & (rarity[by_set] > 1)
+    rarest, nth = by_set[keep], nth[keep]
+    order = np.lexsort((owner[rarest], number[rarest]))
+    rarest, nth = rarest[order], nth[order]
     lists, place = number[rarest], owner[rarest]
+    indexed = nth < index_length(size, percent)[place]
+    behind = np.zeros(len(lists), bool)
+    if len(lists):
+        first = np.flatnonzero(np.diff(lists, prepend=-1))
+        seen = np.cumsum(indexed)
+        behind = seen - np.repeat(seen[first] - indexed[first], np.diff(np.append(first, len(lists)))) > 0
+    lists, place, nth, indexed = (x[behind] for x in (lists, place, nth, indexed))
     shared = np.bincount(lists)[lists] > 1 if len(lists) else np.zeros(0, bool)
-    return np.unique(lists[shared], return_inverse=True)[1], place[shared]
+    return np.unique(lists[shared], return_inverse=True)[1], place[shared], nth[shared], indexed[shared]
 
 
 def linked_pairs(h: np.ndarray, bounds: np.ndarray, labels: np.ndarray, percent: int = PERCENT) -> list[tuple[int, int]]:
@@ -130,9 +153,15 @@ def linked_pairs(h: np.ndarray, bounds: np.ndarray, labels: np.ndarray, percent:
     owner = np.repeat(np.arange(len(order)), size)
     at = np.cumsum(size) - size
     tokens = h[np.repeat(bounds[order] - at, size) + np.arange(len(owner))]
-    lists, place = _lists(tokens, owner, size, percent)
+    lists, place, nth, indexed = _postings(tokens, owner, size, percent)
     if not len(place):
         return []
+
+    def may_link(p: np.ndarray | int, q: np.ndarray) -> np.ndarray:
+        """Whether sets p and q of a list can be linked if its shingle is their first common one: by what follows it in both."""
+        a, b = size[place[p]], size[place[q]]
+        return (100 * a >= percent * b) & (np.minimum(a - nth[p], b - nth[q]) >= needed(a, b, percent))
+
     words = int(min(4096, max(128, 1 << int(2 * size[place].max() - 1).bit_length()))) // 64
     met = np.unique(place)
     row = np.zeros(len(order), np.int64)
@@ -165,23 +194,28 @@ def linked_pairs(h: np.ndarray, bounds: np.ndarray, labels: np.ndarray, percent:
 
     first = np.flatnonzero(np.diff(lists, prepend=-1))
     # every set with the first of its lists: that connects most of what is linked
-    stars = np.unique(place[first][lists] * len(order) + place)
-    stars = stars[stars // len(order) != stars % len(order)]
+    own = np.arange(len(lists))
+    behind = own[first[lists] != own]
+    behind = behind[may_link(first[lists[behind]], behind)]
+    stars = np.unique(place[first[lists[behind]]] * len(order) + place[behind])
     for group in np.split(stars, np.flatnonzero(np.diff(stars // len(order))) + 1):
         if len(group):
             compare(int(group[0] // len(order)), group % len(order))
-    # what lists still hold of unconnected sets, each with those behind it
+    # what lists still hold of unconnected sets, each indexed one with those behind it
     of = parts.of[place]
     mixed = (np.minimum.reduceat(of, first) != np.maximum.reduceat(of, first))[lists]
-    lists, place = lists[mixed], place[mixed]
     end = np.searchsorted(lists, lists, side="right")
-    by_place = np.argsort(place, kind="stable")
-    for mine in np.split(by_place, np.flatnonzero(np.diff(place[by_place])) + 1):
+    left = own[mixed & indexed & (end - own > 1)]
+    left = left[np.argsort(place[left], kind="stable")]
+    for mine in np.split(left, np.flatnonzero(np.diff(place[left])) + 1):
         if len(mine):
-            behind = [place[p + 1 : end[p]] for p in mine.tolist()]
             i = int(place[mine[0]])
-            behind = [b[parts.of[b] != parts.of[i]] for b in behind]
-            compare(i, np.unique(np.concatenate(behind)))
+            others = []
+            for p in mine.tolist():
+                q = np.arange(p + 1, end[p])
+                q = q[parts.of[place[q]] != parts.of[i]]
+                others.append(place[q[may_link(p, q)]])
+            compare(i, np.unique(np.concatenate(others)))
     return out
 
 
@@ -225,7 +259,8 @@ def _shingle_rows(n: int):
 
 
 def rare_edges(docs: DataFrame, members: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
-    """Edges (a, b) that connect the nodes of a component (node, comp) whose sets share one of their rarest shingles in it."""
+    """Edges (a, b) that connect the nodes of a component (node, comp) whose sets may be linked: of a shingle, the first node
+    by size that indexes it is connected with all behind it that have it among their rarest."""
     held = maybe_broadcast(members.select("node", "comp"), members.count(), 32)
     texts = docs.select(F.col("doc_id").alias("node"), "text").join(held, "node")
     shingles = stored(texts.select("comp", "node", "text").mapInArrow(_shingle_rows(n), "comp long, node long, key long, size long, h long"), "shingles")
@@ -234,9 +269,11 @@ def rare_edges(docs: DataFrame, members: DataFrame, n: int = N, percent: int = P
     one_set = W.partitionBy("node", "key")  # a window holds one set's shingles; those that no other has stand before them
     place = F.row_number().over(one_set.orderBy("sets", "h")) + F.col("size") - F.count(F.lit(1)).over(one_set)
     length = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1
-    rarest = stored(shared.withColumn("place", place).where(F.col("place") <= length).select("comp", "h", "node"), "rarest")
-    least = rarest.groupBy("comp", "h").agg(F.min("node").alias("b"), F.max("node").alias("most")).where("b < most").drop("most")
-    return rarest.join(least, ["comp", "h"]).where("node <> b").select(F.col("node").alias("a"), "b").distinct()
+    short = F.col("size") - F.ceil(F.col("size") * (2 * percent) / (100 + percent)) + 1
+    by_size = F.struct("size", "node")
+    rarest = stored(shared.withColumn("place", place).where(F.col("place") <= length).select("comp", "h", "node", by_size.alias("at"), (F.col("place") <= short).alias("indexed")), "rarest")
+    least = rarest.groupBy("comp", "h").agg(F.min(F.when(F.col("indexed"), F.col("at"))).alias("b"), F.max("at").alias("most")).where("b < most").drop("most")
+    return rarest.join(least, ["comp", "h"]).where("at > b").select(F.col("node").alias("a"), F.col("b.node").alias("b")).where("a <> b").distinct()
 
 
 def _dealt(members: DataFrame, name: str, tile_shingles: int) -> DataFrame:

@@ -97,6 +97,29 @@ def test_short_texts_of_one_template_do_not_meet():
     assert time.time() - start < 5
 
 
+def order_mails(n, extra=0):
+    base = "dear customer we are glad to tell you that the parcel of order number {} has left our store and will reach you soon thanks"
+    return [base.format(i) + " friend" * (i % 3 if extra else 0) for i in range(n)]
+
+
+def test_order_mails_of_similarity_below_the_threshold_do_not_meet():
+    """50,000 texts of 21 shingles, 16 of them common to all (similarity 0.62), in one task; of several lengths too."""
+    for texts in (order_mails(50_000), order_mails(20_000, 1)):
+        data = "".join(texts).encode()
+        offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+        h, bounds = X.shingle_sets(np.frombuffer(data, np.uint8), offsets)
+        start = time.time()
+        assert J.linked_pairs(h, bounds, np.arange(len(texts))) == []
+        assert time.time() - start < 10
+
+
+def test_order_mails_of_many_tiles_end_to_end(spark):
+    rows = list(enumerate(order_mails(3000)))
+    near = [(5000 + i, rows[i][1] + " bye") for i in range(0, 3000, 100)]  # 21 of 22 shingles common
+    got = result(spark.createDataFrame(rows + near, SCHEMA).repartition(4), tile_shingles=5000)
+    assert all(got[i] == (21, i) for i, _ in rows) and all(got[i] == (22, i - 5000) for i, _ in near)
+
+
 def test_template_texts_end_to_end_without_links(spark):
     n = 40_000
     df = spark.range(n).selectExpr("id as doc_id", "concat('thank you for your order number ', id) as text")
