@@ -9,19 +9,13 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..storage import checkpointed
+from . import forest
 
 
-def ancestors(links: DataFrame, start: DataFrame | None = None) -> DataFrame:
-    """(node, ancestor, depth) for links (node, parent): every node itself at depth 0, then upwards; cycles end where they close.
-
-    With ``start`` (node) only the ancestors of those nodes are followed.
-    One join per level over the rows of the level before; a level is written down, so plans do not grow.
-    """
-    links = links.select("node", "parent").where("node is not null").distinct()
+def _by_levels(links: DataFrame, start: DataFrame) -> DataFrame:
+    """(node, ancestor, depth) where nodes have several parents or stand below a cycle: one join per level, from the start nodes up."""
     step = links.where("parent is not null").select(F.col("node").alias("at"), F.col("parent").alias("up"))
-    nodes = links.select("node").distinct()
-    nodes = nodes if start is None else nodes.join(start.select("node").distinct(), "node", "left_semi")
-    level = nodes.select("node", F.col("node").alias("ancestor"), F.lit(0).alias("depth"), F.array("node").alias("path"))
+    level = start.select("node", F.col("node").alias("ancestor"), F.lit(0).alias("depth"), F.array("node").alias("path"))
     done = level
     for depth in count(1):  # a path repeats no node, so a level is empty at last
         level = level.join(step, F.col("ancestor") == F.col("at")).where(~F.array_contains("path", F.col("up")))
@@ -32,17 +26,45 @@ def ancestors(links: DataFrame, start: DataFrame | None = None) -> DataFrame:
     return done.groupBy("node", "ancestor").agg(F.min("depth").alias("depth"))
 
 
+def ancestors(links: DataFrame, start: DataFrame | None = None) -> DataFrame:
+    """(node, ancestor, depth) for links (node, parent): every node itself at depth 0, then upwards; cycles end where they close.
+
+    With ``start`` (node) only the ancestors of those nodes are followed. Trees take a number of rounds that is logarithmic
+    in their depth (``forest``); only nodes that have several parents, or stand below a cycle, are followed level by level.
+    """
+    links = checkpointed(links.select("node", "parent").where("node is not null").distinct())
+    nodes = links.select("node").distinct()
+    nodes = nodes if start is None else nodes.join(start.select("node").distinct(), "node", "left_semi")
+    if not forest.single_parents(links):
+        return _by_levels(links, nodes)
+    j = forest.jumps(links)
+    if j.astray is None:
+        return forest.all_ancestors(j, nodes)
+    return forest.all_ancestors(j, nodes.join(j.astray, "node", "left_anti")).unionByName(_by_levels(links, nodes.join(j.astray, "node", "left_semi")))
+
+
 def depths(links: DataFrame) -> DataFrame:
     """(node, depth): steps to the topmost ancestor."""
+    links = checkpointed(links.select("node", "parent").where("node is not null").distinct())
+    if forest.single_parents(links):
+        j = forest.jumps(links)
+        if j.astray is None:
+            return forest.roots(j, j.nodes).select("node", "depth")
     return ancestors(links).groupBy("node").agg(F.max("depth").alias("depth"))
 
 
 def spine(clauses: DataFrame, referenced: DataFrame) -> DataFrame:
     """(key, parent) of referenced clauses and all their ancestors; parent only if it is in the spine."""
-    links = clauses.select(F.col("key").alias("node"), "parent")
-    known = clauses.select("key").distinct()
-    up = ancestors(links, referenced.select(F.col("key").alias("node")))
-    keys = up.select(F.col("ancestor").alias("key")).distinct().join(known, "key", "left_semi")
+    links = checkpointed(clauses.select(F.col("key").alias("node"), "parent").where("node is not null").distinct())
+    known = links.select("node").distinct()
+    start = referenced.select(F.col("key").alias("node")).distinct().join(known, "node", "left_semi")
+    keys = None
+    if forest.single_parents(links):
+        j = forest.jumps(links)
+        keys = forest.marked(j, start) if j.astray is None else None
+    if keys is None:
+        keys = ancestors(links, start).select(F.col("ancestor").alias("node")).distinct()
+    keys = checkpointed(keys.join(known, "node", "left_semi").select(F.col("node").alias("key")))
     held = clauses.select("key", "parent").join(keys, "key", "left_semi")
     parents = keys.select(F.col("key").alias("p"))
     return held.join(parents, F.col("parent") == F.col("p"), "left").select("key", F.col("p").alias("parent"))
@@ -108,6 +130,3 @@ def layer_counts(entities: DataFrame, relations: DataFrame) -> DataFrame:
     """(concept, entities): how many entities are in each layer."""
     return relations.where("type = 'IN_LAYER'").join(entities.select(F.col("id").alias("src")), "src", "left_semi").groupBy(F.col("dst").alias("concept")).agg(F.countDistinct("src").alias("entities"))
 
-
-def id_parts(entity_id: Column) -> tuple[Column, Column]:
-    return X.bucket_of(entity_id), X.name_of(entity_id)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -10,8 +11,9 @@ from pyspark.sql import functions as F
 
 from ..functions import kernels as K
 from ..functions import text as X
-from ..operators import audit, comparison, corpus, curated, extraction, graphs, history, merging, questions, review, validation
+from ..operators import audit, comparison, corpus, curated, extraction, forest, graphs, history, merging, questions, review, validation
 from ..provider import facts_of, replies
+from ..schema import type_closure
 from ..sources import documents, exports, stores
 from ..storage import scratch
 from ..streaming import ingest
@@ -217,11 +219,37 @@ def q_alias_lexical(spark, d):
 # --- closures --------------------------------------------------------------------------------------------------------
 
 
-@query("""WITH RECURSIVE p(type, parent) AS (VALUES ('Entity', NULL), ('Party', 'Entity'), ('Customer', 'Party'), ('Supplier', 'Party'), ('Part', 'Entity'), ('Order', 'Entity'), ('Place', 'Entity'), ('Nation', 'Place'), ('Region', 'Place')),
-c AS (SELECT type, type AS ancestor FROM p UNION SELECT c.type, p.parent FROM c JOIN p ON p.type = c.ancestor WHERE p.parent IS NOT NULL) SELECT type, ancestor FROM c""")
+_TYPE_TREE = """
+tree AS (
+  SELECT DISTINCT p_name AS type, substr(p_name, strpos(p_name, ' ') + 1) AS parent FROM part
+  UNION SELECT DISTINCT substr(p_name, strpos(p_name, ' ') + 1), 'Part' FROM part UNION SELECT DISTINCT p_type, 'Part' FROM part UNION SELECT DISTINCT p_brand, 'Brand' FROM part UNION SELECT 'Part', 'Thing' UNION SELECT 'Brand', 'Thing' UNION SELECT 'Thing', NULL)"""
+
+
+def _type_tree(spark, d):
+    """(type, subtype_of): parts' names below their nouns, nouns and kinds below Part, brands below Brand, both below Thing."""
+    part = A.table(spark, d, "part")
+    noun = F.expr("substring(p_name, instr(p_name, ' ') + 1)")
+    rows = [part.select(F.col("p_name").alias("type"), noun.alias("subtype_of")), part.select(noun, F.lit("Part")), part.select("p_type", F.lit("Part")), part.select("p_brand", F.lit("Brand"))]
+    rows.append(part.select(F.explode(F.array(F.struct(F.lit("Part").alias("a"), F.lit("Thing").alias("b")), F.struct(F.lit("Brand"), F.lit("Thing")), F.struct(F.lit("Thing"), F.lit(None).cast("string")))).alias("x")).select("x.*"))
+    return reduce(DataFrame.union, rows).distinct()
+
+
+@query("WITH RECURSIVE" + _TYPE_TREE + ", c AS (SELECT type, type AS ancestor FROM tree UNION SELECT c.type, t.parent FROM c JOIN tree t ON t.type = c.ancestor WHERE t.parent IS NOT NULL) SELECT type, ancestor FROM c")
 def q_type_closure(spark, d):
-    A.ship(spark)
-    return A.ONTOLOGY.closure(spark)
+    return type_closure(_type_tree(spark, d))
+
+
+@query("WITH RECURSIVE" + _TYPE_TREE + """, c AS (SELECT type, type AS ancestor FROM tree UNION SELECT c.type, t.parent FROM c JOIN tree t ON t.type = c.ancestor WHERE t.parent IS NOT NULL),
+made AS (SELECT p_partkey AS id, p_name AS found, CASE p_partkey % 5 WHEN 0 THEN p_name WHEN 1 THEN substr(p_name, strpos(p_name, ' ') + 1) WHEN 2 THEN p_brand WHEN 3 THEN 'Thing' ELSE p_type END AS wanted FROM part)
+SELECT id, EXISTS (SELECT 1 FROM c WHERE c.type = found AND c.ancestor = wanted) AS accepted FROM made""")
+def q_type_accepts(spark, d):
+    """Whether each part's name is of the type that a rule asks for, by comparing interval numbers."""
+    pick = F.expr("CASE p_partkey % 5 WHEN 0 THEN p_name WHEN 1 THEN substring(p_name, instr(p_name, ' ') + 1) WHEN 2 THEN p_brand WHEN 3 THEN 'Thing' ELSE p_type END")
+    made = A.table(spark, d, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("found"), pick.alias("wanted"))
+    numbers = forest.intervals(_type_tree(spark, d).select(F.col("type").alias("node"), F.col("subtype_of").alias("parent")))
+    at = lambda c: numbers.select(F.col("node").alias(c), F.col("pre").alias(f"{c}_pre"), F.col("post").alias(f"{c}_post"))
+    both = made.join(at("found"), "found").join(at("wanted"), "wanted")
+    return both.select("id", F.col("found_pre").between(F.col("wanted_pre"), F.col("wanted_post")).alias("accepted"))
 
 
 @query("WITH RECURSIVE" + _CLAUSE + ", up AS (SELECT key AS node, key AS ancestor, 0 AS depth FROM clauses UNION ALL SELECT u.node, c.parent, u.depth + 1 FROM up u JOIN clauses c ON c.key = u.ancestor WHERE c.parent IS NOT NULL AND u.depth < 30) SELECT node, ancestor, depth FROM up")

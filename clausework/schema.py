@@ -71,6 +71,14 @@ def _ancestors(parents: dict[str, str | None], name: str) -> list[str]:
     return out
 
 
+def type_closure(types: DataFrame) -> DataFrame:
+    """(type, ancestor) of a table of types (type, subtype_of) of any size, each type its own ancestor."""
+    from .operators.graphs import ancestors
+
+    found = ancestors(types.select(F.col("type").alias("node"), F.col("subtype_of").alias("parent")))
+    return found.select(F.col("node").alias("type"), "ancestor")
+
+
 @dataclass(frozen=True)
 class Ontology:
     """Types as data; users extend it by rows. ``tables`` gives it as DataFrames of a few hundred rows at most."""
