@@ -5,12 +5,16 @@ Order is a column (``ord``), never the order of rows. A document is the unit of
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import text as X
 from ..schema import SpecConfig
+from .automaton import matched
 
 TABLE = "[TABLE]\n"
 
@@ -134,32 +138,24 @@ def worklist(clauses: DataFrame, limit: int | None = None) -> DataFrame:
     return first.where(~F.contains("key", F.lit("/")))
 
 
+def _standing(text: str, occurrences: Iterator[tuple[int, list[tuple]]]) -> list[tuple]:
+    """(item, exact) of the anchors whose pattern stands in a text; a pattern that is a tail leaves the rest to be looked for."""
+    seen = {rows[0][0]: rows for _, rows in occurrences}
+    return [(item, whole == pattern or whole in text) for rows in seen.values() for pattern, item, whole in rows]
+
+
 def anchored(items: DataFrame, texts: DataFrame) -> DataFrame:
     """(item, key, exact) for items (item, anchor) and texts (key, hay_norm): where an anchor stands, exactly or by its ending.
 
-    Both ways of standing include the anchor's last three words, so its last word but one is a whole word of the text; of two
-    words the last begins a word of the text, and a single one is part of a word. Items and texts meet by those words, in
-    narrow rows without the texts; then each text is read once, with the items it may hold. Only an anchor that is empty
-    stands in every text, and only such are joined with all.
+    An anchor of four words or more stands wherever its last three do, a shorter one where it stands whole: one machine of
+    these patterns finds all of them in one pass over the texts (``automaton``). Only an anchor that is empty stands in every
+    text, and only such are joined with all.
     """
     a = F.regexp_replace(X.norm_ws(F.col("anchor")), r"^[ .;:,]+|[ .;:,]+$", "")
     words = F.split(a, " ", -1)
-    rows = items.select("item", "anchor", a.alias("a"), F.size(words).alias("n"), F.when(F.size(words) >= 3, F.get(words, F.size(words) - 2)).otherwise(F.get(words, F.size(words) - 1)).alias("word"))
-    rows = rows.where("coalesce(anchor, '') <> '' and a <> ''")
-    wanted = rows.select("n", "word", F.struct("item", "anchor", "a").alias("i"))
-    held = texts.select("key", F.explode(F.array_distinct(F.split("hay_norm", " ", -1))).alias("word"))
-    met = held.join(wanted.where("n >= 3").select("word", "i"), "word").select("key", "i")
-    short = wanted.where("n < 3")
-    lengths = sorted((r.n, r.size) for r in short.groupBy("n", F.char_length("word").alias("size")).count().collect())
-    if lengths:  # parts of words of just the lengths that short anchors have
-        parts = [F.array(F.substring("word", 1, size)) if n == 2 else F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.char_length("word") - size + 1)), lambda at, size=size: F.substring("word", at, F.lit(size))) for n, size in lengths]
-        pieces = [F.transform(p, lambda x, n=n: F.struct(F.lit(n).alias("n"), x.alias("part"))) for p, (n, _) in zip(parts, lengths, strict=True)]
-        vocabulary = held.select("word").distinct().select("word", F.explode(F.array_distinct(F.concat(*pieces))).alias("p"))
-        whole = vocabulary.join(short, (F.col("p.n") == short["n"]) & (F.col("p.part") == short["word"])).select(vocabulary["word"], "i").distinct()
-        met = met.unionByName(held.join(whole, "word").select("key", "i").distinct())
-    candidates = met.groupBy("key").agg(F.collect_list("i").alias("items"))
-    found = F.filter("items", lambda i: X.anchor_in(F.col("hay_norm"), i["anchor"]))
-    found = texts.join(candidates, "key").select("key", "hay_norm", F.explode(found).alias("i"))
-    found = found.select("i.item", "key", F.contains("hay_norm", F.col("i.a")).alias("exact"))
+    pattern = F.when(F.size(words) >= 4, F.array_join(F.slice(words, F.size(words) - 2, F.lit(3)), " ")).otherwise(a)
+    patterns = items.where("coalesce(anchor, '') <> ''").select(pattern.alias("pattern"), "item", a.alias("whole")).where("whole <> ''")
+    fields = [T.StructField("item", items.schema["item"].dataType), T.StructField("exact", T.BooleanType())]
+    found = matched(texts.select("key", "hay_norm"), "hay_norm", patterns, _standing, fields).select("item", "key", "exact")
     empty = items.where("coalesce(anchor, '') = ''")
     return found.unionByName(empty.select("item").crossJoin(texts.select("key")).withColumn("exact", F.lit(True)))

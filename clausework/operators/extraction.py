@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..schema import SpecConfig
+from .automaton import terms_in
 from .graphs import ancestors
 from .merging import entity_records, first_by, merge_records, ordinal, relation_records
 
@@ -39,15 +40,20 @@ def procedures(clauses: DataFrame, kept: DataFrame) -> DataFrame:
     return direct.unionByName(shape(above, 1, F.col("o"), "procedure-heading"))
 
 
-def vocabulary_hits(clauses: DataFrame, cfg: SpecConfig, key: str = "key", text: str = "text") -> DataFrame:
+def vocabulary(spark: SparkSession, cfg: SpecConfig) -> DataFrame:
+    """(n, type, term): the vocabulary of a specification as a table, in its order."""
+    rows = [(i, t, term) for i, (t, term) in enumerate((t, term) for t, terms in cfg.vocab for term in terms)]
+    return spark.createDataFrame(rows, "n int, type string, term string")
+
+
+def vocabulary_hits(clauses: DataFrame, cfg: SpecConfig | None = None, key: str = "key", text: str = "text", terms: DataFrame | None = None) -> DataFrame:
     """(key, ord, type, term, n): terms that stand in a clause's text as whole words, n in order of the vocabulary.
 
-    All terms are tested in one pass over the text, a pattern only where the text holds its term at all; there is no join.
+    Terms are those of the specification, or a table (n, type, term) of any size: one machine finds all of them in one pass.
     """
-    terms = [(t, term) for t, terms in cfg.vocab for term in terms]
-    whole = F.coalesce(text, F.lit(""))
-    hits = [F.when(F.contains(whole, F.lit(term)) & X.word_in(whole, term), F.struct(F.lit(i).alias("n"), F.lit(t).alias("type"), F.lit(term).alias("term"))) for i, (t, term) in enumerate(terms)]
-    return clauses.select(F.col(key).alias("key"), "ord", F.explode(F.array_compact(F.array(*hits)).cast("array<struct<n:int,type:string,term:string>>")).alias("h")).select("key", "ord", "h.type", "h.term", "h.n")
+    terms = vocabulary(clauses.sparkSession, cfg) if terms is None else terms.select("n", "type", "term")
+    rows = clauses.select(F.col(key).alias("key"), "ord", F.col(text).alias("text_"))
+    return terms_in(rows, "text_", terms).select("key", "ord", "type", "term", "n")
 
 
 def extract(clauses: DataFrame, kept: DataFrame, cfg: SpecConfig) -> tuple[DataFrame, DataFrame]:

@@ -230,7 +230,7 @@ def _type_tree(spark, d):
     part = A.table(spark, d, "part")
     noun = F.expr("substring(p_name, instr(p_name, ' ') + 1)")
     rows = [part.select(F.col("p_name").alias("type"), noun.alias("subtype_of")), part.select(noun, F.lit("Part")), part.select("p_type", F.lit("Part")), part.select("p_brand", F.lit("Brand"))]
-    rows.append(part.select(F.explode(F.array(F.struct(F.lit("Part").alias("a"), F.lit("Thing").alias("b")), F.struct(F.lit("Brand"), F.lit("Thing")), F.struct(F.lit("Thing"), F.lit(None).cast("string")))).alias("x")).select("x.*"))
+    rows.append(part.selectExpr("inline(array(named_struct('a', 'Part', 'b', 'Thing'), named_struct('a', 'Brand', 'b', 'Thing'), named_struct('a', 'Thing', 'b', cast(null as string))))"))
     return reduce(DataFrame.union, rows).distinct()
 
 
