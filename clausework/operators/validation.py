@@ -182,12 +182,27 @@ def dangling_summary(found: DataFrame, misses: DataFrame) -> DataFrame:
     return joined.groupBy(rule.alias("rule"), X.bucket_of(F.col("ref")).alias("bucket")).agg(F.countDistinct("ref").alias("refs"), F.count(F.lit(1)).alias("findings"))
 
 
+#: Groups that a pattern's rows are dealt to before their first ones are found.
+SALTS = 64
+
+
 def ranked_samples(rows: DataFrame, pattern: str, sample: str, order: str, top: int, k: int) -> DataFrame:
-    """(pattern, n, more, rank, samples): the most frequent patterns, ties by pattern, with the first k samples of each."""
-    first = rows.withColumn("r_", F.row_number().over(W.partitionBy(pattern).orderBy(order)))
-    lists = first.groupBy(F.col(pattern).alias("pattern")).agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list(F.when(F.col("r_") <= k, F.struct("r_", F.col(sample).alias("s"))))).alias("l"))
-    best = lists.orderBy(F.desc("n"), "pattern").limit(top)
-    return best.select("pattern", "n", F.greatest(F.col("n") - k, F.lit(0)).alias("more"), F.row_number().over(W.orderBy(F.desc("n"), "pattern")).alias("rank"), F.array_join(F.transform("l.s", lambda s: s.cast("string")), ",").alias("samples"))
+    """(pattern, n, more, rank, samples): the most frequent patterns, ties by pattern, with the first k samples of each.
+
+    Patterns are counted and cut to ``top`` by aggregation. Of those alone, the first k of each of ``SALTS`` groups of rows are
+    ranked, which Spark cuts before the shuffle, and then the first k of those; no task holds a pattern's rows.
+    """
+    counts = rows.groupBy(F.col(pattern).alias("pattern")).agg(F.count(F.lit(1)).alias("n"))
+    best = counts.orderBy(F.desc("n"), "pattern").limit(top)
+    best = best.withColumn("rank", F.row_number().over(W.orderBy(F.desc("n"), "pattern")))
+    shown = rows.select(F.col(pattern).alias("p_"), F.col(sample).alias("s"), F.col(order).alias("o"))
+    shown = shown.join(F.broadcast(best.select(F.col("pattern").alias("p_"))), "p_")
+    shown = shown.withColumn("salt", F.pmod(F.xxhash64("o", "s"), F.lit(SALTS)))
+    first = lambda df, *by: df.withColumn("r", F.row_number().over(W.partitionBy(*by).orderBy("o", "s"))).where(F.col("r") <= k)
+    winners = first(first(shown, "p_", "salt").drop("r"), "p_")
+    lists = winners.groupBy(F.col("p_").alias("pattern")).agg(F.array_sort(F.collect_list(F.struct("r", "s"))).alias("l"))
+    joined = best.join(lists, "pattern", "left")
+    return joined.select("pattern", "n", F.greatest(F.col("n") - k, F.lit(0)).alias("more"), "rank", F.array_join(F.transform(F.coalesce("l", F.array().cast(lists.schema["l"].dataType)), lambda x: x["s"].cast("string")), ",").alias("samples"))
 
 
 def collateral(found: DataFrame, entities: DataFrame, relations: DataFrame, ontology: Ontology | None = None) -> DataFrame:

@@ -70,8 +70,9 @@ def shown_examples(spark: SparkSession, path: str | None) -> list[dict]:
     return [r.asDict(recursive=True) for r in rows]
 
 
-def model_facts(work: DataFrame, clauses: DataFrame, cfg: SpecConfig, provider: Provider, options: Options, log: str | None = None, resume: bool = False, model: str = "none", ontology: Ontology | None = None, examples: list[dict] = (), metrics: RunMetrics | None = None) -> DataFrame:
-    """(clause_ord, clause, facts) of a worklist. With a log, replies are kept batch by batch, and a run can go on from there."""
+def model_facts(work: DataFrame, clauses: DataFrame, cfg: SpecConfig, provider: Provider, options: Options, log: str | None = None, resume: bool = False, model: str = "none", ontology: Ontology | None = None, examples: list[dict] = (), metrics: RunMetrics | None = None, batch: int | None = None) -> DataFrame:
+    """(clause_ord, clause, facts) of a worklist. With a log, replies are kept batch by batch (of about ``batch`` clauses), and a
+    run can go on from there."""
     spark, metrics = work.sparkSession, metrics or RunMetrics(None)
     marker = SENTINEL if options.sentinel else None
     ask = lambda rows, keep: facts_of(replies(rows, cfg, provider, options.max_clause_chars, options.retries, options.prompt_variant, None, examples, ontology, options.sentinel, keep), marker)
@@ -86,13 +87,13 @@ def model_facts(work: DataFrame, clauses: DataFrame, cfg: SpecConfig, provider:
         stores.start_log(spark, log, header)
     work = checkpointed(work)
     metrics.begin("ask", work.count())
-    ask_all(work, lambda rows: ask(rows, True), log, seen=lambda got, _: metrics.step("ask", got.where("error is null").count()))
+    ask_all(work, lambda rows: ask(rows, True), log, batch, seen=lambda got, _: metrics.step("ask", got.where("error is null").count()))
     metrics.end("ask")
     _, records = stores.read_log(spark, log)
     return records.join(clauses.select(F.col("key").alias("clause"), F.col("ord").cast("long").alias("clause_ord")), "clause").select("clause_ord", "clause", "facts")
 
 
-def run(spark: SparkSession, store: str, snapshots: str, cfg: SpecConfig, provider: Provider | None = None, label: str = "default", log: str | None = None, resume: bool = False, limit: int | None = None, scope: str | None = None, options: Options | None = None, model: str = "none", ontology: Ontology | None = None, examples: str | None = None, embed: Callable | None = None, metrics: RunMetrics | None = None) -> Result:
+def run(spark: SparkSession, store: str, snapshots: str, cfg: SpecConfig, provider: Provider | None = None, label: str = "default", log: str | None = None, resume: bool = False, limit: int | None = None, scope: str | None = None, options: Options | None = None, model: str = "none", ontology: Ontology | None = None, examples: str | None = None, embed: Callable | None = None, metrics: RunMetrics | None = None, batch: int | None = None) -> Result:
     """Reads a clause store, runs, and commits a snapshot: all tables of the run at once. With a log, facts are kept as they come
     and a run can go on from it.
 
@@ -104,7 +105,7 @@ def run(spark: SparkSession, store: str, snapshots: str, cfg: SpecConfig, provid
     if provider is not None:
         kept = corpus.relevance(clauses, cfg).where("kept")
         kept = kept.where(corpus.in_scope(F.col("key"), scope)) if scope else kept
-        facts = model_facts(corpus.worklist(kept, limit), clauses, cfg, provider, options, log, resume, model, ontology, shown_examples(spark, examples), metrics)
+        facts = model_facts(corpus.worklist(kept, limit), clauses, cfg, provider, options, log, resume, model, ontology, shown_examples(spark, examples), metrics, batch)
     result = build(clauses, cfg, facts, scope, options.rho, ontology, embed, metrics)
     metrics.begin("write")
     tables = {"entities": result.entities, "relations": result.relations, "findings": result.findings, "review": result.review, "aliases": result.aliases, "filter": result.report}
@@ -134,7 +135,7 @@ def main(argv: list[str] | None = None) -> None:
         p.add_argument(name, required=True)
     p.add_argument("--label", default="default")
     p.add_argument("--clauses", help="comma-separated prefixes")
-    for name, kind in (("--rho", float), ("--max-clause-chars", int), ("--retries", int), ("--prompt-variant", str), ("--limit", int)):
+    for name, kind in (("--rho", float), ("--max-clause-chars", int), ("--retries", int), ("--prompt-variant", str), ("--limit", int), ("--batch", int)):
         p.add_argument(name, type=kind)
     p.add_argument("--provider", help="module:function that answers a request; without, the run is deterministic")
     p.add_argument("--embed", help="module:function that gives labels' vectors")
@@ -151,7 +152,7 @@ def main(argv: list[str] | None = None) -> None:
     options = Options.of(spark, rho=a.rho, max_clause_chars=a.max_clause_chars, retries=a.retries, prompt_variant=a.prompt_variant, sentinel=a.sentinel)
     provider = None if a.dry_run else _named(a.provider)
     metrics = RunMetrics(None if a.quiet else print)
-    result = run(spark, a.store, a.snapshots, cfg, provider, a.label, a.log, a.resume, a.limit, a.clauses, options, a.model, examples=a.examples, embed=_named(a.embed), metrics=metrics)
+    result = run(spark, a.store, a.snapshots, cfg, provider, a.label, a.log, a.resume, a.limit, a.clauses, options, a.model, examples=a.examples, embed=_named(a.embed), metrics=metrics, batch=a.batch)
     validation.by_category(result.findings).show(truncate=False)
 
 
