@@ -9,10 +9,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..functions.kernels import lexical_distance
 from ..provider import vectors_of
 from ..schema import FUNCTIONAL
 from ..storage import checkpointed
+from .nearest import nearest_labels
 
 #: Edges of the histogram of distances, and the upper bounds of the coarse one.
 EDGES = (0, 0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.35, 0.4, 0.45, 0.5, 0.6, 0.7, 0.8, 0.9, 1.01)
@@ -88,7 +88,7 @@ def suggest_aliases(entities: DataFrame, compatible: DataFrame, rho: float, vect
     canonical = entities.where(F.startswith(F.coalesce("extractor", F.lit("")), F.lit("deterministic")))
     surfaces = entities.where("extractor = 'llm'").join(canonical.select("id"), "id", "left_anti")
     if vectors is None:
-        return proposals(nearest(surfaces, canonical, compatible, lexical_distance, "label"), rho, "difflib")
+        return proposals(nearest_labels(surfaces, canonical, compatible), rho, "difflib")
     of = lambda e: e.join(vectors, "label")
     return proposals(nearest(of(surfaces), of(canonical), compatible, X.cosine_distance, "vector"), rho, "embedding")
 

@@ -15,6 +15,7 @@ from ..functions import text as X
 from ..functions.tables import register_tables
 from ..operators import audit, comparison, corpus, curated, extraction, forest, graphs, history, merging, questions, review, validation
 from ..provider import facts_of, replies
+from ..operators.nearest import nearest_labels
 from ..schema import Options, type_closure
 from ..sources import documents, exports, stores
 from ..storage import scratch
@@ -215,7 +216,7 @@ def q_chunk_whole(spark, d):
 def q_alias_lexical(spark, d):
     parts = A.table(spark, d, "part").select(F.col("p_partkey").alias("ord"), F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("label"), F.col("p_brand").alias("type"))
     same = parts.select(F.col("type").alias("a"), F.col("type").alias("b")).distinct()
-    found = review.nearest(parts.where("ord % 2 = 1"), parts.where("ord % 2 = 0"), same, K.lexical_distance, "label")
+    found = nearest_labels(parts.where("ord % 2 = 1"), parts.where("ord % 2 = 0"), same)
     return review.proposals(found, 0.35, "difflib").select("surface_id", "canonical_id", "distance", "proposal")
 
 
