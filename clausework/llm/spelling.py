@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .cluster import stored
-from .scan import scanned
+from .scan import ranges, scanned
 from .textops import mix
 
 #: A word's least length in code points and least number of occurrences; a form has at least RATIO times the word's.
@@ -113,66 +113,57 @@ def vocabulary(docs: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _hashes(word: str) -> tuple[np.ndarray, np.ndarray]:
-    """(wildcards, deletions): two 64-bit hashes for each place of a word, and for the word itself behind the deletions."""
-    points = np.frombuffer(word.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    n = len(points)
+def _hashes(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(wildcards, deletions) of words of one length, a row of code points each: two 64-bit hashes for each place, and behind
+    the deletions for the word itself."""
+    rows, n = points.shape
     made = [], []
+    inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
     for salt in (np.uint64(0x51ED270B7A2F3C1D), np.uint64(0xA0761D6478BD642F)):
         letters = mix(points + salt)
-        powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, _BASE)]))
-        sums = np.concatenate([[np.uint64(0)], np.cumsum(letters * powers[:n])])  # of the letters before each place
-        after = sums[-1] - sums[1:]
-        # the suffix one place further left: divide by the base
-        inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
-        wild = mix(sums[:-1] + after + mix(np.arange(n, dtype=np.uint64) + np.uint64(1)) + mix(np.uint64([n]) + salt))
-        gone = mix(sums[:-1] + after * inverse + mix(np.uint64([n - 1]) ^ salt))
-        whole = mix(sums[-1:] + mix(np.uint64([n]) ^ salt))
-        made[0].append(wild)
-        made[1].append(np.concatenate([gone, whole]))
+        powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, _BASE)]))[:n]
+        sums = np.zeros((rows, n + 1), np.uint64)  # of the letters before each place
+        np.cumsum(letters * powers, axis=1, out=sums[:, 1:])
+        after = sums[:, -1:] - sums[:, 1:]
+        made[0].append(mix(sums[:, :-1] + after + mix(np.arange(n, dtype=np.uint64) + np.uint64(1)) + mix(np.uint64([n]) + salt)))
+        gone = mix(sums[:, :-1] + after * inverse + mix(np.uint64([n - 1]) ^ salt))  # what follows moves one place to the left
+        made[1].append(np.concatenate([gone, mix(sums[:, -1:] + mix(np.uint64([n]) ^ salt))], axis=1))
     return np.stack(made[0]), np.stack(made[1])
 
 
 def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(kind, k1, k2, id, n): a word's wildcards (0), distinct deletions (1) and itself (2)."""
-    held: list[tuple[np.ndarray, ...]] = []
-    size = 0
-
-    def rows() -> pa.RecordBatch:
-        columns = [np.concatenate(c) for c in zip(*held, strict=True)] if held else [np.zeros(0, np.int64)] * 5
-        held.clear()
-        return pa.RecordBatch.from_arrays([pa.array(columns[0].astype(np.int32)), *map(pa.array, columns[1:])], ["kind", "k1", "k2", "id", "n"])
-
     for batch in batches:
-        for i, word, n in zip(batch.column("id").to_pylist(), batch.column("word").to_pylist(), batch.column("n").to_pylist(), strict=True):
-            wild, gone = _hashes(word)
-            length = wild.shape[1]
-            letters = np.frombuffer(word.encode("utf-32-le"), np.uint32)
-            first = np.concatenate([[True], letters[1:] != letters[:-1], [True]])  # deleting a letter or its equal neighbour gives one word
-            keys = np.concatenate([wild, gone[:, first]], axis=1).view(np.int64)
-            kind = np.ones(keys.shape[1], np.int64)
-            kind[:length], kind[-1] = 0, 2
-            held.append((kind, keys[0], keys[1], np.full(len(kind), i), np.full(len(kind), n)))
-            size += len(kind)
-            if size >= HELD_ROWS:
-                yield rows()
-                size = 0
-    yield rows()
+        ids, counts = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "n"))
+        words = [w.encode("utf-32-le") for w in batch.column("word").to_pylist()]
+        lengths = np.array([len(w) // 4 for w in words], np.int64)
+        for n in np.unique(lengths).tolist():
+            mine, block = np.flatnonzero(lengths == n), max(1, HELD_ROWS // (2 * n + 1))
+            for lo in range(0, len(mine), block):
+                at = mine[lo : lo + block]
+                points = np.frombuffer(b"".join(words[i] for i in at.tolist()), np.uint32).reshape(len(at), n).astype(np.uint64)
+                wild, gone = _hashes(points)
+                keys = np.concatenate([wild, gone], axis=2).view(np.int64)
+                kept = np.ones((len(at), 2 * n + 1), bool)
+                kept[:, n + 1 : 2 * n] = points[:, 1:] != points[:, :-1]  # deleting a letter or its equal neighbour gives one word
+                kind = np.broadcast_to(np.repeat(np.array([0, 1, 2], np.int32), [n, n, 1]), kept.shape)
+                row = np.broadcast_to(at[:, None], kept.shape)[kept]
+                yield pa.RecordBatch.from_arrays([pa.array(kind[kept]), pa.array(keys[0][kept]), pa.array(keys[1][kept]), pa.array(ids[row]), pa.array(counts[row])], ["kind", "k1", "k2", "id", "n"])
 
 
 def near_words(words: DataFrame) -> DataFrame:
     """(id, n_near, best): for each word that has near words, their number, and (-n, id) of the first by count, then by code points."""
-    spread = words.mapInArrow(_spread, "kind int, k1 long, k2 long, id long, n long")
+    spread = words.repartition(ranges(words), "id").mapInArrow(_spread, "kind int, k1 long, k2 long, id long, n long")
     mine = F.struct((-F.col("n")).alias("k"), F.col("id").alias("id"))
     spread = spread.select((F.col("kind") > 0).alias("indel"), "k1", "k2", (F.col("kind") == 2).alias("whole"), mine.alias("mine"))
-    key = Window.partitionBy("indel", "k1", "k2")
-    ordered = key.orderBy("whole", "mine").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ordered = Window.partitionBy("indel", "k1", "k2").orderBy("whole", "mine").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     # a wildcard group: size and two first; a deletion's: how many longer words, the first of them, and the word itself if there is one (last)
-    seen = spread.select("*", F.count(F.lit(1)).over(ordered).alias("size"), F.first("mine").over(ordered).alias("first"), F.nth_value("mine", 2).over(ordered).alias("second"), F.max("whole").over(ordered).alias("any_whole"), F.last("mine").over(ordered).alias("last")).where("size > 1")
-    replaced = seen.where("not indel").select(F.col("mine")["id"].alias("id"), (F.col("size") - 1).alias("n_near"), F.when(F.col("first") == F.col("mine"), F.col("second")).otherwise(F.col("first")).alias("best"))
-    shorter = seen.where("indel and any_whole and not whole").select(F.col("mine")["id"].alias("id"), F.lit(1).cast("long").alias("n_near"), F.col("last").alias("best"))
-    longer = seen.where("indel and whole").select(F.col("mine")["id"].alias("id"), (F.col("size") - 1).alias("n_near"), F.col("first").alias("best"))
-    return replaced.unionByName(shorter).unionByName(longer).groupBy("id").agg(F.sum("n_near").alias("n_near"), F.min("best").alias("best"))
+    seen = spread.select("*", F.count(F.lit(1)).over(ordered).alias("size"), F.first("mine").over(ordered).alias("first"), F.nth_value("mine", 2).over(ordered).alias("second"), F.max("whole").over(ordered).alias("any_whole"), F.last("mine").over(ordered).alias("last"))
+    seen = seen.where("size > 1 and (not indel or any_whole)")
+    shorter = F.col("indel") & ~F.col("whole")
+    n_near = F.when(shorter, 1).otherwise(F.col("size") - 1).alias("n_near")
+    best = F.when(shorter, F.col("last")).when(~F.col("indel") & (F.col("first") == F.col("mine")), F.col("second")).otherwise(F.col("first")).alias("best")
+    return seen.select(F.col("mine")["id"].alias("id"), n_near, best).groupBy("id").agg(F.sum("n_near").alias("n_near"), F.min("best").alias("best"))
 
 
 def roots(forms: DataFrame) -> DataFrame:
