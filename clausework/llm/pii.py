@@ -1,9 +1,10 @@
 """Personal data: detection, and keyed surrogates of the same type, format, script and gender.
 
-Detected: e-mail addresses, telephone numbers, IPv4 addresses, account numbers (13 to 19 digits), secrets given to a name
-such as token or password, and personal names after a title, after words that introduce one ("my name is", "signed by"), or
-led by a known given name. An entity is its type with a canonical form (digits of a number, lower case of an address, ...), so
-different spellings of one entity get one surrogate. Numbers that stand beside each other are entities of their own:
+Detected: e-mail addresses, telephone numbers, IPv4 and IPv6 addresses, account numbers (13 to 19 digits), IBANs with a sound
+check, national numbers (three, two and four digits), access keys, secrets given to a name such as token or password, and
+personal names after a title in any case, after words that introduce one ("my name is", "signed by"), led by a known given
+name, or, if it is one, after a greeting; initials between two names stay. An entity is its type with a canonical form (digits of a number, lower case of an address, ...), so
+different spellings of one entity get one surrogate, a telephone number with +1 or without among them. Numbers that stand beside each other are entities of their own:
 ``numbers`` says where one ends. Every pattern takes time in proportion to the text; addresses are read from their "@" outwards.
 
 A surrogate is drawn from a keyed hash of type, canonical form and attempt: digits become digits, letters become letters of
@@ -27,6 +28,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -57,7 +59,11 @@ TITLES = {"Mr": "m", "Mrs": "f", "Ms": "f", "Miss": "f", "Herr": "m", "Frau": "f
 LETTERS = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "абвгдежзиклмнопрстуфхцчшэюя", "greek": "αβγδεζηθικλμνξοπρστυφχψω"}
 
 _GENDER = {name: (script, gender) for (script, gender), names in GIVEN.items() for name in names}
-_NAME = r"[^\W\d_a-zа-яα-ω][^\W\d_]+(?:-[^\W\d_]+)?"
+_NAME = r"[^\W\d_a-zа-яα-ω](?:[^\W\d_]+|['’][^\W\d_]{2,})(?:-[^\W\d_]+)?"
+_INITIALS = r"(?: [^\W\d_a-zа-яα-ω]\.)*"
+_TITLE_OF = TITLES | {t.upper(): g for t, g in TITLES.items()}
+#: Words that greet; a listed given name may follow.
+GREETINGS = ("Dear", "Hi", "Hello", "Hallo", "Liebe", "Lieber", "Cher", "Chère", "Querida", "Querido")
 _BEFORE_AT = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}")
 _NUMBER = re.compile(r"(?<![\w.])(?:\+?\d|\(\d)[\d ().\-/]{5,}\d(?![\w])")
@@ -81,9 +87,14 @@ _DIGITS = re.compile(r"\d+")
 _SECRET = re.compile(r"""(?i:\b(?:api[_-]?key|access[_-]?key|auth[_-]?token|token|secret|password|passwd)\b)["']?\s*[:=]\s*["']?([A-Za-z0-9+/_\-]{8,}={0,2})""")
 #: Words without which the pattern behind need not be tried.
 _SECRET_WORDS, _INTRODUCING = ("key", "token", "secret", "passw"), ("name", "by ", "author:", "signed:", "contact:")
-_TITLED = re.compile(rf"\b({'|'.join(TITLES)})\.? ({_NAME})(?: ({_NAME}))?")
-_INTRODUCED = re.compile(rf"(?:\b(?i:my name is|name is|signed by|written by)|\b(?i:name|author|signed|contact):) ({_NAME}) ({_NAME})\b")
-_LED = re.compile(rf"\b({'|'.join(sorted(_GENDER))}) ({_NAME})\b")
+_TITLED = re.compile(rf"\b({'|'.join(_TITLE_OF)})\.? ({_NAME})(?:{_INITIALS} ({_NAME}))?")
+_INTRODUCED = re.compile(rf"(?:\b(?i:my name is|name is|signed by|written by)|\b(?i:name|author|signed|contact):) ({_NAME}){_INITIALS} ({_NAME})\b")
+_LED = re.compile(rf"\b({'|'.join(sorted(_GENDER))}){_INITIALS} ({_NAME})\b")
+_GREETED = re.compile(rf"\b(?:{'|'.join(GREETINGS)}) ({'|'.join(sorted(_GENDER))})\b")
+_IPV6 = re.compile(r"(?<![\w:])[0-9A-Fa-f]{0,4}(?::[0-9A-Fa-f]{0,4}){2,7}(?![\w:])")
+_NATIONAL = re.compile(r"(?<![\w\-])\d{3}-\d{2}-\d{4}(?![\w\-])")
+_KEY = re.compile(r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16,}")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 
 
 class Entity(NamedTuple):
@@ -182,6 +193,20 @@ def _given(m: re.Match, group: int, gender: str = "") -> Entity:
     return Entity(m.start(group), m.end(group), "given", f"{gender}:{name.lower()}")
 
 
+def _ipv6(found: str) -> str | None:
+    """The address with all its digits; none for what only looks like one, such as a::b."""
+    if len(found) < 6 or not _DIGITS.search(found):
+        return None
+    try:
+        return ipaddress.IPv6Address(found).exploded
+    except ValueError:
+        return None
+
+
+def _iban_rest(iban: str) -> int:
+    return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
+
+
 def detect(text: str | None) -> list[Entity]:
     """Entities of a whole text in order of place, without overlaps."""
     if not text:
@@ -192,17 +217,27 @@ def detect(text: str | None) -> list[Entity]:
     if _DIGITS.search(text):
         for m in _IPV4.finditer(text):
             found.append(Entity(m.start(), m.end(), "ipv4", m[0]))
+        if text.count(":") > 1:
+            found += [Entity(m.start(), m.end(), "ipv6", whole) for m in _IPV6.finditer(text) if (whole := _ipv6(m[0]))]
+        if "-" in text:
+            found += [Entity(m.start(), m.end(), "national", m[0].replace("-", "")) for m in _NATIONAL.finditer(text)]
+        if "AKIA" in text:
+            found += [Entity(m.start(), m.end(), "secret", m[0]) for m in _KEY.finditer(text)]
+        found += [Entity(m.start(), m.end(), "iban", iban) for m in _IBAN.finditer(text) if len(iban := m[0].replace(" ", "")) >= 15 and _iban_rest(iban) == 1]
         other = _IPV4.sub(lambda m: m[0] if text[max(0, m.start() - 1) : m.start()] == "+" else "\n" * len(m[0]), text) if found else text
         for m in _NUMBER.finditer(other):
             at = m.start()
-            found += [Entity(at + a, at + b, kind, re.sub(r"\D", "", m[0][a:b])) for a, b, kind in numbers(m[0])]
+            for a, b, kind in numbers(m[0]):
+                digits = re.sub(r"\D", "", m[0][a:b])
+                found.append(Entity(at + a, at + b, kind, digits[1:] if kind == "phone" and len(digits) == 11 and m[0][a : a + 2] == "+1" else digits))
     low = text.lower()
     if any(w in low for w in _SECRET_WORDS):
         found += [Entity(m.start(1), m.end(1), "secret", m[1]) for m in _SECRET.finditer(text)]
     for m in _TITLED.finditer(text):
         if m[3]:
-            found.append(_given(m, 2, TITLES[m[1]]))
+            found.append(_given(m, 2, _TITLE_OF[m[1]]))
         elif m[2] in _GENDER:
+            found.append(_given(m, 2, _TITLE_OF[m[1]]))
             continue
         last = 3 if m[3] else 2
         found.append(Entity(m.start(last), m.end(last), "surname", m[last].lower()))
@@ -210,6 +245,8 @@ def detect(text: str | None) -> list[Entity]:
         for m in pattern.finditer(text):
             found.append(_given(m, 1))
             found.append(Entity(m.start(2), m.end(2), "surname", m[2].lower()))
+    if any(w in text for w in GREETINGS):
+        found += [_given(m, 1) for m in _GREETED.finditer(text)]
     found.sort(key=lambda e: (e.start, -e.end))
     out: list[Entity] = []
     for e in found:
@@ -256,6 +293,14 @@ def surrogate(key: bytes, kind: str, canonical: str, attempt: int = 0) -> str:
     s = Stream(key, kind, canonical, attempt)
     if kind == "ipv4":
         return ".".join(str(1 + s.below(254)) for _ in range(4))
+    if kind == "ipv6":
+        group = lambda g: "0000" if g == "0000" else f"{s.below(16 ** len(g.lstrip('0')) - 16 ** (len(g.lstrip('0')) - 1)) + 16 ** (len(g.lstrip('0')) - 1):04x}"
+        return ":".join(map(group, canonical.split(":")))
+    if kind == "national":
+        return str(1 + s.below(8)) + "".join(str(s.below(10)) for _ in canonical[1:])
+    if kind == "iban":
+        rest = "".join(str(s.below(10)) if c.isdigit() else LETTERS["latin"][s.below(26)].upper() for c in canonical[4:])
+        return f"{canonical[:2]}{98 - _iban_rest(f'{canonical[:2]}00{rest}'):02d}{rest}"
     if kind in ("phone", "account"):
         lead = canonical[: max(0, len(canonical) - 10)] if kind == "phone" else ""
         digits = lead + "".join(str(s.below(10)) for _ in canonical[len(lead) :])
@@ -274,7 +319,7 @@ def surrogate(key: bytes, kind: str, canonical: str, attempt: int = 0) -> str:
     keep_from = canonical.rfind(".") if kind == "email" else len(canonical)
     out = []
     for i, c in enumerate(canonical):
-        if i >= keep_from or not c.isalnum():
+        if i >= keep_from or not c.isalnum() or (kind == "secret" and i < 4 and canonical.startswith("AKIA")):
             out.append(c)
         elif c.isdigit():
             out.append(str(s.below(10)))
@@ -289,15 +334,21 @@ def surrogate(key: bytes, kind: str, canonical: str, attempt: int = 0) -> str:
 
 def rendered(kind: str, found: str, new: str) -> str:
     """A surrogate's canonical form in the format of the text that it replaces."""
-    if kind in ("phone", "account"):
-        digits = iter(new)
+    if kind in ("phone", "account", "national"):
+        digits = iter("".join(c for c in found if c.isdigit())[: -len(new)] + new)  # a country's number stays
         return "".join(next(digits) if c.isdigit() else c for c in found)
+    if kind == "iban":
+        letters = iter(new)
+        return "".join(c if c == " " else next(letters) for c in found)
+    if kind == "ipv6":
+        new = new if len(found) == len(new) else ipaddress.IPv6Address(new).compressed
+        return new.upper() if any(c in "ABCDEF" for c in found) else new
     if kind == "given":
         new = new.split(":", 1)[1]
     if kind in ("given", "forename", "surname", "email"):
         if found.isupper():
             return new.upper()
-        if kind != "email":
+        if kind != "email" and not ("'" in found or "’" in found):
             return "-".join(p[:1].upper() + p[1:] for p in new.split("-"))
         if len(found) == len(new):
             return "".join(b.upper() if a.isupper() else b for a, b in zip(found, new, strict=True))
