@@ -32,7 +32,10 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
-    """Clauses of JSON stores, in the order of their files' entries."""
+    """Clauses of JSON stores, in the order of their files' entries, or of a folder that ``write_store`` wrote."""
+    if exists(spark, f"{path}/_SUCCESS"):
+        columns = "doc_id string, ord int, key string, number string, title string, level int, parent string, text string, tables int, spec string, version string"
+        return spark.read.schema(columns).parquet(path).select("doc_id", "spec", "version", "ord", "key", "number", "title", "level", "parent", "text", "tables")
     envelope = spark.read.schema(STORE).json(path, multiLine=True)
     rows = envelope.select("spec", "version", F.posexplode("clauses").alias("ord", "k", "c"))
     return rows.select(F.concat_ws("-", "spec", "version").alias("doc_id"), "spec", "version", "ord", F.col("k").alias("key"), "c.number", "c.title", "c.level", "c.parent", "c.text", F.coalesce("c.tables", F.lit(0)).alias("tables"))
