@@ -19,7 +19,7 @@ from ..operators.nearest import nearest_labels
 from ..schema import Options, type_closure
 from ..sources import documents, exports, stores
 from ..storage import scratch
-from ..streaming import ingest
+from ..streaming import ingest, state
 from . import adapters as A
 from . import run
 
@@ -813,6 +813,40 @@ def q_chunk_rows(spark, d):
     return spark.sql("SELECT doc_id, c.part, md5(c.chunk) AS chunk FROM texts_to_cut t, LATERAL chunk_rows(t.text, 300) c")
 
 
+@query("""SELECT o_custkey::VARCHAR AS id, arg_min(o_orderkey, (year(o_orderdate), o_orderkey)) AS first, count(DISTINCT o_orderstatus || '/' || o_orderpriority) AS provenance FROM orders GROUP BY o_custkey""")
+def q_state_merge(spark, d):
+    """Orders as a stream of records of their customers, a year a batch, the last years first: merged in state as they come."""
+    none = F.lit(None).cast("string")
+    prov = F.struct(none.alias("release"), none.alias("spec"), none.alias("version"), F.col("o_orderstatus").alias("clause"), F.col("o_orderpriority").alias("anchor"), F.lit(None).cast("boolean").alias("curated"), F.lit(None).cast("boolean").alias("external"))
+    rows = A.table(spark, d, "orders").select(F.year("o_orderdate").alias("batch"), F.col("o_orderkey").alias("ord"), F.col("o_custkey").cast("string").alias("id"), F.col("o_orderkey").alias("first"), F.array(prov).alias("provenance"))
+    source, out, at = (scratch(spark, name) for name in ("records", "merged", "checkpoint"))
+    middle = rows.agg(F.expr("percentile_approx(batch, 0.5)")).first()[0] or 0
+    for late in (F.col("batch") > middle, F.col("batch") <= middle):  # a second query goes on from the first one's state
+        rows.where(late).repartition(1).write.mode("append").partitionBy("batch").parquet(source)
+        state.merge_stream(spark, source, out, at, "provenance", files=4).awaitTermination()
+    return state.latest(spark, out).select("id", "first", F.size("provenance").cast("long").alias("provenance"))
+
+
+@query("""WITH v AS (SELECT o_orderkey AS n, o_orderpriority AS measure, o_orderstatus AS run FROM orders)
+SELECT run, 'now' AS seen, count(*) AS n, sum(n)::BIGINT AS total FROM v WHERE n % 3 <> 0 GROUP BY run UNION ALL SELECT run, 'first', count(*), sum(n)::BIGINT FROM v GROUP BY run""")
+def q_commits(spark, d):
+    """Runs that are made from themselves, and one that fails midway: readers see the last whole commit, and older ones by number."""
+    snapshots = stores.Snapshots(spark, scratch(spark, "commits"))
+    rows = A.table(spark, d, "orders").select(F.col("o_orderpriority").alias("measure"), F.col("o_orderkey").alias("n"), F.col("o_orderstatus").alias("run"))
+    for r in rows.select("run").distinct().collect():
+        mine = lambda run=r.run: snapshots.read("filter", label=run).drop("spec", "version", "run")
+        snapshots.write("filter", rows.where(F.col("run") == r.run).drop("run"), A.CONFIG, r.run)
+        snapshots.write("filter", mine().where("n % 3 <> 0"), A.CONFIG, r.run)
+        broken = mine().select("measure", F.raise_error(F.lit("the disk is full")).cast("long").alias("n"))
+        try:
+            snapshots.commit({"filter": mine().limit(1), "aliases": broken}, A.CONFIG, r.run)
+        except Exception as e:
+            if "the disk is full" not in str(e):
+                raise
+    both = [snapshots.read("filter", number=number).select("run", F.lit(seen).alias("seen"), "n") for seen, number in (("now", None), ("first", 1))]
+    return both[0].unionByName(both[1]).groupBy("run", "seen").agg(F.count(F.lit(1)).alias("n"), F.sum("n").alias("total"))
+
+
 # --- whole extraction, warnings, evaluation, review ------------------------------------------------------------------
 
 _TITLED = "trim(title) AS label FROM {0} WHERE lower(trim(title)) NOT IN ('general', 'void', 'introduction', 'scope', '', 'purpose') AND level IN (3, 4, 5)"
