@@ -9,16 +9,17 @@ global suffix array does not distribute, so suffixes are dealt to buckets that k
 * each suffix is owned by its anchor, the k-gram with the least hash among those inside its ``min_bytes`` bytes (leftmost
   of equals). Equal suffixes have equal anchors at equal distance. Neighbouring suffixes with one anchor form a run of at
   most ``min_bytes - K + 1`` suffixes, one row ``(anchor hash, hash of the run's bytes, text, place)``;
-* runs with equal bytes (by 128 bits of hashes: the anchor's and the run's) match as a whole and need no sorting; where an
-  anchor stands in runs with different bytes, the first run of each kind is sorted: its suffixes, their common prefixes and
-  their longest previous and next factors. An anchor with more than ``CROWD`` kinds is not gathered in one task: its suffixes
-  are grouped by their bytes instead, first and last place of each, which says the same.
+* runs with equal hashes (128 bits: the anchor's and the run's) are one kind. The first and the last run of each kind are
+  sorted, for every anchor that stands more than once: their suffixes, their common prefixes and their longest previous and
+  next factors. A kind whose last run the factors find to have come before is repeated in all its runs; hashes alone remove
+  nothing. An anchor with more than ``CROWD`` kinds is not gathered in one task: its suffixes are grouped by their bytes
+  instead, first and last place of each, which says the same.
 
 Everything before the sort is joins and aggregations that combine before their shuffles, so neither a frequent anchor nor
 a frequent passage meets in one task.
 
-Copies of a whole text are one text here, ordered by its least doc_id, so groups of copies shrink before any shuffle; the
-removal found for a text is joined back to all its copies.
+Copies of a whole text are one text here, ordered by its least doc_id; the runs found for that text are joined back to all
+its copies. Only rows that repeat both doc_id and text are known by the text's hashes alone, as they have no places of their own.
 
 Defined results: null text counts as empty; texts shorter than ``min_bytes`` lose nothing; null doc_id comes first in
 order; rows that repeat a doc_id are documents of their own; an empty table gives an empty result. Further columns of the
@@ -97,9 +98,12 @@ def _anchors(min_bytes: int, k: int):
     return run
 
 
+#: A run to sort, of the kind (h, c), its first or ``last``; of a crowded anchor, one suffix of it, ``off`` bytes behind its start.
+_CUT = "h long, c long, last boolean, crowded boolean, doc long, k1 long, at long, off long, bytes binary"
+
+
 def _cut(min_bytes: int):
-    """Rows (h, doc, k1, at, bytes) of the runs to sort, out of the texts that hold them; of crowded anchors' runs, a row
-    without h for each suffix, with its first min_bytes bytes."""
+    """Rows of ``_CUT`` out of the texts that hold the runs: a run's bytes, or each suffix's first min_bytes bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -107,23 +111,19 @@ def _cut(min_bytes: int):
             for i, runs in enumerate(batch.column("runs").to_pylist()):
                 k, d = batch.column("k1")[i].as_py(), batch.column("doc")[i].as_py()
                 whole = data[offsets[i] : offsets[i + 1]].tobytes()
-                h, at, got = [], [], []
+                rows = []
                 for r in runs:
                     lo, size = r["at"] >> SIZE_BITS, r["at"] & _SIZE
-                    if r["crowded"]:
-                        starts = range(lo, lo + size)
-                        h += [None] * size
-                        at += [(x << SIZE_BITS) + 1 for x in starts]
-                        got += [whole[x : x + min_bytes] for x in starts]
-                    else:
-                        h.append(r["h"])
-                        at.append(r["at"])
-                        got.append(whole[lo : lo + size - 1 + min_bytes])
-                yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array([d] * len(h), pa.int64()), pa.array([k] * len(h), pa.int64()), pa.array(at, pa.int64()), pa.array(got, pa.binary())], ["h", "doc", "k1", "at", "bytes"])
+                    parts = [(x, whole[lo + x : lo + x + min_bytes]) for x in range(size)] if r["crowded"] else [(0, whole[lo : lo + size - 1 + min_bytes])]
+                    rows += [{**r, "doc": d, "k1": k, "off": x, "bytes": cut} for x, cut in parts]
+                yield pa.RecordBatch.from_pylist(rows, _CUT_TYPES)
 
     return run
 
 
+_CUT_TYPES = pa.schema([("h", pa.int64()), ("c", pa.int64()), ("last", pa.bool_()), ("crowded", pa.bool_()), ("doc", pa.int64()), ("k1", pa.int64()), ("at", pa.int64()), ("off", pa.int64()), ("bytes", pa.binary())])
+
+
 def previous_factors(position: list[int], lcp: list[int]) -> list[int]:
     """Of each suffix, in suffix order, the length of its longest string that also starts at a smaller position.
 
@@ -164,18 +164,29 @@ def suffix_matches(windows: np.ndarray, order: np.ndarray) -> tuple[np.ndarray,
     return back, ahead
 
 
+#: Suffixes ``lo`` to ``hi`` of a run that repeat; ``earlier``: an equal one stands before.
+_FOUND = "h long, c long, last boolean, k1 long, doc long, at long, lo long, hi long, earlier boolean"
+
+
 def _sorted_runs(min_bytes: int):
-    def emit(rows: dict[str, list]) -> pa.RecordBatch:
-        """Suffix order over whole anchors' runs; rows (k1, doc, start, end, earlier) of repeated suffixes."""
-        sizes = np.array([a & _SIZE for a in rows["at"]])
-        text = np.frombuffer(b"".join(rows["bytes"]), np.uint8)
+    names = ("h", "c", "last", "k1", "doc", "at")
+
+    def emit(held: list[pa.Table]) -> pa.RecordBatch:
+        """Suffix order over whole anchors' runs; rows of ``_FOUND``."""
+        table = pa.concat_tables(held)
+        own = {n: table.column(n).to_numpy() for n in names}
+        place = np.lexsort((own["at"], own["k1"], own["doc"]))
+        same = np.zeros(len(place), bool)  # rows that repeat a document have the same places
+        same[1:] = (own["at"][place][1:] == own["at"][place][:-1]) & (own["k1"][place][1:] == own["k1"][place][:-1]) & (own["doc"][place][1:] == own["doc"][place][:-1])
+        place = place[~same]
+        own = {n: v[place] for n, v in own.items()}  # in order of places, so a row's number is its rank
+        blocks = table.column("bytes").to_pylist()
+        sizes = own["at"] & _SIZE
+        text = np.frombuffer(b"".join(blocks[i] for i in place), np.uint8)
         base = np.concatenate([[0], np.cumsum(sizes - 1 + min_bytes)])[:-1]
         member = np.repeat(np.arange(len(sizes)), sizes)
         inner = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        place = np.lexsort((np.array([a >> SIZE_BITS for a in rows["at"]]), np.array(rows["k1"]), np.array(rows["doc"])))
-        rank = np.empty(len(sizes), np.int64)
-        rank[place] = np.arange(len(sizes))
-        position = (rank[member] << SIZE_BITS) + inner
+        position = (member << SIZE_BITS) + inner
         starts = base[member] + inner
         view = np.lib.stride_tricks.sliding_window_view(text, min_bytes)
         back, ahead = np.zeros(len(member), np.int64), np.zeros(len(member), np.int64)
@@ -188,26 +199,24 @@ def _sorted_runs(min_bytes: int):
                 back[some], ahead[some] = suffix_matches(view[starts[some]], position[some])
         back, ahead = back >= min_bytes, ahead >= min_bytes
         hit = np.flatnonzero(back | ahead)
-        m = member[hit]
-        start = np.array([a >> SIZE_BITS for a in rows["at"]])[m] + inner[hit]
+        m, off = member[hit], inner[hit]
         edge = np.ones(len(hit), bool)
-        edge[1:] = (m[1:] != m[:-1]) | (start[1:] != start[:-1] + 1) | (back[hit][1:] != back[hit][:-1])
+        edge[1:] = (m[1:] != m[:-1]) | (off[1:] != off[:-1] + 1) | (back[hit][1:] != back[hit][:-1])
         lo = np.flatnonzero(edge)
         hi = np.append(lo[1:], len(hit)) - 1 if len(hit) else lo
-        k1, doc = np.array(rows["k1"])[m[lo]], np.array(rows["doc"])[m[lo]]
-        return pa.RecordBatch.from_arrays([pa.array(k1, pa.int64()), pa.array(doc, pa.int64()), pa.array(start[lo], pa.int64()), pa.array(start[hi], pa.int64()), pa.array(back[hit][lo])], ["k1", "doc", "start", "end", "earlier"])
+        columns = [pa.array(own[n][m[lo]]) for n in names]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(off[lo], pa.int64()), pa.array(off[hi], pa.int64()), pa.array(back[hit][lo])], [*names, "lo", "hi", "earlier"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list] = {n: [] for n in ("doc", "k1", "at", "bytes")}
+        held: list[pa.Table] = []
         size = 0
         for table in X.groups(batches, "h"):
-            for n in held:
-                held[n] += table.column(n).to_pylist()
+            held.append(table.select([*names, "bytes"]))
             size += table.num_rows * 70
             if size >= SORT_ROWS:
                 yield emit(held)
-                held, size = {n: [] for n in held}, 0
-        if held["at"]:
+                held, size = [], 0
+        if held:
             yield emit(held)
 
     return run
@@ -234,12 +243,12 @@ def _joined(runs: list[tuple[int, int]]) -> list[int]:
 
 
 def repeated_suffixes(docs: DataFrame, min_bytes: int = MIN_BYTES, k: int = K, crowd: int = CROWD) -> DataFrame:
-    """(k1, k2, copies, doc, every, later) of texts that repeat: keys of the text, its rows and least doc_id, and the runs
+    """(k1, k2, copies, alone, doc, every, later) of texts that repeat: keys of the text, its rows, whether they have one doc_id, the least, and the runs
     [start, end, start, end, ...] of its repeated suffixes: all of them, and those with an earlier occurrence."""
     if min_bytes - k + 1 > _SIZE:
         raise ValueError(f"passages of more than {_SIZE + k - 1} bytes are not supported")
     keyed = _keyed(docs)
-    texts = keyed.groupBy("k1", "k2").agg(F.min("doc").alias("doc"), F.count(F.lit(1)).alias("copies"))
+    texts = keyed.groupBy("k1", "k2").agg(F.min("doc").alias("doc"), F.count(F.lit(1)).alias("copies"), (F.min("doc") == F.max("doc")).alias("alone"))
     long = keyed.where(F.octet_length("text") >= min_bytes).select("text", "k1", "doc")
     rows = stored(long.mapInArrow(_anchors(min_bytes, k), "h long, c long, k1 long, at long, doc long"), "runs")
     # anchors that stand more than once, and whether in runs of several kinds; then only their runs
@@ -249,25 +258,34 @@ def repeated_suffixes(docs: DataFrame, min_bytes: int = MIN_BYTES, k: int = K, c
     shared = stored(rows.join(anchors, "h").select("h", "c", "mixed", place.alias("place")), "anchors")
     kinds = shared.groupBy("h", "c", "mixed").agg(F.min("place").alias("first"), F.max("place").alias("last"))
     kinds = stored(kinds.where("mixed or first <> last"), "kinds")
-    # runs with equal bytes repeat as a whole
-    members = shared.join(kinds.where("first <> last").select("h", "c", "first"), ["h", "c"])
-    start = F.shiftright("place.at", SIZE_BITS)
-    wholes = members.select("place.k1", "place.doc", start.alias("start"), (start + F.col("place.at").bitwiseAND(_SIZE) - 1).alias("end"), (F.col("place") > F.col("first")).alias("earlier"))
-    # of mixed anchors the first run of each kind is sorted, or looked up suffix by suffix where there are too many
-    mixed = kinds.where("mixed")
-    crowded = mixed.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > crowd).select("h", F.lit(True).alias("crowded"))
-    chosen = mixed.join(crowded, "h", "left").select("first.k1", "first.doc", F.struct("h", "first.at", F.coalesce("crowded", F.lit(False)).alias("crowded")).alias("run"))
-    lists = chosen.groupBy("k1", "doc").agg(F.collect_list("run").alias("runs"))
-    cut = long.join(maybe_broadcast(lists, mixed.count(), 40), ["k1", "doc"]).mapInArrow(_cut(min_bytes), "h long, doc long, k1 long, at long, bytes binary")
+    # the first and the last run of each kind are sorted, or looked up suffix by suffix where an anchor has too many kinds
+    crowded = kinds.where("mixed").groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > crowd).select("h", F.lit(True).alias("crowded"))
+    one = lambda place, last: F.struct(F.col(place).alias("place"), F.lit(last).alias("last"))
+    both = F.when(F.col("first") == F.col("last"), F.array(one("first", False))).otherwise(F.array(one("first", False), one("last", True)))
+    chosen = kinds.join(crowded, "h", "left").select("h", "c", F.coalesce("crowded", F.lit(False)).alias("crowded"), F.inline(both))
+    lists = chosen.groupBy("place.k1", "place.doc").agg(F.collect_list(F.struct("h", "c", "last", "crowded", "place.at")).alias("runs"))
+    cut = long.join(maybe_broadcast(lists, 2 * kinds.count(), 48), ["k1", "doc"]).select("k1", "doc", "text", "runs").mapInArrow(_cut(min_bytes), _CUT)
     cut = stored(cut, "cut")
-    sorted_runs = cut.where("h is not null").repartition("h").sortWithinPartitions("h")
-    found = sorted_runs.mapInArrow(_sorted_runs(min_bytes), "k1 long, doc long, start long, end long, earlier boolean")
-    single = cut.where("h is null").select("bytes", place.alias("place"))
-    ends = single.groupBy("bytes").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first <> last").select("bytes", "first")
-    ends = stored(ends, "ends")
-    at = F.shiftright("place.at", SIZE_BITS)
-    looked_up = single.join(ends, "bytes").select("place.k1", "place.doc", at.alias("start"), at.alias("end"), (F.col("place") > F.col("first")).alias("earlier"))
-    runs = wholes.unionByName(found).unionByName(looked_up).groupBy("k1", "doc").agg(F.collect_list(F.struct("start", "end", "earlier")).alias("runs"))
+    ordered = cut.where("not crowded").repartition("h").sortWithinPartitions("h")
+    found = ordered.mapInArrow(_sorted_runs(min_bytes), _FOUND)
+    suffix = F.struct("doc", "k1", (F.shiftright("at", SIZE_BITS) + F.col("off")).alias("start"))
+    single = cut.where("crowded").withColumn("place", suffix)
+    ends = stored(single.groupBy("bytes").agg(F.min("place").alias("from"), F.max("place").alias("to")).where("from <> to").select("bytes", "from"), "ends")
+    looked_up = single.join(ends, "bytes").select("h", "c", "last", "k1", "doc", "at", F.col("off").alias("lo"), F.col("off").alias("hi"), (F.col("place") > F.col("from")).alias("earlier"))
+    found = stored(found.unionByName(looked_up), "found")
+    start = F.shiftright("at", SIZE_BITS)
+    span = lambda lo, hi: [(start + lo).alias("start"), (start + hi).alias("end"), "earlier"]
+    firsts = found.where("not last").select("k1", "doc", *span(F.col("lo"), F.col("hi")))
+    # what holds of a kind's last run holds of all but its first; suffixes that all repeat are one span again
+    size = F.first(F.col("at").bitwiseAND(_SIZE)).alias("size")
+    spans = found.where("last").groupBy("h", "c").agg(F.collect_set(F.struct("lo", "hi", "earlier")).alias("spans"), size)
+    whole = (F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["hi"] - x["lo"] + 1) == F.col("size")) & F.forall("spans", lambda x: x["earlier"])
+    one_span = F.array(F.struct(F.lit(0).cast("long").alias("lo"), (F.col("size") - 1).alias("hi"), F.lit(True).alias("earlier")))
+    spans = spans.select("h", "c", F.when(whole, one_span).otherwise(F.col("spans")).alias("spans"))
+    repeated = stored(spans.join(kinds.select("h", "c", "first"), ["h", "c"]), "repeated_kinds")
+    members = shared.join(repeated, ["h", "c"]).where("place <> first").select("place.k1", "place.doc", "place.at", F.inline("spans"))
+    others = members.select("k1", "doc", *span(F.col("lo"), F.col("hi")))
+    runs = firsts.unionByName(others).groupBy("k1", "doc").agg(F.collect_list(F.struct("start", "end", "earlier")).alias("runs"))
     runs = runs.mapInArrow(_merge, "k1 long, doc long, every array<long>, later array<long>")
     return texts.join(runs, ["k1", "doc"], "left").where("copies > 1 or every is not null")
 
@@ -305,14 +323,14 @@ def substring_dedup(docs: DataFrame, min_bytes: int = MIN_BYTES, keep_first: boo
             data, offsets = X.utf8(batch.column("text"))
             whole = data.tobytes()
             out: dict[str, list] = {"n": [], "gone": [], "spans": [], "kept": []}
-            columns = [batch.column(c).to_pylist() for c in ("doc", "least", "copies", "every", "later")]
-            for i, (doc, least, copies, every, later) in enumerate(zip(*columns, strict=True)):
+            columns = [batch.column(c).to_pylist() for c in ("doc", "least", "copies", "alone", "every", "later")]
+            for i, (doc, least, copies, alone, every, later) in enumerate(zip(*columns, strict=True)):
                 lo, hi = int(offsets[i]), int(offsets[i + 1])
                 n = hi - lo
-                if n >= min_bytes and copies and copies > 1 and not (keep_first and doc == least):
+                if n >= min_bytes and alone and copies > 1 and not keep_first:
                     spans = [(0, n)]
                 else:
-                    spans = byte_spans(n, later if keep_first else every, min_bytes)
+                    spans = byte_spans(n, later if keep_first and doc == least else every, min_bytes)
                 kept, at = [], 0
                 for a, b in spans:
                     kept.append(whole[lo + at : lo + a])
@@ -334,4 +352,4 @@ def substring_dedup(docs: DataFrame, min_bytes: int = MIN_BYTES, keep_first: boo
 
     kind = dict(docs.dtypes)["doc_id"]
     schema = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, " + ("kept_sha256 string" if digest else "spans array<struct<start: long, end: long>>, kept binary")
-    return joined.select("doc_id", "text", "doc", "least", "copies", "every", "later").mapInArrow(run, schema)
+    return joined.select("doc_id", "text", "doc", "least", "copies", "alone", "every", "later").mapInArrow(run, schema)

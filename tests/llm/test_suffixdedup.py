@@ -98,3 +98,28 @@ def test_long_passages_and_a_very_long_text(spark, keep_first):
     rows = [(i, letters(300) + passage[i * 20 :] + letters(200)) for i in range(8)] + [(8, letters(150_000) + passage + letters(150_000)), (9, letters(390))]
     got = S.substring_dedup(spark.createDataFrame(rows, SCHEMA), 400, keep_first, digest=True).collect()
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == brute(rows, 400, keep_first)
+
+
+def test_hashes_alone_remove_nothing(spark, monkeypatch):
+    """Whole copies and equal runs stay where the factors of the sorted suffixes are not asked."""
+
+    def unsorted(min_bytes):
+        def run(batches):
+            for batch in batches:
+                yield from ()
+
+        return run
+
+    rows = corpus(40)
+    monkeypatch.setattr(S, "_sorted_runs", unsorted)
+    got = S.substring_dedup(spark.createDataFrame(rows, SCHEMA), 40, False, digest=True, k=16).collect()
+    assert sum(r.n_removed for r in got) == 0
+
+
+@pytest.mark.parametrize("crowd", [1, 5_000])
+def test_rows_that_repeat_a_document_are_no_earlier_copies_of_it(spark, crowd):
+    p = "a passage that stands in several documents, long enough for it to be found"
+    rows = [(1, "first " + p + " one"), (1, "first " + p + " one"), (2, "then " + p + " two"), (2, "then " + p + " two"), (3, p)]
+    got = S.substring_dedup(spark.createDataFrame(rows, SCHEMA), 40, True, k=16, crowd=crowd).collect()
+    kept = sorted((r.doc_id, bytes(r.kept)) for r in got)
+    assert [d for d, k in kept if len(k) > 40] == [1, 1] and kept[4] == (3, b"")
