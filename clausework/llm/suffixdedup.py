@@ -10,9 +10,9 @@ global suffix array does not distribute, so suffixes are dealt to buckets that k
   of equals). Equal suffixes have equal anchors at equal distance. Neighbouring suffixes with one anchor form a run of at
   most ``min_bytes - K + 1`` suffixes, one row ``(anchor hash, hash of the run's bytes, text, place)``;
 * runs with equal hashes (128 bits: the anchor's and the run's) are one kind. The first and the last run of each kind are
-  sorted, for every anchor that stands more than once: their suffixes, their common prefixes and their longest previous and
-  next factors. A kind whose last run the factors find to have come before is repeated in all its runs; hashes alone remove
-  nothing. An anchor with more than ``CROWD`` kinds is not gathered in one task: its suffixes are grouped by their bytes
+  compared byte by byte once and, if equal, are one string with two places, repeated in all the kind's runs; hashes alone
+  remove nothing. An anchor's kinds are sorted: their suffixes, their common prefixes and their longest previous and next
+  factors. An anchor with more than ``CROWD`` kinds is not gathered in one task: its suffixes are grouped by their bytes
   instead, first and last place of each, which says the same.
 
 Everything before the sort is joins and aggregations that combine before their shuffles, so neither a frequent anchor nor
@@ -180,32 +180,51 @@ def _sorted_runs(min_bytes: int):
         same[1:] = (own["at"][place][1:] == own["at"][place][:-1]) & (own["k1"][place][1:] == own["k1"][place][:-1]) & (own["doc"][place][1:] == own["doc"][place][:-1])
         place = place[~same]
         own = {n: v[place] for n, v in own.items()}  # in order of places, so a row's number is its rank
-        blocks = table.column("bytes").to_pylist()
-        sizes = own["at"] & _SIZE
-        text = np.frombuffer(b"".join(blocks[i] for i in place), np.uint8)
-        base = np.concatenate([[0], np.cumsum(sizes - 1 + min_bytes)])[:-1]
-        member = np.repeat(np.arange(len(sizes)), sizes)
+        blocks = table.column("bytes")
+        blocks = [blocks[i].as_py() for i in place.tolist()]
+        # first and last run of a kind whose bytes are the same are one string with two places
+        kind = np.lexsort((own["last"], own["c"], own["h"]))
+        one, two = kind[:-1], kind[1:]
+        pair = np.flatnonzero((own["h"][one] == own["h"][two]) & (own["c"][one] == own["c"][two]))
+        pair = pair[[blocks[one[i]] == blocks[two[i]] for i in pair.tolist()]] if len(pair) else pair
+        twice, again = np.zeros(len(place), bool), np.zeros(len(place), bool)
+        twice[one[pair]], again[two[pair]] = True, True
+        # a run's own suffixes differ, as they have one anchor at different distances: a string alone needs no order
+        kept = np.flatnonzero(~again)
+        _, group, n = np.unique(own["h"][kept], return_inverse=True, return_counts=True)
+        alone = n[group] == 1
+        sizes = own["at"][kept] & _SIZE
+        member = np.repeat(np.arange(len(kept)), sizes)
         inner = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        position = (member << SIZE_BITS) + inner
-        starts = base[member] + inner
-        view = np.lib.stride_tricks.sliding_window_view(text, min_bytes)
-        back, ahead = np.zeros(len(member), np.int64), np.zeros(len(member), np.int64)
-        if len(member) <= 2 * SORT_ROWS:
-            back, ahead = suffix_matches(view[starts], position)
-        else:  # one large group: suffixes with the same two first bytes at a time
-            lead = text[starts].astype(np.int64) * 256 + text[starts + 1]
-            for v in np.unique(lead):
-                some = np.flatnonzero(lead == v)
-                back[some], ahead[some] = suffix_matches(view[starts[some]], position[some])
-        back, ahead = back >= min_bytes, ahead >= min_bytes
+        back, ahead = np.zeros(len(member), bool), twice[kept][member]
+        some = np.flatnonzero(~alone[member])
+        if len(some):
+            held_by = np.flatnonzero(~alone)
+            text = np.frombuffer(b"".join(blocks[i] for i in kept[held_by]), np.uint8)
+            base = np.zeros(len(kept), np.int64)
+            base[held_by] = np.concatenate([[0], np.cumsum(sizes[held_by] - 1 + min_bytes)])[:-1]
+            starts = base[member[some]] + inner[some]
+            position = (kept[member[some]] << SIZE_BITS) + inner[some]
+            view = np.lib.stride_tricks.sliding_window_view(text, min_bytes)
+            parts = [np.arange(len(some))]
+            if len(some) > 2 * SORT_ROWS:  # one large group: suffixes with the same two first bytes at a time
+                lead = text[starts].astype(np.int64) * 256 + text[starts + 1]
+                parts = [np.flatnonzero(lead == v) for v in np.unique(lead)]
+            for part in parts:
+                b, a = suffix_matches(view[starts[part]], position[part])
+                back[some[part]] = b >= min_bytes
+                ahead[some[part]] |= a >= min_bytes
         hit = np.flatnonzero(back | ahead)
-        m, off = member[hit], inner[hit]
+        m, off, earlier = member[hit], inner[hit], back[hit]
         edge = np.ones(len(hit), bool)
-        edge[1:] = (m[1:] != m[:-1]) | (off[1:] != off[:-1] + 1) | (back[hit][1:] != back[hit][:-1])
+        edge[1:] = (m[1:] != m[:-1]) | (off[1:] != off[:-1] + 1) | (earlier[1:] != earlier[:-1])
         lo = np.flatnonzero(edge)
         hi = np.append(lo[1:], len(hit)) - 1 if len(hit) else lo
-        columns = [pa.array(own[n][m[lo]]) for n in names]
-        return pa.RecordBatch.from_arrays([*columns, pa.array(off[lo], pa.int64()), pa.array(off[hi], pa.int64()), pa.array(back[hit][lo])], [*names, "lo", "hi", "earlier"])
+        later = np.flatnonzero(again)
+        rows = np.concatenate([kept[m[lo]], later])
+        columns = [pa.array(own[n][rows]) for n in names]
+        spans = [np.concatenate([off[lo], np.zeros(len(later), np.int64)]), np.concatenate([off[hi], (own["at"][later] & _SIZE) - 1]), np.concatenate([earlier[lo], np.ones(len(later), bool)])]
+        return pa.RecordBatch.from_arrays([*columns, *map(pa.array, spans)], [*names, "lo", "hi", "earlier"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
@@ -264,7 +283,8 @@ def repeated_suffixes(docs: DataFrame, min_bytes: int = MIN_BYTES, k: int = K, c
     both = F.when(F.col("first") == F.col("last"), F.array(one("first", False))).otherwise(F.array(one("first", False), one("last", True)))
     chosen = kinds.join(crowded, "h", "left").select("h", "c", F.coalesce("crowded", F.lit(False)).alias("crowded"), F.inline(both))
     lists = chosen.groupBy("place.k1", "place.doc").agg(F.collect_list(F.struct("h", "c", "last", "crowded", "place.at")).alias("runs"))
-    cut = long.join(maybe_broadcast(lists, 2 * kinds.count(), 48), ["k1", "doc"]).select("k1", "doc", "text", "runs").mapInArrow(_cut(min_bytes), _CUT)
+    # a merge join at every size: the lists grow with the texts, so a broadcast would not last
+    cut = long.join(lists.hint("merge"), ["k1", "doc"]).select("k1", "doc", "text", "runs").mapInArrow(_cut(min_bytes), _CUT)
     cut = stored(cut, "cut")
     ordered = cut.where("not crowded").repartition("h").sortWithinPartitions("h")
     found = ordered.mapInArrow(_sorted_runs(min_bytes), _FOUND)
