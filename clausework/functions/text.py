@@ -106,6 +106,21 @@ def anchor_in(hay: Column, anchor: Column) -> Column:
     return F.when(F.coalesce(anchor, F.lit("")) == "", F.lit(True)).otherwise(held)
 
 
+def located(anchor: Column, text: Column) -> Column:
+    """(start, length) of an anchor in a text, from 1; null if it is not there.
+
+    Without the marks around it, an anchor is looked for as it is, then by its longest ending of three words or more, then
+    by its first 40 characters.
+    """
+    a = F.regexp_replace(anchor, r"^[ .;:,]+|[ .;:,]+$", "")
+    words = F.split(a, " ", -1)
+    n = F.size(words)
+    endings = F.when(n > 3, F.transform(F.sequence(F.lit(2), F.greatest(n - 2, F.lit(2))), lambda i: F.array_join(F.slice(words, i, n), " ")))
+    shorter = F.concat(F.coalesce(endings, F.array().cast("array<string>")), F.array(F.substring(a, 1, 40)))
+    hit = F.when(F.contains(text, a), a).otherwise(F.get(F.filter(shorter, lambda s: F.contains(text, s)), F.lit(0)))
+    return F.when((a != "") & hit.isNotNull(), F.struct(F.position(hit, text).alias("start"), F.char_length(hit).alias("length")))
+
+
 def word_in(text: Column, term: str) -> Column:
     """Whether a literal term stands in text between characters that are no ASCII letters, digits or underscores."""
     quoted = "".join("\\" + c if not c.isalnum() and c != "_" else c for c in term)

@@ -117,12 +117,17 @@ def counts_by(rows: DataFrame, column: str) -> DataFrame:
 
 
 def highlights(facts: DataFrame, clauses: DataFrame) -> DataFrame:
-    """(key, pos, start, length): where each fact's anchor stands in its clause (from 1); those that overlap an earlier one go."""
-    where = F.position("anchor", "text")
-    found = facts.join(clauses.select("key", "text"), "key").where(where > 0)
-    spans = found.groupBy("key").agg(F.array_sort(F.collect_list(F.struct(where.alias("start"), F.col("pos"), F.char_length("anchor").alias("length")))).alias("s"))
-    zero = F.struct(F.lit(0).alias("end"), F.array().cast("array<struct<start:int,pos:int,length:int>>").alias("kept"))
-    step = lambda a, x: F.when(x["start"] > a["end"], F.struct((x["start"] + x["length"] - 1).alias("end"), F.concat(a["kept"], F.array(F.struct(x["start"].alias("start"), x["pos"].cast("int").alias("pos"), x["length"].alias("length")))).alias("kept"))).otherwise(a)
+    """(key, pos, start, length): where each fact's anchor stands in its clause (from 1), by ``functions.text.located``; those
+    that start inside an earlier one go.
+
+    Of facts that start at one place the first holds, by aggregation, so what is gathered of a clause is bounded by its text.
+    """
+    found = facts.join(clauses.select("key", "text"), "key").select("key", "pos", X.located(F.col("anchor"), F.col("text")).alias("at")).where("at is not null")
+    first = found.groupBy("key", "at.start").agg(F.min(F.struct("pos", "at.length")).alias("m"))
+    kind = f"struct<start:int,pos:{facts.schema['pos'].dataType.simpleString()},length:int>"
+    spans = first.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "m.pos", "m.length").cast(kind))).alias("s"))
+    zero = F.struct(F.lit(0).alias("end"), F.array().cast(f"array<{kind}>").alias("kept"))
+    step = lambda a, x: F.when(x["start"] > a["end"], F.struct((x["start"] + x["length"] - 1).alias("end"), F.concat(a["kept"], F.array(x)).alias("kept"))).otherwise(a)
     return spans.select("key", F.explode(F.aggregate("s", zero, step)["kept"]).alias("k")).select("key", "k.pos", "k.start", "k.length")
 
 

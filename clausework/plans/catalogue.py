@@ -13,7 +13,7 @@ from ..errors import EngineError
 from ..functions import kernels as K
 from ..functions import text as X
 from ..functions.tables import register_tables
-from ..operators import audit, comparison, corpus, curated, extraction, forest, graphs, history, merging, questions, review, validation
+from ..operators import audit, comparison, corpus, curated, extraction, forest, graphs, history, merging, panels, questions, review, validation
 from ..provider import facts_of, replies
 from ..operators.nearest import nearest_labels
 from ..schema import Options, type_closure
@@ -983,6 +983,44 @@ def q_highlights(spark, d):
     return graphs.highlights(facts, c)
 
 
+@query(_GRAPH + """, concepts AS (SELECT n.ord, n.id, n.type, n.label, r.dst AS broader FROM entities n LEFT JOIN (SELECT src, dst FROM relations WHERE type = 'PART_OF') r ON r.src = n.id WHERE n.type IN ('Nation', 'Region')),
+inside AS (SELECT b.dst AS id, coalesce(e.label, b.src) AS label, b.n, row_number() OVER (PARTITION BY b.dst ORDER BY b.ord, b.src) AS r FROM (SELECT src, dst, ord, 1 AS n FROM relations WHERE type = 'BASED_IN') b LEFT JOIN entities e ON e.id = b.src),
+below AS (SELECT broader AS id, label, row_number() OVER (PARTITION BY broader ORDER BY ord, label) AS r FROM concepts WHERE broader IS NOT NULL)
+SELECT c.id, CASE WHEN b.id IS NULL THEN 0 ELSE 1 END AS depth, concat_ws(' > ', c.label, b.label) AS chain,
+  (SELECT count(*) FROM below x WHERE x.id = c.id) AS n_narrower, coalesce((SELECT string_agg(label, '|' ORDER BY r) FROM below x WHERE x.id = c.id AND r <= 25), '') AS narrower,
+  (SELECT count(*) FROM inside x WHERE x.id = c.id) AS n, coalesce((SELECT string_agg(label, '|' ORDER BY r) FROM inside x WHERE x.id = c.id AND r <= 25), '') AS members
+FROM concepts c LEFT JOIN concepts b ON b.id = c.broader""")
+def q_concept_tree(spark, d):
+    """Regions and nations as a tree; customers and suppliers are in their nations, also those that are no entities."""
+    entities, relations = A.entities(spark, d), A.relations(spark, d)
+    kind = F.when(F.col("type") == "BASED_IN", "IN_LAYER").otherwise(F.col("type"))
+    up = relations.where("type = 'PART_OF'").select(F.col("src").alias("id"), F.col("dst").alias("broader"))
+    concepts = entities.where("type IN ('Nation', 'Region')").select("ord", "id", "type", "label").join(up, "id", "left")
+    tree = panels.concept_tree(concepts, entities, relations.withColumn("type", kind))
+    shown = lambda c, by: F.array_join(c, by).alias(c)
+    return tree.select("id", "depth", shown("chain", " > "), "n_narrower", shown("narrower", "|"), "n", shown("members", "|"))
+
+
+@query("WITH" + _CLAUSE + r""", stated AS (SELECT doc_id, key, title, text, p, CASE p WHEN 0 THEN '. ' || substring(text, 6, 60) || ';' ELSE 'not there ' || substring(text, 50, 40) END AS anchor FROM clauses, (VALUES (0), (1)) v(p)),
+trimmed AS (SELECT *, regexp_replace(anchor, '^[ .;:,]+|[ .;:,]+$', '', 'g') AS a FROM stated), worded AS (SELECT *, string_split(a, ' ') AS w FROM trimmed),
+tried AS (SELECT doc_id, key, title, p, text, 0 AS try, a AS s FROM worded UNION ALL SELECT doc_id, key, title, p, text, i, array_to_string(w[i + 1:], ' ') FROM worded, LATERAL (SELECT unnest(range(1, len(w) - 2)) AS i) UNION ALL SELECT doc_id, key, title, p, text, 1000000, substring(a, 1, 40) FROM worded),
+hit AS (SELECT key, p, arg_min(s, try) AS s FROM tried WHERE contains(text, s) AND s <> '' GROUP BY key, p), found AS (SELECT c.key, h.p, strpos(c.text, h.s) AS start, length(h.s) AS n FROM hit h JOIN clauses c ON c.key = h.key),
+kept AS (SELECT * FROM (SELECT *, lag(start + n) OVER (PARTITION BY key ORDER BY start, p) AS ends FROM found) WHERE ends IS NULL OR start >= ends)
+SELECT s.key, s.doc_id * 2 + s.p AS pos, s.title AS src_label, 'x' || s.doc_id AS dst_label, k.start::INT AS start, k.n::INT AS length FROM stated s LEFT JOIN kept k ON k.key = s.key AND k.p = s.p""")
+def q_clause_facts(spark, d):
+    """Two facts of each clause: an anchor with marks around it, and one of which only an ending is there; one end is no entity."""
+    c = A.clauses(spark, d)
+    n = F.col("ord").cast("long")
+    anchors = F.array(F.concat(F.lit(". "), F.substring("text", 6, 60), F.lit(";")), F.concat(F.lit("not there "), F.substring("text", 50, 40)))
+    none = F.lit(None).cast("string")
+    rows = c.select(n.alias("n"), "key", F.posexplode(anchors).alias("p", "anchor"))
+    shown = F.array(F.struct(F.lit("Rel-19").alias("release"), none.alias("spec"), none.alias("version"), F.col("key").alias("clause"), F.col("anchor"), F.lit(None).cast("boolean").alias("curated"), F.lit(None).cast("boolean").alias("external")))
+    pos = F.col("n") * 2 + F.col("p")
+    relations = rows.select(pos.alias("ord"), F.concat(F.lit("r"), pos).alias("id"), F.lit("STATES").alias("type"), F.concat(F.lit("e"), "n").alias("src"), F.concat(F.lit("x"), "n").alias("dst"), F.lit("prose").alias("modality"), F.lit("high").alias("confidence"), shown.alias("provenance"))
+    entities = c.select(F.concat(F.lit("e"), n).alias("id"), F.col("title").alias("label"))
+    return panels.clause_facts(c, entities, relations, "Rel-19").select("key", "pos", "src_label", "dst_label", "start", "length")
+
+
 @query("SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 'curated' WHEN p_partkey % 3 = 1 THEN 'TS Rel-16 clause ' || p_size ELSE 'TS Rel-15 clause 7' END AS shown FROM part")
 def q_provenance_shown(spark, d):
     """The provenance of the wanted release, else the first with a clause."""

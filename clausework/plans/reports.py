@@ -1,6 +1,8 @@
-"""Reports over written runs, as text, and their command line: triage, compare, evaluate, align and retype.
+"""Reports over written runs, as text, and their command line: triage, compare, evaluate, align and retype; and pages to look
+at: the view of a run's graph, the facts of its clauses, the tree of its concepts.
 
     spark-submit reports.py triage --snapshots DIR --spec "TS 38.331" --version 19.2.0 [--label L] [--out FILE]
+    spark-submit reports.py view --store DIR [--types A,B] [--since L] --out FILE --snapshots ... --spec ... --version ...
 
 Every table behind a report is a DataFrame of its own; a report shows a bounded number of its rows.
 """
@@ -15,9 +17,9 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import comparison, review, validation
+from ..operators import comparison, graphs, panels, review, validation
 from ..schema import RETYPE_RULES, Ontology, Options, SpecConfig
-from ..sources import stores
+from ..sources import exports, stores
 from ..storage import checkpointed
 from .run import _named
 
@@ -94,11 +96,35 @@ def retype(entities: DataFrame, relations: DataFrame, rules: DataFrame, ontology
     return "\n".join(lines), {"entities": entities, "relations": after, "findings": found[1]}
 
 
+def view(entities: DataFrame, relations: DataFrame, clauses: DataFrame, release: str, title: str, types: Iterable[str] = (), seen: DataFrame | None = None) -> str:
+    """The page of a run's graph; with ``types`` of those relations and their ends, with ``seen`` of relations not in it."""
+    nodes, edges = graphs.view_nodes(entities, clauses, release), graphs.view_edges(entities, relations, clauses, release)
+    keep = F.col("label").isin(*types) if types else F.lit(True)
+    if types or seen is not None:
+        nodes, edges = graphs.focused(nodes, edges if seen is None else graphs.new_since(edges, seen), keep)
+    return exports.view_page(nodes, edges, title)
+
+
+def facts(entities: DataFrame, relations: DataFrame, clauses: DataFrame, release: str, title: str, types: Iterable[str] = ()) -> str:
+    """The page of the clauses that show relations (of ``types``), with those marked in their texts."""
+    shown = relations.where(F.col("type").isin(*types)) if types else relations
+    rows = checkpointed(panels.clause_facts(clauses, entities, shown, release))
+    return exports.facts_page(panels.marked_texts(clauses, rows), rows, title)
+
+
+def concepts(entities: DataFrame, relations: DataFrame, title: str) -> str:
+    """The page of a run's concept tree."""
+    return exports.concept_page(panels.concept_tree(panels.concepts_of(entities, relations), entities, relations), title)
+
+
+PAGES = ("view", "facts", "concepts")
+
+
 def main(argv: list[str] | None = None) -> None:
     from ..session import local_session
 
     p = argparse.ArgumentParser(description=__doc__)
-    p.add_argument("report", choices=("triage", "compare", "evaluate", "align", "retype"))
+    p.add_argument("report", choices=("triage", "compare", "evaluate", "align", "retype", *PAGES))
     for name in ("--snapshots", "--spec", "--version"):
         p.add_argument(name, required=True)
     p.add_argument("--label", help="the run; compare takes several, comma-separated, and all without")
@@ -108,8 +134,13 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--write-label", help="where retype writes its run and align its new suggestions (the same run is allowed); without, they only report")
     p.add_argument("--recompute", action="store_true", help="align: measure all distances of the run anew")
     p.add_argument("--embed", help="module:function that gives labels' vectors, for --recompute")
+    p.add_argument("--store", help="view, facts: the clause store of the run")
+    p.add_argument("--types", default="", help="view, facts: these types of relations alone, comma-separated")
+    p.add_argument("--since", help="view: what this run does not have")
     p.add_argument("--out", help="a file for the report")
     a = p.parse_args(argv)
+    if a.report in PAGES and not (a.out and (a.store or a.report == "concepts")):
+        p.error(f"{a.report} needs --out" + ("" if a.report == "concepts" else " and --store"))
     spark = SparkSession.getActiveSession() or local_session()
     cfg, snapshots = SpecConfig(a.spec, a.version), stores.Snapshots(spark, a.snapshots)
     read = lambda table, label=a.label or "default", optional=False: snapshots.read(table, cfg.compact, cfg.version, label, optional)
@@ -128,6 +159,18 @@ def main(argv: list[str] | None = None) -> None:
             if a.write_label:
                 snapshots.write("aliases", suggestions, cfg, a.write_label)
         text = alignment(read("aliases") if suggestions is None else suggestions, rho, a.samples)
+    elif a.report in PAGES:
+        title, types = f"{a.spec} {a.version} {a.label or ''}".strip(), [x.strip() for x in a.types.split(",") if x.strip()]
+        graph = (read("entities"), read("relations"))
+        if a.report == "concepts":
+            page = concepts(*graph, title)
+        else:
+            clauses = stores.read_store(spark, a.store).where((F.col("spec") == a.spec) & (F.col("version") == a.version))
+            seen = read("relations", a.since).select("id") if a.since else None
+            page = facts(*graph, clauses, cfg.release, title, types) if a.report == "facts" else view(*graph, clauses, cfg.release, title, types, seen)
+        Path(a.out).write_text(page, encoding="utf-8")
+        print(f"{a.report} of {title}: {a.out}")
+        return
     else:
         rules = spark.createDataFrame(list(RETYPE_RULES), "type string, src_type string, dst_type string, new_type string")
         text, tables = retype(read("entities"), read("relations"), rules)
