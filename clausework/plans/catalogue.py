@@ -881,6 +881,21 @@ def q_extract_confidence(spark, d):
     return entities.select("id", "confidence", "review")
 
 
+_REFERRED = SQL["q_extract"].replace("level, text FROM documents)", "level, text || ' as specified in clause 5.' || (doc_id * 7 % 1000) || ', defined in 5.' || (doc_id + 6) AS text FROM documents)").rsplit("SELECT id, any_value", 1)[0]
+
+
+@query(_REFERRED + r""", procs AS (SELECT s.id, '5.' || c.doc_id AS at FROM slugged s JOIN clauses c ON c.key = s.key WHERE s.type = 'Procedure'),
+refs AS (SELECT doc_id, key, '5.' || doc_id AS at, unnest(regexp_extract_all(text, '(?:as )?(?:specified|described|defined) in (?:(?:sub)?clause\s+)?(\d+(?:\.\d+)+[A-Z]?)', 1)) AS target FROM kept)
+SELECT a.id AS src, b.id AS dst, arg_min(r.key, r.doc_id) AS clause FROM refs r JOIN procs a ON a.at = r.at JOIN procs b ON b.at = r.target WHERE a.id <> b.id GROUP BY a.id, b.id""")
+def q_extract_relations(spark, d):
+    """Procedures that kept clauses name by their numbers, from a whole extraction; each clause refers to two others."""
+    n = F.col("ord").cast("long")
+    more = F.concat(F.lit(" as specified in clause 5."), n * 7 % 1000, F.lit(", defined in 5."), n + 6)
+    clauses = A.clauses(spark, d).withColumns({"number": F.concat(F.lit("5."), n), "text": F.concat("text", more)})
+    _, relations = extraction.extract(clauses, corpus.relevance(clauses, A.CONFIG).where("kept"), A.CONFIG)
+    return relations.select("src", "dst", F.get("provenance", F.lit(0))["clause"].alias("clause"))
+
+
 _WARNED = "WITH" + _CLAUSE + """, own AS (SELECT *, title || chr(10) || text AS t FROM clauses), hays AS (SELECT o.doc_id, o.key, o.t || coalesce(chr(10) || string_agg(c.t, chr(10)), '') AS hay FROM own o LEFT JOIN own c ON c.parent = o.key GROUP BY o.doc_id, o.key, o.t),
 warned AS (SELECT 'e' || doc_id AS id, doc_id, CASE WHEN doc_id % 5 = 0 THEN 'clause-missing' WHEN NOT contains(hay, CASE WHEN doc_id % 2 = 0 THEN 'the' ELSE 'les' END) THEN 'anchor-missing' END AS cat FROM hays WHERE doc_id % 7 <> 0)
 """
