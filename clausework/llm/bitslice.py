@@ -12,8 +12,8 @@ Rows with a component beyond +-2^24 after scaling would widen every slice of the
 own, unsliced, and are scored as they are, in whole numbers of any size.
 
 Repeated rows are removed by an aggregation before blocks are packed; the index is one narrow pass over what is left.
-Queries, a stated set, meet it in chunks by blocks: blocks are dealt to groups, and each chunk of queries goes once to each
-group.
+Queries, a stated set, meet it in cells of a grid: blocks are dealt to groups and chunks of queries to parts, as many as their
+numbers need, so that a cell has a few of each; a block goes once to each part and a chunk once to each group.
 
 Defined results: rows with a null id, a null vector or null or non-finite components take no part; queries meet only rows of
 their own dimension; rows with the query's id are its own; rows with equal ids and equal quantised vectors count once; a
@@ -36,7 +36,8 @@ from .cluster import stored
 
 BLOCK_ROWS = 8192
 CHUNK_QUERIES = 256
-GROUPS = 64
+#: Blocks and chunks of queries that meet in one cell.
+CELL_BLOCKS, CELL_CHUNKS = 4, 64
 SCALE = 256.0
 #: Components up to this size are sliced.
 LARGEST = 1 << 24
@@ -265,15 +266,22 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_i
     blocks = stored(bit_sliced_index(vectors, vec_id, vector, scale, block_rows), "slices")
     wanted = _rows(vectors.where(is_query), vec_id, vector, scale)
     chunks = wanted.coalesce(_parts(vectors)).mapInArrow(_chunks(CHUNK_QUERIES), "dim int, wide boolean, query_ids binary, queries binary")
-    groups = F.lit(GROUPS)
-    dealt = blocks.withColumn("at", F.pmod(F.xxhash64("ids"), groups).cast("int"))
-    chunks = chunks.withColumn("at", F.explode(F.sequence(F.lit(0), groups - 1)))
-    pairs = chunks.join(dealt, ["at", "dim"]).select("dim", "n", "width", "least", "ids", "slices", "wide", "query_ids", "queries")
+    chunks = stored(chunks, "query_chunks")
+    groups, parts = _cells(blocks.count(), chunks.count(), _parts(vectors))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    dealt = blocks.withColumn("at", F.pmod(F.xxhash64("ids"), F.lit(groups))).withColumn("part", every(parts))
+    chunks = chunks.withColumn("part", F.pmod(F.xxhash64("query_ids"), F.lit(parts))).withColumn("at", every(groups))
+    pairs = chunks.join(dealt, ["at", "part", "dim"]).select("dim", "n", "width", "least", "ids", "slices", "wide", "query_ids", "queries")
     found = pairs.mapInArrow(_search(k), "query_id long, vec_id long, score long")
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
+def _cells(blocks: int, chunks: int, tasks: int) -> tuple[int, int]:
+    """How many groups of blocks and parts of queries: cells of a bounded size, and groups for all tasks if blocks suffice."""
+    return max(1, min(blocks, max(-(-blocks // CELL_BLOCKS), tasks))), max(1, -(-chunks // CELL_CHUNKS))
+
+
 def _parts(vectors: DataFrame) -> int:
     """Partitions for packing: few enough that blocks fill, never more than the input has."""
     return max(1, vectors.sparkSession.sparkContext.defaultParallelism)

@@ -28,7 +28,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .cluster import maybe_broadcast, scratch
+from ..storage import BROADCAST_BYTES
+from .cluster import scratch
 
 READ_BYTES = 8 << 20
 GAP_BYTES = 64 << 10
@@ -108,16 +109,34 @@ def _writer(folder: str):
     return run
 
 
+def with_last(rows: DataFrame, groups: DataFrame, limit: int | None = None) -> DataFrame:
+    """rows (page_id, sha, ...) with ``last`` of groups (sha, last, n), one for each payload that several rows have.
+
+    Groups of a counted size of up to ``limit`` bytes are broadcast. Beyond it those with a thousandth of all repeated rows
+    or more, at most a thousand, still are, and their rows are dealt by page_id where the others meet their groups by sha:
+    no task gets all rows of a frequent payload.
+    """
+    n = groups.count()
+    if n * 64 <= (BROADCAST_BYTES if limit is None else limit):
+        return rows.join(F.broadcast(groups.select("sha", "last")), "sha", "left")
+    share = (groups.agg(F.sum("n").alias("rows")).first()["rows"] or 0) / 1000
+    hot = groups.where(F.col("n") >= share).select("sha", F.col("last").alias("hot"))
+    rows = rows.join(F.broadcast(hot), "sha", "left")
+    alone = F.concat(F.lit("page "), F.coalesce(F.col("page_id"), F.xxhash64("url")).cast("string")).cast("binary")
+    rows = rows.withColumn("by", F.when(F.col("hot").isNull(), F.col("sha")).otherwise(alone))
+    rest = groups.where(F.col("n") < share).select(F.col("sha").alias("by"), F.col("last").alias("cold"))
+    return rows.join(rest, "by", "left").withColumn("last", F.coalesce("hot", "cold")).drop("by", "hot", "cold")
+
+
 def write_warc(pages: DataFrame, folder: str | None = None, dedup_bytes: int = DEDUP_BYTES) -> tuple[str, DataFrame]:
     """(folder, index) of the archives written from pages (page_id, url, html)."""
     spark = pages.sparkSession
     folder = folder or scratch(spark, "warc")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", F.unhex(F.sha1(F.coalesce("html", F.lit("")))).alias("sha"))
     size = F.octet_length(F.coalesce("html", F.lit("")))
-    groups = rows.where(size >= dedup_bytes).groupBy("sha").agg(F.max("page_id").alias("last"), F.count(F.lit(1)).alias("n")).where("n > 1 and last is not null").select("sha", "last")
+    groups = rows.where(size >= dedup_bytes).groupBy("sha").agg(F.max("page_id").alias("last"), F.count(F.lit(1)).alias("n")).where("n > 1 and last is not null").select("sha", "last", "n")
     groups.write.parquet(f"{folder}/groups")
-    groups = spark.read.schema("sha binary, last long").parquet(f"{folder}/groups")
-    joined = rows.join(maybe_broadcast(groups, groups.count(), 64), "sha", "left")
+    joined = with_last(rows, spark.read.schema("sha binary, last long, n long").parquet(f"{folder}/groups"))
     revisit = F.col("last").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("last"))
     written = joined.select("page_id", "url", "html", "last", revisit.alias("revisit")).mapInArrow(_writer(f"{folder}/archives"), INDEX)
     written.write.parquet(f"{folder}/index")

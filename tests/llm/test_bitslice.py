@@ -64,3 +64,14 @@ def test_components_beyond_the_slices_score_exactly(spark):
     rows += [(100, [7e4, 1.0, 0.0]), (101, [8e4, 1.0, 0.0]), (102, [0.0, 1e8, 0.0])]
     got = B.top_k(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 10 == 0, k=5, block_rows=16).collect()
     assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got) == brute(rows, 10, 5)
+
+
+def test_cells_grow_with_blocks_and_queries_and_change_nothing(spark, monkeypatch):
+    assert B._cells(0, 0, 8) == (1, 1) and B._cells(3, 1, 8) == (3, 1) and B._cells(100, 65, 8) == (25, 2) and B._cells(10, 1, 8) == (8, 1)
+    monkeypatch.setattr(B, "CHUNK_QUERIES", 3)
+    monkeypatch.setattr(B, "CELL_CHUNKS", 2)
+    rng = random.Random(5)
+    rows = [(i, [rng.uniform(-1, 1) for _ in range(4)]) for i in range(120)]
+    clashing = spark.createDataFrame([(*r, 1, 2, "x") for r in rows], SCHEMA + ", at int, part int, score string")
+    got = B.top_k(clashing, F.col("vec_id") % 4 == 0, k=3, block_rows=16).collect()
+    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got) == brute(rows, 4, 3)

@@ -62,3 +62,15 @@ def test_small_index_rows_of_large_records_are_read_by_many_tasks(spark, monkeyp
 
     tasks = found.groupBy(F.spark_partition_id()).count().collect()
     assert len(tasks) > 1 and sum(t["count"] for t in tasks) == 64
+
+
+def test_frequent_payloads_are_dealt_by_page(spark):
+    from pyspark.sql import functions as F
+
+    ids = spark.range(4000)
+    sha = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 == 0, F.concat(F.lit("once"), "id")).otherwise(F.concat(F.lit("pair"), F.floor(F.col("id") / 6)))
+    rows = ids.select(F.when(F.col("id") != 9, F.col("id")).alias("page_id"), F.concat(F.lit("u"), "id").alias("url"), sha.cast("binary").alias("sha"))
+    groups = rows.groupBy("sha").agg(F.max("page_id").alias("last"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    both = [sorted((tuple(r) for r in warc.with_last(rows, groups, limit).select("page_id", "url", "sha", "last").collect()), key=str) for limit in (None, 0)]
+    assert both[0] == both[1] and len(both[0]) == 4000 and sum(r[3] is None for r in both[0]) > 100 and sum(r[3] == 3999 for r in both[0]) == 1334
+    assert warc.with_last(rows.limit(0), groups.limit(0), -1).count() == 0
