@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..schema import SpecConfig
+from ..storage import checkpointed
 from .automaton import terms_in
 from .graphs import ancestors
 from .merging import entity_records, first_by, merge_records, ordinal, relation_records
@@ -58,7 +59,7 @@ def vocabulary_hits(clauses: DataFrame, cfg: SpecConfig | None = None, key: str
 
 def extract(clauses: DataFrame, kept: DataFrame, cfg: SpecConfig) -> tuple[DataFrame, DataFrame]:
     """(entities, relations) that need no model, merged by id; kept are the relevant clauses."""
-    procs = procedures(clauses, kept)
+    procs = checkpointed(procedures(clauses, kept))  # entities and both ends of relations are made of them
     named = procs.select(ordinal(F.col("prio"), F.col("o.ord"), F.col("o.depth")).alias("ord"), "type", "label", "clause", "anchor", "extractor", "confidence", "review")
     none = F.lit(None).cast("string")
     words = vocabulary_hits(kept, cfg)

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import corpus, extraction, merging
 from ..schema import SpecConfig
+from ..storage import checkpointed
 
 
 def read_documents(spark: SparkSession, path: str, schema: str = "doc_id long, text string") -> DataFrame:
@@ -20,6 +21,7 @@ def ingest(docs: DataFrame, cfg: SpecConfig, out: str, checkpoint: str) -> Strea
     def write(batch: DataFrame, n: int) -> None:
         clauses = corpus.fold_clauses(corpus.document_blocks(batch), F.lit(cfg.spec), F.lit(cfg.version))
         clauses = clauses.withColumn("key", F.concat("doc_id", F.lit(":"), "key")).withColumn("parent", F.concat("doc_id", F.lit(":"), "parent"))
+        clauses = checkpointed(clauses)  # folded once for both tables
         entities, relations = extraction.extract(clauses, corpus.relevance(clauses, cfg).where("kept"), cfg)
         for name, rows in (("entities", entities), ("relations", relations)):
             rows.write.mode("overwrite").parquet(f"{out}/{name}/batch={n}")
