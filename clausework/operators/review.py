@@ -8,17 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions import text as X
 from ..provider import vectors_of
 from ..schema import FUNCTIONAL
 from ..storage import checkpointed
-from .nearest import nearest_labels
+from .nearest import nearest_labels, nearest_vectors
 
 #: Edges of the histogram of distances, and the upper bounds of the coarse one.
 EDGES = (0, 0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.35, 0.4, 0.45, 0.5, 0.6, 0.7, 0.8, 0.9, 1.01)
 COARSE = (0.05, 0.1, 0.18, 0.25, 0.35, 0.5, 1.01)
-#: Groups that the surfaces of a type are dealt to.
-SALTS = 16
 
 
 def conflict_groups(relations: DataFrame, functional: tuple[str, ...] = FUNCTIONAL) -> DataFrame:
@@ -50,22 +47,6 @@ def review_queue(entities: DataFrame, relations: DataFrame, warned: DataFrame, a
     return queue
 
 
-def nearest(surfaces: DataFrame, canonicals: DataFrame, compatible: DataFrame, distance: Callable[[Column, Column], Column], value: str) -> DataFrame:
-    """For each surface (ord, id, label, type, value) its nearest canonical of a compatible type (a, b), the first of equals.
-
-    Pairs meet by type; the nearest is an aggregation that combines before its shuffle, so a surface's pairs are never
-    gathered. A type's surfaces are dealt by their ids to SALTS groups, and its canonicals go to each of them.
-    """
-    s = surfaces.select(F.col("ord").alias("surface_ord"), F.col("id").alias("surface_id"), F.col("label").alias("surface_label"), F.col("type").alias("surface_type"), F.col(value).alias("surface_value"))
-    c = canonicals.select(F.col("ord").alias("canonical_ord"), F.col("id").alias("canonical_id"), F.col("label").alias("canonical_label"), F.col("type").alias("canonical_type"), F.col(value).alias("canonical_value"))
-    s = s.withColumn("salt", F.pmod(F.xxhash64("surface_id", "surface_ord"), F.lit(SALTS)).cast("int"))
-    c = c.withColumn("canonical_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    pairs = s.join(F.broadcast(compatible), F.col("surface_type") == F.col("a")).join(c, (F.col("b") == F.col("canonical_type")) & (F.col("salt") == F.col("canonical_salt")))
-    d = distance(F.col("surface_value"), F.col("canonical_value"))
-    pairs = pairs.select("surface_ord", "surface_id", "surface_label", "surface_type", F.struct(d.alias("distance"), "canonical_ord", "canonical_id", "canonical_label", "canonical_type").alias("c"))
-    return pairs.groupBy("surface_ord", "surface_id", "surface_label", "surface_type").agg(F.min("c").alias("c")).select("surface_ord", "surface_id", "surface_label", "surface_type", "c.canonical_id", "c.canonical_label", "c.canonical_type", F.col("c.distance").alias("exact"))
-
-
 def proposals(found: DataFrame, rho: float, backend: str) -> DataFrame:
     """found with the rounded distance and what it proposes at rho (which is decided on the exact one)."""
     return found.withColumns({"distance": F.bround("exact", 4), "backend": F.lit(backend), "proposal": F.when(F.col("exact") < rho, "merge").otherwise("new-entity")})
@@ -90,7 +71,7 @@ def suggest_aliases(entities: DataFrame, compatible: DataFrame, rho: float, vect
     if vectors is None:
         return proposals(nearest_labels(surfaces, canonical, compatible), rho, "difflib")
     of = lambda e: e.join(vectors, "label")
-    return proposals(nearest(of(surfaces), of(canonical), compatible, X.cosine_distance, "vector"), rho, "embedding")
+    return proposals(nearest_vectors(of(surfaces), of(canonical), compatible), rho, "embedding")
 
 
 def distance_histogram(suggestions: DataFrame, edges: tuple[float, ...] = EDGES, overflow: bool = False) -> DataFrame:
