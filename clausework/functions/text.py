@@ -99,7 +99,7 @@ def anchor_in(hay: Column, anchor: Column) -> Column:
 
     Any longer ending contains the last three words, so testing those decides all of them at once.
     """
-    a = F.regexp_replace(norm_ws(anchor), r"^[ .;:,]+|[ .;:,]+$", "")
+    a = F.regexp_replace(norm_ws(anchor), r"^[ .;:,]+|[ .;:,]+\z", "")
     words = F.split(a, " ", -1)
     tail = F.array_join(F.slice(words, F.greatest(F.lit(1), F.size(words) - 2), F.lit(3)), " ")
     held = ((a != "") & F.contains(hay, a)) | ((F.size(words) >= 4) & F.contains(hay, tail))
@@ -112,7 +112,7 @@ def located(anchor: Column, text: Column) -> Column:
     Without the marks around it, an anchor is looked for as it is, then by its longest ending of three words or more, then
     by its first 40 characters.
     """
-    a = F.regexp_replace(anchor, r"^[ .;:,]+|[ .;:,]+$", "")
+    a = F.regexp_replace(anchor, r"^[ .;:,]+|[ .;:,]+\z", "")
     words = F.split(a, " ", -1)
     n = F.size(words)
     endings = F.when(n > 3, F.transform(F.sequence(F.lit(2), F.greatest(n - 2, F.lit(2))), lambda i: F.array_join(F.slice(words, i, n), " ")))

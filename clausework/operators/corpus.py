@@ -151,7 +151,7 @@ def anchored(items: DataFrame, texts: DataFrame) -> DataFrame:
     these patterns finds all of them in one pass over the texts (``automaton``). Only an anchor that is empty stands in every
     text, and only such are joined with all.
     """
-    a = F.regexp_replace(X.norm_ws(F.col("anchor")), r"^[ .;:,]+|[ .;:,]+$", "")
+    a = F.regexp_replace(X.norm_ws(F.col("anchor")), r"^[ .;:,]+|[ .;:,]+\z", "")
     words = F.split(a, " ", -1)
     pattern = F.when(F.size(words) >= 4, F.array_join(F.slice(words, F.size(words) - 2, F.lit(3)), " ")).otherwise(a)
     patterns = items.where("coalesce(anchor, '') <> ''").select(pattern.alias("pattern"), "item", a.alias("whole")).where("whole <> ''")

@@ -41,3 +41,11 @@ def test_events_in_the_last_half_second_of_a_day(spark, tmp_path, name):
     spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string").coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
     only_spark, only_sql, n = differing(spark, tmp_path, name)
     assert n and not only_spark and not only_sql
+
+
+def test_clauses_whose_anchors_end_in_a_line_feed(spark, tmp_path):
+    linked(tmp_path, "documents")
+    texts = ["\n" + "abcd e fg.\n" * 20, "\n" + "abcd e fg:\r" * 20, None, "", "one.\n"]
+    rows = [(i, t, "en", "src1") for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    assert differing(spark, tmp_path, "q_clause_facts") == ([], [], 10)
