@@ -85,6 +85,16 @@ def test_batches_are_bounded_and_committed_one_after_another(spark, tmp_path):
     assert stores.read_log(spark, log)[1].count() == 25
 
 
+def test_batches_grow_with_what_is_done(spark, tmp_path):
+    log, sizes = str(tmp_path / "log"), []
+    work = spark.range(2000).select(F.col("id").alias("ord"), F.concat(F.lit("5."), "id").alias("key"), F.lit("t").alias("title"), F.lit("x").alias("text"))
+    empty = F.array().cast(f"array<{stores.FACT}>")
+    answer = lambda rows: rows.select(F.col("ord").alias("clause_ord"), F.col("key").alias("clause"), empty.alias("facts"), F.lit(None).cast("string").alias("error"))
+    asking.ask_all(work, answer, log, batch=40, seen=lambda got, n: sizes.append(got.count()))
+    assert sum(sizes) == 2000 and len(sizes) < 35 and all(s <= max(40, sum(sizes[:i]) / 7) for i, s in enumerate(sizes))
+    assert asking.next_batch(40, 100, 1.0, 8000) == 1000 and asking.next_batch(40, 100, 61.0, 8000) == 100
+
+
 def test_errors_pack_and_unpack():
     e = unpacked(packed(EngineError("LLM-E002", status=429)))
     assert isinstance(e, EngineError) and e.transient() and str(e) == str(EngineError("LLM-E002", status=429))
