@@ -12,7 +12,9 @@ from collections import OrderedDict
 from collections.abc import Callable, Iterator
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +25,8 @@ from pyspark.sql.pandas.types import to_arrow_type
 PART_CHARS = 1 << 20
 #: Machines that a worker keeps.
 KEPT = 2
+#: Bytes of texts that a worker has as Python strings at once, about, and rows at most.
+SLICE_BYTES, SLICE_ROWS = 4 << 20, 1024
 
 _MACHINES: OrderedDict[str, object] = OrderedDict()
 
@@ -60,6 +64,17 @@ def parts_of(patterns: DataFrame, part_chars: int = PART_CHARS) -> Iterator[list
         yield [tuple(r) for r in rows.where(F.pmod(F.xxhash64(pattern), F.lit(n)) == i).collect()]
 
 
+def sliced(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of bounded texts, a longer text alone, so that what is found in one is given away before the next is read."""
+    ends = np.cumsum(pc.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False))
+    lo = 0
+    while lo < batch.num_rows:
+        before = int(ends[lo - 1]) if lo else 0
+        hi = max(lo + 1, min(int(np.searchsorted(ends, before + SLICE_BYTES, "right")), lo + SLICE_ROWS))
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
 def matched(texts: DataFrame, text: str, patterns: DataFrame, found: Callable[[str, Iterator[tuple[int, list[tuple]]]], list[tuple]], fields: list[T.StructField], part_chars: int = PART_CHARS) -> DataFrame:
     """texts without ``text``, with ``fields``: a row for each tuple that ``found`` makes of a text and its occurrences.
 
@@ -73,7 +88,7 @@ def matched(texts: DataFrame, text: str, patterns: DataFrame, found: Callable[[s
     def search(patterns: Broadcast):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             m = machine(patterns)
-            for batch in batches:
+            for batch in (part for whole in batches for part in sliced(whole, text)):
                 at, values = [], []
                 for i, t in enumerate(batch.column(text).to_pylist()):
                     rows = found(t, m.iter(t)) if t else []

@@ -56,3 +56,14 @@ def test_anchors_with_a_common_word_meet_only_where_they_stand(spark):
 def test_no_patterns(spark):
     texts = ship(spark).createDataFrame([("k", "t")], "key string, hay_norm string")
     assert corpus.anchored(spark.createDataFrame([], "item int, anchor string"), texts).count() == 0
+
+
+def test_texts_are_taken_in_bounded_parts():
+    import pyarrow as pa
+
+    texts = [None, "a" * 10, "", "é" * automaton.SLICE_BYTES, *["b" * 2000] * 5000, None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["i", "t"])
+    parts = list(automaton.sliced(batch, "t"))
+    assert [x for p in parts for x in p.column("i").to_pylist()] == list(range(len(texts)))
+    assert all(p.num_rows == 1 or sum(len((x or "").encode()) for x in p.column("t").to_pylist()) <= automaton.SLICE_BYTES for p in parts)
+    assert max(p.num_rows for p in parts) <= automaton.SLICE_ROWS and list(automaton.sliced(batch.slice(0, 0), "t")) == []
