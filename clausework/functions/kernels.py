@@ -7,6 +7,7 @@ import json
 import re
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +16,8 @@ FACTS = "array<struct<" + ",".join(f"{f}:string" for f in FACT_FIELDS) + ">>"
 #: A parsed reply: status parsed, salvaged or unparsable; facts is null only for the last, and empty for an empty list.
 REPLY = T.StructType([T.StructField("status", T.StringType()), T.StructField("facts", T.ArrayType(T.StructType([T.StructField(f, T.StringType()) for f in FACT_FIELDS]))), T.StructField("dropped", T.IntegerType())])
 CONTAINED = 0.25
+#: Texts that are cut to chunks as Python strings at once.
+CUT_ROWS = 256
 
 
 def label_distance(a: str, b: str) -> float:
@@ -67,9 +70,11 @@ def chunk(text: str, limit: int) -> list[str]:
 def chunks(limit: int):
     """A Column function: array of a text's chunks; null for null."""
 
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def cut(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: None if t is None else chunk(t, limit))
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def cut(texts: pa.Array) -> pa.Array:
+        kind = pa.list_(pa.string())
+        parts = [pa.array([None if t is None else chunk(t, limit) for t in texts.slice(lo, CUT_ROWS).to_pylist()], kind) for lo in range(0, len(texts), CUT_ROWS)]
+        return pa.concat_arrays(parts) if parts else pa.array([], kind)
 
     return cut
 

@@ -49,3 +49,16 @@ def test_clauses_whose_anchors_end_in_a_line_feed(spark, tmp_path):
     rows = [(i, t, "en", "src1") for i, t in enumerate(texts)]
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
     assert differing(spark, tmp_path, "q_clause_facts") == ([], [], 10)
+
+
+def test_chunks_of_more_texts_than_are_held_at_once(spark):
+    from pyspark.sql import functions as F
+
+    from clausework.functions import kernels as K
+    from clausework.session import ship
+
+    ship(spark)
+    n = 2 * K.CUT_ROWS + 7
+    rows = spark.range(0, n, 1, 1).select("id", F.when(F.col("id") % 5 > 0, F.repeat(F.concat(F.lit("ab "), "id"), (F.col("id") % 9).cast("int"))).alias("t"))
+    got = rows.select("t", K.chunks(10)("t").alias("c")).collect()
+    assert len(got) == n and all(r.c == (None if r.t is None else K.chunk(r.t, 10)) for r in got)
