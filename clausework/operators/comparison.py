@@ -58,7 +58,7 @@ def entity_key() -> list[Column]:
 def match_entities(gold: DataFrame, run: DataFrame) -> DataFrame:
     """(gold_id, run_id): entities of equal type and normalised label; of several in the run the first."""
     keys = run.select(*entity_key(), "id", "ord").groupBy("type", "norm").agg(F.min_by("id", "ord").alias("run_id"))
-    return gold.select(F.col("id").alias("gold_id"), *entity_key()).join(keys, ["type", "norm"]).select("gold_id", "run_id")
+    return gold.select(F.col("id").alias("gold_id"), *entity_key()).join(keys.hint("merge"), ["type", "norm"]).select("gold_id", "run_id")
 
 
 def alias_map(suggestions: DataFrame) -> DataFrame:
@@ -72,30 +72,31 @@ def evaluate(gold_entities: DataFrame, gold_relations: DataFrame, entities: Data
 
     Aliases of the run (surface, canonical) count as their canonical for precision and for relations' ends. With
     resolve_gold matched ids are resolved too; without, a gold entity that only a surface matches finds no relation.
+    All sides grow with the tables, so joins are merges of shuffled sides: none is sent to the driver for a broadcast.
     """
     match = match_entities(gold_entities, entities)
     if resolve_gold:
-        match = match.join(aliases, F.col("run_id") == F.col("surface"), "left").select("gold_id", F.coalesce("canonical", "run_id").alias("run_id"))
-    found = gold_entities.join(match.select(F.col("gold_id").alias("id"), F.lit(True).alias("ok")).distinct(), "id", "left")
+        match = match.join(aliases.hint("merge"), F.col("run_id") == F.col("surface"), "left").select("gold_id", F.coalesce("canonical", "run_id").alias("run_id"))
+    found = gold_entities.join(match.select(F.col("gold_id").alias("id"), F.lit(True).alias("ok")).distinct().hint("merge"), "id", "left")
     parts = [found.select(F.lit("entities").alias("part"), F.lit("recall").alias("measure"), "type", F.coalesce("ok", F.lit(False)).alias("ok"))]
     gold_keys = gold_entities.select(*entity_key(), F.lit(True).alias("hit")).distinct()
-    keyed = entities.select("id", *entity_key(), "ord").join(gold_keys, ["type", "norm"], "left")
+    keyed = entities.select("id", *entity_key(), "ord").join(gold_keys.hint("merge"), ["type", "norm"], "left")
     hits = keyed.where("hit").select(F.col("id").alias("canonical")).distinct().withColumn("via", F.lit(True))
-    via = aliases.join(hits, "canonical").select(F.col("surface").alias("id"), "via").distinct()
-    parts.append(keyed.join(via, "id", "left").select(F.lit("entities").alias("part"), F.lit("precision").alias("measure"), "type", F.coalesce("hit", "via", F.lit(False)).alias("ok")))
+    via = aliases.join(hits.hint("merge"), "canonical").select(F.col("surface").alias("id"), "via").distinct()
+    parts.append(keyed.join(via.hint("merge"), "id", "left").select(F.lit("entities").alias("part"), F.lit("precision").alias("measure"), "type", F.coalesce("hit", "via", F.lit(False)).alias("ok")))
 
     def ended(rows: DataFrame, mapping: DataFrame, key: str, value: str) -> DataFrame:
         for end in ("src", "dst"):
-            rows = rows.join(mapping.select(F.col(key).alias(end), F.col(value).alias(f"{end}_m")), end, "left")
+            rows = rows.join(mapping.select(F.col(key).alias(end), F.col(value).alias(f"{end}_m")).hint("merge"), end, "left")
         return rows
 
     resolved = ended(relations.select("type", "src", "dst", "extractor"), aliases, "surface", "canonical").select("type", "extractor", F.coalesce("src_m", "src").alias("src"), F.coalesce("dst_m", "dst").alias("dst"))
     have = resolved.select("type", F.col("src").alias("src_m"), F.col("dst").alias("dst_m"), F.lit(True).alias("ok")).distinct()
-    wanted = ended(gold_relations.select("type", "src", "dst"), match, "gold_id", "run_id").join(have, ["type", "src_m", "dst_m"], "left")
+    wanted = ended(gold_relations.select("type", "src", "dst"), match, "gold_id", "run_id").join(have.hint("merge"), ["type", "src_m", "dst_m"], "left")
     parts.append(wanted.select(F.lit("relations").alias("part"), F.lit("recall").alias("measure"), "type", F.coalesce("ok", F.lit(False)).alias("ok")))
     back = match.groupBy("run_id").agg(F.min("gold_id").alias("gold_id"))
     truth = gold_relations.select("type", F.col("src").alias("src_m"), F.col("dst").alias("dst_m"), F.lit(True).alias("ok")).distinct()
-    backed = ended(resolved, back, "run_id", "gold_id").join(truth, ["type", "src_m", "dst_m"], "left").withColumn("ok", F.coalesce("ok", F.lit(False)))
+    backed = ended(resolved, back, "run_id", "gold_id").join(truth.hint("merge"), ["type", "src_m", "dst_m"], "left").withColumn("ok", F.coalesce("ok", F.lit(False)))
     parts.append(backed.select(F.lit("relations").alias("part"), F.lit("precision").alias("measure"), "type", "ok"))
     parts.append(backed.where("extractor = 'llm'").select(F.lit("model relations").alias("part"), F.lit("supported").alias("measure"), "type", "ok"))
     rows = parts[0]

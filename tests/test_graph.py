@@ -231,6 +231,13 @@ def test_evaluation_counts_aliases_for_precision_only(spark):
     assert all(r.matched == r.total for r in itself)
 
 
+def test_evaluation_broadcasts_nothing(spark):
+    gold_e, gold_r = spark.createDataFrame([(0, "g1", "Part", "a")], "ord long, id string, type string, label string"), spark.createDataFrame([("MADE", "g1", "g1", "llm")], "type string, src string, dst string, extractor string")
+    aliases = spark.createDataFrame([("x1", "g1")], "surface string, canonical string")
+    plans = [comparison.evaluate(gold_e, gold_r, gold_e, gold_r, aliases, resolve)._jdf.queryExecution().executedPlan().toString() for resolve in (False, True)]
+    assert all("SortMergeJoin" in p and "Broadcast" not in p for p in plans)
+
+
 def test_closures_end_in_cycles(spark):
     links = spark.createDataFrame([("a", None), ("b", "a"), ("c", "b"), ("x", "y"), ("y", "x"), ("z", "z")], "node string, parent string")
     got = {(r.node, r.ancestor, r.depth) for r in graphs.ancestors(links).collect()}
