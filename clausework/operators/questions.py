@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import checkpointed, maybe_broadcast
+
 # fixed values: names of relation types
 EXCHANGES, CONTAINS, REUSED_BY = "EXCHANGES", "CONTAINS", "REUSED_BY"
 STARTS, GOVERNS, ON_EXPIRY_OF = "STARTS", "GOVERNS", "ON_EXPIRY_OF"
@@ -41,8 +43,12 @@ def timers(entities: DataFrame, relations: DataFrame) -> DataFrame:
 
 
 def states(entities: DataFrame, relations: DataFrame) -> DataFrame:
-    """(procedure, before, after): labels of the first state that must hold and of the last that is entered; other conditions are no states."""
-    known = entities.where("type = 'State'").select(F.col("id").alias("dst"), "label")
+    """(procedure, before, after): labels of the first state that must hold and of the last that is entered; other conditions are no states.
+
+    A few states may end most relations, so the states are counted and broadcast: no task gets all relations of one state.
+    """
+    known = checkpointed(entities.where("type = 'State'").select(F.col("id").alias("dst"), "label"))
+    known = maybe_broadcast(known, known.count(), 256)
     rows = relations.where(F.col("type").isin(HAS_PRECONDITION, TRANSITIONS_TO)).join(known, "dst")
     of = lambda kind, pick: pick(F.when(F.col("type") == kind, F.col("label")), F.when(F.col("type") == kind, F.struct("ord", "dst")))
     return rows.groupBy(F.col("src").alias("procedure")).agg(of(HAS_PRECONDITION, F.min_by).alias("before"), of(TRANSITIONS_TO, F.max_by).alias("after"))

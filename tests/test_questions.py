@@ -45,3 +45,15 @@ def test_empty(graph):
     e, r = (x.limit(0) for x in graph)
     for df in (Q.messages(e, r), Q.timers(e, r), Q.states(e, r), Q.elements(e, r), Q.invoked(e, r), Q.reuse(r), Q.triggers(e, r), Q.definitions(e)):
         assert df.collect() == []
+
+
+def test_relations_are_not_dealt_by_their_state(graph, spark):
+    """Three states may end all relations: dealt by state, they would go to three tasks."""
+    e, r = graph
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = Q.states(e, r)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "hashpartitioning(src" in plan and "hashpartitioning(dst" not in plan
