@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..schema import PROV, SpecConfig
+from ..schema import SpecConfig
 
 
 def first_by(rows: DataFrame, keys: list[str], *order: Column | str, last: bool = False) -> DataFrame:
@@ -50,22 +50,37 @@ def relation_records(rows: DataFrame, cfg: SpecConfig) -> DataFrame:
     return rows.select("ord", X.relation_id(F.col("type"), F.col("src"), F.col("dst")).alias("id"), "type", "src", "dst", modality.alias("modality"), confidence.alias("confidence"), "procedure_ctx", attrs.alias("attrs"), "extractor", provenance(cfg, F.col("clause"), F.col("anchor")).alias("provenance"), *lifecycle(cfg.release))
 
 
+def anchored(records: DataFrame, lineage: str, order: Column | str = "ord") -> DataFrame:
+    """(id, k, o, row, lineage): for each id, clause and anchor, the first record that has them, and its items of these with their places.
+
+    k is null for records without items, row is what else a record has. A batch or a streaming aggregation: an id that many
+    records name combines before its shuffle.
+    """
+    placed = F.transform(lineage, lambda p, i: F.struct(i.alias("pos"), p.alias("item")))
+    keys = F.array_distinct(F.transform(lineage, lambda p: F.struct(p["clause"].alias("clause"), p["anchor"].alias("anchor"))))
+    rest = F.struct(*(c for c in records.columns if c not in ("id", "ord", "batch", lineage)))
+    rows = records.select("id", (F.col(order) if isinstance(order, str) else order).alias("o"), rest.alias("row"), placed.alias("all"), F.explode_outer(keys).alias("k"))
+    same = lambda x: x["item"]["clause"].eqNullSafe(F.col("k.clause")) & x["item"]["anchor"].eqNullSafe(F.col("k.anchor"))
+    mine = F.when(F.col("k").isNotNull(), F.filter("all", same))
+    rows = rows.select("id", "k", F.struct("o", "row", mine.alias(lineage)).alias("v"))
+    return rows.groupBy("id", "k").agg(F.min_by("v", F.struct("v.o")).alias("v")).select("id", "k", "v.*")
+
+
+def gathered(parts: DataFrame, lineage: str) -> DataFrame:
+    """(id, ord, what else a record has, lineage): one record for each id of ``anchored`` parts."""
+    whole = parts.groupBy("id").agg(F.min_by("row", F.struct("o")).alias("row"), F.collect_list(F.struct("o", F.col(lineage).alias("l"))).alias("all"))
+    none = F.array().cast(parts.schema[lineage].dataType)
+    placed = F.transform("all", lambda x: F.transform(F.coalesce(x["l"], none), lambda y: F.struct(x["o"].alias("o"), y["pos"].alias("pos"), y["item"].alias("item"))))
+    return whole.select("id", F.array_min("all.o").alias("ord"), "row.*", F.array_sort(F.flatten(placed))["item"].alias(lineage))
+
+
 def merge_records(records: DataFrame, lineage: str) -> DataFrame:
     """One record for each id: the first in ``ord`` with the provenance of all, in order.
 
     A later record adds those of its items whose clause and anchor no record before it has; items that repeat inside one
-    record stay. Only provenance items are grouped, keyed by id; all else is the first record's. Of each clause and anchor
-    the first record's items win in an aggregation, so an id that many records name combines before its shuffles.
+    record stay. Records are shuffled twice: by id, clause and anchor, where the first one wins, and what is left by id.
     """
-    first = first_by(records, ["id"], "ord").drop(lineage)
-    placed = F.transform(lineage, lambda p, i: F.struct(i.alias("pos"), p.alias("item")))
-    items = records.select("id", F.col("ord").alias("o"), placed.alias("all"), F.explode(F.array_distinct(F.transform(lineage, lambda p: F.struct(p["clause"].alias("clause"), p["anchor"].alias("anchor"))))).alias("k"))
-    same = lambda x: x["item"]["clause"].eqNullSafe(F.col("k.clause")) & x["item"]["anchor"].eqNullSafe(F.col("k.anchor"))
-    items = items.select("id", "k", "o", F.transform(F.filter("all", same), lambda x: F.struct(F.col("o").alias("o"), x["pos"].alias("pos"), x["item"].alias("item"))).alias("mine"))
-    kept = items.groupBy("id", "k").agg(F.min_by("mine", "o").alias("mine"))
-    lists = kept.groupBy("id").agg(F.array_sort(F.flatten(F.collect_list("mine"))).alias("l")).select("id", F.col("l.item").alias(lineage))
-    merged = first.join(lists, "id", "left").withColumn(lineage, F.coalesce(lineage, F.array().cast(f"array<{PROV}>")))
-    return merged.select(*records.columns)
+    return gathered(anchored(records, lineage), lineage).select(*records.columns)
 
 
 def facts_to_records(facts: DataFrame, cfg: SpecConfig) -> tuple[DataFrame, DataFrame]:

@@ -102,6 +102,18 @@ def test_merging_equals_a_loop(spark):
         assert {r.id: (r.label, [tuple(p) for p in r.defined_in]) for r in got} == expected
 
 
+def test_merging_shuffles_twice(spark):
+    """Records without items too keep their fields; an order may be a structure."""
+    item = lambda c: ("Rel-19", None, "1", c, None, None, None)
+    shape = "id string, ord struct<batch: int, ord: int>, attrs map<string, string>, provenance array<struct<release: string, spec: string, version: string, clause: string, anchor: string, curated: boolean, external: boolean>>"
+    rows = [("a", (1, 0), {"x": "1"}, [item("1"), item(None)]), ("a", (0, 5), {"x": "2"}, None), ("a", (2, 0), {}, [item(None), item("2")]), ("b", (3, 3), None, [])]
+    merged = merging.merge_records(spark.createDataFrame(rows, shape), "provenance")
+    plan = merged._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("Exchange hashpartitioning") == 2
+    got = {r.id: (tuple(r.ord), r.attrs, [p.clause for p in r.provenance]) for r in merged.collect()}
+    assert got == {"a": ((0, 5), {"x": "2"}, ["1", None, "2"]), "b": ((3, 3), None, [])}
+
+
 def test_facts_become_records(spark):
     fact = ("s", "Timer", "GOVERNS", "o", "Procedure", None, None)
     rows = [(1, "5.1", 0, *fact, "first"), (1, "5.1", 1, *fact, "second"), (2, "5.2", 0, *fact, "third")]
