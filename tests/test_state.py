@@ -75,3 +75,16 @@ def test_a_stream_with_late_rows_and_a_restart_equals_the_batch_merge(spark, tmp
     relations = str(tmp_path / "relations")
     frame(spark, rows).withColumnRenamed("defined_in", "provenance").write.partitionBy("batch").parquet(relations)
     assert show(ingest.merged(spark, str(tmp_path))[0]) == got
+
+
+def test_state_without_an_end_is_merged_by_no_python(spark, tmp_path, monkeypatch):
+    """A function for each id's group in Python takes about a millisecond for each id: hours for millions."""
+    ship(spark)
+    monkeypatch.setattr(state, "_merging", None)
+    rows = some(5, 6)
+    source, out, cp = (str(tmp_path / x) for x in ("entities", "out", "checkpoint"))
+    for batches in ([2, 0, 1], [5], [3, 4]):  # late ones too, each time from the same checkpoint
+        frame(spark, [r for r in rows if r[0] in batches]).coalesce(1).write.mode("append").partitionBy("batch").parquet(source)
+        state.merge_stream(spark, source, out, cp, "defined_in", files=2).awaitTermination()
+    got = {r.id: (r.label, [p.asDict() for p in r.defined_in]) for r in state.latest(spark, out).collect()}
+    assert got == plain(rows)
